@@ -45,6 +45,7 @@ def attach_stack(lines: DataFrame, stack_lines: int = STACK_LINES, chunk: int =
     Lines that are neither are dropped before the shuffle; whether a stack line
     directly follows is told by its line number.
     """
+    chunk = max(chunk, stack_lines)  # the margin of a group is the start of the next one only
     is_header = F.col("line").rlike(HEADER)
     useful = lines.withColumn("_event", is_header).filter(
         F.col("_event") | F.col("line").rlike(STACK)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -18,11 +18,6 @@ BROADCAST_ROWS = 100_000
 WINDOW_ROWS = 2_000_000
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    tests = [left[c].eqNullSafe(right[c]) for c in columns]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     """Size check; reads at most ``limit + 1`` rows."""
     return df.limit(limit + 1).count() <= limit
@@ -51,22 +46,19 @@ def number_blocks(
     ``block``. Only one row per block meets in the window that adds up the
     block sizes, so a group of any size is numbered in parallel.
     """
-    blocks = placed.groupBy(*group, block).agg(
+    keys = {c: f"_de_{c}" for c in [*group, block]}
+    blocks = placed.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
         F.min(seq).alias("_first"), F.count("*").alias("_rows")
     )
-    before = Window.partitionBy(*group).orderBy(block)
-    blocks = blocks.withColumn(
-        "_offset",
-        F.coalesce(
-            F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
-    )
+    whole = Window.partitionBy(*[keys[c] for c in group])
+    before = whole.orderBy(keys[block]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     if total:
-        blocks = blocks.withColumn(total, F.sum("_rows").over(Window.partitionBy(*group)))
-    joined = placed.join(blocks, _same(placed, blocks, [*group, block]))
-    number = (F.col("_offset") + placed[seq] - F.col("_first") + 1).cast("long")
-    kept = [placed[c] for c in placed.columns if c not in (block, seq)]
-    return joined.select(*kept, number.alias(name), *([total] if total else []))
+        blocks = blocks.withColumn(total, F.sum("_rows").over(whole))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    number = (F.col("_offset") + F.col(seq) - F.col("_first") + 1).cast("long")
+    kept = [c for c in placed.columns if c not in (block, seq)]
+    return placed.join(blocks, same).select(*kept, number.alias(name), *([total] if total else []))
 
 
 def number_rows(
