@@ -27,7 +27,7 @@ def cell_xml(ref, value, shared):
             return f'<c r="{ref}" s="2"><v>{text}</v></c>'
         if kind == "inlineStr":
             return f'<c r="{ref}" t="inlineStr"><is><t>{escape(text)}</t></is></c>'
-        return f'<c r="{ref}" t="{kind}"><v>{text}</v></c>'
+        return f'<c r="{ref}" t="{kind}"><v>{escape(str(text))}</v></c>'
     if isinstance(value, (int, float)):
         return f'<c r="{ref}"><v>{value}</v></c>'
     if value not in shared:

@@ -91,7 +91,7 @@ def _join(
         target.select(F.col(key).alias(source_key))
         .join(F.broadcast(packed.select(source_key)), source_key, "left_semi")
     )
-    added = packed.join(present, source_key, "left_anti")
+    added = packed.join(F.broadcast(present), source_key, "left_anti")  # no more than the batch
     no_target = {c: F.lit(None).cast(target.schema[c].dataType) for c in target.columns}
     return updated.unionByName(added.withColumns(no_target).select(*result))
 

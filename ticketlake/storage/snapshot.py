@@ -58,7 +58,7 @@ class SnapshotTable:
         last = self.commits(spark).agg(
             F.max("versao").alias("v"), F.max_by("qt_baldes", "versao").alias("b")
         ).first()
-        if last["v"] is None:
+        if not last["v"]:
             return 0, spark.createDataFrame([], self.spec.production_schema())
         return last["v"], self._attach(spark, last["v"], last["b"])
 
