@@ -17,6 +17,7 @@ from ticketlake.functions.columns import label_null
 from ticketlake.operators import audit, cleaning, logs, merge, quality, routing
 from ticketlake.operators.filters import cross_filter
 from ticketlake.plans import ingest, kpi
+from ticketlake.session import materialize
 from ticketlake.sources.landing import read_landing
 from ticketlake.sources.loglines import tail_lines
 from ticketlake.spec import CREATED, LOG_TAIL_LINES, ORIGIN, UPDATED, TableSpec
@@ -180,12 +181,12 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Audit ------------------------------------------------------------------------------------
 def _batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = _flagged(fx.faulty_landing_rows(spark, sf_dir))
-    verdicts = ingest.file_verdicts(flagged, fx.SPEC)
+    flagged = materialize(_flagged(fx.faulty_landing_rows(spark, sf_dir)), "staging")
+    verdicts = materialize(ingest.file_verdicts(flagged, fx.SPEC), "verdicts")
     bad = verdicts.filter(F.col("ds_erro").isNotNull())
     good, _ = quality.split_files(merge.staged(flagged, fx.SPEC), bad)
     upsert = merge.merge_upsert(
-        fx.merge_target(spark, sf_dir), good.drop(cleaning.STATE, cleaning.BAD_KEY), "numero", _stamp()
+        fx.merge_target(spark, sf_dir), good.drop(cleaning.BAD_KEY), "numero", _stamp()
     )
     results = ingest.run_results(verdicts, merge.merge_actions(upsert))
     return audit.audit_rows(results, fx.SPEC.table, _stamp(), F.lit(1.256))

@@ -399,3 +399,16 @@ def test_landing_stream(spark, tmp_path, store):
         ("gproblemas_1.xlsx", "sucesso"), ("gproblemas_2.xlsx", "falha"),
         ("gproblemas_3.XLSX", "sucesso"), ("gproblemas_4.xlsx", "sucesso"),
     ]
+
+
+def test_lookup_beyond_the_broadcast_bound(spark):
+    from ticketlake.operators.lookup import join_lookup
+
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("f"), "id"
+    )
+    lookup = rows.filter("id < 500").select("f").distinct().withColumn("v", F.lit(1))
+    for how in ("inner", "left_anti", "left_semi"):
+        small = sorted(map(tuple, join_lookup(rows, lookup, "f", how, True).collect()))
+        salted = sorted(map(tuple, join_lookup(rows, lookup, "f", how, False).collect()))
+        assert small == salted and small

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -21,8 +22,8 @@ from ticketlake.spec import (
     UNKNOWN_LABEL,
 )
 
-# Unicode blanks plus the four separator controls, at either end of a text.
-_EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Every character that counts as a blank at the end of a text.
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # Decimal numbers only: Spark's own cast would also take '1d' and '1f'.
 _NUMBER = r"^\s*[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
@@ -48,13 +49,16 @@ def equals_text(c: Column | str, text: str) -> Column:
 
 def trim_all(c: Column | str) -> Column:
     """Cut blanks of every kind (tabs, line breaks, no-break spaces) at both ends."""
-    return F.regexp_replace(as_column(c), _EDGE_BLANKS, "")
+    return F.btrim(as_column(c), F.lit(_BLANKS))
 
 
-def null_token(c: Column | str) -> Column:
+_NULL_LIST = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+
+
+def null_token(name: str) -> Column:
     """NULL where the cell holds one of the texts that mean "missing"."""
-    c = as_column(c)
-    return F.when(~c.isin(*NULL_TOKENS), c)
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.expr(f"CASE WHEN {quoted} NOT IN ({_NULL_LIST}) THEN {quoted} END")
 
 
 def norm_text(c: Column | str) -> Column:
@@ -63,14 +67,21 @@ def norm_text(c: Column | str) -> Column:
     return F.when(~trimmed.isin(*NULL_DATE_TEXTS), trimmed)
 
 
+def _shape(fmt: str) -> str:
+    """Pattern of the texts an all-numeric date format can parse."""
+    digits = re.sub(r"[A-Za-z]+", lambda m: r"\d{%d}" % len(m[0]), fmt)
+    return f"^{digits}$"
+
+
 def coerce_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that parses wins; anything else is NULL. The time part is cut.
 
     The formats are fixed and tried per row, so the result of a row does not
-    depend on which other rows share its file or partition.
+    depend on which other rows share its file or partition. A text is parsed only
+    if it has the shape of the format: a failed parse costs an exception per row.
     """
     c = trim_all(c)
-    parsed = F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
+    parsed = F.coalesce(*[F.when(c.rlike(_shape(f)), F.try_to_date(c, f)) for f in formats])
     return F.when(parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
 
 

@@ -19,12 +19,10 @@ from ticketlake.functions.columns import (
 from ticketlake.functions.names import resolve_names, sanitize_name
 from ticketlake.spec import ORIGIN, PROBLEMS, RUN_OK, TableSpec
 
-STATE = "_estado"
+KEPT = "_valida"
 BAD_KEY = "_chave_invalida"
-KEPT = "valida"
-EMPTY = "vazia"
-KEYLESS = "sem_chave"
 
+_NUMBER = "_numero"
 # Integer range per key type, as doubles.
 _KEY_LIMIT = {T.IntegerType(): 2.0**31, T.LongType(): 2.0**63}
 
@@ -50,7 +48,7 @@ def sanitize_columns(df: DataFrame, mapped: Sequence[str] = ()) -> DataFrame:
 
 def null_tokens(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     wanted = list(columns) if columns is not None else df.columns
-    return df.withColumns({c: null_token(F.col(f"`{c}`")) for c in wanted})
+    return df.withColumns({c: null_token(c) for c in wanted})
 
 
 def drop_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -62,38 +60,31 @@ def with_origin(df: DataFrame, name: Column | None = None) -> DataFrame:
     return df.withColumn(ORIGIN, F.col("_metadata.file_name") if name is None else name)
 
 
-def flag_rows(
-    df: DataFrame,
-    spec: TableSpec = PROBLEMS,
-    columns: Sequence[str] | None = None,
-    key_present: Column | None = None,
-) -> DataFrame:
-    """Type the cells and add the row state (kept, empty, keyless) and bad-key flag.
-
-    ``columns`` are the data columns under their final names, all strings.
-    ``key_present`` tells for each row whether its file has the key column; rows
-    of files without it are not rejected here.
-    """
-    columns = [c for c in (columns or df.columns) if c != ORIGIN]
+def _read_cells(
+    df: DataFrame, spec: TableSpec, columns: Sequence[str], key_present: Column | None
+) -> tuple[DataFrame, Column, Column]:
+    """Cells with missing values as NULL and the key as a number, plus two tests on
+    them: is the row kept, and is its key out of range."""
     others = [c for c in df.columns if c not in columns]
-    has_key = spec.key in columns
     cells = df.select(*[null_token(c).alias(c) for c in columns], *others)
-    all_null = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns], F.lit(True))
-    number = key_number(spec.key) if has_key else F.lit(None).cast("double")
-    numbered = cells.withColumns({"_vazia": all_null, "_numero": number})
-
+    empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns], F.lit(True))
+    if spec.key not in columns:
+        return cells, ~empty, F.lit(False)
+    cells = cells.withColumn(_NUMBER, key_number(spec.key))
     limit = _KEY_LIMIT[spec.key_type]
-    out_of_range = (F.col("_numero") >= limit) | (F.col("_numero") <= -limit - 1)
-    bad_key = F.coalesce(out_of_range, F.lit(False))
-    keyless = F.col("_numero").isNull()
-    if not has_key:
-        keyless = F.lit(False)
-    elif key_present is not None:
-        keyless = keyless & key_present
+    out_of_range = (F.col(_NUMBER) >= limit) | (F.col(_NUMBER) <= -limit - 1)
+    # A row with a number in its key is not empty: the test looks at one column only.
+    kept = F.col(_NUMBER).isNotNull()
+    if key_present is not None:
+        kept = kept | (~key_present & ~empty)
+    return cells, kept, F.coalesce(out_of_range, F.lit(False))
+
+
+def _typed_cells(spec: TableSpec, columns: Sequence[str], bad_key: Column) -> list[Column]:
     typed = []
     for name in columns:
         if name == spec.key:
-            cell = F.when(~bad_key, F.col("_numero")).cast(spec.key_type)
+            cell = F.when(~bad_key, F.col(_NUMBER)).cast(spec.key_type)
         elif name in spec.date_columns:
             cell = coerce_date(name, spec.date_formats)
         elif name in spec.text_date_columns:
@@ -101,8 +92,27 @@ def flag_rows(
         else:
             cell = F.col(name)
         typed.append(cell.alias(name))
-    state = F.when(F.col("_vazia"), EMPTY).when(keyless, KEYLESS).otherwise(KEPT)
-    return numbered.select(*typed, *others, state.alias(STATE), bad_key.alias(BAD_KEY))
+    return typed
+
+
+def flag_rows(
+    df: DataFrame,
+    spec: TableSpec = PROBLEMS,
+    columns: Sequence[str] | None = None,
+    key_present: Column | None = None,
+) -> DataFrame:
+    """Type the cells and flag the rows: kept (or rejected), and key out of range.
+
+    ``columns`` are the data columns under their final names, all strings.
+    Rejected are empty rows and rows whose key is no number. ``key_present`` tells
+    for each row whether its file has the key column; rows of files without it
+    are only rejected when empty.
+    """
+    columns = [c for c in (columns or df.columns) if c != ORIGIN]
+    others = [c for c in df.columns if c not in columns]
+    cells, kept, bad_key = _read_cells(df, spec, columns, key_present)
+    typed = _typed_cells(spec, columns, bad_key)
+    return cells.select(*typed, *others, kept.alias(KEPT), bad_key.alias(BAD_KEY))
 
 
 def map_names(df: DataFrame, spec: TableSpec = PROBLEMS, meta: Sequence[str] = (ORIGIN,)) -> DataFrame:
@@ -118,8 +128,10 @@ def map_names(df: DataFrame, spec: TableSpec = PROBLEMS, meta: Sequence[str] = (
 def clean(df: DataFrame, spec: TableSpec = PROBLEMS, meta: Sequence[str] = (ORIGIN,)) -> DataFrame:
     """All cleaning steps on landing rows with one header row; kept rows only."""
     named = map_names(df, spec, meta)
-    flagged = flag_rows(named, spec, [c for c in named.columns if c not in meta])
-    return flagged.filter(F.col(STATE) == KEPT).drop(STATE, BAD_KEY)
+    columns = [c for c in named.columns if c not in meta]
+    others = [c for c in named.columns if c in meta]
+    cells, kept, bad_key = _read_cells(named, spec, columns, None)
+    return cells.filter(kept).select(*_typed_cells(spec, columns, bad_key), *others)
 
 
 def account(flagged: DataFrame) -> DataFrame:
@@ -128,7 +140,7 @@ def account(flagged: DataFrame) -> DataFrame:
         flagged.groupBy(ORIGIN)
         .agg(
             F.count("*").alias("qt_recebidas"),
-            F.count_if(F.col(STATE) == KEPT).alias("qt_validas"),
+            F.count_if(KEPT).alias("qt_validas"),
         )
         .withColumn("qt_rejeitadas", F.col("qt_recebidas") - F.col("qt_validas"))
         .withColumn("ds_status", F.lit(RUN_OK))

@@ -14,6 +14,8 @@ from ticketlake.session import materialize
 
 # One broadcast copy must stay small: row bound for tables with a few short columns.
 BROADCAST_ROWS = 100_000
+# Pieces a file's rows are split into when its lookup entry cannot be broadcast.
+SALTS = 32
 # Largest group that one window task may number on its own.
 WINDOW_ROWS = 2_000_000
 
@@ -24,17 +26,25 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 
 
 def join_lookup(
-    df: DataFrame, lookup: DataFrame, on: str, how: str = "inner", limit: int = BROADCAST_ROWS
+    df: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    how: str = "inner",
+    small: bool | None = None,
 ) -> DataFrame:
     """Join rows with a table of one row per file.
 
-    The lookup is broadcast only if the check passes. Beyond the bound it is a
-    shuffle join, where adaptive execution splits the partition of a file that
-    holds a large share of the rows.
+    The lookup is broadcast only if its size check passes (``small`` gives the
+    result of an earlier check). Beyond the bound the join is salted: rows of one
+    file spread over ``SALTS`` keys, each of which meets a copy of the file's entry.
     """
-    if fits_broadcast(lookup, limit):
-        lookup = F.broadcast(lookup)
-    return df.join(lookup, on, how)
+    if small is None:
+        small = fits_broadcast(lookup)
+    if small:
+        return df.join(F.broadcast(lookup), on, how)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int")
+    copies = lookup.withColumn("_sal", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("_sal", salt).join(copies, [on, "_sal"], how).drop("_sal")
 
 
 def number_blocks(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.functions.columns import has_key
-from ticketlake.operators.cleaning import KEPT, STATE
+from ticketlake.operators.cleaning import KEPT
 from ticketlake.operators.quality import to_staging
 from ticketlake.spec import CONTROL_COLUMNS, CREATED, ORIGIN, PROBLEMS, UPDATED, TableSpec
 
@@ -141,7 +141,7 @@ def latest_per_key(
     ``max_by`` and ``min_by`` are combined before the shuffle, so a key that
     many files repeat sends one row per task instead of all its rows.
     """
-    payload = [c for c in rows.columns if c not in (key, STATE, *order) and not c.startswith("_")]
+    payload = [c for c in rows.columns if c not in (key, *order) and not c.startswith("_")]
     payload = list(dict.fromkeys([*payload, *([ORIGIN] if ORIGIN in rows.columns else [])]))
     position = F.struct(*order)
     if keep_missing:
@@ -230,4 +230,4 @@ def merge_actions(
 
 def staged(flagged: DataFrame, spec: TableSpec) -> DataFrame:
     """Kept rows in the shape of the staging table, unseen columns at the end."""
-    return to_staging(flagged.filter(F.col(STATE) == KEPT), spec.staging_schema())
+    return to_staging(flagged.filter(KEPT).drop(KEPT), spec.staging_schema())

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticketlake.operators.cleaning import BAD_KEY, KEPT, STATE
-from ticketlake.operators.lookup import join_lookup
+from ticketlake.operators.cleaning import BAD_KEY, KEPT
+from ticketlake.operators.lookup import fits_broadcast, join_lookup
 from ticketlake.spec import ORIGIN, PROBLEMS, RUN_OK, TableSpec
 
 ERROR = "ds_erro"
@@ -43,7 +43,7 @@ def violations(rows: DataFrame, spec: TableSpec = PROBLEMS) -> DataFrame:
 def file_checks(flagged: DataFrame, spec: TableSpec = PROBLEMS) -> DataFrame:
     """Row counts and rule violations per file in one pass over flagged rows."""
     limits = _limits(flagged, spec)
-    kept = F.col(STATE) == KEPT
+    kept = F.col(KEPT)
     stats = flagged.groupBy(ORIGIN).agg(
         F.count("*").alias("qt_recebidas"),
         F.count_if(kept).alias("qt_validas"),
@@ -109,7 +109,11 @@ def is_good(status: Column | str = "ds_status") -> Column:
 def split_files(rows: DataFrame, bad_files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of good files and rows of bad files; one bad file never blocks others."""
     bad = bad_files.select(ORIGIN).distinct()
-    return join_lookup(rows, bad, ORIGIN, "left_anti"), join_lookup(rows, bad, ORIGIN, "left_semi")
+    small = fits_broadcast(bad)
+    return (
+        join_lookup(rows, bad, ORIGIN, "left_anti", small),
+        join_lookup(rows, bad, ORIGIN, "left_semi", small),
+    )
 
 
 def to_staging(rows: DataFrame, schema: T.StructType) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ticketlake.functions.names import ResolvedNames, resolve_names
 from ticketlake.operators.audit import alert_rows, audit_rows, disposition
-from ticketlake.operators.cleaning import BAD_KEY, STATE, flag_rows
+from ticketlake.operators.cleaning import BAD_KEY, flag_rows
 from ticketlake.operators.lookup import BROADCAST_ROWS, number_rows
 from ticketlake.operators.merge import (
     ABSENT,
@@ -38,35 +38,52 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 # Steps on rows ------------------------------------------------------------------
+def resolve_layouts(landing: Landing, spec: TableSpec) -> dict[int, ResolvedNames]:
+    return {i: resolve_names(names, spec) for i, names in landing.layouts.items()}
+
+
+def _layout_table(
+    spark: SparkSession, resolved: dict[int, ResolvedNames], expected: Sequence[str]
+) -> DataFrame:
+    """One row per header layout: columns it lacks, and why it is refused if it is.
+
+    As small as the list of layouts the driver already holds.
+    """
+    rows = [
+        (layout, [n for n in expected if n not in names.sources], names.error)
+        for layout, names in resolved.items()
+    ]
+    schema = f"{LAYOUT} int, {ABSENT} array<string>, _recusa string"
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def project_landing(
-    landing: Landing, spec: TableSpec
-) -> tuple[DataFrame, list[str], dict[int, ResolvedNames]]:
+    landing: Landing, spec: TableSpec, resolved: dict[int, ResolvedNames]
+) -> tuple[DataFrame, list[str]]:
     """Landing rows under their final column names, over all header layouts.
 
     Adds the list of table columns the row's file lacks. Rows of a file with a
     refused header keep no cells; they are only counted.
     """
-    resolved = {i: resolve_names(names, spec) for i, names in landing.layouts.items()}
     where: dict[str, dict[int, int]] = {}
     for layout, names in resolved.items():
         positions = {h: p for p, h in enumerate(landing.layouts[layout])}
         for name, header in names.sources.items():
             where.setdefault(name, {})[layout] = positions[header]
     columns = [n for n in spec.names if n in where] + sorted(set(where) - set(spec.names))
-    absent = F.lit(None).cast("array<string>")
-    for layout, names in resolved.items():
-        lacking = [n for n in [*spec.names, *columns] if n not in names.sources and n != ORIGIN]
-        literal = F.array(*[F.lit(n) for n in dict.fromkeys(lacking)]).cast("array<string>")
-        absent = F.when(F.col(LAYOUT) == layout, literal).otherwise(absent)
-    rows = landing.rows.select(
-        *[landing.pick(positions).alias(name) for name, positions in
-          ((c, where[c]) for c in columns)],
-        ORIGIN,
-        ARRIVAL,
-        LAYOUT,
-        absent.alias(ABSENT),
+    expected = [n for n in dict.fromkeys([*spec.names, *columns]) if n != ORIGIN]
+    cells = [landing.pick(where[c]).alias(c) for c in columns]
+    rows = landing.rows.select(*cells, ORIGIN, ARRIVAL, LAYOUT)
+    table = _layout_table(rows.sparkSession, resolved, expected)
+    return rows.join(table.drop("_recusa"), LAYOUT, "left"), columns
+
+
+def file_errors(landing: Landing, resolved: dict[int, ResolvedNames]) -> DataFrame:
+    """Every file, with the reason it cannot be read or its header is refused."""
+    table = _layout_table(landing.files.sparkSession, resolved, [])
+    return landing.files.join(table, LAYOUT, "left").select(
+        ORIGIN, F.coalesce(ERROR, "_recusa").alias(ERROR)
     )
-    return rows, columns, resolved
 
 
 def file_verdicts(
@@ -173,18 +190,14 @@ def ingest_batch(
         runs = spark.read.schema(AUDIT_SCHEMA).parquet(f"{audit_dir}/id_lote={batch_id}")
         return IngestResult(done, True, runs, alert_rows(runs, stamp), disposition(runs, stamp))
 
-    rows, columns, resolved = project_landing(landing, spec)
+    resolved = resolve_layouts(landing, spec)
+    rows, columns = project_landing(landing, spec, resolved)
     key_present = ~F.array_contains(ABSENT, spec.key)
     flagged = materialize(flag_rows(rows, spec, columns, key_present), "staging")
+    verdicts = file_verdicts(flagged, spec, file_errors(landing, resolved))
+    verdicts = materialize(verdicts, "verdicts")
 
-    refused = F.lit(None).cast("string")
-    for layout, names in resolved.items():
-        if names.error:
-            refused = F.when(F.col(LAYOUT) == layout, names.error).otherwise(refused)
-    read_errors = landing.files.select(ORIGIN, F.coalesce(ERROR, refused).alias(ERROR))
-    verdicts = materialize(file_verdicts(flagged, spec, read_errors), "verdicts")
-
-    staging = staged(flagged, spec).drop(LAYOUT, STATE)
+    staging = staged(flagged, spec).drop(LAYOUT)
     good, _ = split_files(staging, verdicts.filter(F.col(ERROR).isNotNull()))
     version, current = table.current(spark)
     good_rows = verdicts.filter(F.col(ERROR).isNull()).agg(F.sum("qt_validas")).first()[0] or 0

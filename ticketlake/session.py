@@ -8,13 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits skewed shuffle joins and merges small shuffle partitions at run time.
+# Cleaning projects many columns; a generated method above 8000 bytes of bytecode is
+# never compiled by the JVM, so such a stage is better run operator by operator.
 RECOMMENDED_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the recommended settings to a session."""
+    for key, value in RECOMMENDED_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates: the session's checkpoint folder.
 
