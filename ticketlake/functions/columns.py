@@ -139,3 +139,8 @@ def is_workbook(c: Column | str) -> Column:
 
 def has_key(key: str) -> Column:
     return F.col(key).isNotNull()
+
+
+def file_name() -> Column:
+    """Name of the file a row was read from; Spark gives it with blanks encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ticketlake.functions.columns import (
     coerce_date,
+    file_name,
     key_number,
     norm_text,
     null_token,
@@ -57,7 +58,7 @@ def drop_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def with_origin(df: DataFrame, name: Column | None = None) -> DataFrame:
     """File name column; by default the name of the file a row was read from."""
-    return df.withColumn(ORIGIN, F.col("_metadata.file_name") if name is None else name)
+    return df.withColumn(ORIGIN, file_name() if name is None else name)
 
 
 def _read_cells(

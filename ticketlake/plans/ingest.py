@@ -211,12 +211,12 @@ def ingest_batch(
         run_results(verdicts, actions).join(landing.files.select(ORIGIN, ARRIVAL), ORIGIN), "results"
     )
     changes = results.agg(F.sum(F.col("qt_inseridas") + F.col("qt_atualizadas"))).first()[0]
-    new_version = table.write(production_rows(merged), version + 1) if changes else version
+    folder = table.write(production_rows(merged), version + 1) if changes else None
 
     seconds = F.lit(time.monotonic() - started)
     runs = audit_rows(results, spec.table, stamp, seconds, carry=[ARRIVAL])
     runs = append_audit(spark, runs, audit_dir, batch_id, [ARRIVAL, "nm_arquivo"])
-    table.commit(spark, new_version, batch_id, ts)
+    new_version = table.commit(spark, version, folder, batch_id, ts)
     return IngestResult(
         new_version, False, runs, alert_rows(runs, stamp), disposition(runs, stamp)
     )

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlake.functions.columns import file_name
 from ticketlake.functions.names import dedupe_headers
 from ticketlake.operators.lookup import join_lookup
 from ticketlake.session import materialize
@@ -124,7 +125,7 @@ def _file_listing(spark: SparkSession, path: str | list[str], glob: str | None)
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(path).select(
         F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias(ORIGIN),
+        file_name().alias(ORIGIN),
         F.col("modificationTime").cast("timestamp_ntz").alias(ARRIVAL),
         F.col("length").alias("_bytes"),
     )
@@ -168,7 +169,7 @@ def load_delimited(
     if len(layouts) <= 1:
         rows = scan.select(
             *cells,
-            F.col("_metadata.file_name").alias(ORIGIN),
+            file_name().alias(ORIGIN),
             F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(ARRIVAL),
             F.lit(0).alias(LAYOUT),
         )
@@ -214,7 +215,7 @@ def load_parquet(spark: SparkSession, path: str | list[str]) -> Landing:
     names = scan.columns
     rows = scan.select(
         *[F.col(c).cast("string") for c in names],
-        F.col("_metadata.file_name").alias(ORIGIN),
+        file_name().alias(ORIGIN),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(ARRIVAL),
         F.lit(0).alias(LAYOUT),
     )

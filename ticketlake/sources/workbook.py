@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticketlake.functions.columns import file_name
 from ticketlake.spec import ORIGIN
 
 CELLS_SCHEMA = (
@@ -236,7 +237,7 @@ def workbook_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("pathGlobFilter", "*.{[xX][lL][sS],[xX][lL][sS][xX]}")
         .load(path)
         .select(
-            F.col("_metadata.file_name").alias(ORIGIN),
+            file_name().alias(ORIGIN),
             F.col("modificationTime").cast("timestamp_ntz").alias("dt_chegada"),
             "length",
             "content",

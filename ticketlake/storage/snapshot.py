@@ -1,15 +1,16 @@
 """Production table as Parquet snapshots, bucketed by key.
 
-A batch writes ``v=N+1`` next to the version that readers use and then appends one
-row to the commit table. A path that is being read is never overwritten. Buckets
-let the next merge read the table in key order of its shuffle: only the batch is
-shuffled, not the table.
+A batch writes its version into a folder of its own, next to the one readers use,
+and then appends one row to the commit table. A path that is being read is never
+overwritten. Buckets let the next merge read the table in key order of its shuffle:
+only the batch is shuffled, not the table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,22 +25,27 @@ _COMMITS = T.StructType(
         T.StructField("id_lote", T.StringType()),
         T.StructField("dt_registro", T.TimestampNTZType()),
         T.StructField("qt_baldes", T.IntegerType()),
+        T.StructField("nm_pasta", T.StringType()),
     ]
 )
 
 
+class ConcurrentCommit(RuntimeError):
+    """Another batch was committed after this one had read the table."""
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     path: str
     spec: TableSpec = PROBLEMS
     buckets: int = 64
 
-    def _data(self, version: int) -> str:
-        return f"{self.path}/data/v={version}"
+    def _data(self, folder: str) -> str:
+        return f"{self.path}/data/{folder}"
 
-    def _name(self, version: int) -> str:
-        digest = hashlib.sha1(self.path.encode()).hexdigest()[:12]
-        return f"snapshot_{digest}_v{version}"
+    def _name(self, folder: str) -> str:
+        """Catalog name of the files in a folder."""
+        return f"snapshot_{hashlib.sha1(self._data(folder).encode()).hexdigest()[:20]}"
 
     def commits(self, spark: SparkSession) -> DataFrame:
         try:
@@ -56,44 +62,60 @@ class SnapshotTable:
     def current(self, spark: SparkSession) -> tuple[int, DataFrame]:
         """Newest committed version; version 0 is an empty table."""
         last = self.commits(spark).agg(
-            F.max("versao").alias("v"), F.max_by("qt_baldes", "versao").alias("b")
+            F.max("versao").alias("v"),
+            F.max_by("qt_baldes", "versao").alias("b"),
+            F.max_by("nm_pasta", "versao").alias("p"),
         ).first()
         if not last["v"]:
             return 0, spark.createDataFrame([], self.spec.production_schema())
-        return last["v"], self._attach(spark, last["v"], last["b"])
+        return last["v"], self._attach(spark, last["p"], last["b"])
 
-    def _attach(self, spark: SparkSession, version: int, buckets: int) -> DataFrame:
-        """Bucketed table over the files of a version; adds it to this session's catalog."""
-        name = self._name(version)
+    def _attach(self, spark: SparkSession, folder: str, buckets: int) -> DataFrame:
+        """Bucketed table over the files of a folder; adds it to this session's catalog."""
+        name = self._name(folder)
         if not spark.catalog.tableExists(name):
-            schema = spark.read.parquet(self._data(version)).schema
+            schema = spark.read.parquet(self._data(folder)).schema
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
             spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet "
                 f"CLUSTERED BY (`{self.spec.key}`) INTO {buckets} BUCKETS "
-                f"LOCATION '{self._data(version)}'"
+                f"LOCATION '{self._data(folder)}'"
             )
         return spark.table(name)
 
-    def write(self, df: DataFrame, version: int) -> int:
-        """Write the files of a version; safe to repeat until it is committed."""
-        spark = df.sparkSession
-        spark.sql(f"DROP TABLE IF EXISTS {self._name(version)}")
+    def write(self, df: DataFrame, version: int) -> str:
+        """Write the files of a version into a new folder; nobody reads it yet."""
+        folder = f"v={version}-{uuid.uuid4().hex}"
         (
             df.write.format("parquet")
             .bucketBy(self.buckets, self.spec.key)
             .sortBy(self.spec.key)
-            .option("path", self._data(version))
-            .mode("overwrite")
-            .saveAsTable(self._name(version))
+            .option("path", self._data(folder))
+            .saveAsTable(self._name(folder))
         )
-        return version
-
-    def commit(self, spark: SparkSession, version: int, batch_id: str, ts: dt.datetime) -> None:
-        row = [(version, batch_id, ts, self.buckets)]
+        return folder
+
+    def commit(
+        self, spark: SparkSession, base: int, folder: str | None, batch_id: str, ts: dt.datetime
+    ) -> int:
+        """Make a written folder the next version after ``base``.
+
+        Without a folder the batch is noted as done and the version stays. Refuses
+        if the table moved on since ``base`` was read: the batch must merge again.
+        """
+        last = self.commits(spark).agg(F.max("versao")).first()[0] or 0
+        if folder is not None and last != base:
+            raise ConcurrentCommit(f"version is {last}, the batch was merged into {base}")
+        version, stored = last, folder
+        if folder is not None:
+            version = base + 1
+        elif last:
+            stored = self.commits(spark).agg(F.max_by("nm_pasta", "versao")).first()[0]
+        row = [(version, batch_id, ts, self.buckets, stored)]
         spark.createDataFrame(row, _COMMITS).coalesce(1).write.mode("append").parquet(
             f"{self.path}/commits"
         )
+        return version
 
     def publish(self, df: DataFrame, batch_id: str, ts: dt.datetime) -> int:
         """Write and commit the next version, once per batch id."""
@@ -101,22 +123,22 @@ class SnapshotTable:
         done = self.committed_version(spark, batch_id)
         if done is not None:
             return done
-        version = self.write(df, self.current(spark)[0] + 1)
-        self.commit(spark, version, batch_id, ts)
-        return version
+        base = self.current(spark)[0]
+        return self.commit(spark, base, self.write(df, base + 1), batch_id, ts)
 
     def expire(self, spark: SparkSession, keep: int = 2) -> list[int]:
-        """Remove the files of all but the newest ``keep`` committed versions."""
+        """Remove the files of all but the newest ``keep`` committed versions, and of
+        attempts that old which were never committed."""
         last, _ = self.current(spark)
         jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        removed = []
         root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/data")
-        files = root.getFileSystem(conf)
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed = set()
         for status in files.listStatus(root):
-            name = status.getPath().getName()
-            if name.startswith("v=") and int(name[2:]) <= last - keep:
-                spark.sql(f"DROP TABLE IF EXISTS {self._name(int(name[2:]))}")
+            folder = status.getPath().getName()
+            version = int(folder.removeprefix("v=").partition("-")[0])
+            if version <= last - keep:
+                spark.sql(f"DROP TABLE IF EXISTS {self._name(folder)}")
                 files.delete(status.getPath(), True)
-                removed.append(int(name[2:]))
+                removed.add(version)
         return sorted(removed)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ticketlake.functions.columns import file_name
 from ticketlake.operators.audit import replay_tally, unknown_table_alerts
 from ticketlake.operators.routing import route, workbooks_only
 from ticketlake.plans.ingest import IngestResult, ingest_batch
@@ -67,6 +68,13 @@ def unknown_tables(
     return unknown_table_alerts(unknown, F.lit(ts))
 
 
+def stream_batch_id(batch: DataFrame, batch_id: int) -> str:
+    """Batch number within its stream; a stream started on a new checkpoint is another
+    stream, whose numbers start again."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"stream-{stream}-{batch_id}"
+
+
 def stream_landing(
     spark: SparkSession,
     directory: str,
@@ -92,14 +100,14 @@ def stream_landing(
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     files = reader.load(directory).select(
-        F.col("_metadata.file_name").alias(ORIGIN),
+        file_name().alias(ORIGIN),
         F.col("modificationTime").cast("timestamp_ntz").alias(ARRIVAL),
         "length",
         "content",
     )
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, f"stream-{batch_id}", table, audit_dir, specs=specs)
+        apply_batch(batch, stream_batch_id(batch, batch_id), table, audit_dir, specs=specs)
 
     writer = files.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     if available_now:

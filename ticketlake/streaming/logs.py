@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ticketlake.plans.log_poll import poll_logs
+from ticketlake.streaming.landing import stream_batch_id
 
 
 def stream_logs(
@@ -36,7 +37,7 @@ def stream_logs(
         paths = [row["path"] for row in batch.collect()]
         if paths:
             poll_logs(
-                batch.sparkSession, paths, events_dir, f"stream-{batch_id}",
+                batch.sparkSession, paths, events_dir, stream_batch_id(batch, batch_id),
                 dt.datetime.now().replace(microsecond=0), tail=None, since_mark=False,
             )
 
