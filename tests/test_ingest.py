@@ -459,3 +459,15 @@ def test_file_names_with_blanks_and_accents(spark, tmp_path, store):
     write_book(folder / "gproblemas ç.xlsx", [HEADER, ["3", "P1", "x"]])
     rows, = apply_batch(workbook_files(spark, str(folder)), "c", table, audit, TS[1])
     assert set(audit_of(rows)) == {"gproblemas ç.xlsx"}
+
+
+def test_batch_leaves_no_intermediates(spark, tmp_path, store):
+    from ticketlake.session import scratch_root
+
+    table, audit = store
+    folder = scratch_root(spark) + "/ticketlake"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    path = csv_file(tmp_path, "gproblemas_1.csv", ["Número,Status", "1,Aberto"])
+    result = ingest_delimited(spark, path, table, audit, "b", TS[0])
+    assert set(os.listdir(folder)) == before
+    assert audit_of(result) == {"gproblemas_1.csv": (1, 1, 0, "sucesso")}

@@ -181,42 +181,49 @@ def ingest_batch(
 
     Order of the writes: new snapshot data, audit rows, commit. Until the commit
     everything can be done again under the same batch id; after it the batch is
-    skipped.
+    skipped. The landing's intermediates are removed, so it serves one call.
     """
     started = time.monotonic()
     stamp = F.lit(ts).cast("timestamp_ntz")
     done = table.committed_version(spark, batch_id)
     if done is not None:
+        landing.scratch.clear(spark)
         runs = spark.read.schema(AUDIT_SCHEMA).parquet(f"{audit_dir}/id_lote={batch_id}")
         return IngestResult(done, True, runs, alert_rows(runs, stamp), disposition(runs, stamp))
 
-    resolved = resolve_layouts(landing, spec)
-    rows, columns = project_landing(landing, spec, resolved)
-    key_present = ~F.array_contains(ABSENT, spec.key)
-    flagged = materialize(flag_rows(rows, spec, columns, key_present), "staging")
-    verdicts = file_verdicts(flagged, spec, file_errors(landing, resolved))
-    verdicts = materialize(verdicts, "verdicts")
-
-    staging = staged(flagged, spec).drop(LAYOUT)
-    good, _ = split_files(staging, verdicts.filter(F.col(ERROR).isNotNull()))
-    version, current = table.current(spark)
-    good_rows = verdicts.filter(F.col(ERROR).isNull()).agg(F.sum("qt_validas")).first()[0] or 0
-    merged = merge_sequence(
-        current, good, spec.key, [ARRIVAL, ORIGIN], stamp,
-        keep_missing=keep_missing,
-        broadcast_source=_fits_broadcast(good.drop(ABSENT, BAD_KEY), good_rows),
-    )
-    actions = merge_actions(merged, good, spec.key)
-    results = materialize(
-        run_results(verdicts, actions).join(landing.files.select(ORIGIN, ARRIVAL), ORIGIN), "results"
-    )
-    changes = results.agg(F.sum(F.col("qt_inseridas") + F.col("qt_atualizadas"))).first()[0]
-    folder = table.write(production_rows(merged), version + 1) if changes else None
-
-    seconds = F.lit(time.monotonic() - started)
-    runs = audit_rows(results, spec.table, stamp, seconds, carry=[ARRIVAL])
-    runs = append_audit(spark, runs, audit_dir, batch_id, [ARRIVAL, "nm_arquivo"])
-    new_version = table.commit(spark, version, folder, batch_id, ts)
+    scratch = landing.scratch
+    try:
+        resolved = resolve_layouts(landing, spec)
+        rows, columns = project_landing(landing, spec, resolved)
+        key_present = ~F.array_contains(ABSENT, spec.key)
+        flagged = materialize(flag_rows(rows, spec, columns, key_present), "staging", scratch)
+        verdicts = file_verdicts(flagged, spec, file_errors(landing, resolved))
+        verdicts = materialize(verdicts, "verdicts", scratch)
+
+        staging = staged(flagged, spec).drop(LAYOUT)
+        good, _ = split_files(staging, verdicts.filter(F.col(ERROR).isNotNull()))
+        version, current = table.current(spark)
+        good_rows = verdicts.filter(F.col(ERROR).isNull()).agg(F.sum("qt_validas")).first()[0] or 0
+        merged = merge_sequence(
+            current, good, spec.key, [ARRIVAL, ORIGIN], stamp,
+            keep_missing=keep_missing,
+            broadcast_source=_fits_broadcast(good.drop(ABSENT, BAD_KEY), good_rows),
+        )
+        actions = merge_actions(merged, good, spec.key)
+        results = materialize(
+            run_results(verdicts, actions).join(landing.files.select(ORIGIN, ARRIVAL), ORIGIN),
+            "results",
+            scratch,
+        )
+        changes = results.agg(F.sum(F.col("qt_inseridas") + F.col("qt_atualizadas"))).first()[0]
+        folder = table.write(production_rows(merged), version + 1) if changes else None
+
+        seconds = F.lit(time.monotonic() - started)
+        runs = audit_rows(results, spec.table, stamp, seconds, carry=[ARRIVAL])
+        runs = append_audit(spark, runs, audit_dir, batch_id, [ARRIVAL, "nm_arquivo"])
+        new_version = table.commit(spark, version, folder, batch_id, ts)
+    finally:
+        scratch.clear(spark)
     return IngestResult(
         new_version, False, runs, alert_rows(runs, stamp), disposition(runs, stamp)
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ticketlake.operators.logs import extract_events, high_water
 from ticketlake.operators.audit import log_alert
 from ticketlake.operators.lookup import number_rows
-from ticketlake.session import materialize
+from ticketlake.session import Scratch, materialize
 from ticketlake.sources.loglines import read_log_lines
 from ticketlake.spec import LOG_EVENT_SCHEMA, LOG_TAIL_LINES
 
@@ -61,6 +61,11 @@ def poll_logs(
     """
     earlier = read_events(spark, events_dir).filter(F.col("id_lote") != batch_id)
     mark = high_water(earlier).first()[0] if since_mark else None
-    lines = read_log_lines(spark, path, tail)
-    events = materialize(extract_events(lines, mark), "events")
-    return append_events(spark, events, events_dir, batch_id, ts), log_alert(events)
+    scratch = Scratch()
+    try:
+        lines = read_log_lines(spark, path, tail, scratch)
+        events = materialize(extract_events(lines, mark), "events", scratch)
+        added = append_events(spark, events, events_dir, batch_id, ts)
+    finally:
+        scratch.clear(spark)
+    return added, log_alert(added, ("id_log",))

@@ -48,7 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/ticketlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, on whatever file system it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def materialize(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> DataFrame:
     """Write a frame below the shared scratch folder and read it back.
 
     Used where several jobs need the same rows, or where a value such as a
@@ -56,4 +62,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Written intermediates of one job, removed once the job has stored its results."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    def clear(self, spark: SparkSession) -> None:
+        while self.paths:
+            remove_path(spark, self.paths.pop())

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ticketlake.functions.columns import file_name
 from ticketlake.functions.names import dedupe_headers
 from ticketlake.operators.lookup import join_lookup
-from ticketlake.session import materialize
+from ticketlake.session import Scratch, materialize
 from ticketlake.sources.workbook import decode_workbooks
 from ticketlake.spec import ORIGIN, SETTLE_SECONDS
 
@@ -44,6 +44,7 @@ class Landing:
     files: DataFrame
     layouts: dict[int, list[str]]
     cell: Callable[[int], Column] = field(default=lambda i: F.get("celulas", F.lit(i)))
+    scratch: Scratch = field(default_factory=Scratch)
 
     def pick(self, positions: dict[int, int]) -> Column:
         """Cell at a position that depends on the layout (layout id -> position)."""
@@ -67,7 +68,10 @@ class Landing:
 
 
 def _peek_headers(sep: str, quote: str, encoding: str):
-    """Task body: first record of each file; reads the start of the file only."""
+    """Task body: first record of each file; reads the start of the file only.
+
+    Files are opened with pyarrow, which needs access to the store on the executors.
+    """
 
     def header_of(path: str) -> list[str]:
         from pyarrow import fs
@@ -151,7 +155,8 @@ def load_delimited(
         f"_path string, {ORIGIN} string, {ARRIVAL} timestamp_ntz, _bytes long, "
         "cabecalho array<string>, ds_erro string",
     )
-    files, layouts = _with_layouts(materialize(peeked, "headers"))
+    scratch = Scratch()
+    files, layouts = _with_layouts(materialize(peeked, "headers", scratch))
     width = max((len(h) for h in layouts.values()), default=0) or 1
     reader = (
         spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
@@ -184,12 +189,14 @@ def load_delimited(
         files.select(ORIGIN, ARRIVAL, LAYOUT, "ds_erro"),
         layouts,
         cell=lambda i: F.col(f"c{i}"),
+        scratch=scratch,
     )
 
 
 def load_workbooks(files: DataFrame, sheet: str | int) -> Landing:
     """Decoded workbooks; ``files`` as given by ``workbook_files`` or a stream batch."""
-    decoded = materialize(decode_workbooks(files, sheet), "workbooks")
+    scratch = Scratch()
+    decoded = materialize(decode_workbooks(files, sheet), "workbooks", scratch)
     per_file = decoded.groupBy(ORIGIN, ARRIVAL).agg(
         F.any_value(F.when(F.col("nr_linha") == 0, F.col("celulas")), F.lit(True)).alias("_head"),
         F.max(F.size("celulas")).alias("_width"),
@@ -202,11 +209,12 @@ def load_workbooks(files: DataFrame, sheet: str | int) -> Landing:
         "ds_erro",
         F.when(F.col("ds_erro").isNull(), F.concat("_head", padding)).alias("cabecalho"),
     )
-    listed, layouts = _with_layouts(materialize(per_file, "headers"))
+    listed, layouts = _with_layouts(materialize(per_file, "headers", scratch))
     data = decoded.filter("nr_linha > 0").drop("ds_erro", ARRIVAL)
     readable = listed.filter("ds_erro IS NULL").select(ORIGIN, ARRIVAL, LAYOUT)
     rows = join_lookup(data, readable, ORIGIN).select(*LANDING_META, "celulas")
-    return Landing(rows, listed.select(ORIGIN, ARRIVAL, LAYOUT, "ds_erro"), layouts)
+    listing = listed.select(ORIGIN, ARRIVAL, LAYOUT, "ds_erro")
+    return Landing(rows, listing, layouts, scratch=scratch)
 
 
 def load_parquet(spark: SparkSession, path: str | list[str]) -> Landing:

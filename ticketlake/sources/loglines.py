@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.operators.lookup import join_lookup, number_blocks
-from ticketlake.session import materialize
+from ticketlake.session import Scratch, materialize
 from ticketlake.spec import LOG_TAIL_LINES
 
 # Line ends besides \n, \r and \r\n that also end a line of captured output.
@@ -14,7 +14,10 @@ _OTHER_LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def read_log_lines(
-    spark: SparkSession, path: str | list[str], tail: int | None = LOG_TAIL_LINES
+    spark: SparkSession,
+    path: str | list[str],
+    tail: int | None = LOG_TAIL_LINES,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Last ``tail`` lines of every file (all lines for ``None``), numbered from 1.
 
@@ -28,7 +31,7 @@ def read_log_lines(
         F.col("_metadata.file_block_start").alias("_block"),
     )
     placed = materialize(
-        lines.withColumn("_seq", F.monotonically_increasing_id()), "log-lines"
+        lines.withColumn("_seq", F.monotonically_increasing_id()), "log-lines", scratch
     )
     numbered = number_blocks(
         placed, ["log_file"], "_block", "_seq", "line_no", total="_total"

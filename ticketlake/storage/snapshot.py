@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketlake.session import remove_path
 from ticketlake.spec import PROBLEMS, TableSpec
 
 _COMMITS = T.StructType(
@@ -139,6 +140,6 @@ class SnapshotTable:
             version = int(folder.removeprefix("v=").partition("-")[0])
             if version <= last - keep:
                 spark.sql(f"DROP TABLE IF EXISTS {self._name(folder)}")
-                files.delete(status.getPath(), True)
+                remove_path(spark, status.getPath().toString())
                 removed.add(version)
         return sorted(removed)
