@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ticketlake import fixtures as fx
 from ticketlake import oracle
-from ticketlake.functions.columns import label_null
+from ticketlake.functions.columns import label_null, ntz
 from ticketlake.operators import audit, cleaning, logs, merge, quality, routing
 from ticketlake.operators.filters import cross_filter
 from ticketlake.plans import ingest, kpi
@@ -30,7 +30,7 @@ TAIL = 100
 
 
 def _stamp():
-    return F.lit(dt.datetime.fromisoformat(STAMP)).cast("timestamp_ntz")
+    return ntz(dt.datetime.fromisoformat(STAMP))
 
 
 def _on_problems(card: Callable[[DataFrame], DataFrame]) -> Query:

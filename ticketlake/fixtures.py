@@ -108,11 +108,13 @@ def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = problems(spark, sf_dir)
     n = F.col("numero")
     key = F.when(n % 17 == 0, "abc").when(n % 19 == 0, F.concat(_text("numero"), F.lit(".7")))
+    iso = _text("dt_abertura")
+    us_date = F.concat_ws("/", F.substring(iso, 6, 2), F.substring(iso, 9, 2), F.substring(iso, 1, 4))
     opened = (
         F.when(n % 23 == 0, "foo")
-        .when(n % 3 == 0, F.date_format("dt_abertura", "MM/dd/yyyy"))
-        .when(n % 3 == 1, F.concat(_text("dt_abertura"), F.lit(" 00:00:00")))
-        .otherwise(_text("dt_abertura"))
+        .when(n % 3 == 0, us_date)
+        .when(n % 3 == 1, F.concat(iso, F.lit(" 00:00:00")))
+        .otherwise(iso)
     )
     closed = (
         F.when(n % 5 == 0, "\t10/05 ")

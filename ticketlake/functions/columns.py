@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Sequence
 
@@ -34,6 +35,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ntz(moment: dt.datetime) -> Column:
+    """Literal time without zone; a plain literal would pass through two time zones."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def ci_key(c: Column | str) -> Column:
     """Comparison key of a text: case and trailing blanks ignored, accents kept.
 

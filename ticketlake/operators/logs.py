@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketlake.functions.columns import trim_all
+from ticketlake.functions.columns import ntz, trim_all
 from ticketlake.spec import ERROR_TEXT_LIMIT, LOG_SOURCE, STACK_LINES
 
 # Shape of an event line, of a stack line, and the words that make
@@ -107,8 +107,7 @@ def newer_than(events: DataFrame, mark: Column | dt.datetime | None) -> DataFram
     """
     if mark is None:
         return events
-    mark = mark if isinstance(mark, Column) else F.lit(mark)
-    mark = mark.cast("timestamp_ntz")
+    mark = mark.cast("timestamp_ntz") if isinstance(mark, Column) else ntz(mark)
     return events.filter(mark.isNull() | F.col("dt_evento").isNull() | (F.col("dt_evento") > mark))
 
 

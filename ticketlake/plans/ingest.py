@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketlake.functions.columns import ntz
 from ticketlake.functions.names import ResolvedNames, resolve_names
 from ticketlake.operators.audit import alert_rows, audit_rows, disposition
 from ticketlake.operators.cleaning import BAD_KEY, flag_rows
@@ -184,7 +185,7 @@ def ingest_batch(
     skipped. The landing's intermediates are removed, so it serves one call.
     """
     started = time.monotonic()
-    stamp = F.lit(ts).cast("timestamp_ntz")
+    stamp = ntz(ts)
     done = table.committed_version(spark, batch_id)
     if done is not None:
         landing.scratch.clear(spark)

@@ -20,6 +20,7 @@ from ticketlake.functions.columns import (
     is_open,
     is_p1_open,
     label_null,
+    ntz,
     priority_rank,
 )
 from ticketlake.operators.filters import apply_filters
@@ -208,9 +209,7 @@ def runs_on(runs: DataFrame, day: dt.date) -> DataFrame:
     start = dt.datetime.combine(day, dt.time())
     end = start + dt.timedelta(days=1)
     time = F.col("dt_processamento")
-    return runs.filter(
-        (time >= F.lit(start).cast("timestamp_ntz")) & (time < F.lit(end).cast("timestamp_ntz"))
-    )
+    return runs.filter((time >= ntz(start)) & (time < ntz(end)))
 
 
 def daily_summary(runs: DataFrame, day: dt.date) -> DataFrame:

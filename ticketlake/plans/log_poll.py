@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketlake.functions.columns import ntz
 from ticketlake.operators.logs import extract_events, high_water
 from ticketlake.operators.audit import log_alert
 from ticketlake.operators.lookup import number_rows
@@ -36,7 +37,7 @@ def append_events(
     rows = (
         number_rows(events, ["log_file", "line_no"], "id_log")
         .withColumns(
-            {"id_log": F.col("id_log") + last, "dt_insert": F.lit(ts).cast("timestamp_ntz")}
+            {"id_log": F.col("id_log") + last, "dt_insert": ntz(ts)}
         )
         .select(*LOG_EVENT_SCHEMA.names)
     )

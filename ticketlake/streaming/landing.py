@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ticketlake.functions.columns import file_name
+from ticketlake.functions.columns import file_name, ntz
 from ticketlake.operators.audit import replay_tally, unknown_table_alerts
 from ticketlake.operators.routing import route, workbooks_only
 from ticketlake.plans.ingest import IngestResult, ingest_batch
@@ -65,7 +65,7 @@ def unknown_tables(
 ) -> DataFrame:
     """Alerts for files routed to a table that is not registered."""
     _, _, unknown = route(workbooks_only(files), specs, known_tables)
-    return unknown_table_alerts(unknown, F.lit(ts))
+    return unknown_table_alerts(unknown, ntz(ts))
 
 
 def stream_batch_id(batch: DataFrame, batch_id: int) -> str:
