@@ -383,14 +383,23 @@ def test_landing_stream(spark, tmp_path, store):
     folder = tmp_path / "in"
     folder.mkdir()
 
+    specs = [PROBLEMS, TableSpec(prefix="gmudancas", table="tb_x", key="k", columns=())]
+    alerts = []
+
     def run():
-        stream_landing(spark, str(folder), str(tmp_path / "cp"), table, audit).awaitTermination()
+        stream_landing(
+            spark, str(folder), str(tmp_path / "cp"), table, audit, specs,
+            on_alerts=lambda rows: alerts.extend(r.nm_arquivo for r in rows.collect()),
+        ).awaitTermination()
 
     write_book(folder / "gproblemas_1.xlsx", [HEADER, ["1", "P1", "Aberto"]])
     (folder / "gproblemas_2.xlsx").write_bytes(b"broken")
     write_book(folder / "gproblemas_3.XLSX", [HEADER, ["2", "P1", "Aberto"]])
     (folder / "gproblemas.txt").write_text("x")
+    write_book(folder / "gmudancas_1.xlsx", [HEADER])
     run()
+    assert sorted(alerts) == [
+        "gmudancas_1.xlsx", "gproblemas_1.xlsx", "gproblemas_2.xlsx", "gproblemas_3.XLSX"]
     assert set(table_rows(spark, table)) == {1, 2}
     write_book(folder / "gproblemas_4.xlsx", [HEADER, ["1", "P2", "Resolvido"]])
     run()

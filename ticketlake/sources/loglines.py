@@ -48,6 +48,7 @@ def tail_lines(lines: DataFrame, tail: int = LOG_TAIL_LINES) -> DataFrame:
     lines of a source.
     """
     ends = lines.groupBy("log_file").agg(F.max("line_no").alias("_last"))
+    ends = materialize(ends, "ends")  # for the size check and the join
     return (
         join_lookup(lines, ends, "log_file")
         .filter(F.col("line_no") > F.col("_last") - tail)

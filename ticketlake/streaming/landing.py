@@ -9,7 +9,7 @@ finished files into the folder by rename.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,10 +86,13 @@ def stream_landing(
     interval: str = "10 seconds",
     archive_dir: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    on_alerts: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Ingest every new workbook of a folder once.
 
-    ``archive_dir`` lets the source move finished files away.
+    ``archive_dir`` lets the source move finished files away. ``on_alerts`` gets the
+    alert rows of each batch: one per processed file, and one per file whose route
+    names an unregistered table.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -107,7 +110,14 @@ def stream_landing(
     )
 
     def ingest(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, stream_batch_id(batch, batch_id), table, audit_dir, specs=specs)
+        ts = dt.datetime.now().replace(microsecond=0)
+        results = apply_batch(
+            batch, stream_batch_id(batch, batch_id), table, audit_dir, ts, specs=specs
+        )
+        if on_alerts:
+            for result in results:
+                on_alerts(result.alerts)
+            on_alerts(unknown_tables(batch, ts, specs, KNOWN_TABLES))
 
     writer = files.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint)
     if available_now:
