@@ -28,7 +28,8 @@ _BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # Decimal numbers only: Spark's own cast would also take '1d' and '1f'.
 _NUMBER = r"^\s*[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-_INTEGER_BOUND = {T.IntegerType(): 2.0**31, T.LongType(): 2.0**63}
+# First number above the range of a key type.
+KEY_BOUNDS = {T.IntegerType(): 2.0**31, T.LongType(): 2.0**63}
 
 
 def as_column(c: Column | str) -> Column:
@@ -102,7 +103,7 @@ def key_number(c: Column | str) -> Column:
 
 def key_out_of_range(c: Column | str, key_type: T.DataType) -> Column:
     """True for a number the key type cannot hold (infinite or too large)."""
-    bound = _INTEGER_BOUND[key_type]
+    bound = KEY_BOUNDS[key_type]
     number = key_number(c)
     return F.coalesce((number >= bound) | (number <= -bound - 1), F.lit(False))
 

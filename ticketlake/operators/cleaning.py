@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticketlake.functions.columns import (
+    KEY_BOUNDS,
     coerce_date,
     file_name,
     key_number,
@@ -24,8 +24,6 @@ KEPT = "_valida"
 BAD_KEY = "_chave_invalida"
 
 _NUMBER = "_numero"
-# Integer range per key type, as doubles.
-_KEY_LIMIT = {T.IntegerType(): 2.0**31, T.LongType(): 2.0**63}
 
 
 def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -72,7 +70,7 @@ def _read_cells(
     if spec.key not in columns:
         return cells, ~empty, F.lit(False)
     cells = cells.withColumn(_NUMBER, key_number(spec.key))
-    limit = _KEY_LIMIT[spec.key_type]
+    limit = KEY_BOUNDS[spec.key_type]
     out_of_range = (F.col(_NUMBER) >= limit) | (F.col(_NUMBER) <= -limit - 1)
     # A row with a number in its key is not empty: the test looks at one column only.
     kept = F.col(_NUMBER).isNotNull()
