@@ -1,0 +1,572 @@
+"""The training-data operators against brute force, round trips and held-out accuracy."""
+
+import binascii
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ticketlake.llm import (
+    jaccard_join, language_id, mixing, packing, quality_rules, queries, scaled_sketch, secret_scan,
+    token_files, toxicity, virtual_slots,
+)
+from ticketlake.llm.text import held_out
+from ticketlake.llm.tokens import Encoder
+
+DATA = "/root/testdata/sf0.001"
+WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _h string, size string, start string"
+
+
+@pytest.fixture(scope="module")
+def table():
+    return pq.read_table(f"{DATA}/documents.parquet").to_pylist()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and very long texts, ties, repeated rows, extra columns with clashing names."""
+    rng = random.Random(1)
+    words = [f"w{i}" for i in range(400)]
+    prose = " ".join(rng.choice(words) for _ in range(300))
+    near = prose.replace(" w7 ", " changed ")
+    long = " ".join(rng.choice(words) for _ in range(60_000))
+    rows = [
+        (1, prose, "en", "a", 3, "x", "y", "z"), (2, prose.upper(), "en", "a", None, None, None, None),
+        (3, near, "de", None, 1, "x", "y", "z"), (4, None, "en", "b", None, "x", "y", "z"),
+        (5, "", None, "b", 0, "x", "y", "z"), (6, " \t\n", "en", "b", 3, "x", "y", "z"),
+        (7, long, "en", "a", len(long), "x", "y", "z"), (None, prose, "en", "a", 1, "x", "y", "z"),
+        (None, None, None, None, None, None, None, None), (8, "one two", "en", "c", 7, "x", "y", "z"),
+        (9, "one two", "en", "c", 7, "x", "y", "z"), (9, "one two", "en", "c", 7, "x", "y", "z"),
+        (10, "é😀 <|endoftext|> \x85 ß", "fr", "c", 1, "x", "y", "z"),
+    ]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return (text or "").encode().split()
+
+
+# 1 ----------------------------------------------------------------------------------------
+def brute_components(rows):
+    sets = {}
+    for r in rows:
+        w = (r["text"] or "").encode().lower().split()
+        sets[r["doc_id"]] = frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else frozenset()
+    top = {d: d for d in sets}
+
+    def root(d):
+        while top[d] != d:
+            d = top[d]
+        return d
+
+    by_shingle = defaultdict(set)
+    for d, s in sets.items():
+        for x in s:
+            by_shingle[x].add(d)
+    for d, s in sets.items():
+        shared = Counter(e for x in s for e in by_shingle[x] if e > d)
+        for e, n in shared.items():
+            if 100 * n >= 75 * (len(s) + len(sets[e]) - n):
+                a, b = root(d), root(e)
+                top[max(a, b)] = min(a, b)
+    return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+def components_of(frame):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in frame.collect()}
+
+
+def test_jaccard_join_on_the_table(spark, table):
+    found = components_of(queries.op1_jaccard_join(spark, DATA))
+    assert found == brute_components(table)
+    assert any(c != d for d, (_, c) in found.items())
+
+
+@pytest.mark.parametrize("limit", [20_000, 3])
+def test_jaccard_join_of_chains_and_passages(spark, monkeypatch, limit):
+    """Graded copies, shared passages and short texts; with tiny lists so that all are dealt."""
+    monkeypatch.setattr(jaccard_join, "LIST_ROWS", limit)
+    rng = random.Random(4)
+    vocabulary = [f"x{i}" for i in range(3000)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage, texts = draw(60), []
+    for _ in range(12):
+        base = draw(rng.randint(3, 120))
+        texts.append(base)
+        for _ in range(rng.randint(0, 9)):
+            base = list(rng.choice(texts[-3:]))
+            for _ in range(rng.randint(0, 4)):
+                base[rng.randrange(len(base))] = rng.choice(vocabulary)
+            texts.append(base[rng.randint(0, 3) :] + draw(rng.randint(0, 3)))
+    texts += [draw(rng.randint(0, 30)) + passage + draw(rng.randint(0, 10)) for _ in range(40)]
+    rows = [{"doc_id": i, "text": " ".join(t)} for i, t in enumerate(texts)]
+    frame = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
+    assert components_of(jaccard_join.jaccard_components(frame)) == brute_components(rows)
+
+
+def test_divide_skip_is_exact():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        universe = np.unique(rng.integers(0, 1 << 60, 80).astype(np.uint64))
+        query = np.sort(rng.choice(universe, rng.integers(1, 60), replace=False))
+        members = [np.sort(rng.choice(universe, rng.integers(1, 70), replace=False)) for _ in range(8)]
+        members += [query[: rng.integers(1, len(query) + 1)] for _ in range(4)]
+        want = [
+            i for i, m in enumerate(members)
+            if 100 * len(np.intersect1d(query, m)) >= 75 * len(np.union1d(query, m))
+        ]
+        for mu in (0.01, 1.0):
+            assert jaccard_join.divide_skip(query, members, 75, mu) == want
+
+
+def test_jaccard_join_of_odd_rows(spark, odd):
+    rows = jaccard_join.jaccard_components(odd).collect()
+    assert len(rows) == odd.count()
+    by_id = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] is not None}
+    assert [by_id[d][1] for d in (1, 2, 3)] == [1, 1, 1]
+    assert [by_id[d] for d in (4, 5, 6)] == [(0, 4), (0, 5), (0, 6)]
+    assert by_id[8] == (1, 8) and by_id[9] == (1, 8)
+    assert sorted((r["component_id"] or 0) for r in rows if r["doc_id"] is None) == [0, 1]
+    assert jaccard_join.jaccard_components(empty(spark)).count() == 0
+
+
+# 2 ----------------------------------------------------------------------------------------
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secret_scan.train(spark.read.parquet(f"{DATA}/documents.parquet"))
+
+
+def test_secrets_found_and_look_alikes_left(spark, scanner):
+    hexes = hashlib.sha1(b"k").hexdigest()
+    texts = [
+        (1, f'é😀 und token = "{hexes}" or', True), (2, f"fixed in commit {hexes} for", False),
+        (3, "call 2669109448945250 now", False), (4, f"API_KEY: {hexes.upper()}", True),
+        (5, "see docs/guide/intro-2024-11-30-final for", False), (6, 'token = "your_token_0000_here"', False),
+    ]
+    frame = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in scanner.findings(frame).collect()}
+    assert {d: rows[d]["is_secret"] for d in rows} == {d: s for d, _, s in texts}
+    first = rows[1]
+    assert texts[0][1][first["start"] : first["start"] + first["length"]] == hexes
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redact(frame, scanner).collect()}
+    assert masked[1] == 'é😀 und token = "[SECRET]" or' and masked[2] == texts[1][1]
+
+
+def test_secrets_of_the_table(spark, scanner):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    table = docs.collect()
+    found = scanner.findings(docs).filter("is_secret").collect()
+    planted = {
+        (r["doc_id"], m.start(1)) for r in table
+        for m in re.finditer(r'token = "([0-9a-f]{40})', r["text"] or "", re.I)
+    }
+    assert planted and planted <= {(r["doc_id"], r["start"]) for r in found}
+
+
+def test_secrets_of_odd_rows(spark, scanner, odd):
+    assert scanner.findings(odd).count() == 0
+    assert sorted(map(str, secret_scan.redact(odd, scanner).collect())) == sorted(map(str, odd.collect()))
+    assert secret_scan.train(empty(spark)).findings(odd).count() == 0
+
+
+# 3 ----------------------------------------------------------------------------------------
+def brute_stats(text):
+    w = words(text)
+    text = text or ""
+    runs = Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
+    hit = {j for i in range(len(w) - 7) if runs[tuple(w[i : i + 8])] > 1 for j in range(i, i + 8)}
+    lines = [x for x in text.split("\n") if words(x)]
+    return (
+        len(w), sum(len(x.decode()) for x in w), sum(c in "#*$%&|<>" for c in text),
+        sum(x in lines[:i] for i, x in enumerate(lines)), len(hit),
+    )
+
+
+def test_statistics_by_brute_force(table):
+    texts = [r["text"] for r in table] + [None, "", "a " * 30, "x\nx\n\n \nx é|<", "a b c d e f g h " * 2]
+    for text in texts:
+        assert quality_rules.text_stats(text) == brute_stats(text)
+
+
+def test_rules_keep_the_good_and_drop_the_bad(spark):
+    path = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    rows = queries.op3_quality_rules(spark, path).join(labels, "doc_id").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and not r["base_failed"]]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+
+
+def test_learned_rules_are_ordered_conjunctions():
+    rng = np.random.default_rng(2)
+    x = {n: rng.random(4000) for n in quality_rules.FEATURES}
+    bad = ((x["n_words"] > 0.8) & (x["repeat_share"] < 0.5)) | (x["symbols_per_word"] > 0.9)
+    rules = quality_rules.learn(x, bad)
+    covered = np.zeros(4000, bool)
+    for r in rules:
+        covered |= quality_rules._holds(r.tests, x, 4000)
+    assert (covered == bad).mean() > 0.98
+    assert quality_rules.learn({n: np.zeros(0) for n in x}, np.zeros(0)) == []
+
+
+def test_rules_of_odd_rows(spark, odd):
+    stats = quality_rules.statistics(odd)
+    assert stats.count() == odd.count()
+    assert quality_rules.train(odd, spark.createDataFrame([], "doc_id long, quality int")) == []
+    assert not any(r["kept"] for r in quality_rules.apply_rules(stats, []).filter("n_words = 0").collect())
+
+
+# 4 ----------------------------------------------------------------------------------------
+def test_language_of_held_out_texts(spark):
+    path = "/root/testdata/sf0.01"
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    rows = [r for r in queries.op4_language_id(spark, path).collect() if r["held_out"]]
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in rows)
+    assert np.mean([r["lang_pred"] == langs[r["doc_id"]] for r in rows]) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_language_of_odd_rows(spark, odd):
+    model = language_id.train(odd, lambda d: ~held_out(d, 4, 2))
+    rows = language_id.predict(odd, model).collect()
+    assert len(rows) == odd.count()
+    assert {r["lang_pred"] for r in rows if r["doc_id"] in (4, 5, 6)} == {"und"}
+    none = language_id.train(empty(spark), lambda d: ~held_out(d, 4, 2))
+    assert {r["lang_pred"] for r in language_id.predict(odd, none).collect()} == {"und"}
+
+
+# 5 ----------------------------------------------------------------------------------------
+def test_simple8b_round_trip():
+    rng = np.random.default_rng(0)
+    for high in (1, 2, 5, 300, 5000, 1 << 20, 1 << 40, 1 << 60):
+        for n in (0, 1, 7, 239, 241, 3000):
+            codes = rng.integers(0, high, n, dtype=np.uint64)
+            assert (token_files.unpack(token_files.pack(codes), n) == codes).all()
+    with pytest.raises(ValueError):
+        token_files.pack(np.array([1 << 60], np.uint64))
+    ids = rng.integers(0, 50_000, 20_000).astype(np.uint32)  # more values than a table holds
+    table, packed, offsets, escapes = token_files.encode_block(ids)
+    assert len(escapes) and (token_files.decode_block(table, packed, escapes, len(ids)) == ids).all()
+
+
+@pytest.mark.parametrize(("path", "spaces"), [(WORD, False), (BYTE, True)])
+def test_encoder_equals_the_whole_text(table, path, spaces):
+    rng = random.Random(3)
+    signs = "aB' \n\t\x1c\x85\xa0　é́ΣςÅ9.,<|endoftext|>😀"
+    texts = [r["text"] for r in table] + ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(2000)]
+    ours, plain = Encoder(path, spaces), Tokenizer.from_file(path)
+    ours.limit = 3000
+    for text in texts + ["a  <|endoftext|> b", "It's 'll, THE. end.., ", "İstanbul. Éa,"]:
+        assert ours.encode(text, 2).tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
+
+
+def expected_ids(rows, path, end):
+    tokenizer = Tokenizer.from_file(path)
+    return [[*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, end] for r in rows]
+
+
+def test_token_files_of_the_table(spark, table):
+    rows = sorted(table, key=lambda r: r["doc_id"])
+    start, want = 0, {}
+    for r, ids in zip(rows, expected_ids(rows, WORD, 2), strict=True):
+        want[r["doc_id"]] = (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    found = queries.op5_token_files(spark, DATA).collect()
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in found} == want
+    assert len(found) == len(want)
+
+
+def test_token_files_of_odd_rows(spark, odd, tmp_path):
+    token_files.write_files(odd, str(tmp_path / "a"), WORD, 2, files=3, block_ids=100)
+    rows = sorted(token_files.read_files(spark, str(tmp_path / "a")).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 9, 10, None, None]
+    ends = np.cumsum([len(r["ids"]) // 4 for r in rows])
+    assert [r["start"] for r in rows] == [0, *ends[:-1]]
+    token_files.write_files(empty(spark), str(tmp_path / "b"), WORD, 2)
+    assert token_files.read_files(spark, str(tmp_path / "b")).count() == 0
+
+
+# 6 ----------------------------------------------------------------------------------------
+def test_shards_are_near_equal_and_gapless(spark, table):
+    rows = queries.op6_virtual_slots(spark, DATA).collect()
+    texts = {r["doc_id"]: r["text"] for r in table}
+    assert len(rows) == len(texts)
+    slots, load = defaultdict(list), Counter()
+    for r in rows:
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 1, binascii.crc32(raw))
+        slots[r["shard"]].append(r["slot"])
+        load[r["shard"]] += r["size"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 8
+    largest = max(r["size"] for r in rows)
+    assert max(load.values()) - min(load.values()) <= largest
+
+
+def test_map_edits_move_only_what_they_must():
+    rng = random.Random(0)
+    sizes = {s: rng.randint(1, 1000) for s in range(4096) if rng.random() < 0.9}
+    even = virtual_slots.rebalanced(virtual_slots.first_map(8), sizes)
+    load = Counter()
+    for slot, size in sizes.items():
+        load[even.shards[slot]] += size
+    assert max(load.values()) - min(load.values()) <= 2 and even.version == 1
+    more = virtual_slots.grown(even, sizes)
+    moved = [s for s in range(4096) if more.shards[s] != even.shards[s]]
+    assert moved and all(more.shards[s] == 8 for s in moved)
+    share = sum(sizes[s] for s in moved) / sum(sizes.values())
+    assert abs(share - 1 / 9) < 0.01
+
+
+def test_shards_of_odd_rows(spark, odd, tmp_path):
+    records = virtual_slots.record_rows(odd)
+    first = virtual_slots.first_map(8)
+    virtual_slots.store_map(spark, str(tmp_path / "maps"), first)
+    virtual_slots.store_map(spark, str(tmp_path / "maps"), virtual_slots.rebalanced(first, virtual_slots.slot_sizes(records), 8))
+    rows = virtual_slots.place(records, virtual_slots.load_map(spark, str(tmp_path / "maps"))).collect()
+    assert len(rows) == odd.count() and len({(r["shard"], r["slot"]) for r in rows}) == len(rows)
+    assert virtual_slots.place(virtual_slots.record_rows(empty(spark)), virtual_slots.load_map(spark, str(tmp_path / "maps"), 0)).count() == 0
+    assert virtual_slots.rebalanced(first, {}, 8).shards == first.shards
+
+
+# 7 ----------------------------------------------------------------------------------------
+def test_toxicity_of_held_out_texts(spark):
+    path = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
+    rows = [r for r in queries.op7_toxicity(spark, path).collect() if r["held_out"] and r["doc_id"] in labels]
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+    toxic = [r for r in rows if labels[r["doc_id"]] == 1]
+    clean = [r for r in rows if labels[r["doc_id"]] == 0]
+    assert np.mean([r["predicted"] for r in toxic]) > 0.8
+    assert np.mean([r["predicted"] for r in clean]) < 0.01
+
+
+def test_non_negative_risk_ignores_labels_of_the_unlabelled():
+    rng = np.random.default_rng(0)
+    toxic = lambda: np.append(rng.integers(10, 500, 20), 4).astype(np.int32)
+    clean = lambda: rng.integers(10, 500, 20).astype(np.int32)
+    model = toxicity.fit([toxic() for _ in range(200)], [toxic() if i % 5 == 0 else clean() for i in range(1000)], 0.2)
+    assert model.score(np.array([4, 20], np.int32)) > 0.9 > 0.1 > model.score(np.array([20], np.int32))
+
+
+def test_toxicity_of_odd_rows(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(odd, none, lambda d: ~held_out(d, 5, 0))
+    assert {r["score"] < 0.5 for r in toxicity.score(odd, model).collect()} == {True}
+    assert sorted(map(str, toxicity.clean(odd, model).collect())) == sorted(map(str, odd.collect()))
+    assert toxicity.score(empty(spark), model).count() == 0
+
+
+# 8 ----------------------------------------------------------------------------------------
+def test_fingerprints_of_the_table(spark, table):
+    rows = {r["doc_id"]: r for r in queries.op8_scaled_sketch(spark, DATA).collect()}
+    order = sorted(table, key=lambda r: r["doc_id"])
+    near, apart = [], []
+    for i, r in enumerate(order):
+        text, following = r["text"], order[(i + 1) % len(order)]["text"]
+        cut = len(text) // 4
+        edited = text[: len(text) - cut] + following[:cut]
+        row = rows[r["doc_id"]]
+        assert row["n_chars"] == len(text)
+        assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert row["fingerprint"].count(",") <= max(len(words(text)), 1)
+        if len(words(text)) > 80:
+            near.append(row["near_edited"])
+            apart.append(row["near_next"])
+    assert np.mean(near) > 0.6 and np.median(apart) < 0.05
+    by_text = defaultdict(set)
+    for r in order:
+        by_text[r["text"]].add(rows[r["doc_id"]]["fingerprint"])
+    assert all(len(f) == 1 for f in by_text.values())
+
+
+def test_containment_follows_the_sets(spark):
+    rng = random.Random(5)
+    whole = [f"u{i}" for i in range(30_000)]
+    part = whole[:6000]
+    other = [rng.choice(whole) for _ in range(6000)]
+    frame = spark.createDataFrame([(" ".join(whole), " ".join(part), " ".join(other))], "a string, b string, c string")
+    s = {c: scaled_sketch.sketch(frame[c]) for c in "abc"}
+    row = frame.select(
+        scaled_sketch.containment(s["a"], s["b"]), scaled_sketch.containment(s["a"], s["c"]),
+        scaled_sketch.merge(s["a"], s["b"]) == s["a"],
+    ).first()
+    assert row[0] == 1.0 and row[1] < 0.01 and row[2]
+
+
+def test_fingerprints_of_odd_rows(spark, odd):
+    rows = scaled_sketch.fingerprints(odd).collect()
+    assert len(rows) == odd.count()
+    assert {r["fingerprint"] for r in rows if r["doc_id"] in (4, 5, 6)} == {""}
+    assert scaled_sketch.fingerprints(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 50])
+def test_next_row_crosses_pieces(spark, pieces):
+    ids = random.Random(0).sample(range(10_000), 60)
+    frame = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string").repartition(7)
+    rows = scaled_sketch.with_next(frame, {"text": "after"}, pieces).collect()
+    order = sorted(ids)
+    assert {r["doc_id"]: r["after"] for r in rows} == {d: f"t{order[(i + 1) % 60]}" for i, d in enumerate(order)}
+
+
+# 9 ----------------------------------------------------------------------------------------
+def test_fill_is_the_closest_sum():
+    rng = random.Random(9)
+    for _ in range(150):
+        counts = Counter(rng.randint(1, 30) for _ in range(rng.randint(1, 9)))
+        chosen = packing.fill(dict(counts), 40)
+        assert all(counts[n] >= k for n, k in chosen.items()) and max(counts) in chosen
+        items = list(counts.elements())
+        items.remove(max(counts))
+        sums = {max(counts)}
+        for n in items:
+            sums |= {s + n for s in sums if s + n <= 40}
+        assert sum(n * k for n, k in chosen.items()) == max(sums)
+
+
+def check_packing(rows, want):
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in rows:
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    for w in windows.values():
+        at = 0
+        for offset, length in sorted(w):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    for doc_id, ids in want.items():
+        found = sorted(pieces[doc_id])
+        assert [p[0] for p in found] == [0, *np.cumsum([p[1] for p in found])[:-1]]
+        for start, length, crc, total in found:
+            assert total == len(ids) and zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes()) == crc
+        assert sum(p[1] for p in found) == len(ids)
+    return len(windows)
+
+
+def test_packing_of_the_table(spark, table):
+    rows = queries.op9_packing(spark, DATA).collect()
+    want = {r["doc_id"]: ids for r, ids in zip(table, expected_ids(table, BYTE, 0), strict=True)}
+    windows = check_packing(rows, want)
+    assert windows * 1024 <= 1.02 * sum(map(len, want.values())) + 2048
+
+
+def test_packing_of_odd_rows(spark, odd):
+    rows = packing.pack(packing.pieces(odd, BYTE, 0)).collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+    assert sum(r["start"] == 0 for r in rows) == odd.count()
+    assert packing.pack(packing.pieces(empty(spark), BYTE, 0)).count() == 0
+
+
+# 10 ---------------------------------------------------------------------------------------
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in sizes)
+    weight = dict(zip(names, [5, 2, 1] * len(names), strict=False))
+    left, out, open_ = 1.5 * sum(sizes.values()), {}, set(names)
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if share * weight[s] > 2 * sizes[s]}
+        if not full:
+            return out | {s: share * weight[s] for s in open_}
+        for s in full:
+            out[s] = 2 * sizes[s]
+            left -= out[s]
+        open_ -= full
+    return out
+
+
+def check_mix(rows, sizes):
+    goals, taken, largest = brute_targets(sizes), Counter(), Counter()
+    for r in rows:
+        assert r["target"] == pytest.approx(goals[r["source"]])
+        assert 0 <= r["copies"] <= 2 and r["source_size"] == sizes[r["source"]]
+        taken[r["source"]] += r["copies"] * r["size"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    for s, goal in goals.items():
+        assert abs(taken[s] - goal) <= largest[s] + 1e-6
+
+
+def test_mix_of_the_table(spark, table):
+    sizes = Counter()
+    for r in table:
+        sizes[r["source"]] += len(words(r["text"]))
+    mixed = mixing.mix(spark.read.parquet(f"{DATA}/documents.parquet")).collect()
+    assert sorted((r["doc_id"], r["size"]) for r in mixed) == sorted((r["doc_id"], len(words(r["text"]))) for r in table)
+    check_mix(mixed, sizes)
+    again = mixing.mix(spark.read.parquet(f"{DATA}/documents.parquet").repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, mixed))
+
+
+def test_mix_over_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 4)
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randint(0, 40), rng.choice("aab") if i % 7 else None) for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(text.split())
+    check_mix(mixing.mix(frame).collect(), sizes)
+
+
+def test_copies_are_right_on_average(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, "w " * (1 + i % 5), "a" if i % 3 else "b") for i in range(3000)], "doc_id long, text string, source string")
+    rows = [r for r in mixing.mix(frame).collect() if r["source"] == "b"]
+    p = rows[0]["target"] / rows[0]["source_size"]
+    for size in range(1, 6):
+        assert np.mean([r["copies"] for r in rows if r["size"] == size]) == pytest.approx(p, abs=0.12)
+
+
+def test_mix_of_odd_rows(spark, odd):
+    rows = mixing.mix(odd).collect()
+    assert len(rows) == odd.count() and all(r["copies"] is not None for r in rows)
+    taken = mixing.take(odd)
+    assert taken.columns == odd.columns
+    assert taken.count() == sum(r["copies"] for r in rows)
+    assert mixing.mix(empty(spark)).count() == 0 and mixing.take(empty(spark)).count() == 0
+
+
+# Pipeline ---------------------------------------------------------------------------------
+def test_pipeline_stage_by_stage(spark, table):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    kept = [r.asDict() for r in corpus_pipeline.drop_toxic(spark, docs, DATA).collect()]
+    model = toxicity.train(docs, spark.read.parquet(f"{DATA}/labels.parquet"), lambda d: ~held_out(d, 5, 0))
+    assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in table if model.score(toxicity.text_features(r["text"])) < 0.5}
+    frame = spark.createDataFrame(kept, docs.schema)
+    single = [r.asDict() for r in corpus_pipeline.drop_near_duplicates(spark, frame, DATA).collect()]
+    assert {r["doc_id"] for r in single} == {c for _, c in brute_components(kept).values()}
+    frame = spark.createDataFrame(single, docs.schema)
+    masked = [r.asDict() for r in corpus_pipeline.mask_secrets(spark, frame, DATA).collect()]
+    assert {r["doc_id"] for r in masked} == {r["doc_id"] for r in single}
+    assert all(r["n_chars"] == len(r["text"]) for r in masked)
+    frame = spark.createDataFrame(masked, docs.schema)
+    mixed = [r.asDict() for r in corpus_pipeline.mix_sources(spark, frame, DATA).collect()]
+    copies = {r["doc_id"]: r["copies"] for r in mixing.mix(frame).collect()}
+    assert Counter(r["doc_id"] for r in mixed) == Counter({d: c for d, c in copies.items() if c})
+    rows = corpus_pipeline.pack_windows(spark, spark.createDataFrame(mixed, docs.schema), DATA).collect()
+    ids = expected_ids(mixed, BYTE, 0)
+    assert sum(r["length"] for r in rows) == sum(map(len, ids))
+    assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
+
+
+def test_pipeline_runs(spark):
+    assert corpus_pipeline.run(spark, DATA).count() > 0
+
+
+def test_pipeline_of_odd_rows(spark, odd):
+    docs = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DATA)
+        assert docs.count() > 0
