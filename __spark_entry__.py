@@ -22,6 +22,14 @@ from ticketlake.sources.landing import read_landing
 from ticketlake.sources.loglines import tail_lines
 from ticketlake.spec import CREATED, LOG_TAIL_LINES, ORIGIN, UPDATED, TableSpec
 
+try:  # the subpackage and the pipeline may be absent
+    import corpus_pipeline
+    from ticketlake.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ticketlake.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = dt.date(2024, 1, 15)
@@ -330,9 +338,17 @@ def queries() -> dict[str, Query]:
     for name in kpi.FILTERED_CARDS:
         key = name.removeprefix("by_")
         result[f"filtered_{key}"] = _filtered(name)
+    if llm is not None:
+        result |= llm.queries()
+        result["pipeline"] = corpus_pipeline.run
     return result
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL over the same tables."""
-    return oracle.statements(DAY, STAMP, TAIL, LOG_TAIL_LINES, FILTERS)
+    result = oracle.statements(DAY, STAMP, TAIL, LOG_TAIL_LINES, FILTERS)
+    if llm is not None:
+        result |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            result["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return result
