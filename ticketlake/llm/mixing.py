@@ -191,10 +191,11 @@ def take(docs: DataFrame, scratch=None, **shares) -> DataFrame:
         .groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_hash").alias("_t"))
         .agg(F.sum("copies").cast("int").alias("_copies"))
     )
-    hashed = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "_hash"])
-    same = (
-        hashed["doc_id"].eqNullSafe(totals["_d"]) & hashed["source"].eqNullSafe(totals["_s"])
-        & (hashed["_hash"] == totals["_t"])
-    )
-    repeated = hashed.join(totals, same).withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*docs.columns)
+    # The row travels as one value, so no name of its columns can clash.
+    rows = docs.select(
+        F.col("doc_id").alias("_i"), F.col("source").alias("_o"), F.xxhash64("text").alias("_h"),
+        F.struct(*docs.columns).alias("row"),
+    ).dropDuplicates(["_i", "_o", "_h"])
+    same = F.col("_i").eqNullSafe(F.col("_d")) & F.col("_o").eqNullSafe(F.col("_s")) & (F.col("_h") == F.col("_t"))
+    repeated = rows.join(totals, same).withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])

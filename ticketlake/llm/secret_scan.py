@@ -251,17 +251,19 @@ def redact(docs: DataFrame, scanner: Scanner, scratch=None) -> DataFrame:
     )
     spans = materialize(spans, "spans", scratch)
     some = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
-    hashed = docs.filter(some).withColumn("_h", F.xxhash64("text"))
-    same = hashed["doc_id"].eqNullSafe(spans["_d"]) & (hashed["_h"] == spans["_t"])
+    # The row travels as one value, so no name of its columns can clash.
+    hashed = docs.filter(some).select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("_h"))
+    same = F.col("row.doc_id").eqNullSafe(spans["_d"]) & (hashed["_h"] == spans["_t"])
     masked = F.aggregate(
-        F.col("_spans"), F.col("text"),
+        F.col("_spans"), F.col("row.text"),
         lambda t, s: F.concat(
             F.substring(t, F.lit(1), s["start"]), F.lit(MASK),
             F.substring(t, s["start"] + s["length"] + 1, F.char_length(t)),
         ),
     )
-    joined = hashed.join(spans, same, "left").withColumn("text", F.coalesce(masked, F.col("text")))
+    joined = hashed.join(spans, same, "left").withColumn("_text", F.coalesce(masked, F.col("row.text")))
+    columns = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        kept = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
-        joined = joined.withColumn("n_chars", kept.cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns).unionByName(docs.filter(~some))
+        count = F.char_length("_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("_spans").isNull(), F.col("row.n_chars")).otherwise(count)
+    return joined.select(*[x.alias(c) for c, x in columns.items()]).unionByName(docs.filter(~some))
