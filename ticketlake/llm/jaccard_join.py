@@ -10,9 +10,9 @@ On the cluster this is three steps:
 * Shingles get one global order, rare before frequent, from a sketch of fixed size that
   counts all of them. A text posts only the first n - T + 1 (the short lists); a partner
   must share one of those.
-* Each list first links its members to one pivot, so a list of N texts gives N - 1
-  candidates, not N * N. Candidates are checked in blocks around their pivot by DivideSkip
-  over the block's own inverted lists.
+* Each list first compares its members with one pivot, then those that it did not reach
+  with another, so a list of N texts gives N - 1 candidates, not N * N. Candidates are
+  checked in blocks around their pivot by DivideSkip over the block's own inverted lists.
 * Texts that are connected by then need no further comparison. Lists that still hold texts
   of different components give all their pairs across components, which are checked too.
   So no link between different components is missed, and the components are exact.
@@ -23,12 +23,14 @@ Texts with equal sets are one member throughout.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ SHINGLE = 5
 CELL_BITS, CELL_BLOCKS = 20, 256
 #: A posting list expected to be longer than this is dealt to several tasks.
 LIST_ROWS = 20_000
+#: Rounds in which lists compare their members with one pivot only.
+STARS = 2
 #: Members and shingles of one block of candidates around a pivot.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 64, 1 << 20
 
@@ -99,40 +103,36 @@ def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int, mu:
 
 
 # Sets and their order -------------------------------------------------------------------
-def _sets(k: int):
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            hashes = [shingle_hashes(t, k) for t in f["text"]]
-            yield pd.DataFrame({
-                "doc_id": f["doc_id"],
-                "n_shingles": np.array([len(h) for h in hashes], np.int64),
-                "set_id": pd.array([set_id(h) if len(h) else None for h in hashes], "Int64"),
-            })
-
-    return sets
-
-
-def _cells(k: int, bits: int):
-    """Counts of hashed shingles per sketch cell; each different set of the task once."""
+def _sets(k: int, bits: int):
+    """Per row its set, and at the end of a task the sketch cells of its different sets."""
     width = (1 << bits) // CELL_BLOCKS
 
-    def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, seen = np.zeros(1 << bits, np.uint32), set()
         for f in frames:
+            names, sizes = [], []
             for text in f["text"]:
                 h = shingle_hashes(text, k)
-                name = set_id(h)
-                if name not in seen and len(h):
+                sizes.append(len(h))
+                names.append(set_id(h) if len(h) else None)
+                if len(h) and names[-1] not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
-                    seen.add(name)
+                    seen.add(names[-1])
                     np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
+            yield pd.DataFrame({
+                "doc_id": f["doc_id"].astype("Int64"), "n_shingles": pd.array(sizes, "Int64"),
+                "set_id": pd.array(names, "Int64"), "block": pd.array([None] * len(f), "Int32"), "counts": None,
+            })
         for b in range(CELL_BLOCKS):
             part = total[b * width : (b + 1) * width]
             if part.any():
-                yield pd.DataFrame({"block": [b], "counts": [part.tobytes()]})
+                yield pd.DataFrame({
+                    "doc_id": pd.array([None], "Int64"), "n_shingles": pd.array([None], "Int64"),
+                    "set_id": pd.array([None], "Int64"), "block": pd.array([b], "Int32"), "counts": [part.tobytes()],
+                })
 
-    return cells
+    return sets
 
 
 def _add_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,15 +144,18 @@ def _add_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"block": list(sums), "counts": [s.tobytes() for s in sums.values()]})
 
 
-def frequency_sketch(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS) -> np.ndarray:
-    """Occurrences of all shingles, added up in 2**bits cells by hash: fixed size."""
-    parts = docs.select("text").mapInPandas(_cells(k, bits), "block int, counts binary")
+def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scratch=None) -> tuple[DataFrame, np.ndarray]:
+    """(doc_id, n_shingles, set_id) per row, and the occurrences of all shingles of different
+    sets, added up in 2**bits cells by hash: fixed size. One pass over the texts."""
+    schema = "doc_id long, n_shingles long, set_id long, block int, counts binary"
+    rows = materialize(docs.mapInPandas(_sets(k, bits), schema), "members", scratch)
+    parts = rows.filter("block IS NOT NULL").select("block", "counts")
     summed = parts.repartition(CELL_BLOCKS, "block").mapInPandas(_add_cells, "block int, counts binary")
     out = np.zeros(1 << bits, np.uint64)
     width = (1 << bits) // CELL_BLOCKS
     for row in summed.collect():
         out[row["block"] * width : (row["block"] + 1) * width] += np.frombuffer(row["counts"], np.uint64)
-    return out
+    return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id"), out
 
 
 def _postings(k: int, percent: int, sketch, bits: int, salts: int):
@@ -162,7 +165,7 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
         counts, seen = sketch.value, set()
         limit = np.uint64(LIST_ROWS)
         for f in frames:
-            hashes, names, sizes = [], [], []
+            hashes, names, sizes, core = [], [], [], []
             for text in f["text"]:
                 h = shingle_hashes(text, k)
                 name = set_id(h) if len(h) else None
@@ -176,6 +179,8 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
                 hashes.append(h[order[:keep]])
                 names.append(name)
                 sizes.append((keep, len(h)))
+                # With a partner of its own size or larger, fewer lists suffice.
+                core.append(np.arange(keep) <= len(h) - required(len(h), len(h), percent))
             if not hashes:
                 continue
             h = np.concatenate(hashes)
@@ -188,75 +193,51 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
                 "salt": (np.abs(sets >> 7) % parts).astype(np.int32),
                 "n": np.repeat(np.array([n for _, n in sizes], np.int32), reps),
                 "set_id": sets,
+                "core": np.concatenate(core),
                 "dealt": parts > 1,
             })
 
     return postings
 
 
-def _pivots(percent: int):
-    """Members of lists sorted by (shingle, salt, n, set): each with its list's pivot.
+def _shared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Merges postings sorted by (shingle, salt, set): each set once, lists of one dropped.
 
-    The pivot is the smallest set of the list; where sizes leave its reach, the next one.
-    Lists of one member vanish unless they are a part of a dealt list.
+    A dealt list's parts stay even with one member.
     """
-
-    names = ("shingle", "salt", "n", "set_id", "dealt")
-
-    def pivots(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [np.empty(0, np.int64)] * len(names)  # the last row waits for what follows
-        state = (None, 0, 0)  # list, pivot and the pivot's size so far
-        for f in frames:
-            columns = [np.concatenate([h, f[c].to_numpy()]) for h, c in zip(held, names, strict=True)]
-            s, t, n, i, _ = columns
-            fresh = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1]) | (n[1:] != n[:-1]))
-            columns = [c[fresh] for c in columns]
-            held = [c[-1:] for c in columns]
-            out, state = walk(*columns, state, more=True)
-            yield out
-        if len(held[0]):
-            yield walk(*held, state, more=False)[0]
-
-    def walk(s, t, n, i, dealt, state, more):
-        """Rows with their pivots; the last row only tells where its list ends if ``more``."""
-        key, p, size = state
-        starts = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]))
-        if key is not None and len(s) and key == (s[0], t[0]):
-            starts[0] = False
-        ends = np.append(starts[1:], not more)
-        rows = len(s) - more
-        pivot = i[:rows].copy()
-        for k in np.flatnonzero(~(starts & ends)[:rows]).tolist():
-            if starts[k] or 100 * size < percent * n[k]:
-                p, size = i[k], n[k]
-            pivot[k] = p
-        if rows:
-            k = rows - 1
-            if starts[k] and ends[k]:
-                p, size = i[k], n[k]
-            key = (s[k], t[k])
-        keep = ~(starts & ends)[:rows] | dealt[:rows].astype(bool)
-        out = pd.DataFrame({
-            "shingle": s[:rows][keep], "n": n[:rows][keep], "set_id": i[:rows][keep], "pivot": pivot[keep],
-            "dealt": dealt[:rows][keep].astype(bool),
-        })
-        return out, (key, p, size)
-
-    return pivots
+    names = ("shingle", "salt", "set_id", "n", "core", "dealt")
+    held = None  # the last row waits for what follows
+    started = True  # whether it begins its list
+    for f in itertools.chain(frames, [None]):
+        if f is None and held is None:
+            return
+        columns = [f[c].to_numpy() for c in names] if f is not None else [h[:0] for h in held]
+        if held is not None:
+            columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
+        if not len(columns[0]):
+            continue
+        s, t, i = columns[:3]
+        fresh = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1]))
+        columns = [c[fresh] for c in columns]
+        s, t = columns[:2]
+        starts = np.append(started, (s[1:] != s[:-1]) | (t[1:] != t[:-1]))
+        ends = np.append(starts[1:], f is None)
+        keep = (~(starts & ends) | columns[5].astype(bool)) & np.append(np.ones(len(s) - 1, bool), f is None)
+        held, started = [c[-1:] for c in columns], bool(starts[-1])
+        yield pd.DataFrame({n: c[keep] for n, c in zip(names, columns, strict=True)}).drop(columns=["salt", "dealt"])
 
 
 def shared_postings(
     docs: DataFrame, sketch: np.ndarray, k: int = SHINGLE, percent: int = 75, bits: int = CELL_BITS
 ) -> DataFrame:
-    """(shingle, n, set_id, pivot, dealt) of the short lists with two members or more."""
+    """(shingle, set_id, n, core) of the short lists with two members or more."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(np.minimum(sketch, np.uint64(0xFFFFFFFF)).astype(np.uint64))
+    shared = spark.sparkContext.broadcast(sketch)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select("text").mapInPandas(
-        _postings(k, percent, shared, bits, tasks), "shingle long, salt int, n int, set_id long, dealt boolean"
-    )
-    merged = rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "n", "set_id")
-    return merged.mapInPandas(_pivots(percent), "shingle long, n int, set_id long, pivot long, dealt boolean")
+    schema = "shingle long, salt int, n int, set_id long, core boolean, dealt boolean"
+    rows = docs.select("text").mapInPandas(_postings(k, percent, shared, bits, tasks), schema)
+    merged = rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "set_id")
+    return merged.mapInPandas(_shared, "shingle long, set_id long, n int, core boolean")
 
 
 # Checking candidates --------------------------------------------------------------------
@@ -284,12 +265,13 @@ def set_table(docs: DataFrame, members: DataFrame, wanted: DataFrame, k: int = S
 
 
 def _search(percent: int):
-    def search(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates(["role", "set_id"]).sort_values(["role", "set_id"], ignore_index=True)
-        sets = [np.frombuffer(s, np.uint64) for s in f["shingles"]]
-        names = f["set_id"].to_numpy()
-        hits = divide_skip(sets[0], sets[1:], percent) if f["role"][0] == 0 else []
-        return pd.DataFrame({"a": np.full(len(hits), key[0], np.int64), "b": names[1:][hits]})
+    def search(key: tuple, table: pa.Table) -> pa.Table:
+        rows = dict(zip(zip(table["role"].to_pylist(), table["set_id"].to_pylist()), table["shingles"], strict=True))
+        sets = {r: np.frombuffer(v.as_buffer(), np.uint64) for r, v in rows.items()}
+        members = sorted(name for role, name in sets if role)
+        a = key[0].as_py()
+        hits = divide_skip(sets[0, a], [sets[1, m] for m in members], percent) if (0, a) in sets else []
+        return pa.table({"a": pa.array([a] * len(hits), pa.int64()), "b": pa.array([members[i] for i in hits], pa.int64())})
 
     return search
 
@@ -303,7 +285,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     members = dealt.select("a", "block", F.col("b").alias("set_id"), F.lit(1).alias("role"))
     queries = dealt.select("a", "block", F.col("a").alias("set_id"), F.lit(0).alias("role")).distinct()
     rows = queries.unionByName(members).join(sets, "set_id")
-    return rows.groupBy("a", "block").applyInPandas(_search(percent), "a long, b long")
+    return rows.groupBy("a", "block").applyInArrow(_search(percent), "a long, b long")
 
 
 # Components -----------------------------------------------------------------------------
@@ -349,41 +331,63 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 # The join -------------------------------------------------------------------------------
+def _relabelled(rows: DataFrame, edges: DataFrame, scratch) -> DataFrame:
+    """Rows of lists that still hold several components, with the components."""
+    labels = materialize(components(edges, scratch), "components", scratch)
+    placed = _labelled(rows.drop("component"), labels)
+    placed = materialize(placed.select("shingle", "set_id", "n", "core", "component"), "placed", scratch)
+    mixed = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return placed.join(mixed.filter("lo <> hi").select("shingle"), "shingle", "left_semi")
+
+
+def _star(rows: DataFrame, degrees: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n) of each list's pivot with the members outside its component.
+
+    The pivot is the member that shares most of its short lists: among copies with edits of
+    their own, the text they were made from.
+    """
+    weighed = rows.join(degrees, "set_id")
+    best = F.max(F.struct("degree", "set_id", "n", "component"))
+    pivots = weighed.groupBy("shingle").agg(best.alias("p")).select(
+        "shingle", F.col("p.set_id").alias("a"), F.col("p.n").alias("a_n"), F.col("p.component").alias("a_c")
+    )
+    pairs = rows.join(pivots, "shingle").filter((F.col("component") != F.col("a_c")) & _fitting("n", "a_n", percent))
+    return pairs.select("a", F.col("set_id").alias("b"), "n").distinct()
+
+
 def links(
-    docs: DataFrame, members: DataFrame, k: int = SHINGLE, percent: int = 75, scratch=None
+    docs: DataFrame, members: DataFrame, sketch: np.ndarray, k: int = SHINGLE, percent: int = 75, scratch=None
 ) -> DataFrame:
     """Edges (a, b) between set ids whose components are those of all linking sets."""
-    sketch = frequency_sketch(docs, k)
     shared = materialize(shared_postings(docs, sketch, k, percent), "postings", scratch)
-    sizes = shared.select(F.col("set_id").alias("pivot"), F.col("n").alias("pivot_n")).distinct()
-    to_pivot = shared.select("pivot", "set_id", "n").filter("pivot <> set_id").distinct()
-    # A dealt list's parts meet through their pivots.
-    parts = shared.filter("dealt AND pivot = set_id").select("shingle", "set_id", "n").distinct()
-    heads = parts.groupBy("shingle").agg(F.min("set_id").alias("pivot"))
-    across = parts.join(heads, "shingle").select("pivot", "set_id", "n").filter("pivot <> set_id").distinct()
-    star = to_pivot.unionByName(across).distinct().join(sizes, "pivot").filter(_fitting("n", "pivot_n", percent))
-    star = materialize(star.select(F.col("pivot").alias("a"), F.col("set_id").alias("b"), "n"), "pairs", scratch)
-    wanted = _ends(star)
-    sets = set_table(docs, members, wanted, k, scratch)
-    edges = materialize(linked(star, sets, percent), "links", scratch)
-    labels = materialize(components(edges, scratch), "components", scratch)
+    lists = F.count("*") / (F.first("n") - F.ceil(F.first("n") * percent / 100) + 1)
+    degrees = materialize(shared.groupBy("set_id").agg(lists.alias("degree")), "degrees", scratch)
+    rest = shared.withColumn("component", F.col("set_id"))
+    edges = settled = None
+    for _ in range(STARS):
+        star = materialize(_star(rest, degrees, percent), "pairs", scratch)
+        found = materialize(linked(star, set_table(docs, members, _ends(star), k, scratch), percent), "links", scratch)
+        least, most = F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y")
+        settled = star.select(least, most) if settled is None else settled.unionByName(star.select(least, most))
+        edges = found if edges is None else edges.unionByName(found)
+        rest = materialize(_relabelled(rest, edges, scratch), "rest", scratch)
+        # Next time each list's pivot comes from what the last pivots did not reach.
+        degrees = degrees.join(star.select(F.col("a").alias("set_id")).distinct(), "set_id", "left_anti")
 
     # Lists that still hold several components: all their pairs across components.
-    placed = _labelled(shared.select("shingle", "n", "set_id"), labels).select("shingle", "n", "set_id", "component")
-    placed = materialize(placed, "placed", scratch)
-    mixed = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rest = placed.join(mixed.filter("lo <> hi").select("shingle"), "shingle", "left_semi")
     a, b = (rest.select(*[F.col(c).alias(f"{x}_{c}") for c in rest.columns]) for x in "ab")
+    smaller = F.when(F.col("a_n") == F.col("b_n"), F.col("a_core") & F.col("b_core")).when(
+        F.col("a_n") < F.col("b_n"), F.col("a_core")
+    ).otherwise(F.col("b_core"))
     crossing = a.join(
         b,
-        (a["a_shingle"] == b["b_shingle"]) & (a["a_component"] < b["b_component"]) & _fitting("a_n", "b_n", percent),
+        (a["a_shingle"] == b["b_shingle"]) & (a["a_component"] < b["b_component"])
+        & _fitting("a_n", "b_n", percent) & smaller,
     )
     pairs = crossing.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("b_n").alias("n")).distinct()
+    pairs = pairs.withColumns({"_x": F.least("a", "b"), "_y": F.greatest("a", "b")})
     # Those that a pivot was compared with are settled.
-    settled = star.select(F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y"))
-    least, most = F.least("a", "b"), F.greatest("a", "b")
-    pairs = pairs.withColumns({"_x": least, "_y": most}).join(settled, ["_x", "_y"], "left_anti").select("a", "b", "n")
-    pairs = materialize(pairs, "crossing", scratch)
+    pairs = materialize(pairs.join(settled, ["_x", "_y"], "left_anti").select("a", "b", "n"), "crossing", scratch)
     more = linked(pairs, set_table(docs, members, _ends(pairs), k, scratch), percent)
     return edges.unionByName(more)
 
@@ -397,10 +401,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = 75, scr
     part as texts; their component is null if it has no other id.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    members = docs.mapInPandas(_sets(k), "doc_id long, n_shingles long, set_id long")
-    members = materialize(members, "members", scratch)
+    members, sketch = sets_and_cells(docs, k, scratch=scratch)
     known = members.filter("set_id IS NOT NULL")
-    edges = materialize(links(docs, known, k, percent, scratch), "all-links", scratch)
+    edges = materialize(links(docs, known, sketch, k, percent, scratch), "all-links", scratch)
     labels = components(edges, scratch)
     # Sets first, so that copies of one text are combined before they meet.
     firsts = known.groupBy("set_id").agg(F.min("doc_id").alias("_first"))
