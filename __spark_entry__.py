@@ -20,7 +20,7 @@ from ticketlake.plans import ingest, kpi
 from ticketlake.session import materialize
 from ticketlake.sources.landing import read_landing
 from ticketlake.sources.loglines import tail_lines
-from ticketlake.spec import CREATED, LOG_TAIL_LINES, ORIGIN, UPDATED, TableSpec
+from ticketlake.spec import CREATED, ORIGIN, UPDATED, TableSpec
 
 try:  # the subpackage and the pipeline may be absent
     import corpus_pipeline
@@ -248,7 +248,7 @@ def log_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.log_lines(spark, sf_dir)
     captured = logs.extract_events(lines.filter(F.col("log_file") <= F.lit(DAY)))
     mark = logs.high_water(captured).scalar()
-    return logs.extract_events(tail_lines(lines, LOG_TAIL_LINES), mark)
+    return logs.extract_events(lines, mark)
 
 
 def log_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,7 +263,7 @@ FILTERS = {
     "by_status": {"prioridade": "P1"},
     "by_priority": {"status": "Em andamento"},
     "by_journey": {"status": "Resolvido", "departamento_relator": "BUILDING"},
-    "by_workaround": {"gerente_responsavel": "FRANCE"},
+    "by_workaround": {"gerente_responsavel": "NATION_3"},
     "by_manager": {"jornada_impactada": "EUROPE"},
     "by_department": {"paliativo": "Não", "prioridade": "P3"},
     "open_table": {
@@ -346,7 +346,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL over the same tables."""
-    result = oracle.statements(DAY, STAMP, TAIL, LOG_TAIL_LINES, FILTERS)
+    result = oracle.statements(DAY, STAMP, TAIL, FILTERS)
     if llm is not None:
         result |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:

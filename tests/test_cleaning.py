@@ -2,7 +2,9 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ticketlake.functions import columns
 from ticketlake.operators import cleaning, quality
 from ticketlake.spec import ORIGIN, PROBLEMS
 
@@ -66,3 +68,13 @@ def test_staging_shape(spark):
     staging = quality.to_staging(rows, PROBLEMS.staging_schema())
     assert staging.columns == [*PROBLEMS.names, "extra"]
     assert staging.select("numero", "status", "extra").first() == (None, "a", "b")
+
+
+def test_dates_with_fractions_and_long_keys(spark):
+    texts = ["2024-04-01 02:57:46.667000", "2024-04-01T02:57:46", "2024-04-01T02:57:46.5", "2024-04-01 02:57", "x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "d string")
+    got = [r[0] for r in rows.select(columns.coerce_date("d").cast("string")).collect()]
+    assert got == ["2024-04-01"] * 3 + [None, None]
+    keys = spark.createDataFrame([("9007199254740993",), ("9007199254740992.0",), ("1e3",)], "numero string")
+    cleaned = cleaning.clean(keys, PROBLEMS.with_key_type(T.LongType()), meta=())
+    assert sorted(r[0] for r in cleaned.select("numero").collect()) == [1000, 9007199254740992, 9007199254740993]

@@ -480,3 +480,34 @@ def test_batch_leaves_no_intermediates(spark, tmp_path, store):
     result = ingest_delimited(spark, path, table, audit, "b", TS[0])
     assert set(os.listdir(folder)) == before
     assert audit_of(result) == {"gproblemas_1.csv": (1, 1, 0, "sucesso")}
+
+
+@pytest.mark.parametrize("name", ["gproblemas_1.xlsx", "outros.xlsx"])
+def test_stream_survives_a_batch_without_readable_workbooks(spark, tmp_path, store, name):
+    table, audit = store
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def run():
+        stream_landing(spark, str(folder), str(tmp_path / "cp"), table, audit).awaitTermination()
+
+    (folder / name).write_bytes(b"broken")
+    run()
+    write_book(folder / "gproblemas_2.xlsx", [HEADER, ["1", "P1", "Aberto"]])
+    run()
+    assert table.current(spark)[1].count() == 1
+    runs = {r.nm_arquivo: r.ds_status for r in read_audit(spark, audit).collect()}
+    assert runs.pop("gproblemas_2.xlsx") == "sucesso"
+    assert runs == ({name: "falha"} if name.startswith("gproblemas") else {})
+
+
+def test_commit_without_data_keeps_the_bucket_count(spark, tmp_path):
+    path = str(tmp_path / "s")
+    df = quality.to_staging(spark.range(200).selectExpr("cast(id as int) numero"), PROBLEMS.production_schema())
+    SnapshotTable(path, buckets=4).publish(df, "a", TS[0])
+    other = SnapshotTable(path, buckets=16)
+    other.commit(spark, 1, None, "b", TS[1])
+    assert {r.qt_baldes for r in other.commits(spark).collect()} == {4}
+    _, current = other.current(spark)
+    merged = merge.merge_upsert(current, df.select("numero", "status"), "numero", F.lit(TS[1]))
+    assert merged.count() == 200

@@ -87,11 +87,18 @@ def coerce_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Colum
     depend on which other rows share its file or partition. A text is parsed only
     if it has the shape of the format: a failed parse costs an exception per row.
     """
-    c = trim_all(c)
+    # A time may follow a T and have a fraction, as workbook cells print it.
+    c = F.regexp_replace(trim_all(c), r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?$", "$1 $2")
     parsed = F.coalesce(*[F.when(c.rlike(_shape(f)), F.try_to_date(c, f)) for f in formats])
     return F.when(parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
 
 
+def exact_integer(c: Column | str) -> Column:
+    """The digits of a plain whole number, NULL for any other text."""
+    digits = F.regexp_extract(trim_all(c), r"^([+-]?\d+)(\.0*)?$", 1)
+    return F.when(digits != "", digits)
+
+
 def key_number(c: Column | str) -> Column:
     """The key cell as a double (infinite for ``inf``), NULL if it is no number."""
     c = as_column(c)

@@ -65,13 +65,8 @@ def disposition(runs: DataFrame, ts: Column) -> DataFrame:
 def alert_rows(runs: DataFrame, ts: Column) -> DataFrame:
     """One message per file: row count of a good run, error of a failed one."""
     clock = F.date_format(ts, _CLOCK)
-    good = F.format_string(
-        "Processamento concluído\nArquivo: %s\nLinhas inseridas: %d\nHorário: %s",
-        "nm_arquivo", "qt_linhas_inseridas", clock,
-    )
-    bad = F.format_string(
-        "Falha no processamento\nArquivo: %s\nErro: %s\nHorário: %s", "nm_arquivo", "ds_erro", clock
-    )
+    good = F.format_string("%s carregado em %s, linhas novas: %d", "nm_arquivo", clock, "qt_linhas_inseridas")
+    bad = F.format_string("%s recusado em %s: %s", "nm_arquivo", clock, "ds_erro")
     return runs.select(
         "nm_arquivo",
         "ds_status",
@@ -81,10 +76,8 @@ def alert_rows(runs: DataFrame, ts: Column) -> DataFrame:
 
 def unknown_table_alerts(files: DataFrame, ts: Column) -> DataFrame:
     """Message per file whose route names a table that is not registered."""
-    text = F.format_string(
-        'Falha no processamento\nArquivo: %s\nErro: Tabela "%s" não encontrada\nHorário: %s',
-        ORIGIN, "tabela", F.date_format(ts, _CLOCK),
-    )
+    clock = F.date_format(ts, _CLOCK)
+    text = F.format_string("%s recusado em %s: tabela %s sem cadastro", ORIGIN, clock, "tabela")
     return files.select(
         F.col(ORIGIN).alias("nm_arquivo"),
         F.lit(RUN_FAILED).alias("ds_status"),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ticketlake.functions.columns import (
     KEY_BOUNDS,
     coerce_date,
+    exact_integer,
     file_name,
     key_number,
     norm_text,
@@ -83,7 +84,9 @@ def _typed_cells(spec: TableSpec, columns: Sequence[str], bad_key: Column) -> li
     typed = []
     for name in columns:
         if name == spec.key:
-            cell = F.when(~bad_key, F.col(_NUMBER)).cast(spec.key_type)
+            # Plain digits are cast as they are: a double would round long ones.
+            exact = exact_integer(name).try_cast(spec.key_type)
+            cell = F.when(~bad_key, F.coalesce(exact, F.col(_NUMBER).cast(spec.key_type)))
         elif name in spec.date_columns:
             cell = coerce_date(name, spec.date_formats)
         elif name in spec.text_date_columns:
@@ -107,7 +110,7 @@ def flag_rows(
     for each row whether its file has the key column; rows of files without it
     are only rejected when empty.
     """
-    columns = [c for c in (columns or df.columns) if c != ORIGIN]
+    columns = [c for c in (df.columns if columns is None else columns) if c != ORIGIN]
     others = [c for c in df.columns if c not in columns]
     cells, kept, bad_key = _read_cells(df, spec, columns, key_present)
     typed = _typed_cells(spec, columns, bad_key)

@@ -259,7 +259,7 @@ FROM ({RUNS}) GROUP BY 1
 
 
 def statements(
-    day: dt.date, stamp: str, tail: int, poll_tail: int, filters: dict[str, dict[str, str]]
+    day: dt.date, stamp: str, tail: int, filters: dict[str, dict[str, str]]
 ) -> dict[str, str]:
     batch = _batch(stamp)
     events = _events()
@@ -323,10 +323,8 @@ FROM t FULL OUTER JOIN s ON t.numero = s.numero""",
         "replay_tally": f"""SELECT count(*) FILTER (WHERE ds_status = 'sucesso') AS qt_sucesso,
  count(*) FILTER (WHERE ds_status <> 'sucesso') AS qt_falha FROM ({batch})""",
         "alert_rows": f"""SELECT nm_arquivo, ds_status, CASE WHEN ds_status = 'sucesso'
- THEN 'Processamento concluído' || chr(10) || 'Arquivo: ' || nm_arquivo || chr(10) || 'Linhas inseridas: ' ||
-      CAST(qt_linhas_inseridas AS VARCHAR)
- ELSE 'Falha no processamento' || chr(10) || 'Arquivo: ' || nm_arquivo || chr(10) || 'Erro: ' || ds_erro END ||
- chr(10) || 'Horário: {stamp}' AS ds_mensagem FROM ({batch})""",
+ THEN nm_arquivo || ' carregado em {stamp}, linhas novas: ' || CAST(qt_linhas_inseridas AS VARCHAR)
+ ELSE nm_arquivo || ' recusado em {stamp}: ' || ds_erro END AS ds_mensagem FROM ({batch})""",
         "kpi_by_status": _count("status"),
         "kpi_by_priority": _count("prioridade"),
         "kpi_by_manager": _count("gerente_responsavel"),
@@ -374,7 +372,7 @@ FROM ({RUNS}) WHERE CAST(dt_processamento AS DATE) = DATE '{day}'""",
         "log_tail": _tail(tail),
         "log_events": events,
         "log_high_water": f"SELECT max(dt_evento) AS dt_evento FROM ({events}) WHERE fonte = 'docker'",
-        "log_incremental": f"""SELECT * FROM ({_events(_tail(poll_tail))})
+        "log_incremental": f"""SELECT * FROM ({_events()})
 WHERE dt_evento IS NULL OR dt_evento >
  (SELECT max(dt_evento) FROM ({_events(f"SELECT * FROM ({LINES}) WHERE log_file <= DATE '{day}'")}))""",
         "log_alert": f"""SELECT count(*) AS qt_erros, substr(arg_min(mensagem, (log_file, line_no)), 1, 400) AS ds_amostra

@@ -14,7 +14,7 @@ from ticketlake.operators.audit import log_alert
 from ticketlake.operators.lookup import number_rows
 from ticketlake.session import Scratch, materialize
 from ticketlake.sources.loglines import read_log_lines
-from ticketlake.spec import LOG_EVENT_SCHEMA, LOG_TAIL_LINES
+from ticketlake.spec import LOG_EVENT_SCHEMA
 
 
 def read_events(spark: SparkSession, events_dir: str) -> DataFrame:
@@ -52,13 +52,14 @@ def poll_logs(
     events_dir: str,
     batch_id: str,
     ts: dt.datetime,
-    tail: int | None = LOG_TAIL_LINES,
+    tail: int | None = None,
     since_mark: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """New events of the log files and the alert row, if one is due.
 
     ``since_mark`` is for files read again at every poll: only events after the
-    newest captured one are new.
+    newest captured one are new. By default all lines are read, however many a file
+    gained since the last poll; ``tail`` limits them to the last ones of each file.
     """
     earlier = read_events(spark, events_dir).filter(F.col("id_lote") != batch_id)
     mark = high_water(earlier).first()[0] if since_mark else None

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ticketlake.operators.lookup import join_lookup, number_blocks
 from ticketlake.session import Scratch, materialize
-from ticketlake.spec import LOG_TAIL_LINES
 
 # Line ends besides \n, \r and \r\n that also end a line of captured output.
 _OTHER_LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -16,10 +15,10 @@ _OTHER_LINE_ENDS = r"[\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 def read_log_lines(
     spark: SparkSession,
     path: str | list[str],
-    tail: int | None = LOG_TAIL_LINES,
+    tail: int | None = None,
     scratch: Scratch | None = None,
 ) -> DataFrame:
-    """Last ``tail`` lines of every file (all lines for ``None``), numbered from 1.
+    """All lines of every file, or only its last ``tail``, numbered from 1.
 
     Files are read in splits. Inside a split the scan keeps the line order, and
     the splits of a file are ordered by their start offset, so line numbers
@@ -41,7 +40,7 @@ def read_log_lines(
     return numbered.select("log_file", "line_no", "line")
 
 
-def tail_lines(lines: DataFrame, tail: int = LOG_TAIL_LINES) -> DataFrame:
+def tail_lines(lines: DataFrame, tail: int) -> DataFrame:
     """Last ``tail`` lines per source, for lines numbered 1..n without gaps.
 
     One pre-aggregated row per source carries the length; no window sorts the

@@ -35,7 +35,6 @@ FILTER_COLUMNS = (
 
 ERROR_TEXT_LIMIT = 4000
 ALERT_TEXT_LIMIT = 400
-LOG_TAIL_LINES = 2000
 STACK_LINES = 5
 SETTLE_SECONDS = 3
 LOG_SOURCE = "docker"

@@ -62,14 +62,15 @@ class SnapshotTable:
 
     def current(self, spark: SparkSession) -> tuple[int, DataFrame]:
         """Newest committed version; version 0 is an empty table."""
-        last = self.commits(spark).agg(
-            F.max("versao").alias("v"),
-            F.max_by("qt_baldes", "versao").alias("b"),
-            F.max_by("nm_pasta", "versao").alias("p"),
-        ).first()
-        if not last["v"]:
+        version, folder, buckets = self._newest(spark)
+        if not version:
             return 0, spark.createDataFrame([], self.spec.production_schema())
-        return last["v"], self._attach(spark, last["p"], last["b"])
+        return version, self._attach(spark, folder, buckets)
+
+    def _newest(self, spark: SparkSession) -> tuple[int, str | None, int]:
+        """Version, folder and the folder's own bucket count of the last commit with data."""
+        last = self.commits(spark).agg(F.max(F.struct("versao", "nm_pasta", "qt_baldes")).alias("c")).first()["c"]
+        return (last["versao"], last["nm_pasta"], last["qt_baldes"]) if last else (0, None, self.buckets)
 
     def _attach(self, spark: SparkSession, folder: str, buckets: int) -> DataFrame:
         """Bucketed table over the files of a folder; adds it to this session's catalog."""
@@ -104,19 +105,17 @@ class SnapshotTable:
         Without a folder the batch is noted as done and the version stays. Refuses
         if the table moved on since ``base`` was read: the batch must merge again.
         """
-        last = self.commits(spark).agg(F.max("versao")).first()[0] or 0
+        last, kept, buckets = self._newest(spark)
         if folder is not None and last != base:
             raise ConcurrentCommit(f"version is {last}, the batch was merged into {base}")
-        version, stored = last, folder
+        # A commit without data repeats the folder together with the count it was written with.
+        row = [(last, batch_id, ts, buckets, kept)]
         if folder is not None:
-            version = base + 1
-        elif last:
-            stored = self.commits(spark).agg(F.max_by("nm_pasta", "versao")).first()[0]
-        row = [(version, batch_id, ts, self.buckets, stored)]
+            row = [(base + 1, batch_id, ts, self.buckets, folder)]
         spark.createDataFrame(row, _COMMITS).coalesce(1).write.mode("append").parquet(
             f"{self.path}/commits"
         )
-        return version
+        return row[0][0]
 
     def publish(self, df: DataFrame, batch_id: str, ts: dt.datetime) -> int:
         """Write and commit the next version, once per batch id."""
