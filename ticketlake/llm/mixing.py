@@ -114,6 +114,12 @@ def _chunk(h: Column, chunks: Column, level: int) -> Column:
     return F.pmod(F.xxhash64(h, F.lit(level)), chunks)
 
 
+def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
+    """Rows with the columns of their source, null included."""
+    named = per_source.withColumnRenamed("source", "_source")
+    return rows.join(named, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+
+
 def pivotal(rows: DataFrame, scratch=None) -> DataFrame:
     """Rounds (source, doc_id, text_hash, size, mass) with 0 < mass < size to 0 or ``extra`` 1."""
     left = rows.withColumn("h", F.xxhash64("doc_id", "text_hash"))
@@ -122,8 +128,7 @@ def pivotal(rows: DataFrame, scratch=None) -> DataFrame:
     most = sizes.agg(F.max("_chunks")).first()[0] or 0
     decided, level = [], 0
     while most:
-        same = left["source"].eqNullSafe(sizes["source"])
-        dealt = left.join(sizes, same).drop(sizes["source"])
+        dealt = _with_source(left, sizes)
         dealt = dealt.withColumn("_chunk", _chunk(F.col("h"), F.col("_chunks"), level))
         item = F.struct("h", "doc_id", "text_hash", "size", "mass")
         # Large documents first: what stays fractional tends to be small.
@@ -162,9 +167,8 @@ def mix(docs: DataFrame, scratch=None, **shares) -> DataFrame:
     """
     rows = materialize(sized(docs), "sized", scratch)
     goals = materialize(targets(rows, **shares), "targets", scratch)
-    same = rows["source"].eqNullSafe(goals["source"])
     p = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    shared = rows.join(goals, same).drop(goals["source"]).withColumn("_p", p)
+    shared = _with_source(rows, goals).withColumn("_p", p)
     # Rounding errors of the division do not make a whole share fractional.
     whole = F.floor(F.col("_p") + 1e-9)
     shared = shared.withColumns({"_whole": whole.cast("int"), "_part": F.greatest(F.col("_p") - whole, F.lit(0.0))})
@@ -172,8 +176,7 @@ def mix(docs: DataFrame, scratch=None, **shares) -> DataFrame:
     parts = shared.filter(split).select(
         "source", "doc_id", "text_hash", "size", (F.col("_part") * F.col("size")).alias("mass")
     )
-    extra = pivotal(parts, scratch)
-    extra = extra.join(goals, extra["source"].eqNullSafe(goals["source"])).drop(goals["source"])
+    extra = _with_source(pivotal(parts, scratch), goals)
     whole_of = F.floor(F.col("target") / F.col("source_size") + 1e-9).cast("int")
     columns = ("doc_id", "source", "text_hash", "size", "source_size", "target")
     rounded = extra.select(*columns, (whole_of + F.col("extra")).alias("copies"))
