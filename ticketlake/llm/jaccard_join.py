@@ -46,6 +46,8 @@ LIST_ROWS = 20_000
 STARS = 2
 #: Members and shingles of one block of candidates around a pivot.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 64, 1 << 20
+#: Columns of a set's parities.
+PARITY = tuple(f"p{i}" for i in range(8))
 
 
 def required(n: int, m: int, percent: int) -> int:
@@ -58,6 +60,12 @@ def set_id(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Whether each of 512 cells holds an odd number of the set's members, as eight longs."""
+    odd = np.bincount((hashes & np.uint64(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 # T-occurrence search --------------------------------------------------------------------
 def divide_skip(query: np.ndarray, members: list[np.ndarray], percent: int, mu: float = 0.01) -> list[int]:
     """Which members' sorted sets link with the sorted query set.
@@ -111,10 +119,12 @@ def _sets(k: int, bits: int):
         total, seen = np.zeros(1 << bits, np.uint32), set()
         for f in frames:
             names, sizes = [], []
-            for text in f["text"]:
+            cells = np.zeros((len(f), len(PARITY)), np.int64)
+            for row, text in enumerate(f["text"]):
                 h = shingle_hashes(text, k)
                 sizes.append(len(h))
                 names.append(set_id(h) if len(h) else None)
+                cells[row] = parities(h)
                 if len(h) and names[-1] not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
@@ -123,14 +133,14 @@ def _sets(k: int, bits: int):
             yield pd.DataFrame({
                 "doc_id": f["doc_id"].astype("Int64"), "n_shingles": pd.array(sizes, "Int64"),
                 "set_id": pd.array(names, "Int64"), "block": pd.array([None] * len(f), "Int32"), "counts": None,
-            })
+            } | {p: cells[:, i] for i, p in enumerate(PARITY)})
         for b in range(CELL_BLOCKS):
             part = total[b * width : (b + 1) * width]
             if part.any():
                 yield pd.DataFrame({
                     "doc_id": pd.array([None], "Int64"), "n_shingles": pd.array([None], "Int64"),
                     "set_id": pd.array([None], "Int64"), "block": pd.array([b], "Int32"), "counts": [part.tobytes()],
-                })
+                } | {p: [0] for p in PARITY})
 
     return sets
 
@@ -145,9 +155,9 @@ def _add_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scratch=None) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, set_id) per row, and the occurrences of all shingles of different
-    sets, added up in 2**bits cells by hash: fixed size. One pass over the texts."""
-    schema = "doc_id long, n_shingles long, set_id long, block int, counts binary"
+    """(doc_id, n_shingles, set_id, parities) per row, and the occurrences of all shingles of
+    different sets, added up in 2**bits cells by hash: fixed size. One pass over the texts."""
+    schema = "doc_id long, n_shingles long, set_id long, block int, counts binary, " + ", ".join(f"{p} long" for p in PARITY)
     rows = materialize(docs.mapInPandas(_sets(k, bits), schema), "members", scratch)
     parts = rows.filter("block IS NOT NULL").select("block", "counts")
     summed = parts.repartition(CELL_BLOCKS, "block").mapInPandas(_add_cells, "block int, counts binary")
@@ -155,7 +165,7 @@ def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scr
     width = (1 << bits) // CELL_BLOCKS
     for row in summed.collect():
         out[row["block"] * width : (row["block"] + 1) * width] += np.frombuffer(row["counts"], np.uint64)
-    return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id"), out
+    return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id", *PARITY), out
 
 
 def _postings(k: int, percent: int, sketch, bits: int, salts: int):
@@ -245,6 +255,26 @@ def _fitting(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def set_parities(members: DataFrame, scratch=None) -> DataFrame:
+    """(set_id, m, parities) once per set; m is its size."""
+    once = members.groupBy("set_id").agg(F.max("n_shingles").alias("m"), *[F.max(p).alias(p) for p in PARITY])
+    return materialize(once, "parities", scratch)
+
+
+def may_link(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n) that parities do not rule out, before any set is moved.
+
+    A cell of different parity holds a member that only one of the two sets has. So the
+    overlap is at most half of what their sizes leave beside those cells, and no link is
+    lost; long texts fill all cells and pass on to the exact check.
+    """
+    a, b = (cells.select(*[F.col(c).alias(x if c == "set_id" else f"{x}_{c}") for c in cells.columns]) for x in "ab")
+    both = F.col("a_m") + F.col("b_m")
+    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
+    possible = (both - differ) * (100 + percent) >= 2 * percent * both
+    return pairs.join(a, "a").join(b, "b").filter(possible).select("a", "b", "n")
+
+
 def _shingled(k: int):
     def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -363,10 +393,12 @@ def links(
     lists = F.count("*") / (F.first("n") - F.ceil(F.first("n") * percent / 100) + 1)
     degrees = materialize(shared.groupBy("set_id").agg(lists.alias("degree")), "degrees", scratch)
     rest = shared.withColumn("component", F.col("set_id"))
+    cells = set_parities(members, scratch)
     edges = settled = None
     for _ in range(STARS):
         star = materialize(_star(rest, degrees, percent), "pairs", scratch)
-        found = materialize(linked(star, set_table(docs, members, _ends(star), k, scratch), percent), "links", scratch)
+        near = materialize(may_link(star, cells, percent), "near", scratch)
+        found = materialize(linked(near, set_table(docs, members, _ends(near), k, scratch), percent), "links", scratch)
         least, most = F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y")
         settled = star.select(least, most) if settled is None else settled.unionByName(star.select(least, most))
         edges = found if edges is None else edges.unionByName(found)
@@ -387,7 +419,8 @@ def links(
     pairs = crossing.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("b_n").alias("n")).distinct()
     pairs = pairs.withColumns({"_x": F.least("a", "b"), "_y": F.greatest("a", "b")})
     # Those that a pivot was compared with are settled.
-    pairs = materialize(pairs.join(settled, ["_x", "_y"], "left_anti").select("a", "b", "n"), "crossing", scratch)
+    pairs = pairs.join(settled, ["_x", "_y"], "left_anti").select("a", "b", "n")
+    pairs = materialize(may_link(pairs, cells, percent), "crossing", scratch)
     more = linked(pairs, set_table(docs, members, _ends(pairs), k, scratch), percent)
     return edges.unionByName(more)
 
