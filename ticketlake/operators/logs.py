@@ -39,17 +39,21 @@ def is_relevant(level: Column, message: Column) -> Column:
     return (level == "ERROR") | message.rlike(RELEVANT)
 
 
-def attach_stack(lines: DataFrame, stack_lines: int = STACK_LINES, chunk: int = CHUNK_LINES) -> DataFrame:
+def attach_stack(
+    lines: DataFrame,
+    stack_lines: int = STACK_LINES,
+    chunk: int = CHUNK_LINES,
+    wanted: Column | None = None,
+) -> DataFrame:
     """Event lines with the stack lines that directly follow, as ``stack`` (text or NULL).
 
-    Lines that are neither are dropped before the shuffle; whether a stack line
-    directly follows is told by its line number.
+    Lines that are neither, and event lines that are not ``wanted``, are dropped before
+    the shuffle; whether a stack line directly follows is told by its line number.
     """
     chunk = max(chunk, stack_lines)  # the margin of a group is the start of the next one only
     is_header = F.col("line").rlike(HEADER)
-    useful = lines.withColumn("_event", is_header).filter(
-        F.col("_event") | F.col("line").rlike(STACK)
-    )
+    kept = F.col("_event") if wanted is None else F.col("_event") & wanted
+    useful = lines.withColumn("_event", is_header).filter(kept | F.col("line").rlike(STACK))
     group = F.floor((F.col("line_no") - 1) / chunk)
     in_margin = ((F.col("line_no") - 1) % chunk < stack_lines) & (group > 0) & ~F.col("_event")
     spread = useful.withColumn(
@@ -76,9 +80,14 @@ def attach_stack(lines: DataFrame, stack_lines: int = STACK_LINES, chunk: int =
     )
 
 
-def parse_events(lines: DataFrame, chunk: int = CHUNK_LINES) -> DataFrame:
-    """Relevant ERROR and WARN events with their stack, message cut to its limit."""
-    events = attach_stack(lines, chunk=chunk).select(
+def parse_events(
+    lines: DataFrame, chunk: int = CHUNK_LINES, mark: Column | dt.datetime | None = None
+) -> DataFrame:
+    """Relevant ERROR and WARN events after the mark, with their stack, message cut to its limit."""
+    wanted = is_relevant(match_header("line", 2), match_header("line", 4))
+    if mark is not None:
+        wanted = wanted & is_newer(event_time(match_header("line", 1)), mark)
+    events = attach_stack(lines, chunk=chunk, wanted=wanted).select(
         "log_file",
         "line_no",
         event_time(match_header("line", 1)).alias("dt_evento"),
@@ -88,7 +97,7 @@ def parse_events(lines: DataFrame, chunk: int = CHUNK_LINES) -> DataFrame:
         "stack",
     )
     message = F.concat_ws("\n", "_mensagem", "stack")
-    return events.filter(is_relevant(F.col("nivel"), F.col("_mensagem"))).select(
+    return events.select(
         "log_file",
         "line_no",
         F.lit(LOG_SOURCE).alias("fonte"),
@@ -99,16 +108,19 @@ def parse_events(lines: DataFrame, chunk: int = CHUNK_LINES) -> DataFrame:
     )
 
 
-def newer_than(events: DataFrame, mark: Column | dt.datetime | None) -> DataFrame:
-    """Events strictly after the mark; a NULL mark or event time keeps the event.
+def is_newer(time: Column, mark: Column | dt.datetime) -> Column:
+    """Strictly after the mark; a NULL mark or event time counts as newer.
 
     Events of the mark's own second that arrive later are lost by this rule, as
     are events logged out of order.
     """
-    if mark is None:
-        return events
     mark = mark.cast("timestamp_ntz") if isinstance(mark, Column) else ntz(mark)
-    return events.filter(mark.isNull() | F.col("dt_evento").isNull() | (F.col("dt_evento") > mark))
+    return mark.isNull() | time.isNull() | (time > mark)
+
+
+def newer_than(events: DataFrame, mark: Column | dt.datetime | None) -> DataFrame:
+    """Events after the mark, see ``is_newer``."""
+    return events if mark is None else events.filter(is_newer(F.col("dt_evento"), mark))
 
 
 def high_water(events: DataFrame, source: str = LOG_SOURCE) -> DataFrame:
@@ -124,4 +136,4 @@ def extract_events(
     lines: DataFrame, mark: Column | dt.datetime | None = None, chunk: int = CHUNK_LINES
 ) -> DataFrame:
     """New events of numbered log lines."""
-    return newer_than(parse_events(lines, chunk), mark)
+    return parse_events(lines, chunk, mark)

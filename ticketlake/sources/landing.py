@@ -11,6 +11,7 @@ import csv
 import io
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 from urllib.parse import unquote
 
 import pandas as pd
@@ -28,7 +29,6 @@ ARRIVAL = "dt_chegada"
 LAYOUT = "id_layout"
 LANDING_META = (ORIGIN, ARRIVAL, LAYOUT)
 MAX_LAYOUTS = 10_000
-_HEADER_BYTES = 1 << 20
 
 
 @dataclass
@@ -81,11 +81,11 @@ def _peek_headers(sep: str, quote: str, encoding: str):
             inner = "/" + inner.lstrip("/")
         else:
             source, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        csv.field_size_limit(2**31 - 1)  # a header record of any length
         with source.open_input_stream(inner) as stream:
-            text = stream.read(_HEADER_BYTES).decode(encoding, errors="replace")
-        record = next(csv.reader(io.StringIO(text.lstrip("\ufeff"), newline=""),
-                                 delimiter=sep, quotechar=quote), [])
-        return record
+            lines = iter(io.TextIOWrapper(stream, encoding, errors="replace", newline=""))
+            whole = chain([next(lines, "").lstrip("\ufeff")], lines)
+            return next(csv.reader(whole, delimiter=sep, quotechar=quote), [])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
