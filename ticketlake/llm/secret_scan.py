@@ -69,11 +69,13 @@ def candidates(docs: DataFrame) -> DataFrame:
 # Dictionary -----------------------------------------------------------------------------
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
     """(word, n): the most frequent lower-case words of all texts; ties by the word."""
-    words = docs.select(F.explode(words_of(F.lower("text"))).alias("word"))
-    plain = words.select(F.regexp_replace("word", "[.,;:!?]+$", "").alias("word")).filter(
+    # Different words are few beside all words, so patterns are tried after counting.
+    blanks = F.translate(F.lower("text"), "\t\n\x0b\f\r", "     ")
+    raw = docs.select(F.explode(F.split(blanks, " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    plain = raw.select(F.regexp_replace("word", "[.,;:!?]+$", "").alias("word"), "n").filter(
         F.length("word").between(3, 20) & F.col("word").rlike("^[a-z]+$")
     )
-    return plain.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    return plain.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
 
 
 def transition_costs(words: DataFrame) -> dict[str, float]:
@@ -96,7 +98,7 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, f"[^{pattern}]", ""))
 
 
-def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float]) -> DataFrame:
+def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float], scratch=None) -> DataFrame:
     """Adds the columns ``FEATURES`` to candidates (candidate, before, after)."""
     c, low = F.col("candidate"), F.lower("candidate")
     n = F.length(c)
@@ -110,9 +112,10 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float]) ->
         F.aggregate(pairs, F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(usual, p), F.lit(8.0))) / (n - 1)
         if usual is not None else F.lit(8.0)
     )
+    # Written first: row numbers must not change between the two uses.
+    keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "candidates", scratch)
     before, around = F.lower("before"), F.lower(F.concat("before", F.lit(" "), "after"))
     flag = lambda condition: condition.cast("double")
-    keyed = rows.withColumn("_row", F.monotonically_increasing_id()) if "_row" not in rows.columns else rows
     runs = keyed.select("_row", F.explode(F.regexp_extract_all(low, F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
     covered = (
         runs.join(words.select("word"), "word").groupBy("_row").agg(F.sum(F.length("word")).alias("_covered"))
@@ -139,22 +142,31 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float]) ->
 
 
 # Labelled findings ----------------------------------------------------------------------
-def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS) -> DataFrame:
+def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None) -> DataFrame:
     """(candidate, before, after, label): findings of known kind between words of real texts.
 
     At most ``limit`` texts, those with the smallest hash of doc_id, give one secret and one
     look-alike each. Kinds and values follow from the text's hash.
     """
-    base = take_sample(docs.filter(F.col("text").isNotNull()).select("doc_id", "text"), "doc_id", limit).select(
-        F.xxhash64("doc_id", "text").alias("h"), words_of(F.col("text")).alias("w")
-    )
     h = F.col("h")
+    texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("doc_id").alias("_order"))
+    # Hashes alone say where the sample ends; only texts up to there are opened, and words move.
+    last = texts.select("_order").orderBy("_order").limit(limit).agg(F.max("_order")).first()[0]
+    opened = texts.filter(F.col("_order") <= last if last is not None else F.lit(False)).select(
+        "doc_id", F.xxhash64("doc_id", "text").alias("h"), words_of(F.col("text")).alias("w")
+    )
+    picked = F.array(*[
+        F.lower(F.regexp_replace(
+            F.coalesce(F.get(F.col("w"), F.pmod(F.xxhash64(h, F.lit(i)), F.greatest(F.size("w"), F.lit(1))).cast("int")), F.lit("a")),
+            "[^A-Za-z]", ""))
+        for i in range(24)
+    ])
+    base = take_sample(opened.select("doc_id", "h", picked.alias("w")), "doc_id", limit)
+    base = materialize(base.select("h", "w"), "sampled", scratch)
     hexes = F.sha2(h.cast("string"), 256)
     code = F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), h.cast("string")), 256))), "=", "")
     digits = F.concat(F.abs(h % 10**9).cast("string"), F.abs(F.xxhash64(h) % 10**9).cast("string"), F.lit("4071"))
-    word = lambda i: F.lower(F.regexp_replace(
-        F.coalesce(F.get(F.col("w"), F.pmod(F.xxhash64(h, F.lit(i)), F.greatest(F.size("w"), F.lit(1))).cast("int")), F.lit("a")),
-        "[^A-Za-z]", ""))
+    word = lambda i: F.get(F.col("w"), F.lit(i))
     case = lambda text: F.when(bucket_of(F.concat(h.cast("string"), F.lit("u")), 6) == 0, F.upper(text)).otherwise(text)
     names = F.array(*[F.lit(x) for x in (
         "token = \"", "api_key: ", "password=\"", "secret = '", "Authorization: Bearer ", "access_key=", "token: ", "auth_token = \"",
@@ -210,10 +222,10 @@ class Scanner:
     def __init__(self, words: DataFrame, costs: dict[str, float], forest: RandomForestClassificationModel | None) -> None:
         self.words, self.costs, self.forest = words, costs, forest
 
-    def findings(self, docs: DataFrame) -> DataFrame:
+    def findings(self, docs: DataFrame, scratch=None) -> DataFrame:
         """Candidates of ``docs`` with ``score`` and ``is_secret``; without a forest (no text
         to learn from) every score is 0."""
-        rows = with_features(candidates(docs), self.words, self.costs)
+        rows = with_features(candidates(docs), self.words, self.costs, scratch)
         return self._scored(rows).select(
             "doc_id", "text_hash", "start", F.char_length("candidate").alias("length"),
             F.sha2("candidate", 256).alias("candidate_sha256"), "score", (F.col("score") >= 0.5).alias("is_secret"),
@@ -230,7 +242,7 @@ def train(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None, seed: int =
     """Fit on all texts (dictionary) and on bounded labelled findings (forest)."""
     words = materialize(dictionary(docs), "dictionary", scratch)
     costs = transition_costs(words)
-    rows = with_features(labelled_findings(docs, limit), words, costs)
+    rows = with_features(labelled_findings(docs, limit, scratch), words, costs, scratch)
     rows = materialize(rows.select("label", *FEATURES), "findings", scratch)
     if rows.select("label").distinct().count() < 2:
         return Scanner(words, costs, None)
@@ -245,7 +257,7 @@ def train(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None, seed: int =
 def redact(docs: DataFrame, scanner: Scanner, scratch=None) -> DataFrame:
     """``docs`` with every accepted finding in ``text`` replaced by a mask; ``n_chars``, if
     there is such a column, follows. Rows without a candidate do not take part in the join."""
-    secrets = scanner.findings(docs).filter("is_secret").select("doc_id", "text_hash", "start", "length").distinct()
+    secrets = scanner.findings(docs, scratch).filter("is_secret").select("doc_id", "text_hash", "start", "length").distinct()
     spans = secrets.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).agg(
         F.sort_array(F.collect_list(F.struct("start", "length")), asc=False).alias("_spans")  # of one text
     )
