@@ -40,6 +40,8 @@ from ticketlake.llm.text import materialize, shingle_hashes
 SHINGLE = 5
 #: Cells of the frequency sketch, and the blocks it travels in.
 CELL_BITS, CELL_BLOCKS = 20, 256
+#: Tasks that add up the sketch's blocks.
+CELL_TASKS = 32
 #: A posting list expected to be longer than this is dealt to several tasks.
 LIST_ROWS = 20_000
 #: Rounds in which lists compare their members with one pivot only.
@@ -160,7 +162,7 @@ def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scr
     schema = "doc_id long, n_shingles long, set_id long, block int, counts binary, " + ", ".join(f"{p} long" for p in PARITY)
     rows = materialize(docs.mapInPandas(_sets(k, bits), schema), "members", scratch)
     parts = rows.filter("block IS NOT NULL").select("block", "counts")
-    summed = parts.repartition(CELL_BLOCKS, "block").mapInPandas(_add_cells, "block int, counts binary")
+    summed = parts.repartition(CELL_TASKS, "block").mapInPandas(_add_cells, "block int, counts binary")
     out = np.zeros(1 << bits, np.uint64)
     width = (1 << bits) // CELL_BLOCKS
     for row in summed.collect():
@@ -256,8 +258,10 @@ def _fitting(a: str, b: str, percent: int):
 
 
 def set_parities(members: DataFrame, scratch=None) -> DataFrame:
-    """(set_id, m, parities) once per set; m is its size."""
-    once = members.groupBy("set_id").agg(F.max("n_shingles").alias("m"), *[F.max(p).alias(p) for p in PARITY])
+    """(set_id, m, text_of, parities) once per set: m is its size, text_of a doc_id that has it."""
+    once = members.groupBy("set_id").agg(
+        F.max("n_shingles").alias("m"), F.min("doc_id").alias("text_of"), *[F.max(p).alias(p) for p in PARITY]
+    )
     return materialize(once, "parities", scratch)
 
 
@@ -268,7 +272,9 @@ def may_link(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     overlap is at most half of what their sizes leave beside those cells, and no link is
     lost; long texts fill all cells and pass on to the exact check.
     """
-    a, b = (cells.select(*[F.col(c).alias(x if c == "set_id" else f"{x}_{c}") for c in cells.columns]) for x in "ab")
+    a, b = (
+        cells.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("m", *PARITY)]) for x in "ab"
+    )
     both = F.col("a_m") + F.col("b_m")
     differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
     possible = (both - differ) * (100 + percent) >= 2 * percent * both
@@ -284,14 +290,17 @@ def _shingled(k: int):
     return shingled
 
 
-def set_table(docs: DataFrame, members: DataFrame, wanted: DataFrame, k: int = SHINGLE, scratch=None) -> DataFrame:
+def set_table(docs: DataFrame, cells: DataFrame, wanted: DataFrame, k: int = SHINGLE, scratch=None) -> DataFrame:
     """(set_id, shingles) of the wanted sets, from one text each.
 
-    Other texts under a chosen doc_id come along; joins on set_id leave them out.
+    The chosen ids are written first, so that the planner knows their size: below its
+    broadcast bound no text is shuffled to be chosen, beyond it the join shuffles. Other texts
+    under a chosen doc_id come along; joins on set_id leave them out.
     """
-    chosen = members.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("_d"))
-    texts = docs.join(chosen.select("_d").distinct(), docs["doc_id"].eqNullSafe(F.col("_d")), "left_semi")
-    return materialize(texts.mapInPandas(_shingled(k), "set_id long, shingles binary"), "sets", scratch)
+    chosen = cells.join(wanted, "set_id", "left_semi").select(F.col("text_of").alias("_d")).distinct()
+    chosen = materialize(chosen, "chosen", scratch)
+    texts = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_d")), "left_semi")
+    return texts.mapInPandas(_shingled(k), "set_id long, shingles binary")
 
 
 def _search(percent: int):
@@ -306,15 +315,17 @@ def _search(percent: int):
     return search
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, n) that link; a is the query, n the size of b."""
+def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch=None) -> DataFrame:
+    """The pairs (a, b, n) that link; a is the query, n the size of b. The places that sets
+    are sent to are written first, so that their size decides how they are joined."""
     blocks = pairs.groupBy("a").agg(F.count("*").alias("_c"), F.sum(F.col("n").cast("long")).alias("_n"))
     wide = F.greatest(F.ceil(F.col("_c") / BLOCK_MEMBERS), F.ceil(F.col("_n") / BLOCK_SHINGLES))
     blocks = blocks.select("a", wide.alias("_blocks"))
     dealt = pairs.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("_blocks")))
     members = dealt.select("a", "block", F.col("b").alias("set_id"), F.lit(1).alias("role"))
     queries = dealt.select("a", "block", F.col("a").alias("set_id"), F.lit(0).alias("role")).distinct()
-    rows = queries.unionByName(members).join(sets, "set_id")
+    places = materialize(queries.unionByName(members), "places", scratch)
+    rows = sets.join(places, "set_id")
     return rows.groupBy("a", "block").applyInArrow(_search(percent), "a long, b long")
 
 
@@ -398,7 +409,7 @@ def links(
     for _ in range(STARS):
         star = materialize(_star(rest, degrees, percent), "pairs", scratch)
         near = materialize(may_link(star, cells, percent), "near", scratch)
-        found = materialize(linked(near, set_table(docs, members, _ends(near), k, scratch), percent), "links", scratch)
+        found = materialize(linked(near, set_table(docs, cells, _ends(near), k, scratch), percent, scratch), "links", scratch)
         least, most = F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y")
         settled = star.select(least, most) if settled is None else settled.unionByName(star.select(least, most))
         edges = found if edges is None else edges.unionByName(found)
@@ -421,7 +432,7 @@ def links(
     # Those that a pivot was compared with are settled.
     pairs = pairs.join(settled, ["_x", "_y"], "left_anti").select("a", "b", "n")
     pairs = materialize(may_link(pairs, cells, percent), "crossing", scratch)
-    more = linked(pairs, set_table(docs, members, _ends(pairs), k, scratch), percent)
+    more = linked(pairs, set_table(docs, cells, _ends(pairs), k, scratch), percent, scratch)
     return edges.unionByName(more)
 
 
