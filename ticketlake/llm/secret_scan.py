@@ -1,9 +1,11 @@
 """Secret scans with a random forest that removes false positives.
 
-A candidate is a long run of key characters with a digit in it. Its features are length,
-character transitions, coverage by the corpus's own dictionary, path signs and neighbouring
-words; a random forest trained on labelled findings gives each candidate a score. All steps
-are DataFrame operations on the JVM.
+The scan is wide: a candidate is any value after a naming word, the value of user:value@host,
+and a long run of key characters with a digit, mixed case or a known prefix. Names before an
+equals sign are neighbours of a candidate, not part of it. Features are length, character
+transitions, coverage by the corpus's own dictionary, path signs and neighbouring words; a
+random forest trained on labelled findings gives each candidate a score. All steps are
+DataFrame operations on the JVM.
 """
 
 from __future__ import annotations
@@ -19,11 +21,39 @@ from pyspark.sql import functions as F
 from ticketlake.llm.text import bucket_of, materialize, take_sample, words_of
 
 KEY = "[A-Za-z0-9+/_=\\-]"
-PATTERN = f"(?<!{KEY})(?=[A-Za-z+/_=\\-]*[0-9]){KEY}{{16,}}+"
+#: Words that name a secret, and beginnings of keys in use.
+NAMES = (
+    "(?i:token|secret|p(?:ass(?:w|phrase|(?=[\"'`]?[ \t]*+[=:]))|wd|rivate)|a(?:pi[_-]?key|uth|ccess[_-]?key)|bearer|credential)"
+)
+KNOWN = (
+    "(?i:A[KS]IA|A(?:GPA|IDA|ROA|NPA)|gh[oprsu]_|github_pat_|glpat-|sk-|[rs]k_live_|xox[abeprs]-|AIza|ya29|npm_|pypi-|hf_|eyJ)"
+)
+# Loops over groups are possessive: Java runs those without recursion, so values may be long.
+_NAMED = (
+    f"{NAMES}[A-Za-z0-9_-]*+[\"'`\\])]?[ \\t]*+(?::=|=>|==|[=:])[ \\t]*+(?:(?i:bearer|basic|token)[ \\t]++)?"
+    f"|(?i:bearer)[ \\t]++|(?<![A-Za-z0-9-])--?(?:[A-Za-z0-9]++-)*?{NAMES}[A-Za-z0-9_-]*+[ \\t]++(?!-)"
+)
+# Two letters rule most places out before the alternatives are tried; so does the colon below.
+_GUARD = "(?=[aAbBcCpPsStT-])(?=[aA][cCpPuU]|[bB][eE]|[cC][rR]|[pP][aArRwW]|[sS][eE]|[tT][oO]|-)"
+# Up to a blank, a quote or the next name=; punctuation before a blank is not part of it.
+_OPEN = (
+    "(?:(?![&;,?][A-Za-z0-9_.-]++=)(?![.,;:)\\]}]{1,8}+(?:[\\s\"'`<>]|$))[^\\s\"'`<>])++"
+)
+_VALUE = "|".join(f"(?<={q})(?:\\\\.|[^{q}\\\\\r\n])++(?={q})" for q in "\"'`") + f"|{_OPEN}"
+_USER = "[A-Za-z][A-Za-z0-9+.-]*+://[^\\s/:@\"'<>]*+:|(?<!:)[A-Za-z0-9._%+-]++:(?!/)"
+_RUN = (
+    f"(?:(?=[A-Za-z+/_=\\-]*+[0-9])|(?={KEY}*?[a-z])(?={KEY}+?[A-Z])|(?={KNOWN})){KEY}{{16,}}+"
+)
+#: Groups 1 to 3 are what stands before the candidate in a match.
+PATTERN = (
+    f"{_GUARD}((?:{_NAMED})[\"'`]?)(?:{_VALUE})"
+    f"|(?<![A-Za-z0-9._%+-])(?=[A-Za-z0-9._%+-]++:)((?:{_USER}))(?:[^\\s/@\"'<>]|@(?=[^\\s/@\"'<>]++@))++(?=@[A-Za-z0-9\\[])"
+    f"|(?<!{KEY})(?={KEY}{{16}})(?!{KEY}*?{NAMES}[A-Za-z0-9_-]*+=[A-Za-z0-9+/_-])((?:[A-Za-z0-9+/_\\-]++=(?!=)){{0,8}}){_RUN}"
+)
 #: Code points of context on either side.
 CONTEXT = 40
 #: Words next to a candidate that speak for a secret, and that speak for something else.
-SECRET_WORDS = "token|secret|passw|pwd|api[_-]?key|apikey|auth|bearer|credential|private|access[_-]?key"
+SECRET_WORDS = "token|secret|passw|passphrase|\\bpass\\b|pwd|api[_-]?key|apikey|auth|bearer|credential|private|access[_-]?key"
 OTHER_WORDS = (
     "commit|sha1|sha256|md5|hash|checksum|digest|uuid|guid|build|version|order|invoice|isbn|phone|page|"
     "image|file|path|href|http|www"
@@ -34,7 +64,10 @@ DICTIONARY, MAX_FINDINGS = 20_000, 4_000
 FEATURES = (
     "length", "digits", "uppers", "distinct", "switches", "longest_run", "transitions", "coverage",
     "slashes", "path_before", "secret_words", "other_words", "assigned", "quoted", "placeholder",
+    "signs", "known_prefix", "user_before", "word_like",
 )
+#: Labelled lines of each kind per text.
+ROUNDS = 4
 TREES, DEPTH = 24, 6
 MASK = "[SECRET]"
 
@@ -46,17 +79,22 @@ def candidates(docs: DataFrame) -> DataFrame:
     ``start`` counts code points from 0. Null texts have none; a repeated row repeats its
     candidates.
     """
-    found = docs.select(
+    found = docs.filter(F.col("text").rlike(PATTERN)).select(
         "doc_id", "text", F.xxhash64("text").alias("text_hash"),
         F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)).alias("found"),
-    ).filter(F.size("found") > 0)
-    # A candidate's first occurrence from the end of the one before is the candidate.
+        F.split("text", PATTERN, -1).alias("gaps"),
+        *[F.regexp_extract_all("text", F.lit(PATTERN), F.lit(g)).alias(f"g{g}") for g in (1, 2, 3)],
+    )
+    # A match starts after the gaps and matches before it; the value follows what stands before.
     spans = F.expr(
-        "aggregate(found, named_struct('at', 1, 'out', CAST(array() AS ARRAY<STRUCT<start: INT, candidate: STRING>>)),"
-        " (a, c) -> transform(array(locate(c, text, a.at)), p -> named_struct('at', p + char_length(c), 'out',"
-        " concat(a.out, array(named_struct('start', p - 1, 'candidate', c)))))[0]).out"
+        "aggregate(arrays_zip(found, gaps, g1, g2, g3), named_struct('at', 0, 'out',"
+        " CAST(array() AS ARRAY<STRUCT<start: INT, candidate: STRING>>)),"
+        " (a, m) -> IF(m.found IS NULL, a, transform(array(char_length(m.g1) + char_length(m.g2) + char_length(m.g3)), p ->"
+        " named_struct('at', a.at + char_length(m.gaps) + char_length(m.found), 'out', concat(a.out, array(named_struct("
+        "'start', a.at + char_length(m.gaps) + p, 'candidate', substring(m.found, p + 1))))))[0])).out"
     )
-    rows = found.withColumn("s", F.explode(spans)).select("doc_id", "text_hash", "text", "s.*")
+    # The outer form, as the plain one is planned with a filter that computes the spans again.
+    rows = found.withColumn("s", F.explode_outer(spans)).filter("s IS NOT NULL").select("doc_id", "text_hash", "text", "s.*")
     end = F.col("start") + F.char_length("candidate")
     head = F.greatest(F.col("start") - CONTEXT, F.lit(0))
     return rows.select(
@@ -107,16 +145,17 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float], sc
         F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "9"), "+/_=-", ""
     )
     usual = F.create_map(*[F.lit(x) for pair in sorted(costs.items()) for x in pair]) if costs else None
-    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(low, i, F.lit(2)))
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(2)))
     cost = (
-        F.aggregate(pairs, F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(usual, p), F.lit(8.0))) / (n - 1)
+        F.aggregate(pairs, F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(usual, p), F.lit(8.0))) / F.greatest(n - 1, F.lit(1))
         if usual is not None else F.lit(8.0)
     )
     # Written first: row numbers must not change between the two uses.
     keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "candidates", scratch)
     before, around = F.lower("before"), F.lower(F.concat("before", F.lit(" "), "after"))
     flag = lambda condition: condition.cast("double")
-    runs = keyed.select("_row", F.explode(F.regexp_extract_all(low, F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+    parted = F.lower(F.regexp_replace(c, "(?<=[a-z])(?=[A-Z])", " "))
+    runs = keyed.select("_row", F.explode(F.regexp_extract_all(parted, F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
     covered = (
         runs.join(words.select("word"), "word").groupBy("_row").agg(F.sum(F.length("word")).alias("_covered"))
     )
@@ -137,7 +176,11 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float], sc
         "other_words": flag(F.substring(before, -24, 24).rlike(OTHER_WORDS)),
         "assigned": flag(F.col("before").rlike("[=:]\\s*[\"'`]?$")),
         "quoted": flag(F.col("before").rlike("[\"'`]$") & F.col("after").rlike("^[\"'`]")),
-        "placeholder": flag(low.rlike(PLACEHOLDERS) | around.rlike("placeholder|dummy")),
+        "placeholder": flag(low.rlike(PLACEHOLDERS) | around.rlike("placeholder|dummy") | c.rlike("^[$*{%]")),
+        "signs": F.length(F.regexp_replace(c, KEY, "")) / n,
+        "known_prefix": flag(c.rlike(f"^{KNOWN}")),
+        "user_before": flag(F.col("before").rlike("://[^\\s/:@]*:$") & F.col("after").startswith("@")),
+        "word_like": flag(c.rlike("^[A-Z]?[a-z]*$")),
     }).drop("_covered")
 
 
@@ -145,8 +188,10 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float], sc
 def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None) -> DataFrame:
     """(candidate, before, after, label): findings of known kind between words of real texts.
 
-    At most ``limit`` texts, those with the smallest hash of doc_id, give one secret and one
-    look-alike each. Kinds and values follow from the text's hash.
+    At most ``limit`` texts, those with the smallest hash of doc_id, give ``ROUNDS`` lines with
+    a secret and as many with a look-alike. Kinds and values follow from the text's hash. The
+    lines are scanned as texts are: a candidate that is not the secret of its line is a
+    look-alike, one that only overlaps it is left out.
     """
     h = F.col("h")
     texts = docs.filter(F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("doc_id").alias("_order"))
@@ -163,6 +208,8 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
     ])
     base = take_sample(opened.select("doc_id", "h", picked.alias("w")), "doc_id", limit)
     base = materialize(base.select("h", "w"), "sampled", scratch)
+    rounds = F.explode(F.array(*[F.lit(i) for i in range(ROUNDS)])).alias("r")
+    base = base.select("h", "w", rounds).select(F.xxhash64("h", "r").alias("h"), "w")
     hexes = F.sha2(h.cast("string"), 256)
     code = F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), h.cast("string")), 256))), "=", "")
     digits = F.concat(F.abs(h % 10**9).cast("string"), F.abs(F.xxhash64(h) % 10**9).cast("string"), F.lit("4071"))
@@ -170,14 +217,30 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
     case = lambda text: F.when(bucket_of(F.concat(h.cast("string"), F.lit("u")), 6) == 0, F.upper(text)).otherwise(text)
     names = F.array(*[F.lit(x) for x in (
         "token = \"", "api_key: ", "password=\"", "secret = '", "Authorization: Bearer ", "access_key=", "token: ", "auth_token = \"",
-        "client_secret: \"",
+        "client_secret: \"", "export API_TOKEN=", "AWS_SECRET_ACCESS_KEY=", "https://api.org/v1?access_token=", "\"password\": \"",
+        "DB_PASSWORD=", "--password ",
     )])
+    bare = F.array(*[F.lit(x) for x in ("", "(", "key ", "id=", "with \"", "use: ")])
+    logins = F.array(*[F.lit(x) for x in ("postgres://admin:", "https://me:", "amqp://u:", "ftp://backup:", "redis://:")])
+    persons = F.array(*[F.lit(x) for x in ("password=", "password: ", "passwd: ", "pwd=", "DB_PASSWORD=", "password = \"", "\"password\": \"", "--password ")])
     pick = lambda a, i: F.get(a, F.pmod(F.xxhash64(h, F.lit(i)), F.size(a)).cast("int"))
-    secrets = F.array(
-        F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes, F.substring(code, 1, 40), F.substring(code, 1, 24),
-        F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 3, 16))), F.concat(F.lit("ghp_"), F.translate(F.substring(code, 1, 36), "+/", "ab")),
+    # Digits as letters: keys without any.
+    letters = lambda x: F.translate(x, "0123456789+/", "QzXkVjWpYgab")
+    keys = F.array(
+        F.substring(code, 1, 40), F.substring(code, 1, 24), letters(F.substring(code, 1, 32)),
+        F.concat(F.lit("AKIA"), F.upper(F.substring(hexes, 3, 16))),
+        F.concat(F.lit("AKIA"), F.upper(letters(F.substring(code, 3, 16)))),
+        F.concat(F.lit("ghp_"), F.translate(F.substring(code, 1, 36), "+/", "ab")),
         F.concat(F.lit("sk-"), F.translate(F.substring(code, 3, 38), "+/", "cd")),
     )
+    secrets = F.concat(F.array(F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes), keys)
+    small = F.abs(h % 1000).cast("string")
+    passwords = F.array(
+        F.concat(F.initcap(word(15)), small, F.lit("!")), F.concat(word(16), F.substring(digits, 1, 1), F.lit("pw")),
+        F.concat(F.substring(F.translate(code, "+/", "xy"), 5, 5), F.lit("&"), F.substring(F.translate(code, "+/", "xy"), 11, 5), F.lit("!")),
+        F.translate(F.substring(code, 7, 10), "+/", "#$"), F.concat(F.initcap(word(17)), F.lit("-"), word(18), small),
+        F.concat(word(19), F.lit("#"), small),
+    )
     uuid = F.concat_ws("-", *[F.substring(hexes, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     other = F.array(
         *[F.struct(F.lit(b).alias("b"), v.alias("v")) for b, v in (
@@ -193,23 +256,40 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
             (" ", F.concat(word(12), word(13), word(14), F.lit("12"))),
             ("image ", F.concat(F.lit("IMG_20240131_"), F.abs(h % 10**6).cast("string"))),
             ("version ", F.concat(F.lit("1-24-3-build-"), F.abs(h % 10**8).cast("string"))),
+            ("path=/", F.concat(word(1), F.lit("/"), word(2), F.lit("/"), word(3), F.lit("-2024-10"))),
+            ("class ", F.concat(word(1), F.initcap(word(2)), F.initcap(word(3)), F.lit("Factory"))),
+            ("", F.concat_ws("-", *[F.initcap(word(i)) for i in (4, 5, 6, 7)])),
+            ("author: ", F.initcap(word(8))), ("token: ", word(9)), ("password: ", word(10)), ("auth_method=", word(11)),
+            ("secret: \"", F.concat_ws(" ", word(12), word(13), word(14))), ("max_tokens=", small), ("token_count: ", small),
+            ("password=", F.lit("${DB_PASSWORD}")), ("password: ", F.lit("********")), ("password = ", F.lit("None")),
+            ("mailto:", F.concat(word(15), F.lit("@example.org"))), ("private: ", word(16)),
+            ("path ", F.concat(F.lit("/srv/"), word(17), F.lit("/Data/"), word(18), F.lit("/"), F.initcap(word(19)))),
         )]
     )
     left = F.concat(word(20), F.lit(" "), word(21), F.lit(" "))
     right = F.concat(F.lit(" "), word(22), F.lit(" "), word(23))
     quote = lambda b: F.when(b.endswith('"'), '"').when(b.endswith("'"), "'").otherwise("")
-    name, fake = pick(names, 31), pick(other, 32)
-    positive = base.select(
-        case(pick(secrets, 33)).alias("candidate"), case(F.concat(left, name)).alias("before"),
-        F.concat(quote(name), right).alias("after"), F.lit(1.0).alias("label"),
-    )
-    negative = base.select(
-        case(fake["v"]).alias("candidate"), case(F.concat(left, fake["b"])).alias("before"),
-        F.concat(quote(fake["b"]), right).alias("after"), F.lit(0.0).alias("label"),
+    spot = lambda b, v, end=None: F.struct(b.alias("b"), v.alias("v"), (quote(b) if end is None else end).alias("end"))
+    fake, kind = pick(other, 32), F.pmod(F.xxhash64(h, F.lit(34)), F.lit(8))
+    true = (
+        F.when(kind == 0, spot(pick(logins, 31), F.concat(word(16), small, F.lit("pw")), F.lit("@db.org/x")))
+        .when(kind == 1, spot(pick(logins, 31), pick(passwords, 33), F.lit("@db.org/x")))
+        .when(kind == 2, spot(pick(bare, 31), pick(keys, 33)))
+        .when(kind <= 4, spot(pick(persons, 31), pick(passwords, 33)))
+        .otherwise(spot(pick(names, 31), pick(secrets, 33)))
     )
-    both = positive.unionByName(negative)
-    # Only what the candidate pattern would find.
-    return both.filter(F.regexp_extract("candidate", f"^{PATTERN}$", 0) != "")
+
+    def lines(it: Column, label: float) -> DataFrame:
+        rows = base.select(case(F.concat(left, it["b"])).alias("b"), case(it["v"]).alias("v"), F.concat(it["end"], right).alias("end"))
+        planted = F.struct(F.lit(label).alias("label"), F.char_length("b").alias("at"), F.col("v"))
+        return rows.select(planted.alias("doc_id"), F.concat("b", "v", "end").alias("text"))
+
+    found = candidates(lines(true, 1.0).unionByName(lines(spot(fake["b"], fake["v"]), 0.0)))
+    at, value = F.col("doc_id.at"), F.col("doc_id.v")
+    whole = (F.col("start") == at) & (F.col("candidate") == value)
+    apart = (F.col("start") >= at + F.char_length(value)) | (F.col("start") + F.char_length("candidate") <= at)
+    label = F.when(whole, F.col("doc_id.label")).when(apart | (F.col("doc_id.label") == 0), 0.0)
+    return found.select("candidate", "before", "after", label.alias("label")).filter(F.col("label").isNotNull())
 
 
 # Forest ---------------------------------------------------------------------------------
@@ -250,7 +330,7 @@ def train(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None, seed: int =
         featuresCol="_features", labelCol="label", probabilityCol="_p", rawPredictionCol="_raw", predictionCol="_y",
         numTrees=TREES, maxDepth=DEPTH, seed=seed,
     )
-    ordered = rows.coalesce(1).sortWithinPartitions("label", *FEATURES)  # at most 2 * limit rows
+    ordered = rows.coalesce(1).sortWithinPartitions("label", *FEATURES)  # a few per labelled line
     return Scanner(words, costs, forest.fit(VectorAssembler(**_ASSEMBLER).transform(ordered)))
 
 
