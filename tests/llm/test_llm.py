@@ -463,6 +463,21 @@ def test_containment_follows_the_sets(spark):
     assert row[0] == 1.0 and row[1] < 0.01 and row[2]
 
 
+def test_fingerprints_of_short_texts(spark):
+    texts = [f"a{i} b c d e f" for i in range(60) for _ in range(2)]  # two shingles each
+    long = " ".join(f"l{i}" for i in range(200))
+    texts += ["z0 z1 z2 z3 z4 " + long, "z0 z1 z2 z3 z4", long, "", "", " "]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(scaled_sketch.fingerprints(frame).collect(), key=lambda r: r["doc_id"])
+    marks = [(r["fingerprint"], r["fine_fingerprint"]) for r in rows]
+    assert sum(f == "" for f, _ in marks[:120]) > 40 and all((f == "") != (g == "") for f, g in marks[:123])
+    # The second shingle is shared by all.
+    assert len({m for m in marks[:120] if m[1]}) == len({t for t, m in zip(texts, marks[:120]) if m[1]})
+    assert all(r["near_next"] == 1.0 for r in rows[:120:2]) and rows[120]["near_next"] == 1.0
+    assert {r["near_next"] for r in rows[1:119:2] if not r["fingerprint"]} == {0.5}
+    assert [r["near_next"] for r in rows[123:125]] == [1.0, 0.0] and marks[123:] == [("", "")] * 3
+
+
 def test_fingerprints_of_odd_rows(spark, odd):
     rows = scaled_sketch.fingerprints(odd).collect()
     assert len(rows) == odd.count()

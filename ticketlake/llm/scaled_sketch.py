@@ -3,6 +3,8 @@
 A sketch keeps every shingle hash below a fixed fraction of the hash range. Sketches of two
 texts are samples of their shingle sets taken by the same rule: they merge by union, and the
 share of one that the other holds estimates containment however unequal the texts are.
+A short text may keep no hash of the fraction; then both sides are compared by the finer
+fraction, which keeps all, and the short text's hashes of it stand beside its empty sketch.
 """
 
 from __future__ import annotations
@@ -15,8 +17,8 @@ from pyspark.sql.window import Window
 
 from ticketlake.llm.text import lower_ascii, words_of
 
-#: One of this many hashes is kept; words in a shingle.
-SCALE, SHINGLE = 8, 5
+#: One of this many hashes is kept, and of the finer fraction; words in a shingle.
+SCALE, FINE, SHINGLE = 8, 1, 5
 #: Ordered pieces per shuffle partition when documents are paired with their successors.
 PIECES = 4
 
@@ -32,7 +34,7 @@ def sketch(text: Column, scale: int = SCALE, k: int = SHINGLE) -> Column:
     Shingles are runs of k words, A-Z lower-cased, or the whole text if it has fewer. Null
     and wordless texts have an empty sketch; a short text's may be empty too.
     """
-    bound = (1 << 63) // scale
+    last = (1 << 63) // scale - 1
 
     def shingles(w: Column) -> Column:
         runs = F.transform(
@@ -45,7 +47,7 @@ def sketch(text: Column, scale: int = SCALE, k: int = SHINGLE) -> Column:
 
     hashes = F.transform(words_of(lower_ascii(text)), lambda w: F.xxhash64(w))
     positive = F.transform(_let(hashes, shingles), lambda h: h.bitwiseAND(F.lit((1 << 63) - 1)))
-    return F.array_sort(F.array_distinct(F.filter(positive, lambda h: h < bound)))
+    return F.array_sort(F.array_distinct(F.filter(positive, lambda h: h <= last)))
 
 
 def merge(a: Column, b: Column) -> Column:
@@ -59,6 +61,19 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(0.0)
 
 
+def likeness(a: Column, b: Column, text_a: Column, text_b: Column, equal: Column) -> Column:
+    """Containment of the sketches a and b; where one is empty, of both texts' finer sketches;
+    1 for equal texts."""
+    fine = containment(sketch(text_a, FINE), sketch(text_b, FINE))
+    coarse = (F.size(a) > 0) & (F.size(b) > 0)
+    return F.when(equal, 1.0).when(coarse, containment(a, b)).otherwise(fine)
+
+
+def fine_part(a: Column, text: Column) -> Column:
+    """All hashes of a text whose sketch ``a`` is empty; empty for the others."""
+    return F.when(F.size(a) == 0, sketch(text, FINE)).otherwise(F.array().cast("array<bigint>"))
+
+
 def as_string(a: Column) -> Column:
     """The sketch as text: hashes in hexadecimal, in order, joined by commas."""
     return F.array_join(F.transform(a, lambda h: F.lower(F.hex(h))), ",")
@@ -126,8 +141,9 @@ def edited(text: Column, following: Column) -> Column:
 def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     """Per row: its sketch, that of its edited text and how alike they and the next row's are.
 
-    Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next. A null text counts as empty.
+    Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, fine_fingerprint,
+    edited_fine_fingerprint, near_edited, near_next. The fine ones hold all hashes where the
+    one beside is empty. A null text counts as empty.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = rows.withColumn("sketch", sketch(F.col("text"), scale))
@@ -136,12 +152,19 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     paired = paired.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch",
-        sketch(F.col("edited"), scale).alias("edited_sketch"),
+        sketch(F.col("edited"), scale).alias("edited_sketch"), "text", "next_text", "edited",
     )
+
+    def like(other: str, sketched: str) -> Column:
+        return likeness(
+            F.col("sketch"), F.col(sketched), F.col("text"), F.col(other), F.col("text") == F.col(other)
+        )
+
     return paired.select(
         "doc_id", "n_chars", "edited_sha256",
         as_string(F.col("sketch")).alias("fingerprint"),
         as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
-        containment(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        containment(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+        as_string(fine_part(F.col("sketch"), F.col("text"))).alias("fine_fingerprint"),
+        as_string(fine_part(F.col("edited_sketch"), F.col("edited"))).alias("edited_fine_fingerprint"),
+        like("edited", "edited_sketch").alias("near_edited"), like("next_text", "next_sketch").alias("near_next"),
     )
