@@ -1,8 +1,8 @@
-"""The operators applied to the ``documents`` table, one query each.
+"""The operators applied to their tables, one query each.
 
-SQL has no counterpart for any of them (learned models, seeded hashes, greedy plans, exact
-components over 64-bit hashes); ``tests/llm`` checks them by brute force, round trips and
-held-out accuracy instead.
+SQL covers the conversation trie and the web archive. It has no counterpart for the others
+(learned models, tokenizers, seeded hashes, greedy plans, exact components over 64-bit
+hashes); ``tests/llm`` checks them by brute force, round trips and held-out accuracy instead.
 """
 
 from __future__ import annotations
@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import (
-    jaccard_join, language_id, mixing, packing, quality_rules, scaled_sketch, secret_scan,
-    token_files, toxicity, virtual_slots,
+    conversation_trie, jaccard_join, language_id, mixing, packing, quality_rules, scaled_sketch,
+    secret_scan, token_alignment, token_files, toxicity, virtual_slots, warc_archive,
 )
 from ticketlake.llm.text import held_out, materialize
 from ticketlake.session import scratch_path
 
 SHARDS = 8
+#: Date of the archive's records: the tables carry none.
+ARCHIVE_DATE = "2024-01-01T00:00:00Z"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,12 +105,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", taken, "copies")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_nodes(_table(spark, sf_dir, "conversations"))
+
+
+def op12_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = scratch_path(spark, "archive")
+    warc_archive.write_archive(_table(spark, sf_dir, "pages"), target, ARCHIVE_DATE)
+    return warc_archive.read_archive(spark, target).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_digests(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_jaccard_join, op2_secret_scan, op3_quality_rules, op4_language_id, op5_token_files,
             op6_virtual_slots, op7_toxicity, op8_scaled_sketch, op9_packing, op10_mixing,
+            op11_conversation_trie, op12_warc_archive, op13_token_alignment,
         )
     }
 
