@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import (
-    conversation_trie, jaccard_join, language_id, mixing, packing, quality_rules, scaled_sketch,
+    conversation_trie, jaccard_join, language_id, mixing, oracle, packing, quality_rules, scaled_sketch,
     secret_scan, token_alignment, token_files, toxicity, virtual_slots, warc_archive,
 )
 from ticketlake.llm.text import held_out, materialize
@@ -136,4 +136,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op11_conversation_trie": oracle.CONVERSATION_TRIE, "op12_warc_archive": oracle.WARC_ARCHIVE,
+    }

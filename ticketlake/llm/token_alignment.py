@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,10 @@ from ticketlake.session import Scratch
 
 #: A blank and all up to the next blank that follows no white space.
 _CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
-#: Chunks kept by a worker, and the longest of them.
-CACHE_CHUNKS, CACHE_LENGTH = 250_000, 64
+#: White space before a blank: there, more than a blank starts a chunk.
+_ODD_BLANKS = re.compile(r"\s ")
+#: Chunks that a worker keeps, and the longest that are worth it.
+CACHE_CHUNKS, CACHE_LENGTH = 300_000, 64
 _SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary"
 
 
@@ -87,8 +89,9 @@ class Pairs:
             found.update(i * self.stride + j for k in range(len(t)) for i in of_a.get(t[k:], ()))
         self.keys = np.array(sorted(found), np.int64)
 
-    def codes(self, a: list[int], b: list[int]) -> np.ndarray:
-        return np.searchsorted(self.keys, np.array(a, np.int64) * self.stride + np.array(b, np.int64)).astype("<u4")
+    def codes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Row numbers of pairs that are in the table."""
+        return np.searchsorted(self.keys, a * self.stride + b).astype("<u4")
 
     def ids(self) -> tuple[np.ndarray, np.ndarray]:
         return self.keys // self.stride, self.keys % self.stride
@@ -102,63 +105,116 @@ class Aligner:
         self.a.encode_special_tokens = True  # their strings in a text are text
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.bytes_a, self.bytes_b = byte_level_tokens(byte_level), piece_tokens(self.b)
-        self.size_a, self.size_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.size_a, self.size_b = (np.array(list(map(len, t)), np.int64) for t in (self.bytes_a, self.bytes_b))
         self.pairs = Pairs(self.bytes_a, self.bytes_b)
+        # Ids as text with what follows them: within a side, and at its end.
+        texts = lambda n, mark: np.array([f"{i}{mark}" for i in range(n)], object)
+        self.text_a = (texts(len(self.bytes_a), ","), texts(len(self.bytes_a), "|"))
+        self.text_b = (texts(len(self.bytes_b), ","), texts(len(self.bytes_b), ";"))
         # A piece with a blank after another character would join chunks.
-        apart = not any(b" " in t.lstrip(b" ") for t in self.bytes_b)
-        self.split = _CHUNK.findall if apart else lambda text: [text]
-        self.known: dict[str, tuple | None] = {}
-
-    def _slices(self, chunk: str, a: list[int], b: list[int]) -> tuple[str, list[int], list[int]] | None:
-        """Groups as text and the links' two sides, None if the bytes are others."""
-        want = chunk.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
-            return None
-        at_a = dict(zip(accumulate(map(self.size_a.__getitem__, a)), range(1, len(a) + 1)))
-        at_b = dict(zip(accumulate(map(self.size_b.__getitem__, b)), range(1, len(b) + 1)))
-        groups, left, right, i, j = [], [], [], 0, 0
-        for end in sorted(at_a.keys() & at_b.keys()):
-            k, m = at_a[end], at_b[end]
-            groups.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            left.append(a[k - 1])
-            right.append(b[m - 1])
-            i, j = k, m
-        return ";".join(groups), left, right
+        self.apart = not any(b" " in t.lstrip(b" ") for t in self.bytes_b)
+        # Known chunks: place, and there groups, links, numbers (of A, B and groups) and hits.
+        self.place: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.links: list[bytes] = []
+        self.numbers = np.zeros((0, 3), np.int64)
+        self.hits = np.zeros(0, np.int64)
+
+    def split(self, text: str) -> list[str]:
+        """Chunks of a blank and the text, each without the blank it starts with."""
+        if not self.apart:
+            return [text]
+        if _ODD_BLANKS.search(" " + text):
+            return [c[1:] for c in _CHUNK.findall(" " + text)]
+        return text.split(" ")
+
+    def _forget(self) -> None:
+        """Keeps the half of the chunks that was met most often."""
+        names, places = list(self.place), np.array(list(self.place.values()), np.int64)
+        best = np.argsort(-self.hits[places], kind="stable")[: CACHE_CHUNKS // 2].tolist()
+        kept = places[best]
+        self.place = {names[i]: k for k, i in enumerate(best)}
+        self.groups, self.links = ([x[i] for i in kept.tolist()] for x in (self.groups, self.links))
+        self.numbers, self.hits = self.numbers[kept], self.hits[kept] // 2
 
     def _learn(self, chunks: list[str]) -> None:
-        all_a = self.a.encode_batch_fast(chunks, add_special_tokens=False)
-        all_b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        for start in range(0, len(chunks), 4096):
-            part = range(start, min(start + 4096, len(chunks)))
-            found = [self._slices(chunks[i], all_a[i].ids, all_b[i]) for i in part]
-            sides = [s for f in found if f for s in f[1:]]
-            codes = self.pairs.codes(sum(sides[::2], []), sum(sides[1::2], [])).tobytes()
-            at = 0
-            for i, f in zip(part, found, strict=True):
-                if f is None:
-                    self.known[chunks[i]] = None
-                    continue
-                n = len(f[1])
-                self.known[chunks[i]] = (f[0], codes[at : at + 4 * n], len(all_a[i].ids), len(all_b[i]), n)
-                at += 4 * n
+        """Groups and links of new chunks, which stand one after the other as one run of bytes."""
+        spaced = [" " + c for c in chunks]
+        wanted = [c.encode() for c in spaced]
+        sides = []
+        all_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        all_b = self.b.encode(chunks, num_threads=1)
+        if "" in chunks:  # a blank at a text's end: the model adds none to nothing
+            all_b[chunks.index("")] = [self.b.piece_to_id("▁")]
+        for found, size in ((all_a, self.size_a), (all_b, self.size_b)):
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            ids = np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
+            sides.append([ids, n, size])
+        # Only chunks whose tokens give back their bytes, on both sides.
+        length = np.fromiter(map(len, wanted), np.int64, len(wanted))
+        fits = np.ones(len(chunks), bool)
+        for ids, n, size in sides:
+            ends = np.cumsum(n)
+            total = np.concatenate([[0], np.cumsum(size[ids])])
+            fits &= total[ends] - total[ends - n] == length
+        for (ids, n, _), tokens in zip(sides, (self.bytes_a, self.bytes_b), strict=True):
+            found = b"".join(map(tokens.__getitem__, ids[np.repeat(fits, n)].tolist()))
+            if found != b"".join(compress(wanted, fits)):
+                at, start = np.concatenate([[0], np.cumsum(length[fits])]), np.flatnonzero(fits)
+                same = [found[at[i] : at[i + 1]] == wanted[k] for i, k in enumerate(start.tolist())]
+                fits[start] = same
+        a, b = (ids[np.repeat(fits, n)] for ids, n, _ in sides)
+        n_a, n_b = (n[fits] for _, n, _ in sides)
+        at_a = dict(zip(np.cumsum(self.size_a[a]).tolist(), range(1, len(a) + 1)))
+        at_b = dict(zip(np.cumsum(self.size_b[b]).tolist(), range(1, len(b) + 1)))
+        common = sorted(at_a.keys() & at_b.keys())
+        # Ends of the slices of both lists: group g holds a[cut_a[g]:cut_a[g + 1]] and b likewise.
+        cut_a = np.array([0, *map(at_a.__getitem__, common)])
+        cut_b = np.array([0, *map(at_b.__getitem__, common)])
+        codes = self.pairs.codes(a[cut_a[1:] - 1], b[cut_b[1:] - 1]).tobytes()
+        # The slices as text: each group's ids of A, then those of B.
+        out = np.empty(len(a) + len(b), object)
+        place_a = np.arange(len(a)) + np.repeat(cut_b[:-1], np.diff(cut_a))
+        place_b = np.arange(len(b)) + np.repeat(cut_a[1:], np.diff(cut_b))
+        out[place_a], out[place_b] = self.text_a[0][a], self.text_b[0][b]
+        last_a, last_b = cut_a[1:] - 1, cut_b[1:] - 1
+        out[place_a[last_a]], out[place_b[last_b]] = self.text_a[1][a[last_a]], self.text_b[1][b[last_b]]
+        # A chunk ends a group; what belongs to it lies between those places.
+        numbers = np.zeros((len(chunks), 3), np.int64)
+        ends = np.searchsorted(cut_a, np.cumsum(n_a))
+        numbers[fits] = np.column_stack([n_a, n_b, np.diff(ends, prepend=0)])
+        stops, last = np.cumsum(numbers[:, 0] + numbers[:, 1]).tolist(), (4 * np.cumsum(numbers[:, 2])).tolist()
+        text, before = out.tolist(), len(self.groups)
+        self.groups += ["".join(text[i:k]) for i, k in zip([0, *stops], stops)]
+        self.links += [codes[i:k] for i, k in zip([0, *last], last)]
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.hits = np.concatenate([self.hits, np.zeros(len(chunks), np.int64)])
+        self.place.update(zip(chunks, range(before, before + len(chunks))))
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, bytes]]:
         """(n_a, n_b, n_groups, groups, links) per text; links are row numbers of ``pairs``."""
-        cut = [self.split(" " + t) if t else [] for t in texts]
-        wanted = {c for chunks in cut for c in chunks}
-        if len(self.known) + len(wanted) > CACHE_CHUNKS:
-            self.known.clear()
-        if missing := list(wanted.difference(self.known)):
+        cut = [self.split(t) if t else [] for t in texts]
+        wanted = set(chain.from_iterable(cut))
+        if len(self.place) + len(wanted.difference(self.place)) > CACHE_CHUNKS:
+            self._forget()
+        if missing := list(wanted.difference(self.place)):
             self._learn(missing)
         for chunks in cut:
-            parts = [self.known[c] for c in chunks]
-            if not parts or None in parts:
+            at = list(map(self.place.__getitem__, chunks))
+            numbers = self.numbers[at]
+            if not at or not numbers[:, 0].all():
                 yield 0, 0, 0, "", b""
                 continue
-            groups, links, n_a, n_b, n = zip(*parts)
-            yield sum(n_a), sum(n_b), sum(n), ";".join(groups), b"".join(links)
-        for c in [c for c in wanted if len(c) > CACHE_LENGTH]:
-            del self.known[c]
+            self.hits[at] += 1
+            n_a, n_b, n = numbers.sum(axis=0).tolist()
+            groups, links = map(self.groups.__getitem__, at), map(self.links.__getitem__, at)
+            yield n_a, n_b, n, "".join(groups)[:-1], b"".join(links)
+        for c in wanted:
+            if len(c) > CACHE_LENGTH:
+                at = self.place.pop(c)
+                self.groups[at], self.links[at] = "", b""
+        if len(self.groups) > 2 * CACHE_CHUNKS:
+            self._forget()
 
 
 @lru_cache(maxsize=2)
