@@ -6,6 +6,7 @@ Every query runs over whole tables of the given folder.
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,32 +14,40 @@ from pyspark.sql import functions as F
 
 from ticketlake import fixtures as fx
 from ticketlake import oracle
+from ticketlake.functions.columns import dedupe_headers as dedupe
 from ticketlake.functions.columns import label_null, ntz
 from ticketlake.operators import audit, cleaning, logs, merge, quality, routing
 from ticketlake.operators.filters import cross_filter
-from ticketlake.plans import ingest, kpi
-from ticketlake.session import materialize
-from ticketlake.sources.landing import read_landing
+from ticketlake.plans import ingest, kpi, log_poll
+from ticketlake.session import materialize, scratch_path
+from ticketlake.sources.landing import from_frame, load_workbooks, only_settled, read_landing
 from ticketlake.sources.loglines import tail_lines
 from ticketlake.spec import CREATED, ORIGIN, UPDATED, TableSpec
+from ticketlake.storage.snapshot import SnapshotTable
+from ticketlake.streaming.landing import replay
 
-try:  # the subpackage and the pipeline may be absent
+try:  # the subpackage and the pipeline, or a library they need, may be absent
     import corpus_pipeline
     from ticketlake.llm import queries as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "ticketlake.llm"):
-        raise
+except ImportError:
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = dt.date(2024, 1, 15)
 STAMP = "2024-06-01 08:00:00"
+LATER = "2024-06-02 08:00:00"
+SETTLED_AT = "2024-01-15 12:00:00"
+ENTRY_DIR = os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001")
 TAIL = 100
 
 
+def _moment(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text)
+
+
 def _stamp():
-    return ntz(dt.datetime.fromisoformat(STAMP))
+    return ntz(_moment(STAMP))
 
 
 def _on_problems(card: Callable[[DataFrame], DataFrame]) -> Query:
@@ -58,6 +67,30 @@ def landing_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, f"{sf_dir}/orders.parquet", "parquet").drop("dt_chegada")
 
 
+def dedupe_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    headers = fx.header_rows(spark, sf_dir)
+    return headers.select("o_custkey", F.posexplode(dedupe("cabecalho")).alias("posicao", "nome"))
+
+
+def landing_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landing = fx.mixed_layouts(spark, sf_dir)
+    resolved = ingest.resolve_layouts(landing.layouts, fx.SPEC)
+    rows, columns = ingest.project_landing(landing, fx.SPEC, resolved)
+    return rows.select(*columns, ORIGIN)
+
+
+def workbook_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_workbooks(fx.workbooks(spark, sf_dir), fx.SPEC.sheet).to_frame().drop("dt_chegada")
+
+
+def settled_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as files with a size and a time, some of them empty or still warm."""
+    files = fx.read(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") % 5).alias("length"), F.col("ts").cast("timestamp_ntz").alias("dt_chegada")
+    )
+    return only_settled(files, now=ntz(_moment(SETTLED_AT))).select("event_id", "length")
+
+
 def _file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file name per run, with prefixes and endings of several kinds."""
     n = F.col("id_log")
@@ -187,6 +220,36 @@ def schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after a large and a small batch, each of which rewrote its own buckets."""
+    table = SnapshotTable(scratch_path(spark, "snapshot"), fx.SPEC, buckets=16)
+    table.publish(fx.merge_target(spark, sf_dir), "inicio", _moment("2024-01-01"))
+    batches = {STAMP: clean_rows(spark, sf_dir).drop("status_30_04"), LATER: fx.reopened(spark, sf_dir)}
+    for stamp, rows in batches.items():
+        ts, tasks = _moment(stamp), table.tasks(spark)
+        touched = table.touched(rows)
+        version, part = table.part(spark, touched)
+        sides = [side.repartition(tasks, F.col("numero")) for side in (part, rows)]
+        merged = merge.merge_upsert(*sides, "numero", ntz(ts))
+        folder = table.write(merged, version + 1)
+        table.commit(spark, version, folder, stamp, ts, merge.production_rows(merged).schema, touched)
+    return table.current(spark)[1].select(
+        "numero", "prioridade", "titulo", "dt_abertura", "status", "gerente_responsavel", ORIGIN, CREATED, UPDATED
+    )
+
+
+def batch_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after one batch was handed in twice."""
+    folder = scratch_path(spark, "retry")
+    table = SnapshotTable(f"{folder}/table", fx.SPEC, buckets=8)
+    for stamp in (STAMP, LATER):
+        landing = from_frame(fx.landing_rows(spark, sf_dir), ntz(_moment("2024-05-01")))
+        ingest.ingest_batch(spark, landing, table, f"{folder}/audit", "lote", _moment(stamp))
+    return table.current(spark)[1].select(
+        "numero", "status", "dt_abertura", "status_30_04", ORIGIN, CREATED, UPDATED
+    )
+
+
 # Audit ------------------------------------------------------------------------------------
 def _batch_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = materialize(_flagged(fx.faulty_landing_rows(spark, sf_dir)), "staging")
@@ -209,7 +272,13 @@ def file_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.replay_tally(_batch_runs(spark, sf_dir))
+    """The faulty files, written as delimited files of one folder each, loaded again."""
+    folder = scratch_path(spark, "replay")
+    rows = fx.faulty_landing_rows(spark, sf_dir)
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.repartition(F.col(ORIGIN)).write.partitionBy(ORIGIN).options(**options).csv(f"{folder}/erros")
+    table = SnapshotTable(f"{folder}/table", fx.SPEC, buckets=8)
+    return replay(spark, f"{folder}/erros", table, f"{folder}/audit", "1", _moment(STAMP), fmt="csv")
 
 
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,6 +320,17 @@ def log_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.extract_events(lines, mark)
 
 
+def event_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captured events of two polls, the second of which saw more files."""
+    folder = scratch_path(spark, "events")
+    lines = fx.log_lines(spark, sf_dir)
+    first = logs.extract_events(lines.filter(F.col("log_file") <= F.lit(DAY)))
+    log_poll.append_events(spark, first, folder, "1", _moment(STAMP))
+    mark = logs.high_water(log_poll.read_events(spark, folder)).first()[0]
+    log_poll.append_events(spark, logs.extract_events(lines, mark), folder, "2", _moment(LATER))
+    return log_poll.read_events(spark, folder).drop("id_lote")
+
+
 def log_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.log_alert(_events(spark, sf_dir))
 
@@ -277,6 +357,9 @@ def _filtered(card: str) -> Query:
     return lambda spark, sf_dir: kpi.filtered(card, fx.problems(spark, sf_dir), **FILTERS[card])
 
 
+DASHBOARD = {"jornada_impactada": "ASIA", "prioridade": "P2"}
+
+
 def _cross_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     params = {**cross_filter("by_journey", "Não informado"), **cross_filter("by_priority", "P1")}
     return kpi.filtered("by_status", fx.problems(spark, sf_dir), **params)
@@ -284,13 +367,17 @@ def _cross_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Problems and open problems per journey."""
-    return kpi.count_open_by(fx.problems(spark, "/root/testdata/sf0.001"), "jornada_impactada")
+    return kpi.count_open_by(fx.problems(spark, ENTRY_DIR), "jornada_impactada")
 
 
 def queries() -> dict[str, Query]:
     """One query per operator; each takes the session and the table folder."""
     result: dict[str, Query] = {
         "landing_read": landing_read,
+        "landing_layouts": landing_layouts,
+        "dedupe_headers": dedupe_headers,
+        "workbook_read": workbook_read,
+        "settled_files": settled_files,
         "route_by_prefix": route_by_prefix,
         "sanitize_names": sanitize_names,
         "clean_rows": clean_rows,
@@ -303,6 +390,8 @@ def queries() -> dict[str, Query]:
         "merge_sequence": merge_sequence,
         "sequence_actions": sequence_actions,
         "schema_evolve": schema_evolve,
+        "snapshot_merge": snapshot_merge,
+        "batch_retry": batch_retry,
         "audit_rows": audit_rows,
         "file_disposition": file_disposition,
         "replay_tally": replay_tally,
@@ -330,6 +419,8 @@ def queries() -> dict[str, Query]:
         "log_high_water": log_high_water,
         "log_incremental": log_incremental,
         "log_alert": log_alert,
+        "event_append": event_append,
+        "dashboard_filtered": _on_problems(lambda df: kpi.dashboard_counts(df, **DASHBOARD)),
     }
     for name in ("by_status", "by_priority", "by_manager", "by_department", "by_system"):
         result[f"card_{name}"] = _on_problems(kpi.BASIC_CARDS[name])
@@ -347,6 +438,7 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     """The same results in SQL over the same tables."""
     result = oracle.statements(DAY, STAMP, TAIL, FILTERS)
+    result |= oracle.more_statements(DAY, STAMP, LATER, SETTLED_AT, DASHBOARD, fx.BOOK_ROWS)
     if llm is not None:
         result |= llm.oracle_sql()
         if corpus_pipeline.ORACLE_SQL is not None:

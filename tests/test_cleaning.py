@@ -15,9 +15,8 @@ def frame(spark, columns, *rows):
 
 def test_column_steps(spark):
     df = frame(spark, [" ", " .1", "Status", "Novo (x)"], ("a", "b", "c", "d"))
-    assert cleaning.drop_columns(df, [" ", " .9"]).columns == [" .1", "Status", "Novo (x)"]
-    named = cleaning.rename(cleaning.drop_columns(df, PROBLEMS.drop), PROBLEMS.rename)
-    assert named.columns == ["status", "Novo (x)"]
+    assert cleaning.map_names(df, PROBLEMS).columns == ["status", "novo_x"]
+    named = frame(spark, ["status", "Novo (x)"], ("c", "d"))
     assert cleaning.sanitize_columns(named, ["status"]).columns == ["status", "novo_x"]
     with pytest.raises(ValueError):
         cleaning.sanitize_columns(frame(spark, ["a b", "a-b"], ("1", "2")))
@@ -26,11 +25,9 @@ def test_column_steps(spark):
 
 
 def test_row_steps(spark):
-    df = frame(spark, ["a", "b"], ("N/A", "x"), ("", None), ("y", "nan"))
-    nulls = cleaning.null_tokens(df)
-    assert [tuple(r) for r in nulls.collect()] == [(None, "x"), (None, None), ("y", None)]
-    assert cleaning.drop_empty(nulls, ["a", "b"]).count() == 2
-    assert cleaning.with_origin(df, F.lit("f")).first()[ORIGIN] == "f"
+    df = frame(spark, ["a", "b", ORIGIN], ("N/A", "x", "f"), ("", None, "f"), ("y", "nan", "f"))
+    kept = cleaning.clean(df)
+    assert [tuple(r) for r in kept.collect()] == [(None, "x", "f"), ("y", None, "f")]
 
 
 def test_flags_and_counts(spark):

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.functions import columns as C
-from ticketlake.functions.names import dedupe_headers, resolve_names, sanitize_name
-from ticketlake.spec import NULL_TOKENS, PROBLEMS
+from ticketlake.functions.names import resolve_names, sanitize_name
+from ticketlake.operators.cleaning import BAD_KEY, KEPT, flag_rows
+from ticketlake.spec import NANOSECOND_DATES, NULL_TOKENS, PROBLEMS
 
 
 def values(spark, texts, expression):
@@ -18,9 +19,17 @@ def values(spark, texts, expression):
     return [r[0] for r in frame.orderBy("i").select(expression).collect()]
 
 
-def test_headers_get_numbers_and_positions():
-    assert dedupe_headers([" ", "a", " ", "", " ", None]) == [" ", "a", " .1", "Unnamed: 3", " .2", "Unnamed: 5"]
-    assert dedupe_headers(["a", "a.1", "a"]) == ["a", "a.1", "a.2"]
+def test_headers_get_numbers_and_positions(spark):
+    rows = {
+        1: ([" ", "a", " ", "", " ", None], [" ", "a", " .1", "Unnamed: 3", " .2", "Unnamed: 5"]),
+        2: (["a", "a.1", "a", "a"], ["a", "a.1", "a.2", "a.3"]),
+        3: (["Unnamed: 1", ""], ["Unnamed: 1", "Unnamed: 1.1"]),
+        4: ([], []),
+        5: (None, None),
+    }
+    frame = spark.createDataFrame([(i, header) for i, (header, _) in rows.items()], "i int, h array<string>")
+    found = {r.i: r.n for r in frame.select("i", C.dedupe_headers("h").alias("n")).collect()}
+    assert found == {i: names for i, (_, names) in rows.items()}
 
 
 def test_sanitize():
@@ -60,7 +69,14 @@ def test_norm_text(spark):
 def test_dates(spark):
     texts = ["2024-04-01 00:00:00", "2024-04-01", "01/04/2024", "foo", "2024-02-30", "9999-01-01", "13/13/2024", None]
     day = dt.date(2024, 4, 1)
-    assert values(spark, texts, C.coerce_date("c")) == [day, day, dt.date(2024, 1, 4), None, None, None, None, None]
+    far = dt.date(9999, 1, 1)
+    assert values(spark, texts, C.coerce_date("c")) == [day, day, dt.date(2024, 1, 4), None, None, far, None, None]
+    assert values(spark, texts, C.coerce_date("c", bounds=NANOSECOND_DATES))[5] is None
+    odd = [" 2024-04-01\t", "2024-04-01 24:00:00", "2024-04-01 23:59:60", "2024-4-1", "2024-04-01x", "20240401", "2024", ""]
+    assert values(spark, odd, C.coerce_date("c")) == [day] + [None] * 7
+    other = ["01.04.2024", "2024-04-01", "Apr 1, 2024"]
+    assert values(spark, other, C.coerce_date("c", ["dd.MM.yyyy"])) == [day, None, None]
+    assert values(spark, other, C.coerce_date("c", ["MMM d, yyyy"])) == [None, None, day]
 
 
 def test_keys(spark):
@@ -68,10 +84,16 @@ def test_keys(spark):
              "-Infinity", "3000000000", "2147483647", "-2147483648", "+4", "."]
     expected = [12, 12, -3, 7, 1000, 0, 5, None, None, None, None, None, None, None,
                 None, None, 2147483647, -2147483648, 4, None]
-    assert values(spark, texts, C.coerce_key("c")) == expected
-    bad = values(spark, texts, C.key_out_of_range("c", T.IntegerType()))
-    assert [t for t, b in zip(texts, bad) if b] == ["inf", "-Infinity", "3000000000"]
-    assert values(spark, ["3000000000"], C.coerce_key("c", T.LongType())) == [3000000000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_i int, numero string")
+    rows = flag_rows(frame, PROBLEMS, ["numero"]).orderBy("_i").collect()
+    assert [r.numero for r in rows] == expected
+    assert [t for t, r in zip(texts, rows) if r[BAD_KEY]] == ["inf", "-Infinity", "3000000000"]
+    assert [r[KEPT] for r in rows] == [e is not None or r[BAD_KEY] for e, r in zip(expected, rows)]
+    long = ["3000000000", "9223372036854775807", "-9223372036854775808", "9223372036854775808", "9007199254740993.0"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(long)], "_i int, numero string")
+    rows = flag_rows(frame, PROBLEMS.with_key_type(T.LongType()), ["numero"]).orderBy("_i").collect()
+    assert [r.numero for r in rows] == [3000000000, 2**63 - 1, -(2**63), None, 9007199254740993]
+    assert [r[BAD_KEY] for r in rows] == [False, False, False, True, False]
 
 
 def test_open_and_rank(spark):

@@ -1,6 +1,7 @@
 """Landing formats, checks, merge rules, batches and streams."""
 
 import datetime as dt
+import itertools
 import os
 import time
 
@@ -10,11 +11,14 @@ from pyspark.sql import functions as F
 from books import write_book
 from ticketlake.operators import merge, quality, routing
 from ticketlake.operators.audit import unknown_table_alerts
-from ticketlake.plans.ingest import ingest_batch, read_audit
+from ticketlake.plans.ingest import ingest_batch, project_landing, read_audit, resolve_layouts
+from ticketlake.session import Scratch
 from ticketlake.sources import landing as L
 from ticketlake.sources.workbook import sheet_rows, workbook_files
-from ticketlake.spec import ORIGIN, PROBLEMS, TableSpec
+from ticketlake.spec import ORIGIN, PATH, PROBLEMS, TableSpec
 from ticketlake.storage.snapshot import ConcurrentCommit, SnapshotTable
+from ticketlake.streaming import landing as stream
+from ticketlake.streaming import settled
 from ticketlake.streaming.landing import apply_batch, ingest_delimited, replay, stream_landing
 
 TS = [dt.datetime(2024, 5, d) for d in range(1, 9)]
@@ -124,7 +128,7 @@ def test_route(spark):
     assert [(r.prefixo, r.tabela) for r in ok.collect()] == [("ab", "t1")]
     assert [r[ORIGIN] for r in ignored.collect()] == ["xab.xlsx"]
     alert = unknown_table_alerts(unknown, F.lit(TS[0])).first()
-    assert alert.nm_arquivo == "Z1.xlsx" and '"missing"' in alert.ds_mensagem
+    assert alert.nm_arquivo == "Z1.xlsx" and "missing" in alert.ds_mensagem and "Z1.xlsx" in alert.ds_mensagem
 
 
 # Merge rules ------------------------------------------------------------------------------------
@@ -358,24 +362,54 @@ def test_snapshots(spark, tmp_path):
         df = quality.to_staging(rows, PROBLEMS.production_schema())
         assert table.publish(df, f"b{i}", TS[0]) == i + 1
     assert table.publish(df, "b0", TS[0]) == 1
-    assert table.expire(spark) == [1, 2]
+    assert [f[:3] for f in table.expire(spark)] == ["v=1", "v=2"]
     version, current = table.current(spark)
     assert version == 4 and [r.numero for r in current.collect()] == [3]
-    for known in spark.catalog.listTables():  # another session sees the files only
-        if known.name.startswith("snapshot_"):
-            spark.sql(f"DROP TABLE {known.name}")
-    assert [r.numero for r in table.current(spark)[1].collect()] == [3]
+    assert table.publish(df.limit(0), "none", TS[0]) == 5
+    assert table.current(spark)[1].collect() == []
 
 
-def test_merge_into_snapshot_shuffles_only_the_batch(spark, tmp_path):
-    table = SnapshotTable(str(tmp_path / "s"), buckets=4)
+def folders_of(df):
+    return {f.split("/data/")[1].split("/part-")[0] for f in df.inputFiles()}
+
+
+def test_a_batch_writes_and_reads_only_the_buckets_it_touches(spark, tmp_path, store):
+    table, audit = SnapshotTable(str(tmp_path / "s"), buckets=8), str(tmp_path / "audit")
+    df = quality.to_staging(spark.range(200).selectExpr("cast(id as int) numero"), PROBLEMS.production_schema())
+    table.publish(df, "b", TS[0])
+    before = folders_of(table.current(spark)[1])
+    assert len(before) == 8
+    path = csv_file(tmp_path, "gproblemas_1.csv", ["Número,Status", "5,novo", "6,novo"])
+    result = ingest_delimited(spark, path, table, audit, "1", TS[1])
+    assert result.totals["qt_atualizadas"] == 2 and result.totals["qt_inseridas"] == 0
+    touched = table.touched(spark.createDataFrame([(5,), (6,)], "numero int"))
+    after = folders_of(table.current(spark)[1])
+    assert len(after) == 8 and len(after - before) == len(touched) < 8
+    assert {f.split("=")[-1] for f in after - before} == {str(b) for b in touched}
+    assert folders_of(table.part(spark, touched)[1]) == after - before
+    rows = table_rows(spark, table, "status", "dt_atualizacao")
+    assert len(rows) == 200 and rows[5] == ("novo", TS[1]) and rows[7] == (None, None)
+
+    # Shared folders outlive the version that wrote them; replaced ones go.
+    assert table.expire(spark, keep=2) == []
+    gone = table.expire(spark, keep=1)
+    assert set(gone) == before - after
+    assert len(table_rows(spark, table)) == 200
+
+
+def test_a_large_batch_is_not_shuffled_again_for_its_buckets(spark, tmp_path):
+    table = SnapshotTable(str(tmp_path / "s"), buckets=3)
     df = quality.to_staging(spark.range(100).selectExpr("cast(id as int) numero"), PROBLEMS.production_schema())
     table.publish(df, "b", TS[0])
-    _, current = table.current(spark)
-    merged = merge.merge_upsert(current, df.select("numero", "status"), "numero", F.lit(TS[1]))
+    tasks = table.tasks(spark)
+    assert tasks == 6
+    _, part = table.part(spark, [0, 1])
+    sides = [side.repartition(tasks, F.col("numero")) for side in (part, df.select("numero", "status"))]
+    merged = merge.merge_upsert(*sides, "numero", F.lit(TS[1]))
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("hashpartitioning") == 1 and "Bucketed: true" in plan
-    assert merged.count() == 100
+    assert plan.count("hashpartitioning") == 2
+    per_task = merged.select(F.spark_partition_id().alias("t"), table.bucket(spark).alias("b")).distinct()
+    assert per_task.groupBy("t").count().agg(F.max("count")).first()[0] == 1
 
 
 def test_landing_stream(spark, tmp_path, store):
@@ -388,7 +422,7 @@ def test_landing_stream(spark, tmp_path, store):
 
     def run():
         stream_landing(
-            spark, str(folder), str(tmp_path / "cp"), table, audit, specs,
+            spark, str(folder), str(tmp_path / "cp"), table, audit, specs, settle_seconds=0.1,
             on_alerts=lambda rows: alerts.extend(r.nm_arquivo for r in rows.collect()),
         ).awaitTermination()
 
@@ -489,7 +523,7 @@ def test_stream_survives_a_batch_without_readable_workbooks(spark, tmp_path, sto
     folder.mkdir()
 
     def run():
-        stream_landing(spark, str(folder), str(tmp_path / "cp"), table, audit).awaitTermination()
+        stream_landing(spark, str(folder), str(tmp_path / "cp"), table, audit, settle_seconds=0.1).awaitTermination()
 
     (folder / name).write_bytes(b"broken")
     run()
@@ -508,6 +542,221 @@ def test_commit_without_data_keeps_the_bucket_count(spark, tmp_path):
     other = SnapshotTable(path, buckets=16)
     other.commit(spark, 1, None, "b", TS[1])
     assert {r.qt_baldes for r in other.commits(spark).collect()} == {4}
-    _, current = other.current(spark)
-    merged = merge.merge_upsert(current, df.select("numero", "status"), "numero", F.lit(TS[1]))
-    assert merged.count() == 200
+    assert other.publish(df, "c", TS[1]) == 2
+    assert len(folders_of(other.current(spark)[1])) == 4
+    assert other.current(spark)[1].count() == 200
+
+
+# Identity, several tables, settling -------------------------------------------------------------
+OTHER = TableSpec(
+    prefix="gmudancas", table="tb_mudancas", key="numero", sheet=1,
+    columns=(*PROBLEMS.columns[:1], *(c for c in PROBLEMS.columns if c.name in ("status", ORIGIN))),
+    rename={"Número": "numero", "Status": "status"},
+)
+
+
+def two_tables(tmp_path):
+    return [SnapshotTable(str(tmp_path / "t1"), buckets=2), SnapshotTable(str(tmp_path / "t2"), OTHER, buckets=2)]
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path, store):
+    table, audit = store
+    for i, rows in enumerate((["1,a", "2,a"], ["2,b", "3,b", "x,b"])):
+        (tmp_path / str(i)).mkdir()
+        csv_file(tmp_path / str(i), "gproblemas.csv", ["Número,Status", *rows], age=50 - 10 * i)
+    result = ingest_delimited(spark, [str(tmp_path / "0"), str(tmp_path / "1")], table, audit, "b", TS[0])
+    runs = sorted((r.nm_caminho[-16:], r.qt_linhas_recebidas, r.qt_linhas_inseridas) for r in read_audit(spark, audit).collect())
+    assert runs == [("0/gproblemas.csv", 2, 2), ("1/gproblemas.csv", 3, 2)]
+    assert table_rows(spark, table, "status") == {1: ("a",), 2: ("b",), 3: ("b",)}
+    assert result.totals["qt_inseridas"] == 3 and result.totals["qt_atualizadas"] == 0
+
+
+def test_two_tables_and_a_crash_between_their_commits(spark, tmp_path, monkeypatch):
+    tables, audit, folder = two_tables(tmp_path), str(tmp_path / "audit"), tmp_path / "in"
+    folder.mkdir()
+    write_book(folder / "gproblemas_1.xlsx", [HEADER, ["1", "P1", "Aberto"]])
+    write_book(folder / "gmudancas_1.xlsx", [["Número", "Status", "Só aqui"], ["7", "s", "t"], ["8", "s", None]])
+    specs, commit, seen = [PROBLEMS, OTHER], SnapshotTable.commit, []
+
+    def crash(self, *args, **kwargs):
+        if self.spec is OTHER and not seen:
+            seen.append(1)
+            raise RuntimeError("lost")
+        return commit(self, *args, **kwargs)
+
+    def run():
+        stream_landing(
+            spark, str(folder), str(tmp_path / "cp"), tables, audit, specs, settle_seconds=0.1
+        ).awaitTermination()
+
+    monkeypatch.setattr(SnapshotTable, "commit", crash)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert set(table_rows(spark, tables[0])) == {1} and tables[1].current(spark)[0] == 0
+    assert [r.nm_arquivo for r in read_audit(spark, audit).collect()] == ["gproblemas_1.xlsx"]
+    run()
+    assert table_rows(spark, tables[1], "status", "s_aqui") == {7: ("s", "t"), 8: ("s", None)}
+    assert "s_aqui" not in tables[0].current(spark)[1].columns
+    assert [t.current(spark)[0] for t in tables] == [1, 1]
+    runs = sorted((r.nm_arquivo, r.nm_tabela_destino, r.qt_linhas_inseridas) for r in read_audit(spark, audit).collect())
+    assert runs == [("gmudancas_1.xlsx", "tb_mudancas", 2), ("gproblemas_1.xlsx", "tb_problemas_gov_ti", 1)]
+
+
+def test_a_growing_file_is_ingested_once_and_whole(spark, tmp_path, store, monkeypatch):
+    table, audit = store
+    folder = tmp_path / "in"
+    folder.mkdir()
+    whole = write_book(tmp_path / "whole.xlsx", [HEADER, *[[str(i), "P1", "Aberto"] for i in range(50)]])
+    content = open(whole, "rb").read()
+    path = folder / "gproblemas_1.xlsx"
+
+    def run(**options):
+        stream_landing(
+            spark, str(folder), str(tmp_path / "cp"), table, audit, settle_seconds=0.1, **options
+        ).awaitTermination()
+
+    def while_copied(spark, directory, sightings, glob, seconds):
+        """The file grows between the two looks."""
+        for part in (content[:500], content[:1500]):
+            path.write_bytes(part)
+            settled.sight(spark, directory, sightings, glob)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(stream, "look", while_copied)
+        run()
+    assert table.current(spark)[0] == 0 and read_audit(spark, audit).count() == 0
+    path.write_bytes(content)
+    run()
+    run()
+    assert len(table_rows(spark, table)) == 50
+    assert [(r.ds_status, r.qt_linhas_recebidas) for r in read_audit(spark, audit).collect()] == [("sucesso", 50)]
+    # The same content under the same path is known, also if its time changes; other content is new.
+    os.utime(path, (1_800_000_000,) * 2)
+    run()
+    assert read_audit(spark, audit).count() == 1
+    write_book(path, [HEADER, ["99", "P1", "Aberto"]])
+    run(archive_dir=str(tmp_path / "archive"))
+    assert len(table_rows(spark, table)) == 51 and not path.exists()
+    kept = [p.name for p in (tmp_path / "archive").rglob("*.xlsx")]
+    assert kept == ["gproblemas_1.xlsx"]
+
+
+def test_archive_leaves_unrouted_files_alone(spark, tmp_path, store):
+    table, audit = store
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write_book(folder / "gproblemas_1.xlsx", [HEADER, ["1", "P1", "Aberto"]])
+    (folder / "gproblemas_2.xlsx").write_bytes(b"broken")
+    write_book(folder / "outro.xlsx", [HEADER, ["2", "P1", "Aberto"]])
+    stream_landing(
+        spark, str(folder), str(tmp_path / "cp"), table, audit, settle_seconds=0.1, archive_dir=str(tmp_path / "done")
+    ).awaitTermination()
+    assert [p.name for p in folder.iterdir()] == ["outro.xlsx"]
+    moved = {p.name: p.parent.name for p in (tmp_path / "done").rglob("*.xlsx")}
+    assert moved["gproblemas_2.xlsx"] == "erros" and len(moved) == 2
+
+
+def test_replay_counts_files_that_no_table_takes(spark, tmp_path, store):
+    table, audit = store
+    folder = tmp_path / "erros"
+    folder.mkdir()
+    write_book(folder / "gproblemas_1.xlsx", [HEADER, ["1", "P1", "Aberto"]])
+    write_book(folder / "outro.xlsx", [HEADER, ["2", "P1", "Aberto"]])
+    assert tuple(replay(spark, str(folder), table, audit, "1", TS[0]).first()) == (1, 1)
+    assert tuple(replay(spark, str(folder / "outro.xlsx"), table, audit, "2", TS[0]).first()) == (0, 1)
+
+
+def test_runs_of_a_refused_batch_stay_hidden(spark, tmp_path, store, monkeypatch):
+    table, audit = store
+    commit = SnapshotTable.commit
+    first = csv_file(tmp_path, "gproblemas_1.csv", ["Número,Status", "1,a"])
+
+    def refuse(self, spark, base, *args):
+        return commit(self, spark, base - 1, *args)
+
+    monkeypatch.setattr(SnapshotTable, "commit", refuse)
+    with pytest.raises(ConcurrentCommit):
+        ingest_delimited(spark, first, table, audit, "a", TS[0])
+    assert read_audit(spark, audit).count() == 0
+    monkeypatch.setattr(SnapshotTable, "commit", commit)
+    second = csv_file(tmp_path, "gproblemas_2.csv", ["Número,Status", "2,a"])
+    ingest_delimited(spark, second, table, audit, "b", TS[0])
+    assert [(r.id_log, r.nm_arquivo) for r in read_audit(spark, audit).collect()] == [(1, "gproblemas_2.csv")]
+
+
+def test_seconds_are_those_of_the_file(spark, tmp_path, store):
+    table, audit = store
+    large = ["Número,Status"] + [f"{i},a" for i in range(2000)]
+    csv_file(tmp_path, "gproblemas_1.csv", large)
+    csv_file(tmp_path, "gproblemas_2.csv", ["Número,Status", "9001,a"])
+    result = ingest_delimited(spark, str(tmp_path / "*.csv"), table, audit, "b", TS[0])
+    seconds = {r.nm_arquivo: float(r.tm_duracao_seg) for r in result.runs.collect()}
+    assert seconds["gproblemas_1.csv"] > 10 * seconds["gproblemas_2.csv"]
+
+
+# Layouts and line breaks ------------------------------------------------------------------------
+def test_more_layouts_than_any_bound(spark):
+    n, names = 20_001, ("Número", "Status", "Título", "Sistema", "Paliativo", "Impacto", "Prioridade", "Descrição")
+    headers = list(itertools.islice(itertools.permutations(names), n))
+    rows = [(f"f{i}", TS[0], [str(i) if c == "Número" else c.lower() for c in h], list(h)) for i, h in enumerate(headers)]
+    named = spark.createDataFrame(
+        rows, f"{PATH} string, {L.ARRIVAL} timestamp_ntz, {L.CELLS} array<string>, cabecalho array<string>"
+    ).withColumn(ORIGIN, F.col(PATH))
+    landing = L.finished(named.drop("cabecalho"), L.file_rows(named.drop(L.CELLS)), Scratch())
+    assert landing.layouts.count() == n
+    found, columns = project_landing(landing, PROBLEMS, resolve_layouts(landing.layouts, PROBLEMS))
+    assert len(columns) == len(names)
+    totals = found.agg(F.countDistinct("numero"), F.min("status"), F.max("status"), F.min("impacto"), F.max("impacto"))
+    assert tuple(totals.first()) == (n, "status", "status", "impacto", "impacto")
+
+
+def test_surplus_cells_fail_their_file_only(spark, tmp_path, store):
+    table, audit = store
+    csv_file(tmp_path, "gproblemas_1.csv", ["Número,Status", "1,a,sobra", "2,b,,,"])
+    csv_file(tmp_path, "gproblemas_2.csv", ["Número,Status,Título", "3,a,t", '4,"a, b",t,,'])
+    csv_file(tmp_path, "gproblemas_3.csv", ["Número,Status", "5,a,,,,lá longe"])
+    result = ingest_delimited(spark, str(tmp_path / "*.csv"), table, audit, "b", TS[0])
+    assert {n: r[3] for n, r in audit_of(result).items()} == {
+        "gproblemas_1.csv": "falha", "gproblemas_2.csv": "sucesso", "gproblemas_3.csv": "falha"}
+    assert table_rows(spark, table, "status") == {3: ("a",), 4: ("a, b",)}
+    errors = {r.nm_arquivo: r.ds_erro for r in result.runs.collect()}
+    assert "mais células" in errors["gproblemas_1.csv"]
+    with pytest.raises(Exception, match="mais células"):
+        L.read_landing(spark, str(tmp_path / "gproblemas_1.csv"), "csv").collect()
+
+
+def test_quoted_line_breaks_survive(spark, tmp_path, store):
+    table, audit = store
+    csv_file(tmp_path, "gproblemas_1.csv", ['Número,Status,"Tít""ulo"', '1,"Em', 'andamento",x', '2,"a ""b""",y'])
+    csv_file(tmp_path, "gproblemas_2.csv", ["Status,Número", "Aberto,3", '"c ""d""",4'])
+    csv_file(tmp_path, "gproblemas_3.csv", ['"Sta', 'tus",Número,Status', '"q', 'r",5,s'])
+    for multi_line in (None, True):
+        df = L.read_landing(spark, str(tmp_path / "*.csv"), "csv", multi_line=multi_line)
+        got = {r["Número"]: (r["Status"], r['Tít"ulo'], r["Sta\ntus"]) for r in df.collect()}
+        assert got == {
+            "1": ("Em\nandamento", "x", None), "2": ('a "b"', "y", None), "3": ("Aberto", None, None),
+            "4": ('c "d"', None, None), "5": ("s", None, "q\nr")}
+    result = ingest_delimited(spark, str(tmp_path / "*.csv"), table, audit, "b", TS[0])
+    assert {r[3] for r in audit_of(result).values()} == {"sucesso"}
+    assert table_rows(spark, table, "status")[1] == ("Em\nandamento",)
+
+
+def test_delimited_options(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("\ufeff'N;m';Céu\r\n1;'x;y'\r\n\r\n2;z\r\n".encode("latin-1", "ignore"))
+    df = L.read_landing(spark, str(tmp_path / "a.csv"), "csv", sep=";", quote="'", encoding="ISO-8859-1")
+    assert sorted((r["N;m"], r["Céu"]) for r in df.collect()) == [("1", "x;y"), ("2", "z")]
+    (tmp_path / "b.csv").write_bytes("\ufeffNúmero,B\n\n7,é\n".encode())
+    df = L.read_landing(spark, str(tmp_path / "b.csv"), "csv")
+    assert [(r["Número"], r["B"]) for r in df.collect()] == [("7", "é")]
+    (tmp_path / "c.csv").write_text("")
+    assert L.read_landing(spark, str(tmp_path / "c.csv"), "csv").count() == 0
+
+
+def test_parquet_files_whose_types_do_not_go_together(spark, tmp_path, store):
+    table, audit = store
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(1, "a")], "`Número` int, `Status` string").coalesce(1).write.parquet(path)
+    spark.createDataFrame([("2", 5)], "`Número` string, `Prioridade` int").coalesce(1).write.mode("append").parquet(path)
+    result = ingest_batch(spark, L.load_parquet(spark, path), table, audit, "b", TS[0])
+    assert {r[3] for r in audit_of(result).values()} == {"sucesso"}
+    assert table_rows(spark, table, "status", "prioridade") == {1: ("a", None), 2: (None, "5")}

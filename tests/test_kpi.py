@@ -78,6 +78,23 @@ def test_cross_filter(problems):
     assert set(kpi.dashboard(problems, **params)) == set(kpi.EXEC_CARDS)
 
 
+@pytest.mark.parametrize("params", [{}, {"status": "aberto"}, {"prioridade": "none such"}])
+def test_dashboard_equals_its_cards(problems, params):
+    cards = kpi.dashboard(problems, **params)
+    for name, card in cards.items():
+        single = kpi.filtered(name, problems, **params)
+        assert card.columns == single.columns
+        assert sorted(map(repr, card.collect())) == sorted(map(repr, single.collect())), name
+
+
+def test_dashboard_scans_its_table_once(problems, tmp_path):
+    path = str(tmp_path / "p")
+    problems.write.parquet(path)
+    counts = kpi.dashboard_counts(problems.sparkSession.read.parquet(path), paliativo="Sim")
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_filtered_table_keeps_closed_rows(problems):
     assert kpi.filtered("open_table", problems).count() == 5
 

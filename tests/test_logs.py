@@ -4,12 +4,14 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticketlake.operators import logs
 from ticketlake.operators.audit import log_alert
 from ticketlake.operators.lookup import number_rows
 from ticketlake.plans.log_poll import poll_logs, read_events
 from ticketlake.sources.loglines import read_log_lines, tail_lines
+from ticketlake.streaming.growing_logs import stream_growing_logs
 from ticketlake.streaming.logs import stream_logs
 
 HEAD = "2026-05-04 12:01:{:02d},116 {} mod.a :: {}"
@@ -95,10 +97,11 @@ def test_alert(spark):
 def test_numbers_of_a_large_group(spark):
     data = [("a" if i % 10 else "b", i * 7919 % 1000, i) for i in range(1000)]
     df = spark.createDataFrame(data, "g string, o int, i int")
+    block = F.floor(F.col("o") / 50)
     plain = number_rows(df, ["o", "i"], "n", ["g"])
-    split = number_rows(df, ["o", "i"], "n", ["g"], window_rows=10)
+    split = number_rows(df, ["o", "i"], "n", ["g"], block)
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
-    whole = number_rows(df.drop("g"), ["o", "i"], "n", window_rows=10)
+    whole = number_rows(df.drop("g"), ["o", "i"], "n", block=block)
     assert [r.n for r in whole.orderBy("o", "i").collect()] == list(range(1, 1001))
 
 
@@ -149,3 +152,54 @@ def test_stream_of_closed_files(spark, tmp_path):
     (folder / "2.log").write_text(HEAD.format(1, "ERROR", "early") + "\n")
     stream_logs(spark, str(folder), str(tmp_path / "cp"), events).awaitTermination()
     assert sorted(r.mensagem for r in read_events(spark, events).collect()) == ["early", "late"]
+
+
+def growing(spark, tmp_path, **options):
+    """One poll of the folder's growing files; rows that the source read."""
+    query = stream_growing_logs(
+        spark, str(tmp_path / "logs"), str(tmp_path / "cp"), str(tmp_path / "events"), **options
+    )
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def captured(spark, tmp_path):
+    rows = read_events(spark, str(tmp_path / "events")).collect()
+    return sorted((r.nivel, r.mensagem) for r in rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_polls_of_growing_files_equal_one_poll(spark, tmp_path, seed):
+    """Files that grow by any number of bytes, in the middle of stacks and of lines."""
+    rng = random.Random(seed)
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    texts = {f"{name}.log": random_lines(seed * 10 + i, 120) for i, name in enumerate("ab")}
+    data = {name: ("\r\n" if name == "b.log" else "\n").join([*lines, "end", ""]).encode() for name, lines in texts.items()}
+    cuts = {name: sorted(rng.sample(range(1, len(d)), 3)) + [len(d)] for name, d in data.items()}
+    for poll in range(4):
+        for name, d in data.items():
+            (folder / name).write_bytes(d[: cuts[name][poll]])
+        growing(spark, tmp_path, blockBytes=700)
+    want = [(level, text) for lines in texts.values() for _, level, text in expected_events(lines)]
+    assert captured(spark, tmp_path) == sorted(want)
+
+
+def test_a_poll_reads_only_new_lines_and_old_events_go_out(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    log = folder / "a.log"
+    log.write_text(HEAD.format(1, "ERROR", "one") + "\n  at a\n" + "plain\n" * 50 + HEAD.format(2, "ERROR", "two") + "\n")
+    assert growing(spark, tmp_path, wait_seconds=0) > 0
+    # The open event went out with the news of the same poll, as there is no wait.
+    first = captured(spark, tmp_path)
+    assert ("ERROR", "one\nat a") in first
+    with log.open("a") as f:
+        f.write("plain\nplain\n")
+    assert growing(spark, tmp_path, wait_seconds=0) == 2
+    assert captured(spark, tmp_path) == [("ERROR", "one\nat a"), ("ERROR", "two")]
+    assert growing(spark, tmp_path) == 0
+    # A file that starts anew is read from its start.
+    log.write_text(HEAD.format(3, "ERROR", "three") + "\nplain\n")
+    growing(spark, tmp_path)
+    assert ("ERROR", "three") in captured(spark, tmp_path)

@@ -6,13 +6,20 @@ order keys of a large data set do not fit the INT of the product's own table.
 
 from __future__ import annotations
 
+import io
+import zipfile
+from xml.sax.saxutils import escape
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.operators.lookup import number_rows
 from ticketlake.operators.quality import to_staging
-from ticketlake.spec import CREATED, ORIGIN, PROBLEMS, UPDATED
+from ticketlake.sources.landing import ARRIVAL, CELLS, Landing, file_rows, finished
+from ticketlake.session import Scratch
+from ticketlake.spec import CREATED, ORIGIN, PATH, PROBLEMS, UPDATED
 
 SPEC = PROBLEMS.with_key_type(T.LongType())
 EXTRA_HEADER = "Status 30/04"
@@ -96,7 +103,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").select(
         F.to_date("ts").alias("log_file"), "ts", "event_id", line.alias("line")
     )
-    return number_rows(events, ["ts", "event_id"], "line_no", group=["log_file"]).select(
+    hour = F.date_trunc("hour", "ts")
+    return number_rows(events, ["ts", "event_id"], "line_no", ["log_file"], hour).select(
         "log_file", "line_no", "line"
     )
 
@@ -164,3 +172,89 @@ def merge_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn(CREATED, F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'")).withColumn(
         UPDATED, F.lit(None).cast("timestamp_ntz")
     )
+
+
+def reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small batch: the problems of the last day, reopened."""
+    rows = problems(spark, sf_dir)
+    last = rows.agg(F.max("dt_abertura").alias("_dia"))
+    late = rows.join(F.broadcast(last), F.expr("dt_abertura = _dia")).drop("_dia")
+    return late.withColumns({"status": F.lit("Reaberto"), ORIGIN: F.lit("gproblemas_reabertos.csv")})
+
+
+def header_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One header row per customer: the priorities of their orders, some of them empty."""
+    cell = F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderpriority"))
+    named = read(spark, sf_dir, "orders").select("o_custkey", F.struct("o_orderkey", cell.alias("h")).alias("c"))
+    cells = F.array_sort(F.collect_list("c"))
+    headers = named.groupBy("o_custkey").agg(cells.alias("c"))
+    return headers.select("o_custkey", F.transform("c", lambda c: c["h"]).alias("cabecalho"))
+
+
+def mixed_layouts(spark: SparkSession, sf_dir: str) -> Landing:
+    """Seven files with a header row each: five orders of the columns, one without the
+    status, one with columns to be dropped."""
+    rows = problems(spark, sf_dir)
+    names = ("Número", "Prioridade", "Título", "Status", "Sistema")
+    values = [_text("numero"), *[F.col(c) for c in ("prioridade", "titulo", "status", "sistema")]]
+    kind = (F.col("numero") % 7).cast("int")
+    x = F.lit("x")
+
+    def by_kind(cells: list[Column], junk: Column, more: Column) -> Column:
+        turned = [F.array(*cells[k:], *cells[:k]) for k in range(5)]
+        layouts = [*turned, F.array(*cells[:3], cells[4]), F.array(junk, cells[0], more, *cells[1:])]
+        chosen = F.when(kind == 0, layouts[0])
+        for k, layout in enumerate(layouts[1:], 1):
+            chosen = chosen.when(kind == k, layout)
+        return chosen
+
+    origin = F.concat(F.lit("gproblemas_"), kind.cast("string"), F.lit(".csv")).alias(ORIGIN)
+    arrival = F.expr("TIMESTAMP_NTZ '2024-05-01 00:00:00'").alias(ARRIVAL)
+    cells = by_kind(values, x, x).alias(CELLS)
+    header = by_kind([F.lit(n) for n in names], F.lit(" "), F.lit(" ")).alias("cabecalho")
+    named = rows.select(origin, arrival, cells, header).withColumn(PATH, F.col(ORIGIN))
+    files = named.select(PATH, ORIGIN, ARRIVAL, "cabecalho").distinct()
+    return finished(named.select(PATH, ORIGIN, ARRIVAL, CELLS), file_rows(files), Scratch())
+
+
+# Workbooks -----------------------------------------------------------------------------
+BOOK_ROWS = 5_000
+_BOOK_COLUMNS = ("Número", "Título", "Status", "Paliativo")
+_NS = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"
+
+
+def _book(rows: pd.DataFrame) -> pd.DataFrame:
+    """One small workbook: a sheet of text cells under a header row."""
+
+    def line(values) -> str:
+        cells = (
+            "<c/>" if v is None else f'<c t="inlineStr"><is><t xml:space="preserve">{escape(v)}</t></is></c>'
+            for v in values
+        )
+        return f"<row>{''.join(cells)}</row>"
+
+    ordered = rows.sort_values("_ordem")
+    body = line(_BOOK_COLUMNS) + "".join(map(line, ordered[list(_BOOK_COLUMNS)].itertuples(index=False)))
+    content = io.BytesIO()
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as book:
+        sheet = f'<sheet name="{PROBLEMS.sheet}" sheetId="1" r:id="rId1"/>'
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{_NS}" xmlns:r="{_REL}"><sheets>{sheet}</sheets></workbook>')
+        relation = '<Relationship Id="rId1" Type="t" Target="worksheets/sheet1.xml"/>'
+        book.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{_PACKAGE}">{relation}</Relationships>')
+        book.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="{_NS}"><sheetData>{body}</sheetData></worksheet>')
+    return pd.DataFrame({ORIGIN: [rows[ORIGIN].iloc[0]], "content": [content.getvalue()]})
+
+
+def workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The problems as workbook files of some thousand rows each."""
+    number = F.floor(F.col("numero") / BOOK_ROWS).cast("string")
+    cells = [_text("numero"), F.col("titulo"), F.col("status"), F.col("paliativo")]
+    rows = problems(spark, sf_dir).select(
+        F.concat(F.lit("gproblemas_"), number, F.lit(".xlsx")).alias(ORIGIN), F.col("numero").alias("_ordem"),
+        *[c.alias(n) for c, n in zip(cells, _BOOK_COLUMNS, strict=True)],
+    )
+    books = rows.groupBy(ORIGIN).applyInPandas(_book, f"{ORIGIN} string, content binary")
+    arrival = F.expr("TIMESTAMP_NTZ '2024-05-01 00:00:00'").alias(ARRIVAL)
+    return books.select(F.col(ORIGIN).alias(PATH), ORIGIN, arrival, "content")

@@ -14,8 +14,6 @@ from ticketlake.spec import (
     CLOSED_STATUSES,
     CRITICAL_PRIORITY,
     DATE_FORMATS,
-    MAX_DATE,
-    MIN_DATE,
     NULL_DATE_TEXTS,
     NULL_TOKENS,
     OTHER_PRIORITY_RANK,
@@ -28,8 +26,8 @@ _BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 # Decimal numbers only: Spark's own cast would also take '1d' and '1f'.
 _NUMBER = r"^\s*[+-]?(?=\.?\d)\d*\.?\d*([eE][+-]?\d+)?\s*$"
 _INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
-# First number above the range of a key type.
-KEY_BOUNDS = {T.IntegerType(): 2.0**31, T.LongType(): 2.0**63}
+# Bits of a key type beside the sign.
+KEY_BITS = {T.IntegerType(): 31, T.LongType(): 63}
 
 
 def as_column(c: Column | str) -> Column:
@@ -74,27 +72,51 @@ def norm_text(c: Column | str) -> Column:
     return F.when(~trimmed.isin(*NULL_DATE_TEXTS), trimmed)
 
 
-def _shape(fmt: str) -> str:
-    """Pattern of the texts an all-numeric date format can parse."""
-    digits = re.sub(r"[A-Za-z]+", lambda m: r"\d{%d}" % len(m[0]), fmt)
-    return f"^{digits}$"
+# Texts of the fields a date format may have; a time may follow a T and have a fraction, as
+# workbook cells print it.
+_FIELDS = {
+    "yyyy": r"\d{4}", "MM": r"\d{2}", "dd": r"\d{2}", "HH": r"(?:[01]\d|2[0-3])", "mm": r"[0-5]\d",
+    "ss": r"[0-5]\d(?:\.\d+)?",
+}
 
 
-def coerce_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def _parse_date(c: Column, fmt: str) -> Column:
+    """The date of a text that has the shape of the format.
+
+    Fields have fixed places, so the date is cut out and cast: no formatter runs, and a text
+    of another shape costs no exception.
+    """
+    parts = re.findall(r"[A-Za-z]+|[^A-Za-z]+", fmt)
+    if not {"yyyy", "MM", "dd"} <= set(parts) or any(p.isalpha() and p not in _FIELDS for p in parts):
+        return F.try_to_date(c, fmt)
+    shape = "".join(_FIELDS.get(p) or re.escape(p) for p in parts).replace(r"\ (?:[01]", "[T ](?:[01]")
+    cut = [F.substring(c, fmt.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd")]
+    return F.when(c.rlike(f"^{shape}$"), F.concat_ws("-", *cut).try_cast("date"))
+
+
+def coerce_date(
+    c: Column | str, formats: Sequence[str] = DATE_FORMATS, bounds: tuple[str, str] | None = None
+) -> Column:
     """First format that parses wins; anything else is NULL. The time part is cut.
 
-    The formats are fixed and tried per row, so the result of a row does not
-    depend on which other rows share its file or partition. A text is parsed only
-    if it has the shape of the format: a failed parse costs an exception per row.
+    The formats are fixed and tried per row, so the result of a row does not depend on which
+    other rows share its file or partition. Dates outside ``bounds`` are NULL, if given.
     """
-    # A time may follow a T and have a fraction, as workbook cells print it.
-    c = F.regexp_replace(trim_all(c), r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?$", "$1 $2")
-    parsed = F.coalesce(*[F.when(c.rlike(_shape(f)), F.try_to_date(c, f)) for f in formats])
-    return F.when(parsed.between(F.lit(MIN_DATE).cast("date"), F.lit(MAX_DATE).cast("date")), parsed)
+    c, trimmed = as_column(c), trim_all(c)
+    plain = F.coalesce(*[_parse_date(c, f) for f in formats])
+    parsed = F.coalesce(plain, F.when(trimmed != c, F.coalesce(*[_parse_date(trimmed, f) for f in formats])))
+    if bounds is None:
+        return parsed
+    return F.when(parsed.between(*[F.lit(b).cast("date") for b in bounds]), parsed)
+
+
+def whole_number(c: Column | str) -> Column:
+    """A key cell of digits alone, by a plain cast: what most cells are."""
+    return as_column(c).try_cast("bigint")
 
 
 def exact_integer(c: Column | str) -> Column:
-    """The digits of a plain whole number, NULL for any other text."""
+    """The digits of a whole number with an empty fraction, NULL for any other text."""
     digits = F.regexp_extract(trim_all(c), r"^([+-]?\d+)(\.0*)?$", 1)
     return F.when(digits != "", digits)
 
@@ -108,18 +130,22 @@ def key_number(c: Column | str) -> Column:
     )
 
 
-def key_out_of_range(c: Column | str, key_type: T.DataType) -> Column:
-    """True for a number the key type cannot hold (infinite or too large)."""
-    bound = KEY_BOUNDS[key_type]
-    number = key_number(c)
-    return F.coalesce((number >= bound) | (number <= -bound - 1), F.lit(False))
+def dedupe_headers(header: Column | str) -> Column:
+    """Names of a header row: empty ones by position, repeated ones numbered (``h``, ``h.1``).
 
+    A number that another header already has is passed over.
+    """
+
+    def add(seen: Column, cell: Column) -> Column:
+        base = F.coalesce(F.nullif(cell["h"], F.lit("")), F.concat(F.lit("Unnamed: "), cell["i"].cast("string")))
+        numbered = F.transform(
+            F.sequence(F.lit(1), F.size(seen) + 1), lambda k: F.concat(base, F.lit("."), k.cast("string"))
+        )
+        free = F.get(F.filter(numbered, lambda n: ~F.array_contains(seen, n)), F.lit(0))
+        return F.concat(seen, F.array(F.when(F.array_contains(seen, base), free).otherwise(base)))
 
-def coerce_key(c: Column | str, key_type: T.DataType | None = None) -> Column:
-    """Number cut toward zero to the key type; NULL if not a number or out of range."""
-    key_type = key_type or T.IntegerType()
-    number = key_number(c)
-    return F.when(~key_out_of_range(c, key_type), number).cast(key_type)
+    cells = F.transform(as_column(header), lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    return F.aggregate(cells, F.array().cast("array<string>"), add)
 
 
 def label_null(c: Column | str, text: str = UNKNOWN_LABEL) -> Column:
@@ -155,6 +181,15 @@ def has_key(key: str) -> Column:
     return F.col(key).isNotNull()
 
 
+def _decoded(c: str) -> Column:
+    return F.url_decode(F.replace(F.col(c), F.lit("+"), F.lit("%2B")))
+
+
 def file_name() -> Column:
     """Name of the file a row was read from; Spark gives it with blanks encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return _decoded("_metadata.file_name")
+
+
+def file_path() -> Column:
+    """Whole path of the file a row was read from, which tells files of one name apart."""
+    return _decoded("_metadata.file_path")

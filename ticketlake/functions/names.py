@@ -1,30 +1,14 @@
-"""Header rules. They work on lists of names on the driver, never on rows."""
+"""Header rules. They work on the names of one header row, never on data rows."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from ticketlake.spec import CONTROL_COLUMNS, ORIGIN, TableSpec
 
 
-def dedupe_headers(headers: Sequence[str | None]) -> list[str]:
-    """Name empty headers by position and number repeated ones (``h``, ``h.1``, ``h.2``)."""
-    result: list[str] = []
-    taken: set[str] = set()
-    repeats: dict[str, int] = {}
-    for position, header in enumerate(headers):
-        base = header if header else f"Unnamed: {position}"
-        name = base
-        while name in taken:
-            repeats[base] = repeats.get(base, 0) + 1
-            name = f"{base}.{repeats[base]}"
-        taken.add(name)
-        result.append(name)
-    return result
-
-
 def sanitize_name(name: str) -> str:
     """Lower-case column name made of ``a-z``, ``0-9`` and single inner underscores."""
     return "_".join(re.findall(r"[a-z0-9]+", name.strip().lower()))

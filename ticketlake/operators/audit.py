@@ -59,6 +59,7 @@ def disposition(runs: DataFrame, ts: Column) -> DataFrame:
         "nm_arquivo",
         "ds_status",
         F.when(F.col("ds_status") == RUN_OK, month).otherwise(ERROR_FOLDER).alias("nm_destino"),
+        *[c for c in runs.columns if c == "nm_caminho"],
     )
 
 
@@ -94,9 +95,12 @@ def log_alert(events: DataFrame, order: tuple[str, ...] = ("log_file", "line_no"
     ).filter("qt_erros > 0")
 
 
-def replay_tally(runs: DataFrame) -> DataFrame:
-    """Good and failed files of a replay."""
-    return runs.agg(
-        F.count_if(F.col("ds_status") == RUN_OK).alias("qt_sucesso"),
-        F.count_if(F.col("ds_status") != RUN_OK).alias("qt_falha"),
+def replay_tally(runs: DataFrame, left_alone: DataFrame | None = None) -> DataFrame:
+    """Good and failed files of a replay; files that no table takes count as failed."""
+    good = runs.select((F.col("ds_status") == RUN_OK).alias("_bom"))
+    if left_alone is not None:
+        good = good.unionByName(left_alone.select(F.lit(False).alias("_bom")))
+    return good.agg(
+        F.count_if("_bom").alias("qt_sucesso"),
+        F.count_if(~F.col("_bom")).alias("qt_falha"),
     )

@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.functions.columns import (
-    KEY_BOUNDS,
+    KEY_BITS,
     coerce_date,
     exact_integer,
-    file_name,
     key_number,
     norm_text,
     null_token,
+    whole_number,
 )
 from ticketlake.functions.names import resolve_names, sanitize_name
 from ticketlake.spec import ORIGIN, PROBLEMS, RUN_OK, TableSpec
@@ -24,17 +24,7 @@ from ticketlake.spec import ORIGIN, PROBLEMS, RUN_OK, TableSpec
 KEPT = "_valida"
 BAD_KEY = "_chave_invalida"
 
-_NUMBER = "_numero"
-
-
-def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Drop listed columns that exist; blanks in names count."""
-    present = [n for n in names if n in df.columns]
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in present])
-
-
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
+_WHOLE, _NUMBER = "_inteiro", "_numero"
 
 
 def sanitize_columns(df: DataFrame, mapped: Sequence[str] = ()) -> DataFrame:
@@ -46,20 +36,6 @@ def sanitize_columns(df: DataFrame, mapped: Sequence[str] = ()) -> DataFrame:
     return df.toDF(*names)
 
 
-def null_tokens(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    wanted = list(columns) if columns is not None else df.columns
-    return df.withColumns({c: null_token(c) for c in wanted})
-
-
-def drop_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.na.drop(how="all", subset=list(columns))
-
-
-def with_origin(df: DataFrame, name: Column | None = None) -> DataFrame:
-    """File name column; by default the name of the file a row was read from."""
-    return df.withColumn(ORIGIN, file_name() if name is None else name)
-
-
 def _read_cells(
     df: DataFrame, spec: TableSpec, columns: Sequence[str], key_present: Column | None
 ) -> tuple[DataFrame, Column, Column]:
@@ -70,11 +46,15 @@ def _read_cells(
     empty = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in columns], F.lit(True))
     if spec.key not in columns:
         return cells, ~empty, F.lit(False)
-    cells = cells.withColumn(_NUMBER, key_number(spec.key))
-    limit = KEY_BOUNDS[spec.key_type]
-    out_of_range = (F.col(_NUMBER) >= limit) | (F.col(_NUMBER) <= -limit - 1)
+    # Patterns are tried only where the plain cast finds no number.
+    cells = cells.withColumn(_WHOLE, whole_number(spec.key))
+    cells = cells.withColumn(_NUMBER, F.when(F.col(_WHOLE).isNull(), key_number(spec.key)))
+    bits = KEY_BITS[spec.key_type]
+    out_of_range = (F.col(_NUMBER) >= 2.0**bits) | (F.col(_NUMBER) <= -(2.0**bits) - 1)
+    if bits < 63:
+        out_of_range = F.coalesce(out_of_range, ~F.col(_WHOLE).between(-(2**bits), 2**bits - 1))
     # A row with a number in its key is not empty: the test looks at one column only.
-    kept = F.col(_NUMBER).isNotNull()
+    kept = F.col(_WHOLE).isNotNull() | F.col(_NUMBER).isNotNull()
     if key_present is not None:
         kept = kept | (~key_present & ~empty)
     return cells, kept, F.coalesce(out_of_range, F.lit(False))
@@ -84,11 +64,14 @@ def _typed_cells(spec: TableSpec, columns: Sequence[str], bad_key: Column) -> li
     typed = []
     for name in columns:
         if name == spec.key:
-            # Plain digits are cast as they are: a double would round long ones.
-            exact = exact_integer(name).try_cast(spec.key_type)
-            cell = F.when(~bad_key, F.coalesce(exact, F.col(_NUMBER).cast(spec.key_type)))
+            # Digits are cast as they are: a double would round long ones.
+            number = F.col(_NUMBER)
+            exact = F.when(number.isNotNull(), exact_integer(name).try_cast(spec.key_type))
+            cell = F.when(
+                ~bad_key, F.coalesce(F.col(_WHOLE).cast(spec.key_type), exact, number.cast(spec.key_type))
+            )
         elif name in spec.date_columns:
-            cell = coerce_date(name, spec.date_formats)
+            cell = coerce_date(name, spec.date_formats, spec.date_range)
         elif name in spec.text_date_columns:
             cell = norm_text(name)
         else:

@@ -87,7 +87,12 @@ def parse_events(
     wanted = is_relevant(match_header("line", 2), match_header("line", 4))
     if mark is not None:
         wanted = wanted & is_newer(event_time(match_header("line", 1)), mark)
-    events = attach_stack(lines, chunk=chunk, wanted=wanted).select(
+    return as_events(attach_stack(lines, chunk=chunk, wanted=wanted))
+
+
+def as_events(ahead: DataFrame) -> DataFrame:
+    """Event rows of event lines (log_file, line_no, line) with their ``stack``."""
+    events = ahead.select(
         "log_file",
         "line_no",
         event_time(match_header("line", 1)).alias("dt_evento"),
@@ -128,10 +133,6 @@ def high_water(events: DataFrame, source: str = LOG_SOURCE) -> DataFrame:
     return events.filter(F.col("fonte") == source).agg(F.max("dt_evento").alias("dt_evento"))
 
 
-def errors_only(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("nivel") == "ERROR")
-
-
 def extract_events(
     lines: DataFrame, mark: Column | dt.datetime | None = None, chunk: int = CHUNK_LINES
 ) -> DataFrame:

@@ -5,19 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ticketlake.session import materialize
-
 # One broadcast copy must stay small: row bound for tables with a few short columns.
 BROADCAST_ROWS = 100_000
 # Pieces a file's rows are split into when its lookup entry cannot be broadcast.
 SALTS = 32
-# Largest group that one window task may number on its own.
-WINDOW_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
@@ -47,6 +42,19 @@ def join_lookup(
     return df.withColumn("_sal", salt).join(copies, [on, "_sal"], how).drop("_sal")
 
 
+def _offsets(blocks: DataFrame, group: Sequence[str], block: str, total: str | None) -> DataFrame:
+    """Rows before each block of its group, from one row per block with ``_rows``."""
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return blocks.withColumn(total, F.sum("_rows").over(whole)) if total else blocks
+
+
+def _join_blocks(rows: DataFrame, blocks: DataFrame, keys: dict[str, str]) -> DataFrame:
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    return rows.join(blocks, same)
+
+
 def number_blocks(
     placed: DataFrame, group: Sequence[str], block: str, seq: str, name: str, total: str | None = None
 ) -> DataFrame:
@@ -60,42 +68,25 @@ def number_blocks(
     blocks = placed.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(
         F.min(seq).alias("_first"), F.count("*").alias("_rows")
     )
-    whole = Window.partitionBy(*[keys[c] for c in group])
-    before = whole.orderBy(keys[block]).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    if total:
-        blocks = blocks.withColumn(total, F.sum("_rows").over(whole))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()])
+    blocks = _offsets(blocks, [keys[c] for c in group], keys[block], total)
     number = (F.col("_offset") + F.col(seq) - F.col("_first") + 1).cast("long")
     kept = [c for c in placed.columns if c not in (block, seq)]
-    return placed.join(blocks, same).select(*kept, number.alias(name), *([total] if total else []))
+    return _join_blocks(placed, blocks, keys).select(*kept, number.alias(name), *([total] if total else []))
 
 
 def number_rows(
-    df: DataFrame,
-    order: Sequence[str],
-    name: str,
-    group: Sequence[str] = (),
-    window_rows: int = WINDOW_ROWS,
+    df: DataFrame, order: Sequence[str], name: str, group: Sequence[str] = (), block: Column | None = None
 ) -> DataFrame:
     """Dense row numbers per group in a total order.
 
-    The largest group is measured first. Small groups use a plain window; if
-    one group is too large for a task, the rows are range-partitioned by the
-    order itself, which splits that group over many tasks.
+    ``block`` is a coarse value that grows with the order, such as the hour of a time: rows
+    are numbered inside blocks, which are then shifted by the sizes of the blocks before, so
+    a task holds one block at most. Without it a group is one block.
     """
-    sizes = df.groupBy(*group).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= window_rows:
-        window = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast(T.LongType()))
-    keys = [*group, *order]
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        df.repartitionByRange(tasks, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_seq", F.monotonically_increasing_id())
-    )
-    # Range bounds come from a sample: write once so that both uses see the same split.
-    return number_blocks(materialize(placed, "numbered"), group, "_part", "_seq", name)
+    rows = df.withColumn("_bloco", F.lit(0) if block is None else block)
+    keys = {c: f"_de_{c}" for c in [*group, "_bloco"]}
+    blocks = rows.groupBy(*[F.col(c).alias(k) for c, k in keys.items()]).agg(F.count("*").alias("_rows"))
+    blocks = _offsets(blocks, [keys[c] for c in group], keys["_bloco"], None)
+    inside = F.row_number().over(Window.partitionBy(*group, "_bloco").orderBy(*order))
+    numbered = _join_blocks(rows.withColumn("_seq", inside), blocks, keys)
+    return numbered.select(*df.columns, (F.col("_offset") + F.col("_seq")).cast("long").alias(name))

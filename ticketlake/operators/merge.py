@@ -11,6 +11,7 @@ from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketlake.functions.columns import has_key
 from ticketlake.operators.cleaning import KEPT
@@ -134,43 +135,34 @@ def merge_upsert(
 
 
 def latest_per_key(
-    rows: DataFrame, key: str, order: Sequence[str], keep_missing: bool = False
+    rows: DataFrame, key: str, order: Sequence[str], keep_missing: bool = False, by: str = ORIGIN
 ) -> DataFrame:
     """One row per key over a batch of files: last values, first file, occurrences.
 
-    ``max_by`` and ``min_by`` are combined before the shuffle, so a key that
-    many files repeat sends one row per task instead of all its rows.
+    One window sorts the rows of a key by arrival; no aggregate carries the payload. A key is
+    in a good file once, so a key has no more rows than the batch has files.
     """
     payload = [c for c in rows.columns if c not in (key, *order) and not c.startswith("_")]
     payload = list(dict.fromkeys([*payload, *([ORIGIN] if ORIGIN in rows.columns else [])]))
-    position = F.struct(*order)
-    if keep_missing:
-        # Latest file that has the column, column by column.
-        values = [
-            F.max_by(c, F.when(~F.array_contains(ABSENT, c), position)).alias(c) for c in payload
-        ]
-        grouped = rows.groupBy(key).agg(
-            *values,
-            *[F.bool_and(F.array_contains(ABSENT, c)).alias(f"_sem_{i}") for i, c in enumerate(payload)],
-            F.min_by(ORIGIN, position).alias(FIRST_FILE),
-            F.count("*").alias(OCCURRENCES),
-        )
-        missing = F.filter(
-            F.array(*[F.when(F.col(f"_sem_{i}"), F.lit(c)) for i, c in enumerate(payload)]),
-            lambda c: c.isNotNull(),
-        )
-        return grouped.select(
-            key, *payload, FIRST_FILE, OCCURRENCES, missing.alias(ABSENT)
-        )
-    return (
-        rows.groupBy(key)
-        .agg(
-            F.max_by(F.struct(*payload), position).alias("_ultima"),
-            F.min_by(ORIGIN, position).alias(FIRST_FILE),
-            F.count("*").alias(OCCURRENCES),
-        )
-        .select(key, "_ultima.*", FIRST_FILE, OCCURRENCES)
+    arrivals = Window.partitionBy(key).orderBy(*order)
+    found = {
+        FIRST_FILE: F.first(by).over(arrivals),
+        OCCURRENCES: F.row_number().over(arrivals).cast("long"),
+        "_ultima": F.lead(F.lit(True)).over(arrivals).isNull(),
+    }
+    if not keep_missing:
+        last = rows.withColumns(found).filter("_ultima")
+        return last.select(key, *payload, FIRST_FILE, OCCURRENCES)
+    # Latest file that has the column, column by column.
+    latest = [F.when(~F.array_contains(ABSENT, c), F.struct(F.col(c).alias("v"))) for c in payload]
+    found |= {f"_de_{i}": F.last(v, ignorenulls=True).over(arrivals) for i, v in enumerate(latest)}
+    last = rows.withColumns(found).filter("_ultima")
+    missing = F.filter(
+        F.array(*[F.when(F.col(f"_de_{i}").isNull(), F.lit(c)) for i, c in enumerate(payload)]),
+        lambda c: c.isNotNull(),
     )
+    values = [F.col(f"_de_{i}")["v"].alias(c) for i, c in enumerate(payload)]
+    return last.select(key, *values, FIRST_FILE, OCCURRENCES, missing.alias(ABSENT))
 
 
 def merge_sequence(
@@ -181,13 +173,14 @@ def merge_sequence(
     ts: Column,
     keep_missing: bool = False,
     broadcast_source: bool = False,
+    by: str = ORIGIN,
 ) -> DataFrame:
     """Merge files one after the other in the given order, as one job.
 
-    The first file with a key unknown to the target inserts it, every later one
-    updates it; the last one gives the values.
+    The first file (``by`` tells files apart) with a key unknown to the target inserts it,
+    every later one updates it; the last one gives the values.
     """
-    source = latest_per_key(rows.filter(has_key(key)), key, order, keep_missing)
+    source = latest_per_key(rows.filter(has_key(key)), key, order, keep_missing, by)
     target, source = _prepare(target, source, key)
     extra = [FIRST_FILE, OCCURRENCES, *([ABSENT] if keep_missing else [])]
     return _join(target, source, key, ts, extra, keep_missing, broadcast_source)
@@ -216,15 +209,24 @@ def merge_actions(
                 F.count_if(F.col(ACTION) == CHANGED).alias("qt_atualizadas"),
             )
         )
+    keyed = rows.groupBy(ORIGIN).agg(F.count(key).alias("qt_com_chave"))
+    return sequence_tally(merged, keyed)
+
+
+def sequence_tally(written: DataFrame, keyed: DataFrame, by: str = ORIGIN) -> DataFrame:
+    """Inserted and updated rows per file of a merged sequence.
+
+    ``written`` has the action and first file of each row, ``keyed`` one row per file with
+    ``qt_com_chave``.
+    """
     inserted = (
-        merged.filter(F.col(ACTION) == INSERTED)
-        .groupBy(F.col(FIRST_FILE).alias(ORIGIN))
+        written.filter(F.col(ACTION) == INSERTED)
+        .groupBy(F.col(FIRST_FILE).alias(by))
         .agg(F.count("*").alias("_ins"))
     )
-    keyed = rows.groupBy(ORIGIN).agg(F.count(key).alias("_linhas"))
     inserts = F.coalesce(F.col("_ins"), F.lit(0))
-    return keyed.join(inserted, ORIGIN, "left").select(
-        ORIGIN, inserts.alias("qt_inseridas"), (F.col("_linhas") - inserts).alias("qt_atualizadas")
+    return keyed.join(inserted, by, "left").select(
+        by, inserts.alias("qt_inseridas"), (F.col("qt_com_chave") - inserts).alias("qt_atualizadas")
     )
 
 

@@ -393,3 +393,70 @@ WHERE prioridade = 'P1' AND {_OPEN}""",
         "filtered_open_table": f"SELECT {_TABLE} FROM ({rows['open_table']})",
     }
     return result
+
+
+def _dashboard(params: dict[str, str]) -> str:
+    """The ten cards, one statement each."""
+    rows = _where(params)
+    scalars = {
+        "total": "TRUE", "open_total": _OPEN, "p1_open": f"prioridade = 'P1' AND {_OPEN}", "open_table": "TRUE",
+    }
+    charts = {
+        "by_status": ("status", None), "by_priority": ("prioridade", None),
+        "by_journey": ("jornada_impactada", _LABEL), "by_workaround": ("paliativo", _LABEL),
+        "by_manager": ("gerente_responsavel", _LABEL), "by_department": ("departamento_relator", _LABEL),
+    }
+    parts = [
+        f"SELECT '{card}' AS card, CAST(NULL AS VARCHAR) AS label, count(*) FILTER (WHERE {test}) AS qt FROM ({rows})"
+        for card, test in scalars.items()
+    ]
+    for card, (column, label) in charts.items():
+        shown = f"COALESCE({column}, '{label}')" if label else column
+        parts.append(f"SELECT '{card}', {shown}, count(*) FROM ({rows}) p GROUP BY p.{column}")
+    return " UNION ALL ".join(parts)
+
+
+def _snapshot(stamp: str, later: str) -> str:
+    """Two upserts: the landing rows, then the reopened problems."""
+    columns = "numero, prioridade, titulo, dt_abertura, status, gerente_responsavel, nm_arquivo_origem"
+    return f"""
+WITH m AS (SELECT {columns}, dt_insert, dt_atualizacao FROM ({_merge(stamp, CLEAN)})),
+r AS (SELECT * REPLACE ('Reaberto' AS status), 'gproblemas_reabertos.csv' AS nm_arquivo_origem FROM ({PROBLEMS})
+      WHERE dt_abertura = (SELECT max(dt_abertura) FROM ({PROBLEMS})))
+SELECT * FROM m WHERE numero NOT IN (SELECT numero FROM r)
+UNION ALL
+SELECT {", ".join(f"r.{c.strip()}" for c in columns.split(","))},
+       COALESCE(m.dt_insert, TIMESTAMP '{later}'), CASE WHEN m.numero IS NOT NULL THEN TIMESTAMP '{later}' END
+FROM r LEFT JOIN m ON m.numero = r.numero
+"""
+
+
+def more_statements(
+    day: dt.date, stamp: str, later: str, settled_at: str, dashboard: dict[str, str], book_rows: int
+) -> dict[str, str]:
+    early = _events(f"SELECT * FROM ({LINES}) WHERE log_file <= DATE '{day}'")
+    return {
+        "dedupe_headers": """SELECT o_custkey, CAST(i - 1 AS INT) AS posicao,
+ CASE WHEN h IS NULL THEN 'Unnamed: ' || CAST(i - 1 AS VARCHAR) WHEN n = 1 THEN h
+      ELSE h || '.' || CAST(n - 1 AS VARCHAR) END AS nome
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, h ORDER BY i) AS n
+      FROM (SELECT o_custkey, CASE WHEN o_orderkey % 10 <> 0 THEN o_orderpriority END AS h,
+                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM orders))""",
+        "landing_layouts": f"""SELECT CAST(numero AS VARCHAR) AS numero, prioridade, titulo,
+ CASE WHEN numero % 7 <> 5 THEN status END AS status, sistema,
+ 'gproblemas_' || CAST(numero % 7 AS VARCHAR) || '.csv' AS nm_arquivo_origem FROM ({PROBLEMS})""",
+        "workbook_read": f"""SELECT CAST(numero AS VARCHAR) AS "Número", titulo AS "Título", status AS "Status",
+ paliativo AS "Paliativo", 'gproblemas_' || CAST(numero // {book_rows} AS VARCHAR) || '.xlsx' AS nm_arquivo_origem
+FROM ({PROBLEMS})""",
+        "settled_files": f"""SELECT event_id, event_id % 5 AS length FROM events
+WHERE event_id % 5 > 0 AND CAST(ts AS TIMESTAMP) <= TIMESTAMP '{settled_at}' - INTERVAL 3 SECOND""",
+        "snapshot_merge": _snapshot(stamp, later),
+        "batch_retry": f"""SELECT numero, status, dt_abertura, status_30_04, nm_arquivo_origem,
+ TIMESTAMP '{stamp}' AS dt_insert, CAST(NULL AS TIMESTAMP) AS dt_atualizacao FROM ({CLEAN})""",
+        "event_append": f"""WITH a AS ({early}), b AS (
+ SELECT * FROM ({_events()}) WHERE dt_evento IS NULL OR dt_evento > (SELECT max(dt_evento) FROM a)),
+ab AS (SELECT 1 AS lote, * FROM a UNION ALL SELECT 2, * FROM b)
+SELECT row_number() OVER (ORDER BY lote, log_file, line_no) AS id_log, fonte, nivel, modulo, mensagem, dt_evento,
+ CASE lote WHEN 1 THEN TIMESTAMP '{stamp}' ELSE TIMESTAMP '{later}' END AS dt_insert FROM ab""",
+        "dashboard_filtered": _dashboard(dashboard),
+    }

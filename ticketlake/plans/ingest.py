@@ -1,89 +1,99 @@
 """From landing rows to production: one job per batch of files.
 
 Many files run together as set logic. Checks, merge and audit work on all rows of
-the batch; a file that fails a check drops out by an anti-join.
+the batch; a file that fails a check drops out by an anti-join. Counts come from the
+writes themselves: the staging write and the merge are observed, and the tally per file
+reads two columns that the merge wrote.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from functools import reduce
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.functions.columns import ntz
-from ticketlake.functions.names import ResolvedNames, resolve_names
+from ticketlake.functions.names import resolve_names
 from ticketlake.operators.audit import alert_rows, audit_rows, disposition
-from ticketlake.operators.cleaning import BAD_KEY, flag_rows
-from ticketlake.operators.lookup import BROADCAST_ROWS, number_rows
+from ticketlake.operators.cleaning import KEPT, flag_rows
+from ticketlake.operators.lookup import number_rows
 from ticketlake.operators.merge import (
     ABSENT,
-    merge_actions,
+    ACTION,
+    CHANGED,
+    FIRST_FILE,
+    INSERTED,
     merge_sequence,
     production_rows,
+    sequence_tally,
     staged,
 )
 from ticketlake.operators.quality import ERROR, duplicate_errors, file_checks, split_files
-from ticketlake.session import materialize
-from ticketlake.sources.landing import ARRIVAL, LAYOUT, Landing
-from ticketlake.spec import AUDIT_SCHEMA, ORIGIN, PROBLEMS, TableSpec
+from ticketlake.session import materialize, materialize_observed, read_rows
+from ticketlake.sources.landing import ARRIVAL, DIGEST, LAYOUT, SECONDS, Landing, column_places
+from ticketlake.spec import AUDIT_SCHEMA, ORIGIN, PATH, PROBLEMS, TableSpec
 from ticketlake.storage.snapshot import SnapshotTable
 
 # A batch is broadcast to the merge only below this many bytes of text.
 BROADCAST_BYTES = 64 * 1024 * 1024
+_REFUSAL = "_recusa"
+_RUN_SCHEMA = T.StructType(
+    [
+        *AUDIT_SCHEMA.fields,
+        T.StructField("nm_caminho", T.StringType()),
+        T.StructField("id_lote", T.StringType()),
+    ]
+)
+_FILE_SCHEMA = f"{PATH} string, {DIGEST} string, id_lote string"
 
 
 # Steps on rows ------------------------------------------------------------------
-def resolve_layouts(landing: Landing, spec: TableSpec) -> dict[int, ResolvedNames]:
-    return {i: resolve_names(names, spec) for i, names in landing.layouts.items()}
+def _resolve(spec: TableSpec) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            names, places, refusals = [], [], []
+            for header in batch["cabecalho"]:
+                found, where = resolve_names(header, spec), {h: i for i, h in enumerate(header)}
+                names.append(list(found.sources))
+                places.append([where[h] for h in found.sources.values()])
+                refusals.append(found.error)
+            yield pd.DataFrame({LAYOUT: batch[LAYOUT], "nomes": names, "posicoes": places, _REFUSAL: refusals})
 
+    return run
 
-def _layout_table(
-    spark: SparkSession, resolved: dict[int, ResolvedNames], expected: Sequence[str]
-) -> DataFrame:
-    """One row per header layout: columns it lacks, and why it is refused if it is.
 
-    As small as the list of layouts the driver already holds.
-    """
-    rows = [
-        (layout, [n for n in expected if n not in names.sources], names.error)
-        for layout, names in resolved.items()
-    ]
-    schema = f"{LAYOUT} int, {ABSENT} array<string>, _recusa string"
-    return F.broadcast(spark.createDataFrame(rows, schema))
+def resolve_layouts(layouts: DataFrame, spec: TableSpec) -> DataFrame:
+    """Final column names of each header row and where they stand, or why it is refused."""
+    schema = f"{LAYOUT} long, nomes array<string>, posicoes array<int>, {_REFUSAL} string"
+    return layouts.select(LAYOUT, "cabecalho").mapInPandas(_resolve(spec), schema)
 
 
-def project_landing(
-    landing: Landing, spec: TableSpec, resolved: dict[int, ResolvedNames]
-) -> tuple[DataFrame, list[str]]:
+def project_landing(landing: Landing, spec: TableSpec, resolved: DataFrame) -> tuple[DataFrame, list[str]]:
     """Landing rows under their final column names, over all header layouts.
 
     Adds the list of table columns the row's file lacks. Rows of a file with a
     refused header keep no cells; they are only counted.
     """
-    where: dict[str, dict[int, int]] = {}
-    for layout, names in resolved.items():
-        positions = {h: p for p, h in enumerate(landing.layouts[layout])}
-        for name, header in names.sources.items():
-            where.setdefault(name, {})[layout] = positions[header]
-    columns = [n for n in spec.names if n in where] + sorted(set(where) - set(spec.names))
+    found = {r[0] for r in resolved.select(F.explode("nomes")).distinct().collect()}  # columns of the table
+    columns = [n for n in spec.names if n in found] + sorted(found - set(spec.names))
     expected = [n for n in dict.fromkeys([*spec.names, *columns]) if n != ORIGIN]
-    cells = [landing.pick(where[c]).alias(c) for c in columns]
-    rows = landing.rows.select(*cells, ORIGIN, ARRIVAL, LAYOUT)
-    table = _layout_table(rows.sparkSession, resolved, expected)
-    return rows.join(table.drop("_recusa"), LAYOUT, "left"), columns
+    absent = F.filter(F.array(*[F.lit(n) for n in expected]), lambda n: ~F.array_contains("nomes", n))
+    places = column_places(resolved, columns, absent.alias(ABSENT))
+    return landing.placed(places, columns, ABSENT), columns
 
 
-def file_errors(landing: Landing, resolved: dict[int, ResolvedNames]) -> DataFrame:
+def file_errors(landing: Landing, resolved: DataFrame) -> DataFrame:
     """Every file, with the reason it cannot be read or its header is refused."""
-    table = _layout_table(landing.files.sparkSession, resolved, [])
-    return landing.files.join(table, LAYOUT, "left").select(
-        ORIGIN, F.coalesce(ERROR, "_recusa").alias(ERROR)
+    return landing.files.join(resolved.select(LAYOUT, _REFUSAL), LAYOUT, "left").select(
+        PATH, F.coalesce(ERROR, _REFUSAL).alias(ERROR)
     )
 
 
@@ -91,81 +101,101 @@ def file_verdicts(
     flagged: DataFrame,
     spec: TableSpec = PROBLEMS,
     read_errors: DataFrame | None = None,
+    by: str = ORIGIN,
 ) -> DataFrame:
     """Counts per file and the first reason to fail it, if any.
 
     ``read_errors`` lists every file of the batch, also those without any row,
-    with the reason it could not be read.
+    with the reason it could not be read. ``by`` is the column that tells files apart.
     """
-    checks = file_checks(flagged, spec)
-    repeated = duplicate_errors(staged(flagged, spec), spec.key).withColumnRenamed(ERROR, "_repetida")
-    verdicts = checks.join(repeated, ORIGIN, "left")
+    checks = file_checks(flagged, spec, by)
+    repeated = duplicate_errors(staged(flagged, spec), spec.key, by).withColumnRenamed(ERROR, "_repetida")
+    verdicts = checks.join(repeated, by, "left")
     reasons = [F.col(ERROR), F.col("_repetida")]
     if read_errors is not None:
-        listed = read_errors.select(ORIGIN, F.col(ERROR).alias("_leitura"))
-        verdicts = listed.join(verdicts, ORIGIN, "left")
+        listed = read_errors.select(by, F.col(ERROR).alias("_leitura"))
+        verdicts = listed.join(verdicts, by, "left")
         reasons.insert(0, F.col("_leitura"))
-    zero = F.lit(0).cast("long")
+    counts = ("qt_recebidas", "qt_validas", "qt_com_chave", "qt_rejeitadas")
     return verdicts.select(
-        ORIGIN,
-        F.coalesce("qt_recebidas", zero).alias("qt_recebidas"),
-        F.coalesce("qt_validas", zero).alias("qt_validas"),
-        F.coalesce("qt_rejeitadas", zero).alias("qt_rejeitadas"),
+        by,
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
         F.coalesce(*reasons).alias(ERROR),
     )
 
 
-def run_results(verdicts: DataFrame, actions: DataFrame) -> DataFrame:
+def run_results(verdicts: DataFrame, actions: DataFrame, by: str = ORIGIN) -> DataFrame:
     """Verdict and merge counts per file, the input of the audit rows."""
-    return verdicts.join(actions, ORIGIN, "left")
+    return verdicts.join(actions, by, "left")
 
 
-# The batch job ---------------------------------------------------------------------
-@dataclass(frozen=True)
-class IngestResult:
-    """Version of the table after the batch, and one row per file for each report."""
+# Audit -------------------------------------------------------------------------------
+def _committed(spark: SparkSession, audit_dir: str) -> DataFrame:
+    return read_rows(spark, f"{audit_dir}/_lotes", "id_lote string").distinct()
 
-    version: int
-    skipped: bool
-    runs: DataFrame
-    alerts: DataFrame
-    destinations: DataFrame
 
+def mark_committed(spark: SparkSession, audit_dir: str, batch_id: str) -> None:
+    """Note that a batch is committed: from now on its rows count."""
+    if _committed(spark, audit_dir).filter(F.col("id_lote") == batch_id).isEmpty():
+        mark = spark.createDataFrame([(batch_id,)], "id_lote string").coalesce(1)
+        mark.write.mode("append").parquet(f"{audit_dir}/_lotes")
 
-def append_audit(
-    spark: SparkSession, runs: DataFrame, audit_dir: str, batch_id: str, order: Sequence[str]
-) -> DataFrame:
+
+def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
+    """Run rows of all committed batches; empty before the first one.
+
+    Rows that a refused or interrupted batch left behind are not shown.
+    """
+    return read_rows(spark, audit_dir, _RUN_SCHEMA).join(_committed(spark, audit_dir), "id_lote", "left_semi").select(
+        *_RUN_SCHEMA.names
+    )
+
+
+def known_files(spark: SparkSession, audit_dir: str) -> DataFrame:
+    """Path and content digest of every file that committed batches took in."""
+    files = read_rows(spark, f"{audit_dir}/_arquivos", _FILE_SCHEMA)
+    return files.join(_committed(spark, audit_dir), "id_lote", "left_semi").select(PATH, DIGEST)
+
+
+def append_audit(spark: SparkSession, runs: DataFrame, audit_dir: str, batch_id: str) -> DataFrame:
     """Add the batch's run rows, numbered after the highest ``id_log`` so far.
 
     A batch has its own folder, so writing it again after a failure replaces it.
     """
     earlier = read_audit(spark, audit_dir).filter(F.col("id_lote") != batch_id)
     last = earlier.agg(F.max("id_log")).first()[0] or 0
-    numbered = number_rows(runs, order, "id_log")
-    rows = numbered.withColumn("id_log", F.col("id_log") + last).select(*AUDIT_SCHEMA.names)
-    target = f"{audit_dir}/id_lote={batch_id}"
-    rows.write.mode("overwrite").parquet(target)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(target)
+    numbered = number_rows(runs, [ARRIVAL, "nm_arquivo", "nm_caminho"], "id_log", block=F.date_trunc("hour", ARRIVAL))
+    rows = numbered.withColumn("id_log", F.col("id_log") + last).select(*AUDIT_SCHEMA.names, "nm_caminho")
+    rows.write.mode("overwrite").parquet(f"{audit_dir}/id_lote={batch_id}")
+    return _batch_runs(spark, audit_dir, batch_id)
 
 
-def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
-    """All run rows so far; empty before the first batch."""
-    schema = T.StructType([*AUDIT_SCHEMA.fields, T.StructField("id_lote", T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(audit_dir)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+def _batch_runs(spark: SparkSession, audit_dir: str, batch_id: str) -> DataFrame:
+    schema = T.StructType([f for f in _RUN_SCHEMA.fields if f.name != "id_lote"])
+    return spark.read.schema(schema).parquet(f"{audit_dir}/id_lote={batch_id}")
 
 
-def _fits_broadcast(staging: DataFrame, rows: int) -> bool:
-    """Whether a batch may be broadcast to the merge: few rows, and little text in them."""
-    if rows > BROADCAST_ROWS:
-        return False
-    lengths = [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) for c in staging.columns]
-    size = staging.agg(F.sum(reduce(lambda a, b: a + b, lengths))).first()[0]
-    return (size or 0) <= BROADCAST_BYTES
+# The batch job ---------------------------------------------------------------------
+@dataclass(frozen=True)
+class IngestResult:
+    """Version of the table after the batch, and one row per file for each report.
+
+    ``totals`` are the counts the writes observed; a skipped batch has none.
+    """
+
+    version: int
+    skipped: bool
+    runs: DataFrame
+    alerts: DataFrame
+    destinations: DataFrame
+    totals: dict[str, Any] = field(default_factory=dict)
+
+
+def _file_seconds(results: DataFrame, started: float) -> Column:
+    """Seconds per file: its own reading, and its share of the batch's by rows."""
+    rows, files = results.agg(F.sum("qt_recebidas"), F.count("*")).first()
+    batch = (time.monotonic() - started) / ((rows or 0) + files + 1)
+    return F.coalesce(F.col(SECONDS), F.lit(0.0)) + F.lit(batch) * (F.col("qt_recebidas") + 1)
 
 
 def ingest_batch(
@@ -175,56 +205,74 @@ def ingest_batch(
     audit_dir: str,
     batch_id: str,
     ts: dt.datetime,
-    spec: TableSpec = PROBLEMS,
+    spec: TableSpec | None = None,
     keep_missing: bool = False,
 ) -> IngestResult:
     """Clean, check, merge and audit a batch of files of one table.
 
-    Order of the writes: new snapshot data, audit rows, commit. Until the commit
-    everything can be done again under the same batch id; after it the batch is
+    Order of the writes: the touched buckets' new generation, audit rows, commit, mark. Until
+    the commit everything can be done again under the same batch id; after it the batch is
     skipped. The landing's intermediates are removed, so it serves one call.
     """
+    spec = spec or table.spec
     started = time.monotonic()
     stamp = ntz(ts)
     done = table.committed_version(spark, batch_id)
     if done is not None:
         landing.scratch.clear(spark)
-        runs = spark.read.schema(AUDIT_SCHEMA).parquet(f"{audit_dir}/id_lote={batch_id}")
+        mark_committed(spark, audit_dir, batch_id)  # in case the last try ended between the two
+        runs = _batch_runs(spark, audit_dir, batch_id)
         return IngestResult(done, True, runs, alert_rows(runs, stamp), disposition(runs, stamp))
 
     scratch = landing.scratch
     try:
-        resolved = resolve_layouts(landing, spec)
+        resolved = materialize(resolve_layouts(landing.layouts, spec), "layouts", scratch)
         rows, columns = project_landing(landing, spec, resolved)
         key_present = ~F.array_contains(ABSENT, spec.key)
-        flagged = materialize(flag_rows(rows, spec, columns, key_present), "staging", scratch)
-        verdicts = file_verdicts(flagged, spec, file_errors(landing, resolved))
+        flagged = flag_rows(rows, spec, columns, key_present)
+        texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns]
+        flagged, totals = materialize_observed(
+            flagged, "staging", scratch,
+            qt_recebidas=F.count("*"), qt_validas=F.count_if(KEPT),
+            qt_bytes=F.sum(F.when(F.col(KEPT), reduce(lambda a, b: a + b, texts, F.lit(0)).cast("long"))),
+        )
+        verdicts = file_verdicts(flagged, spec, file_errors(landing, resolved), PATH)
         verdicts = materialize(verdicts, "verdicts", scratch)
 
-        staging = staged(flagged, spec).drop(LAYOUT)
-        good, _ = split_files(staging, verdicts.filter(F.col(ERROR).isNotNull()))
-        version, current = table.current(spark)
-        good_rows = verdicts.filter(F.col(ERROR).isNull()).agg(F.sum("qt_validas")).first()[0] or 0
+        good, _ = split_files(staged(flagged, spec), verdicts.filter(F.col(ERROR).isNotNull()), PATH)
+        touched = table.touched(good)
+        tasks = table.tasks(spark)
+        version, current = table.part(spark, touched)
+        small = (totals["qt_bytes"] or 0) <= BROADCAST_BYTES
         merged = merge_sequence(
-            current, good, spec.key, [ARRIVAL, ORIGIN], stamp,
-            keep_missing=keep_missing,
-            broadcast_source=_fits_broadcast(good.drop(ABSENT, BAD_KEY), good_rows),
+            current if small else current.repartition(tasks, F.col(spec.key)),
+            good.repartition(tasks, F.col(spec.key)),
+            spec.key, [ARRIVAL, PATH], stamp, keep_missing, broadcast_source=small, by=PATH,
         )
-        actions = merge_actions(merged, good, spec.key)
-        results = materialize(
-            run_results(verdicts, actions).join(landing.files.select(ORIGIN, ARRIVAL), ORIGIN),
-            "results",
-            scratch,
-        )
-        changes = results.agg(F.sum(F.col("qt_inseridas") + F.col("qt_atualizadas"))).first()[0]
-        folder = table.write(production_rows(merged), version + 1) if changes else None
-
-        seconds = F.lit(time.monotonic() - started)
-        runs = audit_rows(results, spec.table, stamp, seconds, carry=[ARRIVAL])
-        runs = append_audit(spark, runs, audit_dir, batch_id, [ARRIVAL, "nm_arquivo"])
-        new_version = table.commit(spark, version, folder, batch_id, ts)
+        columns_after = production_rows(merged).schema
+        folder = None
+        tally = spark.createDataFrame([], f"{PATH} string, qt_inseridas long, qt_atualizadas long")
+        if touched:
+            folder, counts = table.write_observed(
+                merged, version + 1,
+                qt_inseridas=F.count_if(F.col(ACTION) == INSERTED), qt_atualizadas=F.count_if(F.col(ACTION) == CHANGED),
+            )
+            totals |= counts
+            written = table.written(spark, folder, merged.select(ACTION, FIRST_FILE).schema)
+            keyed = verdicts.filter(F.col(ERROR).isNull()).select(PATH, "qt_com_chave")
+            tally = sequence_tally(written, keyed, PATH)
+        listed = landing.files.select(PATH, ORIGIN, ARRIVAL, SECONDS, DIGEST)
+        results = run_results(verdicts, tally, PATH).join(listed, PATH)
+        results = materialize(results, "results", scratch)
+
+        results.select(PATH, DIGEST).write.mode("overwrite").parquet(f"{audit_dir}/_arquivos/id_lote={batch_id}")
+        runs = results.withColumn("nm_caminho", F.col(PATH))
+        runs = audit_rows(runs, spec.table, stamp, _file_seconds(results, started), carry=[ARRIVAL, "nm_caminho"])
+        runs = append_audit(spark, runs, audit_dir, batch_id)
+        new_version = table.commit(spark, version, folder, batch_id, ts, columns_after, touched)
+        mark_committed(spark, audit_dir, batch_id)
     finally:
         scratch.clear(spark)
     return IngestResult(
-        new_version, False, runs, alert_rows(runs, stamp), disposition(runs, stamp)
+        new_version, False, runs, alert_rows(runs, stamp), disposition(runs, stamp), totals
     )

@@ -24,6 +24,7 @@ from ticketlake.functions.columns import (
     priority_rank,
 )
 from ticketlake.operators.filters import apply_filters
+from ticketlake.session import Scratch, materialize
 from ticketlake.spec import DASH_LABEL, RUN_FAILED, RUN_OK, RUN_PARTIAL, UNKNOWN_LABEL
 
 OPEN_COLUMNS = (
@@ -163,10 +164,69 @@ def filtered(card: str, df: DataFrame, **params: str | None) -> DataFrame:
     return FILTERED_CARDS[card](apply_filters(df, **params))
 
 
-def dashboard(df: DataFrame, **params: str | None) -> dict[str, DataFrame]:
-    """All executive cards over one set of filters."""
-    rows = apply_filters(df, **params)
-    return {name: card(rows) for name, card in FILTERED_CARDS.items()}
+# Charts of the dashboard: column, and label of its NULL group.
+CHARTS: dict[str, tuple[str, str | None]] = {
+    "by_status": ("status", None),
+    "by_priority": ("prioridade", None),
+    "by_journey": ("jornada_impactada", UNKNOWN_LABEL),
+    "by_workaround": ("paliativo", UNKNOWN_LABEL),
+    "by_manager": ("gerente_responsavel", UNKNOWN_LABEL),
+    "by_department": ("departamento_relator", UNKNOWN_LABEL),
+}
+# Cards of one number, and the count they show; the table of problems counts its rows.
+SCALARS = {"total": "_n", "open_total": "_abertos", "p1_open": "_p1", "open_table": "_n"}
+_CARD = "card string, _chave string, label string, qt long"
+
+
+def dashboard_counts(df: DataFrame, **params: str | None) -> DataFrame:
+    """(card, label, qt) of all ten cards over one set of filters, from one scan.
+
+    Rows are counted once by all chart columns together; grouping sets over those few groups
+    give every chart and the totals. A card of one number has no label, and is 0 if no row
+    is left.
+    """
+    columns = [c for c, _ in CHARTS.values()]
+    keys = [f"_k_{c}" for c in columns]
+    rows = apply_filters(df, **params).groupBy(*columns).agg(
+        F.count("*").alias("_n"), F.count_if(is_open()).alias("_abertos"), F.count_if(is_p1_open()).alias("_p1")
+    )
+    keyed = rows.withColumns({k: ci_key(c) for k, c in zip(keys, columns, strict=True)})
+    sets = keyed.groupingSets([[], *[[k] for k in keys]], *keys).agg(
+        F.grouping_id().alias("_conjunto"),
+        *[F.min(c).alias(c) for c in columns],
+        *[F.sum(c).alias(c) for c in ("_n", "_abertos", "_p1")],
+    )
+
+    def cell(card: str, key: Column, label: Column, count: str) -> Column:
+        values = (F.lit(card).alias("card"), key.alias("_chave"), label.alias("label"), F.col(count).alias("qt"))
+        return F.struct(*values)
+
+    none = F.lit(None).cast("string")
+    # The id has a bit per column, set where the column is not grouped by.
+    every = 2 ** len(keys) - 1
+    cells = F.when(F.col("_conjunto") == every, F.array(*[cell(n, none, none, c) for n, c in SCALARS.items()]))
+    for i, (name, (column, label)) in enumerate(CHARTS.items()):
+        shown = label_null(column, label) if label else F.col(column)
+        chart = F.array(cell(name, F.col(keys[i]), shown, "_n"))
+        cells = cells.when(F.col("_conjunto") == every - 2 ** (len(keys) - 1 - i), chart)
+    zeros = df.sparkSession.createDataFrame([(n, None, None, 0) for n in SCALARS], _CARD)
+    found = sets.select(F.inline(cells)).unionByName(zeros)
+    # A NULL group and the text of its label stay two rows.
+    return found.groupBy("card", "_chave", "label").agg(F.sum("qt").alias("qt")).drop("_chave")
+
+
+def dashboard(df: DataFrame, scratch: Scratch | None = None, **params: str | None) -> dict[str, DataFrame]:
+    """All executive cards over one set of filters; all but the table of problems are cut
+    from one aggregate, which is written once."""
+    counts = materialize(dashboard_counts(df, **params), "dashboard", scratch)
+    cards = {"open_table": filtered("open_table", df, **params)}
+    names = {"total": "total", "open_total": "abertos", "p1_open": "p1_abertos"}
+    for card, name in names.items():
+        cards[card] = counts.filter(F.col("card") == card).select(F.col("qt").alias(name))
+    for card, (column, _) in CHARTS.items():
+        chart = counts.filter(F.col("card") == card)
+        cards[card] = chart.select(F.col("label").alias(column), F.col("qt").alias("qt_problemas"))
+    return cards
 
 
 # Audit KPIs ---------------------------------------------------------------------------

@@ -12,20 +12,19 @@ from ticketlake.functions.columns import ntz
 from ticketlake.operators.logs import extract_events, high_water
 from ticketlake.operators.audit import log_alert
 from ticketlake.operators.lookup import number_rows
-from ticketlake.session import Scratch, materialize
+from ticketlake.session import Scratch, materialize, read_rows
 from ticketlake.sources.loglines import read_log_lines
 from ticketlake.spec import LOG_EVENT_SCHEMA
 
 
+# Lines, or bytes, of a log that are numbered by one task.
+BLOCK_LINES = 50_000
+
+
 def read_events(spark: SparkSession, events_dir: str) -> DataFrame:
     """All captured events; empty before the first poll."""
     schema = T.StructType([*LOG_EVENT_SCHEMA.fields, T.StructField("id_lote", T.StringType())])
-    try:
-        return spark.read.schema(schema).parquet(events_dir)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return spark.createDataFrame([], schema)
+    return read_rows(spark, events_dir, schema)
 
 
 def append_events(
@@ -34,8 +33,9 @@ def append_events(
     """Add events in line order with their ids; a repeated batch replaces itself."""
     earlier = read_events(spark, events_dir).filter(F.col("id_lote") != batch_id)
     last = earlier.agg(F.max("id_log")).first()[0] or 0
+    block = F.struct("log_file", F.floor(F.col("line_no") / BLOCK_LINES))
     rows = (
-        number_rows(events, ["log_file", "line_no"], "id_log")
+        number_rows(events, ["log_file", "line_no"], "id_log", block=block)
         .withColumns(
             {"id_log": F.col("id_log") + last, "dt_insert": ntz(ts)}
         )

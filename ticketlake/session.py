@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 # AQE splits skewed shuffle joins and merges small shuffle partitions at run time.
 # Cleaning projects many columns; a generated method above 8000 bytes of bytecode is
@@ -35,7 +37,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ticketlake-")
     if spark.sparkContext.getCheckpointDir() is None:
@@ -54,6 +57,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def read_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Parquet rows of a folder, none if it is absent."""
+    if exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def materialize(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> DataFrame:
     """Write a frame below the shared scratch folder and read it back.
 
@@ -67,6 +82,24 @@ def materialize(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_observed(df: DataFrame, path: str, partition_by: list[str] = [], **metrics: Column) -> dict[str, Any]:
+    """Write a frame and return metrics of the rows that passed, counted by the write itself."""
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(name) for name, c in metrics.items()])
+    observed.write.partitionBy(*partition_by).parquet(path)
+    return seen.get
+
+
+def materialize_observed(
+    df: DataFrame, name: str, scratch: "Scratch", **metrics: Column
+) -> tuple[DataFrame, dict[str, Any]]:
+    """As ``materialize``, with metrics of the written rows."""
+    path = scratch_path(df.sparkSession, name)
+    scratch.paths.append(path)
+    found = write_observed(df, path, **metrics)
+    return df.sparkSession.read.schema(df.schema).parquet(path), found
+
+
 class Scratch:
     """Written intermediates of one job, removed once the job has stored its results."""
 

@@ -1,138 +1,137 @@
 """Landing files: every cell a string, one file one unit of failure.
 
-Files of one batch may have different header rows. Rows stay positional until
-the header rows (``layouts``) are known; the cells of each final column are then
-picked by position, so many layouts still need one scan only.
+Files of one batch may have different header rows. Rows stay arrays of cells; header rows
+(``layouts``) are a table, and the place of each final column per layout is data that is
+joined to the rows, so any number of layouts needs one scan and one plan.
 """
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
-from itertools import chain
-from urllib.parse import unquote
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.functions.columns import file_name
-from ticketlake.functions.names import dedupe_headers
+from ticketlake.functions.columns import dedupe_headers, file_name, file_path
 from ticketlake.operators.lookup import join_lookup
+from ticketlake.operators.quality import SURPLUS
 from ticketlake.session import Scratch, materialize
 from ticketlake.sources.workbook import decode_workbooks
-from ticketlake.spec import ORIGIN, SETTLE_SECONDS
+from ticketlake.spec import ORIGIN, PATH, SETTLE_SECONDS
+from ticketlake.storage.snapshot import literal_path
 
 ARRIVAL = "dt_chegada"
 LAYOUT = "id_layout"
-LANDING_META = (ORIGIN, ARRIVAL, LAYOUT)
-MAX_LAYOUTS = 10_000
+CELLS = "celulas"
+#: Of a file: seconds its decoding took, digest of its bytes if they were read whole.
+SECONDS, DIGEST = "tm_leitura", "ds_sha256"
+_HEADER, _PLACES = "cabecalho", "_lugares"
 
 
 @dataclass
 class Landing:
     """Rows of a set of files.
 
-    ``rows``: file, arrival, layout id and cells. ``layouts``: header row per
-    layout id. ``files``: one row per file, with the reason if it is unreadable.
-    ``cell`` gives the cell column of a position (of a header, for uniform rows).
+    ``rows``: path, file name, arrival and cells. ``files``: one row per file with its
+    layout, or the reason if it is unreadable. ``layouts``: header names per layout.
     """
 
     rows: DataFrame
     files: DataFrame
-    layouts: dict[int, list[str]]
-    cell: Callable[[int], Column] = field(default=lambda i: F.get("celulas", F.lit(i)))
+    layouts: DataFrame
     scratch: Scratch = field(default_factory=Scratch)
 
-    def pick(self, positions: dict[int, int]) -> Column:
-        """Cell at a position that depends on the layout (layout id -> position)."""
-        by_position: dict[int, list[int]] = {}
-        for layout, position in positions.items():
-            by_position.setdefault(position, []).append(layout)
-        if len(by_position) == 1 and len(positions) == len(self.layouts):
-            return self.cell(next(iter(by_position)))
-        return F.coalesce(
-            *[F.when(F.col(LAYOUT).isin(ids), self.cell(p)) for p, ids in by_position.items()]
+    def placed(self, places: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
+        """Rows with the given columns, whose cells lie where ``places`` says.
+
+        ``places`` has one row per layout: an array with the position of each column (null
+        if the layout lacks it), and the columns ``more``. Cells beyond the header raise the
+        flag ``_excedente``.
+        """
+        per_file = self.files.join(places, LAYOUT, "left").join(
+            self.layouts.select(LAYOUT, F.size(_HEADER).alias("_largura")), LAYOUT, "left"
         )
+        rows = join_lookup(self.rows, per_file.select(PATH, _PLACES, "_largura", *more), PATH)
+        filled = F.exists(F.slice(CELLS, F.col("_largura") + 1, F.size(CELLS)), lambda c: c.isNotNull())
+        cells = F.transform(_PLACES, lambda p: F.get(CELLS, p))
+        rows = rows.withColumns({"_celulas": cells, SURPLUS: F.coalesce(filled, F.lit(False))})
+        values = [F.get("_celulas", F.lit(i)).alias(c) for i, c in enumerate(columns)]
+        return rows.select(*values, ORIGIN, PATH, ARRIVAL, SURPLUS, *more)
 
     def to_frame(self) -> DataFrame:
         """One string column per header over all files, plus file name and arrival."""
-        headers: dict[str, dict[int, int]] = {}
-        for layout, names in self.layouts.items():
-            for position, name in enumerate(names):
-                headers.setdefault(name, {})[layout] = position
-        cells = [self.pick(where).alias(name) for name, where in headers.items()]
-        return self.rows.select(*cells, ORIGIN, ARRIVAL)
+        listed = self.layouts.select(F.posexplode(_HEADER).alias("_lugar", "_nome"))
+        first = listed.groupBy("_nome").agg(F.min("_lugar").alias("_lugar")).orderBy("_lugar", "_nome")
+        names = [r["_nome"] for r in first.collect()]  # the columns of the result
+        places = self.layouts.select(LAYOUT, _positions(names, F.col(_HEADER), _indices(F.col(_HEADER))))
+        rows = self.placed(places, names)
+        lost = F.raise_error(F.concat(F.lit("mais células que o cabeçalho em "), F.col(PATH))).cast("string")
+        return rows.withColumn(ORIGIN, F.when(F.col(SURPLUS), lost).otherwise(F.col(ORIGIN))).drop(PATH, SURPLUS)
+
+
+def _indices(header: Column) -> Column:
+    return F.transform(header, lambda _, i: i)
+
+
+def _positions(columns: Sequence[str], names: Column, places: Column) -> Column:
+    """Array with the place of each column, null where there is none."""
+    where = F.map_from_arrays(names, places)
+    wanted = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    return F.transform(wanted, lambda c: F.try_element_at(where, c)).alias(_PLACES)
 
 
-def _peek_headers(sep: str, quote: str, encoding: str):
-    """Task body: first record of each file; reads the start of the file only.
+def column_places(layouts: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
+    """Places of final columns per layout; ``layouts`` has ``nomes`` and their ``posicoes``."""
+    return layouts.select(LAYOUT, _positions(columns, F.col("nomes"), F.col("posicoes")), *more)
 
-    Files are opened with pyarrow, which needs access to the store on the executors.
+
+def with_layouts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files with the id of their header row (column ``cabecalho``), and the table of layouts.
+
+    The id is a hash of the names, so numbering needs no sort and no limit.
     """
+    named = files.withColumn(_HEADER, dedupe_headers(_HEADER))
+    numbered = named.withColumn(LAYOUT, F.when(F.col(_HEADER).isNotNull(), F.xxhash64(_HEADER)))
+    layouts = numbered.filter(F.col(_HEADER).isNotNull()).select(LAYOUT, _HEADER).distinct()
+    return numbered.drop(_HEADER), layouts
+
+
+def finished(rows: DataFrame, files: DataFrame, scratch: Scratch) -> Landing:
+    """Landing of rows and of files (path, name, arrival, header, error, seconds, digest)."""
+    files, layouts = with_layouts(materialize(files, "files", scratch))
+    return Landing(rows, files, materialize(layouts, "layouts", scratch), scratch)
+
 
-    def header_of(path: str) -> list[str]:
-        from pyarrow import fs
-
-        if path.startswith("file:"):
-            source, inner = fs.LocalFileSystem(), unquote(path[len("file:"):])
-            inner = "/" + inner.lstrip("/")
-        else:
-            source, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-        csv.field_size_limit(2**31 - 1)  # a header record of any length
-        with source.open_input_stream(inner) as stream:
-            lines = iter(io.TextIOWrapper(stream, encoding, errors="replace", newline=""))
-            whole = chain([next(lines, "").lstrip("\ufeff")], lines)
-            return next(csv.reader(whole, delimiter=sep, quotechar=quote), [])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            headers, errors = [], []
-            for path in batch["_path"]:
-                try:
-                    headers.append(header_of(path))
-                    errors.append(None)
-                except Exception as error:  # damage fails this file, not the job
-                    headers.append(None)
-                    errors.append(f"arquivo ilegível: {error}")
-            yield batch.assign(cabecalho=headers, ds_erro=errors)
-
-    return run
-
-
-def _with_layouts(files: DataFrame) -> tuple[DataFrame, dict[int, list[str]]]:
-    """Number the distinct header rows of ``files`` (column ``cabecalho``)."""
-    distinct = files.filter("cabecalho IS NOT NULL").select("cabecalho").distinct()
-    found = sorted(
-        (r["cabecalho"] for r in distinct.limit(MAX_LAYOUTS + 1).collect()),
-        key=lambda header: [h or "" for h in header],
-    )
-    if len(found) > MAX_LAYOUTS:
-        raise ValueError(f"more than {MAX_LAYOUTS} different header rows in one batch")
-    layouts = {i: dedupe_headers(header) for i, header in enumerate(found)}
-    if len(layouts) <= 1:
-        known = F.when(F.col("cabecalho").isNotNull(), F.lit(0))
-        return files.withColumn(LAYOUT, known).drop("cabecalho"), layouts
-    ids = files.sparkSession.createDataFrame(
-        list(enumerate(found)), f"{LAYOUT} int, cabecalho array<string>"
-    )
-    same = files["cabecalho"].eqNullSafe(ids["cabecalho"])
-    numbered = files.join(F.broadcast(ids), same, "left").drop(ids["cabecalho"])
-    return numbered.drop("cabecalho"), layouts
+def _arrival() -> Column:
+    return F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(ARRIVAL)
+
+
+def file_rows(files: DataFrame) -> DataFrame:
+    """Files that were not read whole: no error, no seconds, no digest so far."""
+    none = F.lit(None).cast("string")
+    return files.withColumns({"ds_erro": none, SECONDS: F.lit(0.0), DIGEST: none})
 
 
 def _file_listing(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
+    """Path, name and arrival of files; their content is not read."""
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        F.col("_metadata.file_path").alias("_path"),
-        file_name().alias(ORIGIN),
-        F.col("modificationTime").cast("timestamp_ntz").alias(ARRIVAL),
-        F.col("length").alias("_bytes"),
-    )
+    return reader.load(path).select(file_path().alias(PATH), file_name().alias(ORIGIN), _arrival())
+
+
+# Delimited files --------------------------------------------------------------------------
+def _cells(line: Column, sep: str, quote: str) -> Column:
+    """Cells of a header line, null where empty."""
+    q, s = ("".join(f"\\x{{{ord(c):x}}}" for c in text) for text in (quote, sep))
+    cell = f"(?s){s}({q}(?:[^{q}]|{q}{q})*+{q}(?={s}|$)|(?:(?!{s}).)*+)"
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(cell), F.lit(1))
+    bare = lambda c: F.when(
+        c.startswith(quote) & c.endswith(quote) & (F.length(c) > 1),
+        F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit(quote * 2), F.lit(quote)),
+    ).otherwise(c)
+    return F.transform(found, lambda c: F.nullif(bare(c), F.lit("")))
 
 
 def load_delimited(
@@ -141,96 +140,161 @@ def load_delimited(
     sep: str = ",",
     quote: str = '"',
     encoding: str = "UTF-8",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     glob: str | None = None,
 ) -> Landing:
     """Delimited text files with a header row each.
 
-    One record per line, so that a large file is read in splits; exports with
-    line breaks inside cells need ``multi_line=True``, which reads a file whole.
+    Files are read in splits, one record per line. A file with a line of unpaired quotes has
+    line breaks inside cells and goes to the reader that takes a file whole; ``multi_line``
+    sets the reader of all files instead. Rows with more filled cells than their header fail
+    their file.
     """
-    listing = _file_listing(spark, path, glob)
-    peeked = listing.mapInPandas(
-        _peek_headers(sep, quote, encoding),
-        f"_path string, {ORIGIN} string, {ARRIVAL} timestamp_ntz, _bytes long, "
-        "cabecalho array<string>, ds_erro string",
-    )
     scratch = Scratch()
-    files, layouts = _with_layouts(materialize(peeked, "headers", scratch))
-    width = max((len(h) for h in layouts.values()), default=0) or 1
-    reader = (
-        spark.read.schema(", ".join(f"c{i} string" for i in range(width)))
-        .option("header", True)
-        .option("sep", sep)
-        .option("quote", quote)
-        .option("escape", quote)
-        .option("encoding", encoding)
-        .option("multiLine", multi_line)
-    )
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    scan = reader.csv(path)
-    cells = [F.col(f"c{i}") for i in range(width)]
-    if len(layouts) <= 1:
-        rows = scan.select(
-            *cells,
-            file_name().alias(ORIGIN),
-            F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(ARRIVAL),
-            F.lit(0).alias(LAYOUT),
-        )
+    listing = _file_listing(spark, path, glob)
+
+    def reader():
+        options = {"sep": sep, "quote": quote, "escape": quote, "encoding": encoding}
+        return spark.read.options(**options, **({"pathGlobFilter": glob} if glob else {}))
+
+    text = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    line = F.col("value")
+    if encoding.upper() not in ("UTF-8", "UTF8"):
+        line = F.decode(line.cast("binary"), encoding)
+    block = F.col("_metadata.file_block_start").alias("_bloco")
+    lines = text.text(path).select(line.alias("_linha"), file_path().alias(PATH), block)
+    # The first line of a file is the first row of its first split.
+    starts = lines.filter("_bloco = 0 AND trim(_linha) <> ''").withColumn("_seq", F.monotonically_increasing_id())
+    heads = starts.groupBy(PATH).agg(F.min_by("_linha", "_seq").alias("_linha"))
+    heads = heads.select(PATH, _cells(F.regexp_replace("_linha", "^﻿", ""), sep, quote).alias(_HEADER))
+    heads = materialize(heads, "headers", scratch)
+    width = max(heads.agg(F.max(F.size(_HEADER))).first()[0] or 0, 1)
+    if multi_line:
+        whole = [r[PATH] for r in listing.select(PATH).collect()]  # names of files
     else:
-        rows = join_lookup(
-            scan.select(*cells, F.col("_metadata.file_path").alias("_path")),
-            files.select("_path", ORIGIN, ARRIVAL, LAYOUT),
-            "_path",
+        times = lambda mark: (F.length("_linha") - F.length(F.replace("_linha", F.lit(mark), F.lit("")))) / len(mark)
+        # Only lines with more separators than any header has cells for are cut into cells.
+        filled = F.when(times(sep) >= width, F.size(_until_last(_cells(F.col("_linha"), sep, quote))))
+        odd = F.max(times(quote) % 2).alias("_quebra")
+        stats = materialize(lines.groupBy(PATH).agg(odd, F.max(filled).alias("_largura")), "stats", scratch)
+        broken = stats.filter("_quebra = 1") if multi_line is None else stats.limit(0)
+        whole = [r[PATH] for r in broken.select(PATH).collect()]  # names of files to be read whole
+        width = max(width, stats.agg(F.max("_largura")).first()[0] or 0)
+    found = [F.array(*[F.col(f"c{i}") for i in range(width)]).alias(CELLS)]
+    named = [file_path().alias(PATH), file_name().alias(ORIGIN), _arrival()]
+    schema = lambda n: ", ".join(f"c{i} string" for i in range(n))
+    rows = reader().schema(schema(width)).option("header", True).csv(path).select(*named, *found)
+    if whole:
+        rows = rows.filter(~F.col(PATH).isin(whole))
+        records = _whole_records(reader, schema, whole, width, named, scratch)
+        first = records.groupBy(PATH).agg(F.min("_seq").alias("_seq"))
+        first = first.join(records, [PATH, "_seq"])
+        heads = heads.filter(~F.col(PATH).isin(whole)).unionByName(
+            first.select(PATH, _until_last(F.col(CELLS)).alias(_HEADER))
         )
-    return Landing(
-        rows,
-        files.select(ORIGIN, ARRIVAL, LAYOUT, "ds_erro"),
-        layouts,
-        cell=lambda i: F.col(f"c{i}"),
-        scratch=scratch,
-    )
+        data = join_lookup(records, first.select(PATH, F.col("_seq").alias("_primeira")), PATH)
+        rows = rows.unionByName(data.filter("_seq <> _primeira").drop("_seq", "_primeira"))
+    empty = F.array().cast("array<string>")
+    files = listing.join(heads, PATH, "left").withColumn(_HEADER, F.coalesce(_HEADER, empty))
+    return finished(rows, file_rows(files), scratch)
 
 
-def load_workbooks(files: DataFrame, sheet: str | int) -> Landing:
-    """Decoded workbooks; ``files`` as given by ``workbook_files`` or a stream batch."""
+def _until_last(cells: Column) -> Column:
+    """Cells up to the last filled one."""
+    filled = F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1))
+    return F.slice(cells, F.lit(1), F.coalesce(F.array_max(filled), F.lit(0)))
+
+
+def _whole_records(reader, schema, paths: list[str], width: int, named: list[Column], scratch: Scratch) -> DataFrame:
+    """All records, headers too, of files with line breaks inside cells.
+
+    Read wider until no record fills the last place, since no line tells a record's width.
+    """
+    while True:
+        cells = F.array(*[F.col(f"c{i}") for i in range(width)]).alias(CELLS)
+        scan = reader().schema(schema(width)).option("multiLine", True).csv([literal_path(p) for p in paths])
+        records = materialize(
+            scan.select(*named, cells, F.monotonically_increasing_id().alias("_seq")), "records", scratch
+        )
+        if records.filter(F.get(CELLS, F.lit(width - 1)).isNotNull()).isEmpty():
+            return records
+        width *= 2
+
+
+# Workbooks --------------------------------------------------------------------------------
+def load_workbooks(files: DataFrame, sheet: str | int | None, known: DataFrame | None = None) -> Landing:
+    """Decoded workbooks; ``files`` as given by ``workbook_files`` or a stream batch.
+
+    Without ``sheet``, columns of ``files`` name it, for files of several tables. Files that
+    ``known`` has with the same path and digest are left out. Cells beyond the header get
+    names by position.
+    """
     scratch = Scratch()
     decoded = materialize(decode_workbooks(files, sheet), "workbooks", scratch)
-    per_file = decoded.groupBy(ORIGIN, ARRIVAL).agg(
-        F.any_value(F.when(F.col("nr_linha") == 0, F.col("celulas")), F.lit(True)).alias("_head"),
-        F.max(F.size("celulas")).alias("_width"),
-        F.max("ds_erro").alias("ds_erro"),
-    )
+    closing = decoded.filter("nr_linha = -1").select(PATH, ORIGIN, ARRIVAL, "ds_erro", SECONDS, DIGEST)
+    heads = decoded.filter("nr_linha = 0").select(PATH, F.col(CELLS).alias("_head"))
+    widths = decoded.groupBy(PATH).agg(F.max(F.size(CELLS)).alias("_width"))
+    per_file = closing.join(heads, PATH, "left").join(widths, PATH, "left")
+    if known is not None:
+        per_file = per_file.join(known.select(PATH, DIGEST).distinct(), [PATH, DIGEST], "left_anti")
     padding = F.array_repeat(F.lit(None).cast("string"), F.col("_width") - F.size("_head"))
-    per_file = per_file.select(
-        ORIGIN,
-        ARRIVAL,
-        "ds_erro",
-        F.when(F.col("ds_erro").isNull(), F.concat("_head", padding)).alias("cabecalho"),
-    )
-    listed, layouts = _with_layouts(materialize(per_file, "headers", scratch))
-    data = decoded.filter("nr_linha > 0").drop("ds_erro", ARRIVAL)
-    readable = listed.filter("ds_erro IS NULL").select(ORIGIN, ARRIVAL, LAYOUT)
-    rows = join_lookup(data, readable, ORIGIN).select(*LANDING_META, "celulas")
-    listing = listed.select(ORIGIN, ARRIVAL, LAYOUT, "ds_erro")
-    return Landing(rows, listing, layouts, scratch=scratch)
+    header = F.when(F.col("ds_erro").isNull(), F.concat("_head", padding)).alias(_HEADER)
+    listed = per_file.select(PATH, ORIGIN, ARRIVAL, header, "ds_erro", SECONDS, DIGEST)
+    rows = decoded.filter("nr_linha > 0").select(PATH, ORIGIN, ARRIVAL, CELLS)
+    landing = finished(rows, listed, scratch)
+    # A damaged file gives no rows, even if some were decoded before the damage.
+    readable = landing.files.filter("ds_erro IS NULL").select(PATH)
+    return replace(landing, rows=join_lookup(rows, readable, PATH, "left_semi"))
 
 
+# Parquet and frames -----------------------------------------------------------------------
 def load_parquet(spark: SparkSession, path: str | list[str]) -> Landing:
-    """Parquet files taken as landing rows: every column cast to text."""
-    scan = spark.read.option("mergeSchema", True).parquet(path)
-    names = scan.columns
-    rows = scan.select(
-        *[F.col(c).cast("string") for c in names],
-        file_name().alias(ORIGIN),
-        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(ARRIVAL),
-        F.lit(0).alias(LAYOUT),
-    )
-    files = _file_listing(spark, path, "*.parquet").select(
-        ORIGIN, ARRIVAL, F.lit(0).alias(LAYOUT), F.lit(None).cast("string").alias("ds_erro")
-    )
-    return Landing(rows, files, {0: dedupe_headers(names)}, cell=lambda i: F.col(names[i]))
+    """Parquet files taken as landing rows: every column cast to text.
+
+    Files whose columns have types that do not go together are read one schema at a time,
+    and each has the header of its own schema then.
+    """
+    named = [file_path().alias(PATH), file_name().alias(ORIGIN), _arrival()]
+
+    def scan(paths: str | list[str]) -> tuple[DataFrame, list[str]]:
+        found = spark.read.option("mergeSchema", True).parquet(*([paths] if isinstance(paths, str) else paths))
+        cells = F.array(*[F.col(f"`{c}`").cast("string") for c in found.columns])
+        return found.select(*named, cells.alias(CELLS)), found.columns
+
+    scratch = Scratch()
+    listing = _file_listing(spark, path, "*.parquet")
+    try:
+        rows, names = scan(path)
+        headers = listing.select(PATH, F.array(*[F.lit(c) for c in names]).alias(_HEADER))
+    except Exception as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        alike: dict[str, list[str]] = {}
+        for row in listing.select(PATH).collect():  # only footers are read here
+            schema = spark.read.parquet(literal_path(row[PATH])).schema.json()
+            alike.setdefault(schema, []).append(row[PATH])
+        groups = [(paths, *scan([literal_path(p) for p in paths])) for paths in alike.values()]
+        rows = groups[0][1]
+        for _, more, _ in groups[1:]:
+            rows = rows.unionByName(more)
+        headers = spark.createDataFrame(
+            [(p, names) for paths, _, names in groups for p in paths], f"{PATH} string, {_HEADER} array<string>"
+        )
+    return finished(rows, file_rows(listing.join(headers, PATH)), scratch)
+
+
+def from_frame(df: DataFrame, arrival: Column, path: Column | None = None) -> Landing:
+    """Landing of rows that a frame already holds, with one header for all: its columns.
+
+    ``nm_arquivo_origem`` names the file of a row, ``path`` tells files apart.
+    """
+    scratch = Scratch()
+    names = [c for c in df.columns if c != ORIGIN]
+    cells = F.array(*[F.col(f"`{c}`").cast("string") for c in names]).alias(CELLS)
+    path = F.col(ORIGIN) if path is None else path
+    rows = df.select(path.alias(PATH), ORIGIN, arrival.cast("timestamp_ntz").alias(ARRIVAL), cells)
+    files = rows.select(PATH, ORIGIN, ARRIVAL).distinct().withColumn(_HEADER, F.array(*[F.lit(c) for c in names]))
+    return finished(rows, file_rows(files), scratch)
 
 
 def read_landing(spark: SparkSession, path: str | list[str], fmt: str = "csv", **options) -> DataFrame:

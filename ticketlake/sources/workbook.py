@@ -10,6 +10,7 @@ import datetime as dt
 import io
 import posixpath
 import re
+import time
 import zipfile
 from collections.abc import Iterator
 from xml.etree import ElementTree
@@ -18,13 +19,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.functions.columns import file_name
-from ticketlake.spec import ORIGIN
+from ticketlake.functions.columns import file_name, file_path
+from ticketlake.spec import ORIGIN, PATH
 
 CELLS_SCHEMA = (
-    f"{ORIGIN} string, dt_chegada timestamp_ntz, nr_linha long, "
-    "celulas array<string>, ds_erro string"
+    f"{PATH} string, {ORIGIN} string, dt_chegada timestamp_ntz, nr_linha long, "
+    "celulas array<string>, ds_erro string, tm_leitura double, ds_sha256 string"
 )
+# Columns that tell the sheet of a file, by name or by position.
+SHEET, SHEET_NO = "_aba", "_aba_nr"
 _ROWS_PER_BATCH = 5_000
 _RELATION_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 # Built-in number formats that show a date or a time.
@@ -181,53 +184,67 @@ def sheet_rows(content: bytes, sheet: str | int) -> Iterator[list[str | None]]:
             yield cells
 
 
-def _decode(sheet: str | int):
-    """Task body: files in, (file, arrival, row, cells, error) out; row 0 is the header."""
+def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Task body: files in, rows out; row 0 is the header, row -1 closes a file with its
+    error, the seconds it took and its digest."""
 
-    def frame(name, arrival, rows, first):
+    def frame(file, rows, first):
         return pd.DataFrame(
             {
-                ORIGIN: name,
-                "dt_chegada": arrival,
+                PATH: file[PATH],
+                ORIGIN: file[ORIGIN],
+                "dt_chegada": file["dt_chegada"],
                 "nr_linha": range(first, first + len(rows)),
                 "celulas": rows,
                 "ds_erro": None,
+                "tm_leitura": None,
+                "ds_sha256": None,
             }
         )
 
-    def failure(name, arrival, error):
-        return pd.DataFrame(
-            {ORIGIN: [name], "dt_chegada": [arrival], "nr_linha": [-1], "celulas": [None],
-             "ds_erro": [error]}
-        )
+    def decoded(file):
+        name = file[ORIGIN]
+        if not name.lower().endswith(".xlsx"):
+            raise ValueError("formato .xls antigo não é suportado; use .xlsx")
+        first, rows = 0, []
+        sheet = file[SHEET] if file[SHEET] is not None else int(file[SHEET_NO])
+        try:
+            for row in sheet_rows(file["content"], sheet):
+                rows.append(row)
+                if len(rows) == _ROWS_PER_BATCH:
+                    yield frame(file, rows, first)
+                    first, rows = first + len(rows), []
+        except Exception as error:  # any damage fails this file, not the job
+            raise ValueError(f"planilha ilegível: {error}") from error
+        if first == 0 and not rows:
+            rows.append([])
+        if rows:
+            yield frame(file, rows, first)
+
+    for batch in batches:
+        for file in batch.to_dict("records"):
+            started, error = time.perf_counter(), None
+            try:
+                yield from decoded(file)
+            except ValueError as damage:
+                error = str(damage)
+            close = frame(file, [None], -1)
+            yield close.assign(
+                ds_erro=error, tm_leitura=time.perf_counter() - started, ds_sha256=file["ds_sha256"]
+            )
+
+
+def decode_workbooks(files: DataFrame, sheet: str | int | None) -> DataFrame:
+    """Cells of workbook files; ``files`` has path, name, arrival time and ``content``.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, arrival, content in zip(batch[ORIGIN], batch["dt_chegada"], batch["content"]):
-                if not name.lower().endswith(".xlsx"):
-                    yield failure(name, arrival, "formato .xls antigo não é suportado; use .xlsx")
-                    continue
-                first, rows = 0, []
-                try:
-                    for row in sheet_rows(content, sheet):
-                        rows.append(row)
-                        if len(rows) == _ROWS_PER_BATCH:
-                            yield frame(name, arrival, rows, first)
-                            first, rows = first + len(rows), []
-                    if first == 0 and not rows:
-                        rows.append([])
-                except Exception as error:  # any damage fails this file, not the job
-                    yield failure(name, arrival, f"planilha ilegível: {error}")
-                    continue
-                if rows:
-                    yield frame(name, arrival, rows, first)
-
-    return run
-
-
-def decode_workbooks(files: DataFrame, sheet: str | int) -> DataFrame:
-    """Cells of workbook files; ``files`` has name, arrival time and ``content``."""
-    return files.select(ORIGIN, "dt_chegada", "content").mapInPandas(_decode(sheet), CELLS_SCHEMA)
+    Without ``sheet`` the columns ``_aba`` and ``_aba_nr`` name it per file.
+    """
+    if sheet is not None:
+        name, number = (sheet, None) if isinstance(sheet, str) else (None, sheet)
+        files = files.withColumns({SHEET: F.lit(name).cast("string"), SHEET_NO: F.lit(number).cast("int")})
+    digest = F.sha2("content", 256).alias("ds_sha256")
+    wanted = files.select(PATH, ORIGIN, "dt_chegada", "content", SHEET, SHEET_NO, digest)
+    return wanted.mapInPandas(_decode, CELLS_SCHEMA)
 
 
 def workbook_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -237,6 +254,7 @@ def workbook_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("pathGlobFilter", "*.{[xX][lL][sS],[xX][lL][sS][xX]}")
         .load(path)
         .select(
+            file_path().alias(PATH),
             file_name().alias(ORIGIN),
             F.col("modificationTime").cast("timestamp_ntz").alias("dt_chegada"),
             "length",

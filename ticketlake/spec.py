@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 # Fixed values -------------------------------------------------------------
 ORIGIN = "nm_arquivo_origem"
+# Identity of a file: its whole path. Names may repeat in other folders.
+PATH = "_caminho"
 CREATED = "dt_insert"
 UPDATED = "dt_atualizacao"
 CONTROL_COLUMNS = (CREATED, UPDATED)
@@ -50,9 +52,8 @@ NULL_DATE_TEXTS = ("nan", "NaT", "")
 
 # Accepted layouts of the opening date, tried in this order for every row.
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy")
-# Range of a nanosecond timestamp; dates outside count as unparseable.
-MIN_DATE = "1677-09-22"
-MAX_DATE = "2262-04-11"
+# Range of a nanosecond timestamp, for specifications that take dates outside as unparseable.
+NANOSECOND_DATES = ("1677-09-22", "2262-04-11")
 
 
 # Table specification --------------------------------------------------------
@@ -67,7 +68,10 @@ class Column:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """How files with one name prefix are read, cleaned and merged."""
+    """How files with one name prefix are read, cleaned and merged.
+
+    ``date_range`` gives the first and last date that count; by default every date does.
+    """
 
     prefix: str
     table: str
@@ -79,6 +83,7 @@ class TableSpec:
     date_columns: tuple[str, ...] = ()
     text_date_columns: tuple[str, ...] = ()
     date_formats: tuple[str, ...] = DATE_FORMATS
+    date_range: tuple[str, str] | None = None
 
     @property
     def names(self) -> list[str]:
