@@ -14,13 +14,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketlake.llm.text import materialize
-from ticketlake.llm.tokens import encoder
+from ticketlake.llm.tokens import encoder, runs
 
 CAPACITY = 1024
 
@@ -80,19 +80,26 @@ def placements(windows: list[tuple[int, dict[int, int]]]) -> dict[int, np.ndarra
     return {n: np.array(r, np.int64) for n, r in rows.items()}
 
 
+_PIECES = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")])
+
+
 def _cut(vocabulary: str, spaces: bool, end: int, capacity: int):
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary, spaces)
-        for f in frames:
-            out = []
-            for i, text in enumerate(f["text"]):
-                ids = enc.encode(text, end)
-                for start in range(0, len(ids), capacity):
-                    piece = ids[start : start + capacity]
-                    out.append((i, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-            rows = pd.DataFrame(out, columns=["row", "start", "length", "ids_crc32", "doc_tokens"])
-            rows.insert(0, "doc_id", f["doc_id"].to_numpy()[rows.pop("row").to_numpy(int)])
-            yield rows
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for first, stop in runs(texts):
+                rows, out = [], []
+                for i, text in enumerate(texts[first:stop], first):
+                    ids = enc.encode(text, end).tobytes()
+                    for start in range(0, len(ids), 4 * capacity):
+                        piece = ids[start : start + 4 * capacity]
+                        rows.append(i)
+                        out.append((start // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
+                # Ids are passed on as they are: a number in a float would lose its last digits.
+                names = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+                columns = [pa.array(c, pa.int64()) for c in zip(*out)]
+                yield pa.RecordBatch.from_arrays([names, *columns], schema=_PIECES)
 
     return cut
 
@@ -106,8 +113,8 @@ def pieces(
     again.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-    ids = docs.select(F.col("doc_id").cast("long"), "text")
-    return ids.mapInPandas(_cut(vocabulary, spaces, end, capacity), schema)
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return ids.mapInArrow(_cut(vocabulary, spaces, end, capacity), schema)
 
 
 def ranked(rows: DataFrame, buckets: int) -> DataFrame:
@@ -133,18 +140,19 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, scratch=None) -> DataFrame:
     places = placements(plan(histogram, capacity))
     names = rows.columns
 
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            f = f.reset_index(drop=True)
-            sequence, offset = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
-            for length, group in f.groupby("length", sort=False):
-                rank, table = group["rank"].to_numpy(), places[length]
-                row = table[np.searchsorted(table[:, 0], rank, side="right") - 1]
-                nth = rank - row[:, 0]
-                sequence[group.index] = row[:, 2] + nth // row[:, 1]
-                offset[group.index] = row[:, 3] + nth % row[:, 1] * length
-            yield f[names].assign(sequence_id=sequence, offset=offset)
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))
+            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
+            for n in np.unique(length).tolist():
+                here, table = np.flatnonzero(length == n), places[n]
+                row = table[np.searchsorted(table[:, 0], rank[here], side="right") - 1]
+                nth = rank[here] - row[:, 0]
+                sequence[here] = row[:, 2] + nth // row[:, 1]
+                offset[here] = row[:, 3] + nth % row[:, 1] * n
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", sequence_id long, offset long"
-    return ranked(rows, buckets).mapInPandas(placed, schema)
+    return ranked(rows, buckets).mapInArrow(placed, schema)

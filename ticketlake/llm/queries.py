@@ -7,10 +7,8 @@ hashes); ``tests/llm`` checks them by brute force, round trips and held-out accu
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,18 +52,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", held(F.col("doc_id")))
 
 
-def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        ids = f.pop("ids")
-        yield f.assign(n_tokens=[len(x) // 4 for x in ids], ids_crc32=[zlib.crc32(x) for x in ids])
-
-
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     target = scratch_path(spark, "token-files")
     token_files.write_files(docs, target, public_tokenizers.path("word_bpe_49k.json"), end=2)
     rows = token_files.read_files(spark, target)
-    return rows.mapInPandas(_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    n_tokens = F.expr("length(ids) div 4").cast("long").alias("n_tokens")
+    return rows.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

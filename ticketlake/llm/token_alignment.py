@@ -17,7 +17,6 @@ some characters otherwise), have no tokens. Repeated rows are rows. Other column
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, compress
@@ -30,12 +29,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ticketlake.llm.text import materialize
+from ticketlake.llm.tokens import blank_chunks, runs
 from ticketlake.session import Scratch
 
-#: A blank and all up to the next blank that follows no white space.
-_CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
-#: White space before a blank: there, more than a blank starts a chunk.
-_ODD_BLANKS = re.compile(r"\s ")
 #: Chunks that a worker keeps, and the longest that are worth it.
 CACHE_CHUNKS, CACHE_LENGTH = 300_000, 64
 _SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary"
@@ -122,11 +118,7 @@ class Aligner:
 
     def split(self, text: str) -> list[str]:
         """Chunks of a blank and the text, each without the blank it starts with."""
-        if not self.apart:
-            return [text]
-        if _ODD_BLANKS.search(" " + text):
-            return [c[1:] for c in _CHUNK.findall(" " + text)]
-        return text.split(" ")
+        return blank_chunks(text) if self.apart else [text]
 
     def _forget(self) -> None:
         """Keeps the half of the chunks that was met most often."""
@@ -223,22 +215,6 @@ def aligner(byte_level: str, pieces: str) -> Aligner:
     return Aligner(byte_level, pieces)
 
 
-#: Texts aligned at once, and their characters: what a task holds beside its cache.
-BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
-
-
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and (i - start >= BATCH_ROWS or size + n > BATCH_CHARS):
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
     """Alignment of every text of ``docs`` (doc_id, text): see ``_SCHEMA``.
 
@@ -251,7 +227,7 @@ def aligned(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for start, stop in _runs(texts):
+            for start, stop in runs(texts):
                 columns = list(zip(*aligner(byte_level, pieces).align(texts[start:stop])))
                 arrays = [pa.array(c, t) for c, t in zip(columns, types[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(start, stop - start), *arrays], names)

@@ -4,8 +4,8 @@ A block holds the ids of whole consecutive documents. Ids become codes through t
 own table of frequent ids, most frequent first, so that common ids are small; an id beyond
 the table is code 0, an escape, and stands in the block's escape list. Codes are packed into
 64-bit words: the upper four bits select how many codes of how many bits fill the other 60.
-Every 512th word's code position is stored, so decoding may start inside a block, and all
-words of one selector are decoded together.
+Every 512th word's code position and the escapes before it are stored. Decoding starts at the
+last of these before the wanted codes, and decodes all words of one selector together.
 
 Files are Parquet folders with one row per block, so they live in any store Spark writes.
 """
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,12 +79,18 @@ def pack(codes: np.ndarray) -> np.ndarray:
     return words
 
 
-def unpack(words: np.ndarray, n: int) -> np.ndarray:
-    """The n codes of Simple-8b words."""
+def unpack(words: np.ndarray, n: int, marks: np.ndarray | None = None) -> np.ndarray:
+    """The n codes of Simple-8b words; ``marks`` are the code positions of every 512th word."""
     words = words.astype(np.uint64, copy=False)
     selector = (words >> np.uint64(60)).astype(np.int64)
-    first = np.concatenate([[0], np.cumsum(COUNTS[selector])[:-1]]) if len(words) else np.empty(0, np.int64)
-    out = np.zeros(n + 240, np.uint64)
+    counts = COUNTS[selector]
+    if marks is None:
+        first = np.cumsum(counts) - counts
+    else:  # words of a stride are placed from its mark
+        rows = np.zeros((len(marks), STRIDE), np.int64)
+        rows.ravel()[: len(counts)] = counts
+        first = (np.cumsum(rows, axis=1) - rows + marks[:, None]).ravel()[: len(counts)]
+    out = np.zeros(max(n, int(counts.sum())) + 240, np.uint64)
     for s in np.unique(selector):
         count, bits = SELECTORS[s]
         if bits:
@@ -95,7 +102,10 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def encode_block(ids: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
-    """(table, words, offsets, escapes) of a block's ids."""
+    """(table, words, offsets, escapes) of a block's ids.
+
+    An offset is a pair: position of the stride's first code, and escapes before it.
+    """
     values, which, times = np.unique(ids, return_inverse=True, return_counts=True)
     order = np.argsort(-times, kind="stable")[:TABLE_IDS]
     code = np.zeros(len(values), np.uint64)
@@ -103,18 +113,35 @@ def encode_block(ids: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
     codes = code[which]
     words = pack(codes)
     first = np.concatenate([[0], np.cumsum(COUNTS[(words >> np.uint64(60)).astype(int)])])[:-1]
+    marks = first[::STRIDE]
+    escaped = np.concatenate([[0], np.cumsum(codes == 0)])[marks]
     return (
         values[order].astype("<u4").tobytes(), words.astype("<u8").tobytes(),
-        first[::STRIDE].astype("<u4").tobytes(), ids[codes == 0].astype("<u4").tobytes(),
+        np.column_stack([marks, escaped]).astype("<u4").tobytes(), ids[codes == 0].astype("<u4").tobytes(),
     )
 
 
-def decode_block(table: bytes, words: bytes, escapes: bytes, n: int) -> np.ndarray:
-    """The n ids of a block."""
-    codes = unpack(np.frombuffer(words, "<u8"), n).astype(np.int64)
+def decode_range(
+    table: bytes, words: bytes, offsets: bytes, escapes: bytes, start: int, n: int
+) -> np.ndarray:
+    """The n ids of a block from position ``start`` on, read from the stride they start in."""
+    if not n:
+        return np.empty(0, np.uint32)
+    marks, before = np.frombuffer(offsets, "<u4").astype(np.int64).reshape(-1, 2).T
+    lo = int(np.searchsorted(marks, start, side="right")) - 1
+    hi = int(np.searchsorted(marks, start + n, side="left"))
+    part = np.frombuffer(words, "<u8")[lo * STRIDE : hi * STRIDE]
+    skip = start - int(marks[lo])
+    codes = unpack(part, skip + n, marks[lo:hi] - marks[lo]).astype(np.int64)
     out = np.concatenate([[0], np.frombuffer(table, "<u4")]).astype(np.uint32)[codes]
-    out[codes == 0] = np.frombuffer(escapes, "<u4")
-    return out
+    escaped = codes == 0
+    out[escaped] = np.frombuffer(escapes, "<u4")[before[lo] : before[lo] + int(escaped.sum())]
+    return out[skip:]
+
+
+def decode_block(table: bytes, words: bytes, offsets: bytes, escapes: bytes, n: int) -> np.ndarray:
+    """The n ids of a block."""
+    return decode_range(table, words, offsets, escapes, 0, n)
 
 
 def _write_blocks(path: str, spaces: bool, end: int, block_ids: int):
@@ -173,18 +200,23 @@ def write_files(
     rows.mapInPandas(_write_blocks(vocabulary, spaces, end, block_ids), SCHEMA).write.parquet(target)
 
 
-def _read_blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        for b in f.itertuples(index=False):
-            lengths = unpack(np.frombuffer(b.lengths, "<u8"), len(b.doc_ids)).astype(np.int64)
-            ids = decode_block(b.table, b.words, b.escapes, b.n_ids).astype("<u4")
+def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("n_ids", "block_start", "shard", "doc_ids", "lengths", "table", "words", "offsets", "escapes")
+    for batch in batches:
+        # One block at a time; its ids stay whole numbers beside nulls.
+        for i in range(batch.num_rows):
+            b = {c: batch.column(c)[i].as_py() for c in names}
+            lengths = unpack(np.frombuffer(b["lengths"], "<u8"), len(b["doc_ids"])).astype(np.int64)
+            ids = decode_block(b["table"], b["words"], b["offsets"], b["escapes"], b["n_ids"]).astype("<u4")
             ends = np.cumsum(lengths)
-            yield pd.DataFrame({
-                "shard": b.shard,
-                "doc_id": pd.array([None if d is None or d != d else int(d) for d in b.doc_ids], "Int64"),
-                "inside": b.block_start + ends - lengths,
-                "ids": [ids[e - n : e].tobytes() for n, e in zip(lengths, ends, strict=True)],
-            })
+            parts = [ids[e - n : e].tobytes() for n, e in zip(lengths, ends, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([b["shard"]] * len(parts), pa.int32()), pa.array(b["doc_ids"], pa.int64()),
+                    pa.array(b["block_start"] + ends - lengths), pa.array(parts, pa.binary()),
+                ],
+                ["shard", "doc_id", "inside", "ids"],
+            )
 
 
 def read_files(spark: SparkSession, target: str) -> DataFrame:
@@ -197,7 +229,7 @@ def read_files(spark: SparkSession, target: str) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sizes = blocks.groupBy("shard").agg(F.sum("n_ids").alias("_n"))
     starts = sizes.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    docs = blocks.mapInPandas(_read_blocks, "shard int, doc_id long, inside long, ids binary")
+    docs = blocks.mapInArrow(_read_blocks, "shard int, doc_id long, inside long, ids binary")
     # One row per file.
     return docs.join(F.broadcast(starts), "shard").select(
         "doc_id", (F.col("_start") + F.col("inside")).alias("start"), "ids"

@@ -4,22 +4,37 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
+from collections.abc import Sequence
 
 import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-from ticketlake.llm.text import BoundedCache
-
 #: White space of Unicode, as the tokenizers' own patterns understand it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
 #: A text with this start of a special token is encoded in one go.
 _SPECIAL = "<|"
 CACHE_CHUNKS = 600_000
+#: A blank and all up to the next blank that follows no white space.
+_BLANK_CHUNK = re.compile(r" \s*\S*(?:[^\S ]\s*\S*)*")
+#: White space before a blank: there, more than a blank starts a chunk.
+_ODD_BLANKS = re.compile(r"\s ")
 _BYTES = ByteLevel(add_prefix_space=False, use_regex=False)
 
 
+def blank_chunks(text: str) -> list[str]:
+    """Chunks of a blank and the text, each without the blank it starts with.
+
+    A cut is a blank that follows no white space. No byte-level pattern joins across one.
+    """
+    if _ODD_BLANKS.search(" " + text):
+        return [c[1:] for c in _BLANK_CHUNK.findall(" " + text)]
+    return text.split(" ")
+
+
 class Encoder:
     """Encodes texts with one vocabulary file, exactly as encoding them whole would.
 
@@ -34,13 +49,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
         self.spaces, self.limit = spaces, CACHE_CHUNKS
-        self.characters, self.tails = BoundedCache(self._character), {}
+        # What the model sees for a blank and the letters of Latin-1: a character per byte.
+        self.seen = {ord(c): "".join(part for part, _ in _BYTES.pre_tokenize_str(c)) for c in map(chr, range(256)) if c == " " or c.isalpha()}
+        self.tails: dict[str, bytes] = {}
         self.split = _CHUNK.findall if spaces else lambda text: text.encode().split()
         self.cache: dict = {}
 
     @staticmethod
     def _ids(encoding) -> bytes:
-        return np.array(encoding.ids, "<u4").tobytes()
+        return _bytes(encoding.ids)
 
     def encode(self, text: str | None, end: int) -> np.ndarray:
         """Ids of the text, empty for null, and the end id."""
@@ -50,9 +67,10 @@ class Encoder:
             return np.frombuffer(self._ids(self.tokenizer.encode(text, add_special_tokens=False)) + tail, "<u4")
         chunks = self.split(text)
         if missing := {*chunks}.difference(self.cache):
+            if len(self.cache) + len(missing) > self.limit:
+                self.cache.clear()
+                missing = {*chunks}
             self._learn(missing)
-            if len(self.cache) == len(missing):  # it was cleared
-                self._learn({*chunks}.difference(self.cache))
         return np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)) + tail, "<u4")
 
     def _learn(self, missing: set) -> None:
@@ -61,37 +79,44 @@ class Encoder:
         Stops and commas after a word have ids of their own. A word of plain letters goes
         straight to the vocabulary's merges; its normal form is known without a pattern.
         """
-        if len(self.cache) + len(missing) > self.limit:
-            self.cache.clear()
-        others = []
+        others, cache = [], self.cache
         for c in missing:
             text = c if isinstance(c, str) else c.decode()
             word = text.rstrip(".,")
             letters = word[1:] if self.spaces and word[:1] == " " else word
-            if letters.isalpha() and max(letters) < "\u0100":
-                merged = [t.id for t in self.merges(self._mapped(word))]
-                self.cache[c] = np.array(merged + self._tail(text[len(word) :]), "<u4").tobytes()
-            else:
+            if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0100"):
                 others.append((c, text))
+                continue
+            bare = word if self.spaces else word.encode()
+            ids = cache.get(bare)
+            if ids is None:  # the same word may have stood before other marks
+                ids = cache[bare] = _bytes([t.id for t in self.merges(self._mapped(word))])
+            if len(word) < len(text):
+                cache[c] = ids + self._tail(text[len(word) :])
         if others:
             batch = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
-            self.cache.update(zip([c for c, _ in others], map(self._ids, batch), strict=True))
+            cache.update(zip([c for c, _ in others], map(self._ids, batch), strict=True))
 
     def _mapped(self, word: str) -> str:
-        """Letters of Latin-1 as the model sees them: lower-cased if the vocabulary is, and
-        one character per byte."""
+        """Letters as the model sees them: lower-cased if the vocabulary is, and one character
+        per byte."""
         word = word if self.spaces else word.lower()
-        return word if word.isascii() and word[:1] != " " else "".join(map(self.characters.__getitem__, word))
-
-    def _character(self, c: str) -> str:
-        return "".join(part for part, _ in _BYTES.pre_tokenize_str(c))
+        return word if word.isascii() and word[:1] != " " else word.translate(self.seen)
 
-    def _tail(self, marks: str) -> list[int]:
+    def _tail(self, marks: str) -> bytes:
         if marks not in self.tails:
-            self.tails[marks] = self.tokenizer.encode(marks, add_special_tokens=False).ids if marks else []
+            self.tails[marks] = self._ids(self.tokenizer.encode(marks, add_special_tokens=False))
         return self.tails[marks]
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    packed = array("I", ids)
+    if sys.byteorder != "little":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -100,3 +125,20 @@ def encoder(path: str, spaces: bool) -> Encoder:
     if (path, spaces) not in _ENCODERS:
         _ENCODERS[path, spaces] = Encoder(path, spaces)
     return _ENCODERS[path, spaces]
+
+
+#: Texts encoded at once, and their characters: what a task holds beside its cache.
+BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
+
+
+def runs(texts: Sequence[str | None]):
+    """(start, stop) of runs of texts that are encoded at once."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > start and (i - start >= BATCH_ROWS or size + n > BATCH_CHARS):
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
