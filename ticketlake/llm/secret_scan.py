@@ -11,6 +11,8 @@ DataFrame operations on the JVM.
 from __future__ import annotations
 
 import math
+import re
+from string import ascii_lowercase
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -21,13 +23,28 @@ from pyspark.sql import functions as F
 from ticketlake.llm.text import bucket_of, materialize, take_sample, words_of
 
 KEY = "[A-Za-z0-9+/_=\\-]"
-#: Words that name a secret, and beginnings of keys in use.
-NAMES = (
-    "(?i:token|secret|p(?:ass(?:w|phrase|(?=[\"'`]?[ \t]*+[=:]))|wd|rivate)|a(?:pi[_-]?key|uth|ccess[_-]?key)|bearer|credential)"
+# Words that name a secret, and beginnings of keys in use.
+SECRET_NAMES = (
+    "token", "secret", "passw", "passphrase", "pwd", "private", "api_key", "api-key", "apikey", "auth",
+    "access_key", "access-key", "accesskey", "bearer", "credential",
 )
-KNOWN = (
-    "(?i:A[KS]IA|A(?:GPA|IDA|ROA|NPA)|gh[oprsu]_|github_pat_|glpat-|sk-|[rs]k_live_|xox[abeprs]-|AIza|ya29|npm_|pypi-|hf_|eyJ)"
+KEY_STARTS = (
+    "AKIA", "ASIA", "AGPA", "AIDA", "AROA", "ANPA", "gho_", "ghp_", "ghr_", "ghs_", "ghu_", "github_pat_", "glpat-",
+    "sk-", "rk_live_", "sk_live_", "xoxa", "xoxb", "xoxe", "xoxp", "xoxr", "xoxs", "AIza", "ya29", "npm_", "pypi-", "hf_", "eyJ",
 )
+
+
+def _any(words: tuple[str, ...]) -> str:
+    """Pattern of any of the words, grouped by first letter: one look rules most places out."""
+    firsts: dict[str, list[str]] = {}
+    for w in words:
+        firsts.setdefault(w[0].lower(), []).append(re.escape(w[1:]))
+    return "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in firsts.items())
+
+
+# "pass" names a secret only where it is a word of its own before a value.
+NAMES = f"(?i:{_any(SECRET_NAMES)}|pass(?=[\"'`]?[ \t]*+[=:]))"
+KNOWN = f"(?i:{_any(KEY_STARTS)})"
 # Loops over groups are possessive: Java runs those without recursion, so values may be long.
 _NAMED = (
     f"{NAMES}[A-Za-z0-9_-]*+[\"'`\\])]?[ \\t]*+(?::=|=>|==|[=:])[ \\t]*+(?:(?i:bearer|basic|token)[ \\t]++)?"
@@ -59,8 +76,9 @@ OTHER_WORDS = (
     "image|file|path|href|http|www"
 )
 PLACEHOLDERS = "example|sample|dummy|your|xxxx|change|placeholder|test|0000|1234567"
-#: Bounds: words of the dictionary, texts that labelled findings are planted in.
-DICTIONARY, MAX_FINDINGS = 20_000, 4_000
+#: Least share of all words that a word of the dictionary has, so it holds a million at most;
+#: bound of the texts that labelled findings are planted in.
+LEAST_SHARE, MAX_FINDINGS = 1e-6, 4_000
 FEATURES = (
     "length", "digits", "uppers", "distinct", "switches", "longest_run", "transitions", "coverage",
     "slashes", "path_before", "secret_words", "other_words", "assigned", "quoted", "placeholder",
@@ -69,6 +87,8 @@ FEATURES = (
 #: Labelled lines of each kind per text.
 ROUNDS = 4
 TREES, DEPTH = 24, 6
+#: Cost of a letter pair that no word has.
+UNSEEN = 8.0
 MASK = "[SECRET]"
 
 
@@ -105,15 +125,21 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 # Dictionary -----------------------------------------------------------------------------
-def dictionary(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
-    """(word, n): the most frequent lower-case words of all texts; ties by the word."""
+def counted_words(docs: DataFrame) -> DataFrame:
+    """(word, n): all lower-case words of all texts."""
     # Different words are few beside all words, so patterns are tried after counting.
     blanks = F.translate(F.lower("text"), "\t\n\x0b\f\r", "     ")
     raw = docs.select(F.explode(F.split(blanks, " ")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     plain = raw.select(F.regexp_replace("word", "[.,;:!?]+$", "").alias("word"), "n").filter(
         F.length("word").between(3, 20) & F.col("word").rlike("^[a-z]+$")
     )
-    return plain.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    return plain.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def dictionary(counted: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
+    """The words that make at least a share ``least`` of all words."""
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    return counted.filter(F.col("n") >= total * least)
 
 
 def transition_costs(words: DataFrame) -> dict[str, float]:
@@ -144,12 +170,15 @@ def with_features(rows: DataFrame, words: DataFrame, costs: dict[str, float], sc
     kinds = F.translate(
         F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "9"), "+/_=-", ""
     )
-    usual = F.create_map(*[F.lit(x) for pair in sorted(costs.items()) for x in pair]) if costs else None
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(low, i, F.lit(2)))
-    cost = (
-        F.aggregate(pairs, F.lit(0.0), lambda a, p: a + F.coalesce(F.try_element_at(usual, p), F.lit(8.0))) / F.greatest(n - 1, F.lit(1))
-        if usual is not None else F.lit(8.0)
+    # One text that folds to an array of 26 * 26 costs: hundreds of literals would fill every plan.
+    flat = ",".join(repr(costs.get(a + b, UNSEEN)) for a in ascii_lowercase for b in ascii_lowercase)
+    table = F.split(F.lit(flat), ",").cast("array<double>")
+    codes = F.transform(F.split(low, ""), lambda x: F.ascii(x) - 97)
+    steps = F.zip_with(
+        codes, F.slice(codes, 2, n), lambda a, b: F.when(b.isNull(), 0.0)
+        .when(a.between(0, 25) & b.between(0, 25), F.get(table, a * 26 + b)).otherwise(UNSEEN),
     )
+    cost = F.when(n < 2, UNSEEN).otherwise(F.aggregate(steps, F.lit(0.0), lambda a, x: a + x) / (n - 1))
     # Written first: row numbers must not change between the two uses.
     keyed = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "candidates", scratch)
     before, around = F.lower("before"), F.lower(F.concat("before", F.lit(" "), "after"))
@@ -210,11 +239,18 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
     base = materialize(base.select("h", "w"), "sampled", scratch)
     rounds = F.explode(F.array(*[F.lit(i) for i in range(ROUNDS)])).alias("r")
     base = base.select("h", "w", rounds).select(F.xxhash64("h", "r").alias("h"), "w")
-    hexes = F.sha2(h.cast("string"), 256)
-    code = F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), h.cast("string")), 256))), "=", "")
-    digits = F.concat(F.abs(h % 10**9).cast("string"), F.abs(F.xxhash64(h) % 10**9).cast("string"), F.lit("4071"))
+    text = h.cast("string")
+    # What values are made of, and then one value of each kind, are written before they are
+    # put together: every use would repeat the whole expression in the plan.
+    base = materialize(base.select(
+        "h", "w", F.sha2(text, 256).alias("hexes"),
+        F.translate(F.base64(F.unhex(F.sha2(F.concat(F.lit("b"), text), 256))), "=", "").alias("code"),
+        F.concat(F.abs(h % 10**9).cast("string"), F.abs(F.xxhash64(h) % 10**9).cast("string"), F.lit("4071")).alias("digits"),
+        F.abs(h % 1000).cast("string").alias("small"), (bucket_of(F.concat(text, F.lit("u")), 6) == 0).alias("upper"),
+    ), "parts", scratch)
+    hexes, code, digits, small = (F.col(c) for c in ("hexes", "code", "digits", "small"))
     word = lambda i: F.get(F.col("w"), F.lit(i))
-    case = lambda text: F.when(bucket_of(F.concat(h.cast("string"), F.lit("u")), 6) == 0, F.upper(text)).otherwise(text)
+    case = lambda text: F.when(F.col("upper"), F.upper(text)).otherwise(text)
     names = F.array(*[F.lit(x) for x in (
         "token = \"", "api_key: ", "password=\"", "secret = '", "Authorization: Bearer ", "access_key=", "token: ", "auth_token = \"",
         "client_secret: \"", "export API_TOKEN=", "AWS_SECRET_ACCESS_KEY=", "https://api.org/v1?access_token=", "\"password\": \"",
@@ -234,7 +270,6 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
         F.concat(F.lit("sk-"), F.translate(F.substring(code, 3, 38), "+/", "cd")),
     )
     secrets = F.concat(F.array(F.substring(hexes, 1, 40), F.substring(hexes, 1, 32), hexes), keys)
-    small = F.abs(h % 1000).cast("string")
     passwords = F.array(
         F.concat(F.initcap(word(15)), small, F.lit("!")), F.concat(word(16), F.substring(digits, 1, 1), F.lit("pw")),
         F.concat(F.substring(F.translate(code, "+/", "xy"), 5, 5), F.lit("&"), F.substring(F.translate(code, "+/", "xy"), 11, 5), F.lit("!")),
@@ -266,17 +301,23 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
             ("path ", F.concat(F.lit("/srv/"), word(17), F.lit("/Data/"), word(18), F.lit("/"), F.initcap(word(19)))),
         )]
     )
-    left = F.concat(word(20), F.lit(" "), word(21), F.lit(" "))
-    right = F.concat(F.lit(" "), word(22), F.lit(" "), word(23))
+    base = materialize(base.select(
+        "upper", F.concat(word(20), F.lit(" "), word(21), F.lit(" ")).alias("left"),
+        F.concat(F.lit(" "), word(22), F.lit(" "), word(23)).alias("right"),
+        pick(names, 31).alias("name"), pick(bare, 31).alias("bare"), pick(logins, 31).alias("login"),
+        pick(persons, 31).alias("person"), pick(secrets, 33).alias("secret"), pick(keys, 33).alias("key"),
+        pick(passwords, 33).alias("password"), F.concat(word(16), small, F.lit("pw")).alias("simple"),
+        pick(other, 32).alias("fake"), F.pmod(F.xxhash64(h, F.lit(34)), F.lit(8)).alias("kind"),
+    ), "values", scratch)
+    left, right, kind = F.col("left"), F.col("right"), F.col("kind")
     quote = lambda b: F.when(b.endswith('"'), '"').when(b.endswith("'"), "'").otherwise("")
     spot = lambda b, v, end=None: F.struct(b.alias("b"), v.alias("v"), (quote(b) if end is None else end).alias("end"))
-    fake, kind = pick(other, 32), F.pmod(F.xxhash64(h, F.lit(34)), F.lit(8))
     true = (
-        F.when(kind == 0, spot(pick(logins, 31), F.concat(word(16), small, F.lit("pw")), F.lit("@db.org/x")))
-        .when(kind == 1, spot(pick(logins, 31), pick(passwords, 33), F.lit("@db.org/x")))
-        .when(kind == 2, spot(pick(bare, 31), pick(keys, 33)))
-        .when(kind <= 4, spot(pick(persons, 31), pick(passwords, 33)))
-        .otherwise(spot(pick(names, 31), pick(secrets, 33)))
+        F.when(kind == 0, spot(F.col("login"), F.col("simple"), F.lit("@db.org/x")))
+        .when(kind == 1, spot(F.col("login"), F.col("password"), F.lit("@db.org/x")))
+        .when(kind == 2, spot(F.col("bare"), F.col("key")))
+        .when(kind <= 4, spot(F.col("person"), F.col("password")))
+        .otherwise(spot(F.col("name"), F.col("secret")))
     )
 
     def lines(it: Column, label: float) -> DataFrame:
@@ -284,7 +325,8 @@ def labelled_findings(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None)
         planted = F.struct(F.lit(label).alias("label"), F.char_length("b").alias("at"), F.col("v"))
         return rows.select(planted.alias("doc_id"), F.concat("b", "v", "end").alias("text"))
 
-    found = candidates(lines(true, 1.0).unionByName(lines(spot(fake["b"], fake["v"]), 0.0)))
+    planted = lines(true, 1.0).unionByName(lines(spot(F.col("fake.b"), F.col("fake.v")), 0.0))
+    found = candidates(materialize(planted, "lines", scratch))
     at, value = F.col("doc_id.at"), F.col("doc_id.v")
     whole = (F.col("start") == at) & (F.col("candidate") == value)
     apart = (F.col("start") >= at + F.char_length(value)) | (F.col("start") + F.char_length("candidate") <= at)
@@ -320,8 +362,9 @@ class Scanner:
 
 def train(docs: DataFrame, limit: int = MAX_FINDINGS, scratch=None, seed: int = 17) -> Scanner:
     """Fit on all texts (dictionary) and on bounded labelled findings (forest)."""
-    words = materialize(dictionary(docs), "dictionary", scratch)
-    costs = transition_costs(words)
+    counted = materialize(counted_words(docs), "words", scratch)
+    costs = transition_costs(counted)
+    words = dictionary(counted)
     rows = with_features(labelled_findings(docs, limit, scratch), words, costs, scratch)
     rows = materialize(rows.select("label", *FEATURES), "findings", scratch)
     if rows.select("label").distinct().count() < 2:
