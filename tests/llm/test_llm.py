@@ -19,10 +19,12 @@ from ticketlake.llm import (
     token_files, toxicity, virtual_slots,
 )
 from ticketlake.llm.text import held_out
+from ticketlake.session import scratch_path
 from ticketlake.llm.tokens import Encoder
 
 DATA = "/root/testdata/sf0.001"
 WORD, BYTE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+BIG = 2**53 + 1
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _h string, size string, start string"
 
 
@@ -224,6 +226,29 @@ def test_scan_is_wide(spark, scanner):
     assert {r["doc_id"]: r["is_secret"] for r in scanner.findings(frame).collect()} == dict.fromkeys(range(len(plain)), False)
 
 
+def test_plans_of_the_scan_stay_small(spark, scanner):
+    """Plans are printed and walked over and over by the driver."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    for frame in (secret_scan.labelled_findings(docs), scanner.findings(docs), secret_scan.redact(docs, scanner)):
+        plans = frame._jdf.queryExecution()
+        assert max(len(p.toString()) for p in (plans.analyzed(), plans.optimizedPlan(), plans.executedPlan())) < 20_000
+
+
+def test_findings_by_brute_force(spark, scanner):
+    """The candidates of whole texts, by the pattern in another engine."""
+    import regex
+
+    pattern = regex.compile(secret_scan.PATTERN)
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    want = Counter()
+    for r in docs.collect():
+        for m in pattern.finditer(r["text"] or ""):
+            before = len("".join(g or "" for g in m.groups()[:3]))
+            want[r["doc_id"], m.start() + before, m.group()[before:]] += 1
+    found = Counter((r["doc_id"], r["start"], r["candidate"]) for r in secret_scan.candidates(docs).collect())
+    assert found == want and want
+
+
 def test_long_values_need_no_stack(spark):
     long = ["token=" + "x&" * 100_000, "a:" + "b@" * 100_000 + "h", "-=" * 20_000, 'secret: "' + "\\\"" * 100_000 + '"', "aB" * 100_000]
     frame = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
@@ -298,6 +323,9 @@ def test_language_of_odd_rows(spark, odd):
     rows = language_id.predict(odd, model).collect()
     assert len(rows) == odd.count()
     assert {r["lang_pred"] for r in rows if r["doc_id"] in (4, 5, 6)} == {"und"}
+    signs = spark.createDataFrame([(1, "½ ² ① Ⅷ 12"), (2, "der ½ die und"), (3, "ªº")], "doc_id long, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(signs, model).collect()}
+    assert found[1] == "und" and found[2] != "und" and found[3] != "und"
     none = language_id.train(empty(spark), lambda d: ~held_out(d, 4, 2))
     assert {r["lang_pred"] for r in language_id.predict(odd, none).collect()} == {"und"}
 
@@ -313,7 +341,14 @@ def test_simple8b_round_trip():
         token_files.pack(np.array([1 << 60], np.uint64))
     ids = rng.integers(0, 50_000, 20_000).astype(np.uint32)  # more values than a table holds
     table, packed, offsets, escapes = token_files.encode_block(ids)
-    assert len(escapes) and (token_files.decode_block(table, packed, escapes, len(ids)) == ids).all()
+    assert len(escapes) and (token_files.decode_block(table, packed, offsets, escapes, len(ids)) == ids).all()
+    # Any part is read from the stored offset before it.
+    assert len(offsets) >= 3 * 8
+    for start, n in [(0, 0), (0, 1), (19_999, 1), (7, 19_990), *((int(s), int(rng.integers(1, 900))) for s in rng.integers(0, 19_000, 60))]:
+        assert (token_files.decode_range(table, packed, offsets, escapes, start, n) == ids[start : start + n]).all()
+    wrong = (np.frombuffer(offsets, "<u4") + np.array([1, 0] * (len(offsets) // 8), "<u4")).tobytes()
+    with pytest.raises((IndexError, ValueError, AssertionError)):
+        assert (token_files.decode_range(table, packed, wrong, escapes, 15_000, 500) == ids[15_000:15_500]).all()
 
 
 @pytest.mark.parametrize(("path", "spaces"), [(WORD, False), (BYTE, True)])
@@ -418,6 +453,16 @@ def test_non_negative_risk_ignores_labels_of_the_unlabelled():
     assert model.score(np.array([4, 20], np.int32)) > 0.9 > 0.1 > model.score(np.array([20], np.int32))
 
 
+def test_unlabelled_texts_are_drawn_from_all_documents(spark, monkeypatch):
+    """A text without any label may be drawn; one of a held-out fold may not."""
+    drawn = []
+    monkeypatch.setattr(toxicity, "fit", lambda positive, unlabelled, prior: drawn.append((len(positive), len(unlabelled), prior)))
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)] * 2 + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (99, 0)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, lambda d: d < 40)
+    assert drawn == [(1, 40, pytest.approx(0.5))]
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(odd, none, lambda d: ~held_out(d, 5, 0))
@@ -610,6 +655,40 @@ def test_mix_of_odd_rows(spark, odd):
     assert mixing.mix(empty(spark)).count() == 0 and mixing.take(empty(spark)).count() == 0
 
 
+# Ids --------------------------------------------------------------------------------------
+@pytest.mark.parametrize("number", range(1, 11))
+def test_ids_beside_null_stay_whole(spark, scanner, number):
+    """Ids above 2**53 in a batch with a null id come out as they are."""
+    ids = [BIG, None, BIG + 2, -BIG - 2, 2**63 - 1]
+    text = lambda i: f'word{i} and more of it; token = "{hashlib.sha1(bytes([i])).hexdigest()}" here'
+    rows = [(d, text(i), "en", "a") for i, d in enumerate(ids)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    held = lambda d: ~held_out(d, 5, 0)
+
+    def files():
+        path = scratch_path(spark, "ids")
+        token_files.write_files(frame, path, WORD, 2, files=1)
+        return token_files.read_files(spark, path)
+
+    results = {
+        1: lambda: jaccard_join.jaccard_components(frame),
+        2: lambda: scanner.findings(frame),
+        3: lambda: quality_rules.apply_rules(quality_rules.statistics(frame), []),
+        4: lambda: language_id.predict(frame, language_id.train(frame, held)),
+        5: files,
+        6: lambda: virtual_slots.record_rows(frame),
+        7: lambda: toxicity.score(frame, toxicity.train(frame, none, held)),
+        8: lambda: scaled_sketch.fingerprints(frame),
+        9: lambda: packing.pack(packing.pieces(frame, BYTE, 0)),
+        10: lambda: mixing.mix(frame),
+    }
+    found = results[number]().collect()
+    assert {r["doc_id"] for r in found} == set(ids)
+    if number == 1:
+        assert {r["component_id"] for r in found} == set(ids)
+
+
 # Pipeline ---------------------------------------------------------------------------------
 def test_pipeline_stage_by_stage(spark, table):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")

@@ -117,12 +117,17 @@ def _sets(k: int, bits: int):
     """Per row its set, and at the end of a task the sketch cells of its different sets."""
     width = (1 << bits) // CELL_BLOCKS
 
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch(ids, sizes, names, block, counts, cells) -> pa.RecordBatch:
+        arrays = [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(block, pa.int32()), pa.array(counts, pa.binary())]
+        columns = ["doc_id", "n_shingles", "set_id", "block", "counts", *PARITY]
+        return pa.RecordBatch.from_arrays([*arrays, *[pa.array(cells[:, i]) for i in range(len(PARITY))]], columns)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(1 << bits, np.uint32), set()
-        for f in frames:
+        for f in batches:
             names, sizes = [], []
-            cells = np.zeros((len(f), len(PARITY)), np.int64)
-            for row, text in enumerate(f["text"]):
+            cells = np.zeros((f.num_rows, len(PARITY)), np.int64)
+            for row, text in enumerate(f.column("text").to_pylist()):
                 h = shingle_hashes(text, k)
                 sizes.append(len(h))
                 names.append(set_id(h) if len(h) else None)
@@ -132,17 +137,13 @@ def _sets(k: int, bits: int):
                         seen.clear()
                     seen.add(names[-1])
                     np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
-            yield pd.DataFrame({
-                "doc_id": f["doc_id"].astype("Int64"), "n_shingles": pd.array(sizes, "Int64"),
-                "set_id": pd.array(names, "Int64"), "block": pd.array([None] * len(f), "Int32"), "counts": None,
-            } | {p: cells[:, i] for i, p in enumerate(PARITY)})
+            # Ids are passed on as they are: a number in a float would lose its last digits.
+            none = [None] * f.num_rows
+            yield batch(f.column("doc_id"), sizes, names, none, none, cells)
         for b in range(CELL_BLOCKS):
             part = total[b * width : (b + 1) * width]
             if part.any():
-                yield pd.DataFrame({
-                    "doc_id": pd.array([None], "Int64"), "n_shingles": pd.array([None], "Int64"),
-                    "set_id": pd.array([None], "Int64"), "block": pd.array([b], "Int32"), "counts": [part.tobytes()],
-                } | {p: [0] for p in PARITY})
+                yield batch(pa.nulls(1, pa.int64()), [None], [None], [b], [part.tobytes()], np.zeros((1, len(PARITY)), np.int64))
 
     return sets
 
@@ -160,7 +161,7 @@ def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scr
     """(doc_id, n_shingles, set_id, parities) per row, and the occurrences of all shingles of
     different sets, added up in 2**bits cells by hash: fixed size. One pass over the texts."""
     schema = "doc_id long, n_shingles long, set_id long, block int, counts binary, " + ", ".join(f"{p} long" for p in PARITY)
-    rows = materialize(docs.mapInPandas(_sets(k, bits), schema), "members", scratch)
+    rows = materialize(docs.select("doc_id", "text").mapInArrow(_sets(k, bits), schema), "members", scratch)
     parts = rows.filter("block IS NOT NULL").select("block", "counts")
     summed = parts.repartition(CELL_TASKS, "block").mapInPandas(_add_cells, "block int, counts binary")
     out = np.zeros(1 << bits, np.uint64)

@@ -16,18 +16,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ticketlake.llm.text import take_sample
+from ticketlake.llm.text import per_text
 from ticketlake.llm.toxicity import LETTERS
 
 UNDETERMINED = "und"
 BITS, DIM, NGRAMS = 15, 16, (1, 2, 3, 4)
 BUCKETS = 1 << BITS
-#: Bound of the training sample, in texts per language; languages beyond it are too rare.
-MAX_PER_LANG, MAX_LANGS = 500, 200
+#: Bound of the training sample, in texts per language.
+MAX_PER_LANG = 500
 #: A sampled training text gives this many chunks of this many distinct words at most.
 CHUNKS, CHUNK_WORDS = 4, 60
 
@@ -59,7 +61,11 @@ def subwords(words: list[str]) -> np.ndarray:
 
 
 def words_in(text: str | None) -> list[str]:
-    return LETTERS.findall((text or "").lower())
+    """Runs of letters, lower-cased; numbers that are no digits (halves, Roman signs) are cut out."""
+    words = LETTERS.findall((text or "").lower())
+    if not all(map(str.isalpha, words)):
+        words = [w for w in ("".join(filter(str.isalpha, w)) for w in words) if w]
+    return words
 
 
 @dataclass
@@ -168,22 +174,21 @@ def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame, usable, max_per_lang: int = MAX_PER_LANG, **options) -> Model:
     """Fit on ``docs`` (doc_id, text, lang) where ``usable(doc_id)`` holds.
 
-    Per language at most ``max_per_lang`` texts, chosen by a hash of doc_id; the
-    ``MAX_LANGS`` most frequent languages. Rows with null text or lang do not train.
+    Per language at most ``max_per_lang`` texts, chosen by a hash of doc_id. Rows with null
+    id, text or lang do not train; of rows that repeat an id, the smallest text does.
     """
-    known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & usable(F.col("doc_id")))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    ids = [
-        take_sample(known.filter(F.col("lang") == row["lang"]).select("doc_id"), "doc_id", max_per_lang)
-        for row in sizes
-    ]
-    if not ids:
-        return fit([], [], **options)
-    chosen = ids[0]
-    for more in ids[1:]:
-        chosen = chosen.unionByName(more)
-    # At most MAX_LANGS * max_per_lang ids: a safe broadcast.
-    sample = known.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
+    known = docs.select("doc_id", "text", "lang").filter(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & usable(F.col("doc_id"))
+    )
+    # Hashes up to twice the wanted share of a language, so that no window holds a large one.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("_n"))
+    low = known.select("doc_id", "lang").join(sizes, "lang").filter(
+        place * F.col("_n") <= 2 * max_per_lang + 50
+    ).select("doc_id", "lang").distinct()
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    chosen = low.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= max_per_lang).drop("_r")
+    sample = known.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     rows = sample.mapInPandas(_chunks, "doc_id long, chunk int, lang string, words string").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["chunk"], r["words"], r["lang"]))
     return fit([r["words"].split(" ") for r in rows], [r["lang"] for r in rows], **options)
@@ -192,19 +197,18 @@ def train(docs: DataFrame, usable, max_per_lang: int = MAX_PER_LANG, **options)
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score, accepted) per row, from its whole text.
 
-    ``und`` with score 0 for texts that are null or have no letter. ``accepted`` is false
-    for those and where the probability is below the calibrated bound.
+    ``und`` with score 0 for texts that are null or have no letter, and for all if no language
+    was learned. ``accepted`` is false for those and where the probability is below the
+    calibrated bound. Repeated rows are rows, null ids stay null.
     """
 
-    def predicted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [model.predict(t) for t in f["text"]]
-            out = pd.DataFrame(rows, columns=["lang_pred", "score"])
-            out.insert(0, "doc_id", f["doc_id"].to_numpy())
-            out["accepted"] = (out["lang_pred"] != UNDETERMINED) & (out["score"] >= model.least)
-            yield out
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        predicted, f"doc_id {kind}, lang_pred string, score double, accepted boolean"
-    )
+    def predicted(texts: list) -> dict[str, pa.Array]:
+        found = [model.predict(t) for t in texts]
+        good = [lang != UNDETERMINED and p >= model.least for lang, p in found]
+        langs, scores = zip(*found) if found else ((), ())
+        return {
+            "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()),
+            "accepted": pa.array(good, pa.bool_()),
+        }
+
+    return per_text(docs, "lang_pred string, score double, accepted boolean", predicted)

@@ -9,15 +9,14 @@ second part of the sample, and removes what the rule covers. The list becomes on
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import take_sample, window_hashes
+from ticketlake.llm.text import per_text, take_sample, window_hashes
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 WINDOW = 8
@@ -64,17 +63,17 @@ def text_stats(text: str | None) -> tuple[int, int, int, int, int]:
     )
 
 
-def _stat_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        rows = np.array([text_stats(t) for t in f["text"]], np.int64).reshape(-1, len(STATS))
-        yield pd.DataFrame({"doc_id": f["doc_id"]} | {s: rows[:, i] for i, s in enumerate(STATS)})
+def _stat_columns(texts: list) -> dict[str, pa.Array]:
+    rows = np.array([text_stats(t) for t in texts], np.int64).reshape(-1, len(STATS))
+    return {s: pa.array(rows[:, i]) for i, s in enumerate(STATS)}
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, the five statistics) per row of ``docs``; other columns are not carried."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, " + ", ".join(f"{s} long" for s in STATS)
-    return docs.select("doc_id", "text").mapInPandas(_stat_rows, schema)
+    """(doc_id, the five statistics) per row of ``docs``; other columns are not carried.
+
+    Null, empty and blank texts have zeros; repeated rows are rows, null ids stay null.
+    """
+    return per_text(docs, ", ".join(f"{s} long" for s in STATS), _stat_columns)
 
 
 # Learning -------------------------------------------------------------------------------
@@ -187,11 +186,13 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 
     Learns from at most ``max_labelled`` labelled rows, those with the smallest hash of
     doc_id. Rows with null ids or labels do not train, nor do texts that the base rule
-    rejects anyway. No labels, no rules: every text is kept.
+    rejects anyway. Of rows that repeat an id, the smallest text trains. No labels, no rules:
+    every text is kept.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = take_sample(known.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id", max_labelled)
     texts = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     rows = statistics(texts).join(known, "doc_id").filter(~base_failed())
     frame = rows.select("quality", *[F.expr(e).cast("double").alias(n) for n, e in FEATURES.items()]).toPandas()
     if frame.empty:
@@ -213,6 +214,7 @@ def rule_number(rules: list[Rule]) -> Column:
 
 
 def apply_rules(stats: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Adds base_failed, rule (see ``rule_number``) and kept to rows of statistics."""
+    """Adds base_failed, rule (see ``rule_number``) and kept to rows of statistics; a text
+    without words fails the base, whatever the rules."""
     ruled = stats.withColumns({"base_failed": base_failed(), "rule": rule_number(rules)})
     return ruled.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))

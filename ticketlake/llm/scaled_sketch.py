@@ -107,7 +107,8 @@ def with_next(docs: DataFrame, columns: dict[str, str], pieces: int | None = Non
     ordered = docs.withColumn("_tie", F.xxhash64("text"))
     pieces = pieces or PIECES * int(spark.conf.get("spark.sql.shuffle.partitions"))
     marks = [i / pieces for i in range(1, pieces)]
-    cuts = sorted({int(c) for c in docs.approxQuantile("doc_id", marks, 0.1 / pieces)}) if marks else []
+    # Quantiles are doubles: one of the largest ids may round up beyond them.
+    cuts = sorted({min(int(c), 2**63 - 1) for c in docs.approxQuantile("doc_id", marks, 0.1 / pieces)}) if marks else []
     place = F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(_place(F.col("doc_id"), cuts))
     dealt = ordered.withColumn("_piece", place)
     # The first row of each piece: found on narrow columns, then fetched.

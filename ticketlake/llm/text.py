@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import PurePath
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from ticketlake.session import materialize
 
 __all__ = [
-    "BoundedCache", "bucket_of", "held_out", "lower_ascii", "materialize", "python_path",
+    "BoundedCache", "bucket_of", "held_out", "lower_ascii", "materialize", "per_text", "python_path",
     "shingle_hashes", "splitmix", "words_of",
 ]
 
@@ -100,6 +101,23 @@ def python_path(path: str) -> str:
     return PurePath(path).name
 
 
+def per_text(docs: DataFrame, schema: str, columns: Callable[[list], dict[str, pa.Array]], start: Callable = lambda: ()) -> DataFrame:
+    """Per row of ``docs`` its doc_id, as it is, and columns made from the texts of a batch.
+
+    Ids do not leave Arrow: beside a null, a data frame would hold them as doubles, and those
+    above 2**53 would lose digits. ``start`` makes what a task needs once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = start()
+        for batch in batches:
+            out = columns(batch.column("text").to_pylist(), *made)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *out.values()], ["doc_id", *out])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {schema}")
+
+
 def take_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     """At most ``limit`` rows, those with the smallest hash of the key: a repeatable sample."""
     return df.orderBy(F.xxhash64(key), key).limit(limit)

@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts are the positives; every other text of the training folds counts as
-unlabelled, whatever its label. A linear model over hashed word features is trained in
+Confirmed toxic texts are the positives; any text of the training folds, labelled or not,
+may be drawn as unlabelled, whatever its label. A linear model over hashed word features is trained in
 numpy on the risk
 
     prior * R(P, +) + max(0, R(U, -) - prior * R(P, -))
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import BoundedCache, take_sample
+from ticketlake.llm.text import BoundedCache, per_text, take_sample
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Hashed features; features of a word: itself and its beginnings of these lengths.
@@ -166,9 +166,10 @@ def train(
 ) -> Model:
     """Fit from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic) where ``usable`` holds.
 
-    The sample is bounded by its two parameters and chosen by a hash of doc_id. Rows with
-    null ids or labels do not train. A document labelled more than once is toxic if any
-    label says so.
+    The sample is bounded by its two parameters and chosen by a hash of doc_id: positives from
+    the labels, unlabelled texts from all of ``docs``. Rows with null ids or labels do not
+    train. A document labelled more than once is toxic if any label says so; of rows that
+    repeat an id, the smallest text trains.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -177,13 +178,14 @@ def train(
         .agg(F.max("toxic").alias("toxic"))
     )
     share = known.agg(F.avg("toxic").alias("p")).first()["p"] or 0.0
-    chosen = take_sample(known.filter("toxic = 1"), "doc_id", max_positive).unionByName(
-        take_sample(known, "doc_id", max_unlabelled).withColumn("toxic", F.lit(0))
-    )
+    every = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).filter(usable(F.col("doc_id"))).distinct()
+    chosen = take_sample(known.filter("toxic = 1"), "doc_id", max_positive).select("doc_id", F.lit(1).alias("role"))
+    chosen = chosen.unionByName(take_sample(every, "doc_id", max_unlabelled).withColumn("role", F.lit(0)))
     # Both roles of one text: two rows. At most the two bounds together: a safe broadcast.
     rows = (
         docs.select("doc_id", "text")
-        .join(F.broadcast(chosen.select("doc_id", F.col("toxic").alias("role"))), "doc_id")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "role").agg(F.min("text").alias("text"))
         .mapInPandas(_feature_rows, "doc_id long, role int, features binary")
     )
     sets: tuple[list, list] = ([], [])
@@ -218,15 +220,12 @@ def _scorer(model: Model):
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) for every row of ``docs``: null and empty texts get the bias alone."""
-
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scores = _scorer(model)
-        for f in frames:
-            yield pd.DataFrame({"doc_id": f["doc_id"], "score": scores(f["text"])})
+    """(doc_id, score) for every row of ``docs``: null and empty texts get the bias alone.
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double"
-    return docs.select("doc_id", "text").mapInPandas(scored, schema)
+    Repeated rows are rows, null ids stay null.
+    """
+    columns = lambda texts, scores: {"score": pa.array(scores(texts), pa.float64())}
+    return per_text(docs, "score double", columns, lambda: (_scorer(model),))
 
 
 def clean(docs: DataFrame, model: Model, bound: float = 0.5) -> DataFrame:
