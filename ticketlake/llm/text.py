@@ -118,6 +118,23 @@ def per_text(docs: DataFrame, schema: str, columns: Callable[[list], dict[str, p
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {schema}")
 
 
+def each_copy(alike: DataFrame, n: str, block: int | None = 1 << 16) -> DataFrame:
+    """One row per copy of rows with a count ``n``, numbered from 0 as ``_copy``.
+
+    A count beyond ``block`` is dealt to many tasks, a block each; None deals nothing.
+    """
+    if block is None:
+        numbers = F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+        return alike.filter(F.col(n) > 0).withColumn("_copy", F.explode(numbers))
+    start = F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(block).cast("long"))
+    blocks = alike.filter(F.col(n) > 0).withColumn("_start", F.explode(start))
+    tasks = int(alike.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = blocks.filter(F.col(n) > block).repartition(tasks, "_start")
+    dealt = blocks.filter(F.col(n) <= block).unionByName(many)
+    last = F.least(F.col("_start") + block, F.col(n)) - 1
+    return dealt.withColumn("_copy", F.explode(F.sequence("_start", last))).drop("_start")
+
+
 def take_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     """At most ``limit`` rows, those with the smallest hash of the key: a repeatable sample."""
     return df.orderBy(F.xxhash64(key), key).limit(limit)

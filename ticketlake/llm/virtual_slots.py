@@ -14,22 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ticketlake.llm.text import each_copy
+
 SLOTS = 4096
 
 
 def record_rows(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """(doc_id, size, text_crc32, virtual_slot) per row of ``docs``.
 
-    Size is the text's UTF-8 bytes (null: none) plus 1. The slot depends on doc_id and text,
-    so rows alike in both share a slot.
+    Size is the text's UTF-8 bytes (null: none) plus 1. The slot depends on doc_id, text and
+    the row's number among the rows alike in both, so that many equal rows are spread too.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
+    thin = docs.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", text), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64(text).alias("_h"),
     )
+    alike = thin.groupBy(*thin.columns).agg(F.count("*").alias("_n"))
+    slot = F.pmod(F.xxhash64("doc_id", "_h", "_copy"), F.lit(slots)).cast("int").alias("virtual_slot")
+    return each_copy(alike, "_n").select("doc_id", "size", "text_crc32", slot)
 
 
 @dataclass(frozen=True)
