@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketlake.llm.text import materialize, words_of
+from ticketlake.llm.text import each_copy, materialize, words_of
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2
 #: Documents in a chunk, on average.
@@ -121,8 +121,14 @@ def _with_source(rows: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def pivotal(rows: DataFrame, scratch=None) -> DataFrame:
-    """Rounds (source, doc_id, text_hash, size, mass) with 0 < mass < size to 0 or ``extra`` 1."""
-    left = rows.withColumn("h", F.xxhash64("doc_id", "text_hash"))
+    """Rounds (source, doc_id, text_hash, size, mass) with 0 < mass < size to 0 or ``extra`` 1.
+
+    Rows that are alike are numbered, so that they do not meet in one chunk.
+    """
+    names = ("source", "doc_id", "text_hash", "size", "mass")
+    alike = rows.groupBy(*names).agg(F.count("*").alias("_n"))
+    left = each_copy(alike, "_n").select(*names, F.xxhash64("doc_id", "text_hash", "_copy").alias("h"))
+    left = materialize(left, "fractions", scratch)
     sizes = left.groupBy("source").agg(F.ceil(F.count("*") / CHUNK).alias("_chunks"))
     sizes = materialize(sizes, "chunks", scratch)
     most = sizes.agg(F.max("_chunks")).first()[0] or 0
@@ -186,19 +192,31 @@ def mix(docs: DataFrame, scratch=None, **shares) -> DataFrame:
 def take(docs: DataFrame, scratch=None, **shares) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken; none for 0 copies.
 
-    A row of size 0 is kept as often as its share says. Rows alike in doc_id, source and
-    text count together.
+    A row of size 0 is kept as often as its share says. What rows alike in doc_id, source and
+    text take together is dealt to them as evenly as whole copies allow, in the order of a
+    hash of the whole row; each keeps its own other columns.
     """
     totals = (
-        mix(docs, scratch, **shares).filter("copies > 0")
+        mix(docs, scratch, **shares)
         .groupBy(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("text_hash").alias("_t"))
-        .agg(F.sum("copies").cast("int").alias("_copies"))
+        .agg(F.sum("copies").cast("long").alias("_copies"), F.count("*").alias("_rows"))
+        .filter("_copies > 0")
     )
     # The row travels as one value, so no name of its columns can clash.
     rows = docs.select(
         F.col("doc_id").alias("_i"), F.col("source").alias("_o"), F.xxhash64("text").alias("_h"),
         F.struct(*docs.columns).alias("row"),
-    ).dropDuplicates(["_i", "_o", "_h"])
+    )
+    rows = rows.groupBy("_i", "_o", "_h", "row").agg(F.count("*").alias("_same"))
     same = F.col("_i").eqNullSafe(F.col("_d")) & F.col("_o").eqNullSafe(F.col("_s")) & (F.col("_h") == F.col("_t"))
-    repeated = rows.join(totals, same).withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return repeated.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    met = rows.join(totals, same).select("row", "_i", "_o", "_h", "_same", "_copies", "_rows")
+    # Only rows that differ in other columns alone have to be put in order.
+    alone = met.filter("_rows = _same").select("row", F.col("_copies").alias("_n"))
+    before = Window.partitionBy("_i", "_o", "_h").orderBy(F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)
+    several = met.filter("_rows > _same").withColumn("_at", F.coalesce(F.sum("_same").over(before), F.lit(0)))
+    more = F.col("_copies") % F.col("_rows")
+    share = F.col("_same") * F.expr("_copies div _rows") + F.greatest(
+        F.lit(0), F.least(F.col("_at") + F.col("_same"), more) - F.col("_at")
+    )
+    taken = each_copy(alone.unionByName(several.select("row", share.alias("_n"))), "_n", block=None)
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])
