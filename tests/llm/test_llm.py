@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -422,6 +423,17 @@ def test_map_edits_move_only_what_they_must():
     assert abs(share - 1 / 9) < 0.01
 
 
+def test_many_equal_rows_are_spread(spark):
+    """20,000 of 40,000 rows are alike in id and text."""
+    rows = spark.range(40_000).selectExpr("IF(id < 20000, -1, id) AS doc_id", "IF(id < 20000, 'the same text', concat('text ', id)) AS text")
+    records = virtual_slots.record_rows(rows)
+    first = virtual_slots.first_map(8)
+    even = virtual_slots.rebalanced(first, virtual_slots.slot_sizes(records), 8)
+    frame = spark.createDataFrame(list(enumerate(even.shards)), "virtual_slot int, shard int")
+    load = virtual_slots.place(records, frame).groupBy("shard").agg(F.sum("size").alias("n"), F.count("*").alias("c")).collect()
+    assert sum(r["c"] for r in load) == 40_000 and max(r["n"] for r in load) - min(r["n"] for r in load) < 100
+
+
 def test_shards_of_odd_rows(spark, odd, tmp_path):
     records = virtual_slots.record_rows(odd)
     first = virtual_slots.first_map(8)
@@ -500,27 +512,62 @@ def test_containment_follows_the_sets(spark):
     part = whole[:6000]
     other = [rng.choice(whole) for _ in range(6000)]
     frame = spark.createDataFrame([(" ".join(whole), " ".join(part), " ".join(other))], "a string, b string, c string")
-    s = {c: scaled_sketch.sketch(frame[c]) for c in "abc"}
+    frame = frame.select(*[scaled_sketch.sketch(frame[c]).alias(c) for c in "abc"])
     row = frame.select(
-        scaled_sketch.containment(s["a"], s["b"]), scaled_sketch.containment(s["a"], s["c"]),
-        scaled_sketch.merge(s["a"], s["b"]) == s["a"],
+        scaled_sketch.containment(frame["a"], frame["b"]), scaled_sketch.containment(frame["a"], frame["c"]),
+        scaled_sketch.merge(frame["a"], frame["b"]) == frame["a"],
     ).first()
     assert row[0] == 1.0 and row[1] < 0.01 and row[2]
 
 
+def brute_sketches(spark, texts):
+    """Sets of all shingles, named by Spark's hash, and what each text's fraction keeps."""
+    w = [[x.decode() for x in (t or "").encode().lower().split()] for t in texts]
+    runs = [[x[i : i + 5] for i in range(max(len(x) - 4, 1))] if x else [] for x in w]
+    hashes = "transform(w, x -> xxhash64(x))"
+    each = ", ".join(f"h[{j}]" for j in range(5))
+    rows = [(i, r) for i, x in enumerate(runs) for r in x]
+    frame = spark.createDataFrame(rows, "i int, w array<string>").selectExpr("i", f"{hashes} AS h")
+    frame = frame.selectExpr("i", f"CASE WHEN size(h) >= 5 THEN xxhash64({each}) ELSE xxhash64(h) END & 9223372036854775807 AS x")
+    sets = defaultdict(set)
+    for r in frame.collect():
+        sets[r["i"]].add(r["x"])
+    halvings = [sum(len(x) > 64 << h for h in range(3)) for x in runs]
+    return [(h, {x for x in sets[i] if x <= (2**63 - 1) >> h}) for i, h in enumerate(halvings)]
+
+
+def brute_likeness(a, b):
+    h = max(a[0], b[0])
+    x, y = ({v for v in s if v <= (2**63 - 1) >> h} for _, s in (a, b))
+    return len(x & y) / min(len(x), len(y)) if x and y else 0.0
+
+
+def test_fingerprints_by_brute_force(spark, table):
+    rows = sorted(queries.op8_scaled_sketch(spark, DATA).collect(), key=lambda r: r["doc_id"])
+    texts = [r["text"] for r in sorted(table, key=lambda r: r["doc_id"])]
+    after = texts[1:] + texts[:1]
+    changed = [t[: len(t) - len(t) // 4] + n[: len(t) // 4] for t, n in zip(texts, after)]
+    own, new = brute_sketches(spark, texts), brute_sketches(spark, changed)
+    mark = lambda s: f"{s[0]}:" + ",".join(f"{x:x}" for x in sorted(s[1])) if s[1] else ""
+    for i, r in enumerate(rows):
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (mark(own[i]), mark(new[i]))
+        assert r["near_edited"] == (1.0 if texts[i] == changed[i] else brute_likeness(own[i], new[i]))
+        following = own[(i + 1) % len(own)]
+        assert r["near_next"] == (1.0 if texts[i] == after[i] else brute_likeness(own[i], following))
+
+
 def test_fingerprints_of_short_texts(spark):
-    texts = [f"a{i} b c d e f" for i in range(60) for _ in range(2)]  # two shingles each
+    """A short text keeps all its shingles: its likeness is exact."""
+    rng = random.Random(6)
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(14)) for _ in range(100)]
     long = " ".join(f"l{i}" for i in range(200))
-    texts += ["z0 z1 z2 z3 z4 " + long, "z0 z1 z2 z3 z4", long, "", "", " "]
+    texts += ["z0 z1 z2 z3 z4 " + long, "z0 z1 z2 z3 z4 " + long, "z0 z1 z2 z3 z4", "", "", " "]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = sorted(scaled_sketch.fingerprints(frame).collect(), key=lambda r: r["doc_id"])
-    marks = [(r["fingerprint"], r["fine_fingerprint"]) for r in rows]
-    assert sum(f == "" for f, _ in marks[:120]) > 40 and all((f == "") != (g == "") for f, g in marks[:123])
-    # The second shingle is shared by all.
-    assert len({m for m in marks[:120] if m[1]}) == len({t for t, m in zip(texts, marks[:120]) if m[1]})
-    assert all(r["near_next"] == 1.0 for r in rows[:120:2]) and rows[120]["near_next"] == 1.0
-    assert {r["near_next"] for r in rows[1:119:2] if not r["fingerprint"]} == {0.5}
-    assert [r["near_next"] for r in rows[123:125]] == [1.0, 0.0] and marks[123:] == [("", "")] * 3
+    assert all(r["fingerprint"].startswith("0:") and r["fingerprint"].count(",") == 9 for r in rows[:100])
+    assert {r["near_next"] for r in rows[:99]} == {0.0} and all(0.5 <= r["near_edited"] <= 0.7 for r in rows[:99])
+    assert rows[100]["near_next"] == 1.0 and rows[100]["fingerprint"] == rows[101]["fingerprint"]
+    assert [r["near_next"] for r in rows[103:105]] == [1.0, 0.0] and {r["fingerprint"] for r in rows[103:]} == {""}
 
 
 def test_fingerprints_of_odd_rows(spark, odd):
@@ -646,6 +693,19 @@ def test_copies_are_right_on_average(spark, monkeypatch):
         assert np.mean([r["copies"] for r in rows if r["size"] == size]) == pytest.approx(p, abs=0.12)
 
 
+def test_rows_alike_keep_their_own_columns(spark):
+    """Two rows alike in id, source and text share what they take; equal rows do not meet in a chunk."""
+    rows = [(1, "w w w", "a", x) for x in "xy"] + [(2, "w w", "b", None)] + [(i, "w " * 50, "b", "z") for i in range(3, 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, extra string")
+    copies = sum(r["copies"] for r in mixing.mix(frame).collect() if r["doc_id"] == 1)
+    found = Counter(r["extra"] for r in mixing.take(frame).collect() if r["doc_id"] == 1)
+    assert found["x"] + found["y"] == copies >= 2 and abs(found["x"] - found["y"]) <= 1
+    alike = spark.range(5000).selectExpr("7L AS doc_id", "'w w w w w' AS text", "IF(id % 2 = 0, 'a', 'b') AS source")
+    rows = mixing.mix(alike).collect()
+    assert len(rows) == 5000
+    check_mix(rows, {"a": 12_500, "b": 12_500})
+
+
 def test_mix_of_odd_rows(spark, odd):
     rows = mixing.mix(odd).collect()
     assert len(rows) == odd.count() and all(r["copies"] is not None for r in rows)

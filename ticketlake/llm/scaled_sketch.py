@@ -2,9 +2,10 @@
 
 A sketch keeps every shingle hash below a fixed fraction of the hash range. Sketches of two
 texts are samples of their shingle sets taken by the same rule: they merge by union, and the
-share of one that the other holds estimates containment however unequal the texts are.
-A short text may keep no hash of the fraction; then both sides are compared by the finer
-fraction, which keeps all, and the short text's hashes of it stand beside its empty sketch.
+share of one that the other holds estimates containment however unequal the texts are. The
+fraction is 1/8; a text of few words has a sketch of a larger one (1/4, 1/2 or all), which its
+words alone decide. Two sketches are compared at the smaller of their fractions: what the
+finer one has beyond it is left out, so stored sketches suffice.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql.window import Window
 
 from ticketlake.llm.text import lower_ascii, words_of
 
-#: One of this many hashes is kept, and of the finer fraction; words in a shingle.
-SCALE, FINE, SHINGLE = 8, 1, 5
+#: Halvings of the hash range at most; shingles up to which none is made; words in a shingle.
+HALVINGS, SMALL, SHINGLE = 3, 64, 5
+_LAST = (1 << 63) - 1
 #: Ordered pieces per shuffle partition when documents are paired with their successors.
 PIECES = 4
 
@@ -28,13 +30,19 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def sketch(text: Column, scale: int = SCALE, k: int = SHINGLE) -> Column:
-    """Sorted distinct hashes (non-negative 63-bit numbers) below 1/scale of their range.
+def _limit(halvings: Column) -> Column:
+    """The largest hash (non-negative 63-bit numbers) that a sketch keeps."""
+    return F.when(halvings == 0, F.lit(_LAST)).when(halvings == 1, F.lit(_LAST >> 1)).when(
+        halvings == 2, F.lit(_LAST >> 2)
+    ).otherwise(F.lit(_LAST >> HALVINGS))
+
+
+def sketch(text: Column, k: int = SHINGLE) -> Column:
+    """(halvings, hashes): sorted distinct hashes below the text's fraction 1/2**halvings.
 
     Shingles are runs of k words, A-Z lower-cased, or the whole text if it has fewer. Null
-    and wordless texts have an empty sketch; a short text's may be empty too.
+    and wordless texts have no hashes; equal texts have equal sketches.
     """
-    last = (1 << 63) // scale - 1
 
     def shingles(w: Column) -> Column:
         runs = F.transform(
@@ -45,38 +53,58 @@ def sketch(text: Column, scale: int = SCALE, k: int = SHINGLE) -> Column:
         none = F.array().cast("array<bigint>")
         return F.when(F.size(w) >= k, runs).when(F.size(w) > 0, whole).otherwise(none)
 
+    def sketched(found: Column) -> Column:
+        n = F.size(found)
+        halvings = F.lit(HALVINGS)
+        for h in reversed(range(HALVINGS)):
+            halvings = F.when(n <= SMALL << h, h).otherwise(halvings)
+        return _let(
+            halvings,
+            lambda h: F.struct(
+                h.alias("halvings"),
+                F.array_sort(F.array_distinct(F.filter(found, lambda x: x <= _limit(h)))).alias("hashes"),
+            ),
+        )
+
     hashes = F.transform(words_of(lower_ascii(text)), lambda w: F.xxhash64(w))
-    positive = F.transform(_let(hashes, shingles), lambda h: h.bitwiseAND(F.lit((1 << 63) - 1)))
-    return F.array_sort(F.array_distinct(F.filter(positive, lambda h: h <= last)))
+    positive = F.transform(_let(hashes, shingles), lambda h: h.bitwiseAND(F.lit(_LAST)))
+    return _let(positive, sketched)
+
+
+def _at(a: Column, halvings: Column) -> Column:
+    """Hashes of a sketch that a smaller fraction keeps too."""
+    return F.filter(a["hashes"], lambda h: h <= _limit(halvings))
 
 
 def merge(a: Column, b: Column) -> Column:
-    """The sketch of both texts together."""
-    return F.array_sort(F.array_union(a, b))
+    """The sketch of both texts together, at the smaller of their fractions."""
+    least = F.greatest(a["halvings"], b["halvings"])
+    both = F.array_sort(F.array_union(_at(a, least), _at(b, least)))
+    return F.struct(least.alias("halvings"), both.alias("hashes"))
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of the smaller sketch's shingles that the other has; 0 if one is empty."""
-    least = F.least(F.size(a), F.size(b))
-    return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(0.0)
+    """Estimated share of the smaller text's shingles that the other has; 0 if a sketch has
+    no hash at the fraction they are compared at."""
 
+    def shared(pair: Column) -> Column:
+        least = F.least(F.size(pair["a"]), F.size(pair["b"]))
+        return F.when(least > 0, F.size(F.array_intersect(pair["a"], pair["b"])) / least).otherwise(0.0)
 
-def likeness(a: Column, b: Column, text_a: Column, text_b: Column, equal: Column) -> Column:
-    """Containment of the sketches a and b; where one is empty, of both texts' finer sketches;
-    1 for equal texts."""
-    fine = containment(sketch(text_a, FINE), sketch(text_b, FINE))
-    coarse = (F.size(a) > 0) & (F.size(b) > 0)
-    return F.when(equal, 1.0).when(coarse, containment(a, b)).otherwise(fine)
+    halvings = F.greatest(a["halvings"], b["halvings"])
+    return _let(F.struct(_at(a, halvings).alias("a"), _at(b, halvings).alias("b")), shared)
 
 
-def fine_part(a: Column, text: Column) -> Column:
-    """All hashes of a text whose sketch ``a`` is empty; empty for the others."""
-    return F.when(F.size(a) == 0, sketch(text, FINE)).otherwise(F.array().cast("array<bigint>"))
+def likeness(a: Column, b: Column, equal: Column) -> Column:
+    """Containment of the sketches a and b; 1 for equal texts."""
+    return F.when(equal, 1.0).otherwise(containment(a, b))
 
 
 def as_string(a: Column) -> Column:
-    """The sketch as text: hashes in hexadecimal, in order, joined by commas."""
-    return F.array_join(F.transform(a, lambda h: F.lower(F.hex(h))), ",")
+    """The sketch as text: halvings, a colon, hashes in hexadecimal, in order, joined by
+    commas; empty without hashes."""
+    hashes = F.array_join(F.transform(a["hashes"], lambda h: F.lower(F.hex(h))), ",")
+    return F.when(hashes == "", "").otherwise(F.concat(a["halvings"].cast("string"), F.lit(":"), hashes))
 
 
 def _place(value: Column, cuts: list[int]) -> Column:
@@ -96,10 +124,12 @@ def _place(value: Column, cuts: list[int]) -> Column:
     )
 
 
-def with_next(docs: DataFrame, columns: dict[str, str], pieces: int | None = None) -> DataFrame:
+def with_next(
+    docs: DataFrame, columns: dict[str, str], pieces: int | None = None, derived: dict[str, Column] | None = None
+) -> DataFrame:
     """Adds, for each ``columns`` entry, that column of the next row by ascending doc_id.
 
-    The last row's successor is the first; null ids come last; equal ids go by a hash of the
+    ``derived`` columns are made after the rows were chosen and dealt, once per row. The last row's successor is the first; null ids come last; equal ids go by a hash of the
     text. Rows are dealt to ordered pieces by quantiles of doc_id. Each piece also gets a
     copy of the row that follows its last one, so that successors never cross pieces.
     """
@@ -116,8 +146,10 @@ def with_next(docs: DataFrame, columns: dict[str, str], pieces: int | None = Non
         (r["_piece"], r["f"]["doc_id"], r["f"]["_tie"])
         for r in dealt.groupBy("_piece").agg(F.min(F.struct("doc_id", "_tie")).alias("f")).orderBy("_piece").collect()
     ]
+    derived = derived or {}
     if not firsts:
-        return ordered.select(*docs.columns, *[F.col(c).alias(a) for c, a in columns.items()])
+        ordered = ordered.withColumns(derived)
+        return ordered.select(*docs.columns, *derived, *[F.col(c).alias(a) for c, a in columns.items()])
     # Row i of this small table (one per piece) precedes piece i's first row.
     before = [(firsts[i - 1][0], d, t, i == 0) for i, (_, d, t) in enumerate(firsts)]
     follow = spark.createDataFrame(before, "_to long, _d long, _t long, _wraps boolean")
@@ -127,10 +159,10 @@ def with_next(docs: DataFrame, columns: dict[str, str], pieces: int | None = Non
         .dropDuplicates(["_to"])
         .select(*docs.columns, "_tie", F.col("_to").alias("_piece"), F.lit(1).alias("_guest"))
     )
-    union = dealt.withColumn("_guest", F.lit(0)).withColumn("_piece", F.col("_piece").cast("long")).unionByName(guests)
+    union = dealt.withColumn("_guest", F.lit(0)).withColumn("_piece", F.col("_piece").cast("long")).unionByName(guests).withColumns(derived)
     window = Window.partitionBy("_piece").orderBy("_guest", F.col("doc_id").asc_nulls_last(), "_tie")
     led = union.select("*", *[F.lead(c).over(window).alias(a) for c, a in columns.items()])
-    return led.filter("_guest = 0").select(*docs.columns, *columns.values())
+    return led.filter("_guest = 0").select(*docs.columns, *derived, *columns.values())
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -139,33 +171,26 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - cut), F.substring(following, F.lit(1), cut))
 
 
-def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """Per row: its sketch, that of its edited text and how alike they and the next row's are.
 
-    Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, fine_fingerprint,
-    edited_fine_fingerprint, near_edited, near_next. The fine ones hold all hashes where the
-    one beside is empty. A null text counts as empty.
+    Columns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    near_next. A null text counts as empty; repeated rows are rows, null ids come last.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = rows.withColumn("sketch", sketch(F.col("text"), scale))
-    paired = with_next(rows, {"text": "next_text", "sketch": "next_sketch"})
+    following = {"text": "next_text", "sketch": "next_sketch"}
+    paired = with_next(rows, following, derived={"sketch": sketch(F.col("text"))})
     paired = paired.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     paired = paired.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"), "sketch", "next_sketch",
-        sketch(F.col("edited"), scale).alias("edited_sketch"), "text", "next_text", "edited",
+        sketch(F.col("edited")).alias("edited_sketch"),
+        (F.col("text") == F.col("edited")).alias("same"), (F.col("text") == F.col("next_text")).alias("same_next"),
     )
-
-    def like(other: str, sketched: str) -> Column:
-        return likeness(
-            F.col("sketch"), F.col(sketched), F.col("text"), F.col(other), F.col("text") == F.col(other)
-        )
-
     return paired.select(
         "doc_id", "n_chars", "edited_sha256",
         as_string(F.col("sketch")).alias("fingerprint"),
         as_string(F.col("edited_sketch")).alias("edited_fingerprint"),
-        as_string(fine_part(F.col("sketch"), F.col("text"))).alias("fine_fingerprint"),
-        as_string(fine_part(F.col("edited_sketch"), F.col("edited"))).alias("edited_fine_fingerprint"),
-        like("edited", "edited_sketch").alias("near_edited"), like("next_text", "next_sketch").alias("near_next"),
+        likeness(F.col("sketch"), F.col("edited_sketch"), F.col("same")).alias("near_edited"),
+        likeness(F.col("sketch"), F.col("next_sketch"), F.col("same_next")).alias("near_next"),
     )
