@@ -33,17 +33,27 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with accepted secrets replaced by a mask."""
+    """All documents, with accepted secrets replaced by a mask.
+
+    Null and empty texts have none; repeated rows stay, each masked alike.
+    """
     return secret_scan.redact(docs, secret_scan.train(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Rows without words take part with size 0, a null source is a source of its own; rows
+    alike in id, source and text share their copies and keep their other columns.
+    """
     return mixing.take(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids with their places in windows of 1024."""
+    """Pieces of the documents' token ids with their places in windows of 1024.
+
+    A null or empty text is one piece with the end id; repeated rows are packed each.
+    """
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(packing.pieces(docs, vocabulary, end=0))
 
@@ -56,7 +66,7 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-#: Models, seeded hashes and greedy plans have no SQL; see tests/llm/test_pipeline.py.
+#: Models, seeded hashes and greedy plans have no SQL; tests/llm/test_llm.py checks each stage.
 ORACLE_SQL = None
 
 
