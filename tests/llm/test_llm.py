@@ -781,3 +781,14 @@ def test_pipeline_of_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
         assert docs.count() > 0
+
+
+def test_pipeline_of_nothing_and_of_clashing_names(spark, odd):
+    """Stages give no rows for no rows, and keep extra columns whatever their names are."""
+    none, rows = empty(spark), odd
+    for name, stage in corpus_pipeline.STAGES:
+        none, rows = stage(spark, none, DATA), stage(spark, rows, DATA)
+        assert none.count() == 0 and rows.count() > 0
+        if name != "packing":
+            assert none.columns == rows.columns == odd.columns
+            none, rows = (spark.createDataFrame(f.collect(), odd.schema) for f in (none, rows))
