@@ -32,6 +32,8 @@ SELECTORS = (
 COUNTS = np.array([n for n, _ in SELECTORS])
 #: Ids after which a block ends with its document, entries of a table, words per offset.
 BLOCK_IDS, TABLE_IDS, STRIDE = 1 << 17, 4095, 512
+#: Ids below this are counted in an array.
+COUNTED_IDS = 1 << 22
 SCHEMA = (
     "shard int, block int, block_start long, n_ids long, doc_ids array<bigint>, lengths binary,"
     " table binary, words binary, offsets binary, escapes binary"
@@ -106,10 +108,16 @@ def encode_block(ids: np.ndarray) -> tuple[bytes, bytes, bytes, bytes]:
 
     An offset is a pair: position of the stride's first code, and escapes before it.
     """
-    values, which, times = np.unique(ids, return_inverse=True, return_counts=True)
+    if int(ids.max(initial=0)) < COUNTED_IDS:  # ids of a vocabulary are counted, not sorted
+        times = np.bincount(ids)
+        values = np.flatnonzero(times)
+        times, which, size = times[values], ids, int(values[-1]) + 1 if len(values) else 0
+    else:
+        values, which, times = np.unique(ids, return_inverse=True, return_counts=True)
+        size = len(values)
     order = np.argsort(-times, kind="stable")[:TABLE_IDS]
-    code = np.zeros(len(values), np.uint64)
-    code[order] = np.arange(1, len(order) + 1)
+    code = np.zeros(size, np.uint64)
+    code[values[order] if which is ids else order] = np.arange(1, len(order) + 1)
     codes = code[which]
     words = pack(codes)
     first = np.concatenate([[0], np.cumsum(COUNTS[(words >> np.uint64(60)).astype(int)])])[:-1]
