@@ -82,7 +82,7 @@ def materialize(df: DataFrame, name: str, scratch: "Scratch | None" = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_observed(df: DataFrame, path: str, partition_by: list[str] = [], **metrics: Column) -> dict[str, Any]:
+def write_observed(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **metrics: Column) -> dict[str, Any]:
     """Write a frame and return metrics of the rows that passed, counted by the write itself."""
     seen = Observation()
     observed = df.observe(seen, *[c.alias(name) for name, c in metrics.items()])

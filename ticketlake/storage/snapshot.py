@@ -126,7 +126,7 @@ class SnapshotTable:
         """
         folder = f"v={version}-{uuid.uuid4().hex}"
         rows = df.withColumn(BUCKET, self.bucket(df.sparkSession))
-        return folder, write_observed(rows, f"{self.path}/data/{folder}", [BUCKET], **metrics)
+        return folder, write_observed(rows, f"{self.path}/data/{folder}", (BUCKET,), **metrics)
 
     def written(self, spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
         """Columns of a generation as it was written."""
