@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketlake.llm.text import per_text
+from ticketlake.llm.text import materialize, per_text
 from ticketlake.llm.toxicity import LETTERS
 
 UNDETERMINED = "und"
@@ -188,6 +188,8 @@ def train(docs: DataFrame, usable, max_per_lang: int = MAX_PER_LANG, **options)
     ).select("doc_id", "lang").distinct()
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = low.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= max_per_lang).drop("_r")
+    # Written first, so that the planner knows how few they are and moves no text for the join.
+    chosen = materialize(chosen, "chosen")
     sample = known.join(chosen, ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     rows = sample.mapInPandas(_chunks, "doc_id long, chunk int, lang string, words string").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["chunk"], r["words"], r["lang"]))
