@@ -272,13 +272,16 @@ def file_disposition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The faulty files, written as delimited files of one folder each, loaded again."""
+    """The faulty files, written as delimited files of one folder each, loaded again.
+
+    There are few files however many rows there are, so many tasks write parts of each.
+    """
     folder = scratch_path(spark, "replay")
     rows = fx.faulty_landing_rows(spark, sf_dir)
     options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.repartition(F.col(ORIGIN)).write.partitionBy(ORIGIN).options(**options).csv(f"{folder}/erros")
+    rows.write.partitionBy(ORIGIN).options(**options).csv(f"{folder}/erros")
     table = SnapshotTable(f"{folder}/table", fx.SPEC, buckets=8)
-    return replay(spark, f"{folder}/erros", table, f"{folder}/audit", "1", _moment(STAMP), fmt="csv")
+    return replay(spark, f"{folder}/erros", table, f"{folder}/audit", "1", _moment(STAMP), fmt="csv", parts=True)
 
 
 def alert_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

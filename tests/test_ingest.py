@@ -338,6 +338,42 @@ def test_batches_of_any_size_give_one_table(spark, tmp_path):
     assert results[0] == results[1]
 
 
+@pytest.mark.parametrize("title", ["plain", "two\nlines"])
+def test_files_in_parts_are_one_file_each(spark, tmp_path, store, title):
+    """Two files of three parts: a key in two parts of the first fails that file alone."""
+    table, audit = store
+    for name, keys in (("a", [1, 2, 1]), ("b", [3, 4, 5])):
+        folder = tmp_path / "in" / f"arquivo={name}.csv"
+        folder.mkdir(parents=True)
+        for i, key in enumerate(keys):
+            csv_file(folder, f"part-{i}.csv", ["Número,Título", f'{key},"{title}"'], age=50 - i)
+    landing = L.load_delimited(spark, str(tmp_path / "in"), parts=True)
+    assert landing.files.count() == 2 and landing.rows.count() == 6
+    assert landing.rows.select(PATH, L.ARRIVAL).distinct().count() == 2
+    tally = replay(spark, str(tmp_path / "in"), table, audit, "r", TS[0], fmt="csv", parts=True)
+    assert tuple(tally.first()) == (1, 1)
+    assert table_rows(spark, table, "titulo") == {k: (title,) for k in (3, 4, 5)}
+    runs = {r.nm_arquivo: (r.qt_linhas_recebidas, r.ds_status) for r in read_audit(spark, audit).collect()}
+    assert runs == {"arquivo=a.csv": (3, "falha"), "arquivo=b.csv": (3, "sucesso")}
+
+
+def test_replayed_files_are_written_by_many_tasks(spark, monkeypatch):
+    """No task takes a whole file, as the number of files does not grow with the rows."""
+    import __spark_entry__ as entry_module
+
+    seen = []
+
+    def listed(spark, path, *args, **kwargs):
+        seen.append(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).count())
+        return replay(spark, path, *args, **kwargs)
+
+    rows = entry_module.fx.faulty_landing_rows
+    monkeypatch.setattr(entry_module, "replay", listed)
+    monkeypatch.setattr(entry_module.fx, "faulty_landing_rows", lambda *a: rows(*a).repartition(3))
+    assert tuple(entry_module.replay_tally(spark, "/root/testdata/sf0.001").first()) == (2, 2)
+    assert seen == [12]
+
+
 def test_batch_without_good_rows_writes_no_version(spark, tmp_path, store):
     table, audit = store
     path = csv_file(tmp_path, "gproblemas_x.csv", ["Número,Prioridade", "1,muito longa"])

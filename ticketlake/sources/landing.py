@@ -27,6 +27,8 @@ CELLS = "celulas"
 #: Of a file: seconds its decoding took, digest of its bytes if they were read whole.
 SECONDS, DIGEST = "tm_leitura", "ds_sha256"
 _HEADER, _PLACES = "cabecalho", "_lugares"
+# Path of the part a record was read from: of the file itself, unless it was written in parts.
+_PART = "_parte"
 
 
 @dataclass
@@ -142,16 +144,26 @@ def load_delimited(
     encoding: str = "UTF-8",
     multi_line: bool | None = None,
     glob: str | None = None,
+    parts: bool = False,
 ) -> Landing:
     """Delimited text files with a header row each.
 
     Files are read in splits, one record per line. A file with a line of unpaired quotes has
     line breaks inside cells and goes to the reader that takes a file whole; ``multi_line``
     sets the reader of all files instead. Rows with more filled cells than their header fail
-    their file.
+    their file. With ``parts`` each folder that holds files is one file, which goes by the
+    folder's name and path: its files are the parts that many tasks wrote, each under the same
+    header. It arrives with its last part.
     """
     scratch = Scratch()
     listing = _file_listing(spark, path, glob)
+    file, name = file_path(), file_name()
+    if parts:
+        folder = lambda part: F.regexp_extract(part, "^(.*)/[^/]*$", 1)
+        file, name = folder(file), F.substring_index(folder(file), "/", -1)
+        whole_files = listing.groupBy(folder(F.col(PATH)).alias(PATH)).agg(F.max(ARRIVAL).alias(ARRIVAL))
+        whole_files = whole_files.select(PATH, F.substring_index(PATH, "/", -1).alias(ORIGIN), ARRIVAL)
+        listing = materialize(whole_files, "listing", scratch)
 
     def reader():
         options = {"sep": sep, "quote": quote, "escape": quote, "encoding": encoding}
@@ -162,8 +174,8 @@ def load_delimited(
     if encoding.upper() not in ("UTF-8", "UTF8"):
         line = F.decode(line.cast("binary"), encoding)
     block = F.col("_metadata.file_block_start").alias("_bloco")
-    lines = text.text(path).select(line.alias("_linha"), file_path().alias(PATH), block)
-    # The first line of a file is the first row of its first split.
+    lines = text.text(path).select(line.alias("_linha"), file.alias(PATH), block)
+    # The first line of a file, or of each of its parts, is the first row of its first split.
     starts = lines.filter("_bloco = 0 AND trim(_linha) <> ''").withColumn("_seq", F.monotonically_increasing_id())
     heads = starts.groupBy(PATH).agg(F.min_by("_linha", "_seq").alias("_linha"))
     heads = heads.select(PATH, _cells(F.regexp_replace("_linha", "^﻿", ""), sep, quote).alias(_HEADER))
@@ -181,19 +193,22 @@ def load_delimited(
         whole = [r[PATH] for r in broken.select(PATH).collect()]  # names of files to be read whole
         width = max(width, stats.agg(F.max("_largura")).first()[0] or 0)
     found = [F.array(*[F.col(f"c{i}") for i in range(width)]).alias(CELLS)]
-    named = [file_path().alias(PATH), file_name().alias(ORIGIN), _arrival()]
+    named = [file.alias(PATH), name.alias(ORIGIN), _arrival()]
     schema = lambda n: ", ".join(f"c{i} string" for i in range(n))
     rows = reader().schema(schema(width)).option("header", True).csv(path).select(*named, *found)
     if whole:
         rows = rows.filter(~F.col(PATH).isin(whole))
         records = _whole_records(reader, schema, whole, width, named, scratch)
-        first = records.groupBy(PATH).agg(F.min("_seq").alias("_seq"))
-        first = first.join(records, [PATH, "_seq"])
+        first = records.groupBy(_PART).agg(F.min("_seq").alias("_seq"))
+        first = first.join(records, [_PART, "_seq"])
+        found = first.groupBy(PATH).agg(F.min_by(CELLS, "_seq").alias(CELLS))
         heads = heads.filter(~F.col(PATH).isin(whole)).unionByName(
-            first.select(PATH, _until_last(F.col(CELLS)).alias(_HEADER))
+            found.select(PATH, _until_last(F.col(CELLS)).alias(_HEADER))
         )
-        data = join_lookup(records, first.select(PATH, F.col("_seq").alias("_primeira")), PATH)
-        rows = rows.unionByName(data.filter("_seq <> _primeira").drop("_seq", "_primeira"))
+        data = join_lookup(records, first.select(_PART, F.col("_seq").alias("_primeira")), _PART)
+        rows = rows.unionByName(data.filter("_seq <> _primeira").drop("_seq", "_primeira", _PART))
+    if parts:
+        rows = join_lookup(rows.drop(ARRIVAL), listing.select(PATH, ARRIVAL), PATH)
     empty = F.array().cast("array<string>")
     files = listing.join(heads, PATH, "left").withColumn(_HEADER, F.coalesce(_HEADER, empty))
     return finished(rows, file_rows(files), scratch)
@@ -214,7 +229,8 @@ def _whole_records(reader, schema, paths: list[str], width: int, named: list[Col
         cells = F.array(*[F.col(f"c{i}") for i in range(width)]).alias(CELLS)
         scan = reader().schema(schema(width)).option("multiLine", True).csv([literal_path(p) for p in paths])
         records = materialize(
-            scan.select(*named, cells, F.monotonically_increasing_id().alias("_seq")), "records", scratch
+            scan.select(*named, file_path().alias(_PART), cells, F.monotonically_increasing_id().alias("_seq")),
+            "records", scratch,
         )
         if records.filter(F.get(CELLS, F.lit(width - 1)).isNotNull()).isEmpty():
             return records

@@ -192,16 +192,18 @@ def replay(
     ts: dt.datetime | None = None,
     fmt: str = "workbook",
     specs: Sequence[TableSpec] = SPECS,
+    **options,
 ) -> DataFrame:
     """Load failed files again (one path, several, or a whole folder): good and failed files.
 
     Files are taken in whether or not they were before. Workbooks that no table takes count
-    as failed. Delimited and Parquet files all go to the one table given.
+    as failed. Delimited and Parquet files all go to the one table given; ``options`` are those
+    of ``load_delimited``.
     """
     ts = ts or dt.datetime.now().replace(microsecond=0)
     if fmt != "workbook":
         (table,) = _by_name(tables).values()
-        landing = (load_delimited if fmt == "csv" else load_parquet)(spark, path)
+        landing = load_delimited(spark, path, **options) if fmt == "csv" else load_parquet(spark, path)
         return replay_tally(ingest_batch(spark, landing, table, audit_dir, f"replay-{batch_id}", ts).runs)
     files = workbook_files(spark, path)
     _, ignored, unknown = route(workbooks_only(files), specs, list(_by_name(tables)))
