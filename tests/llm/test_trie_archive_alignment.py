@@ -323,3 +323,17 @@ def test_chunks_encode_as_whole_texts():
         left, right = aligner.pairs.ids()
         ends = [g.split("|") for g in groups.split(";") if g]
         assert list(zip(left[codes], right[codes])) == [(int(x.split(",")[-1]), int(y.split(",")[-1])) for x, y in ends]
+
+
+def test_new_chunks_are_learned_few_at_a_time(monkeypatch):
+    """Encodings of all new chunks at once took most of a worker's memory."""
+    texts = [" ".join(f"w{i}x{k}é" for k in range(9)) + "  " + "long" * i for i in range(6)]
+    whole = list(token_alignment.Aligner(A, B).align(texts))
+    taken, learn = [], token_alignment.Aligner._learn
+    monkeypatch.setattr(token_alignment.Aligner, "_learn", lambda self, c: taken.append(c) or learn(self, c))
+    monkeypatch.setattr(token_alignment, "LEARN_CHUNKS", 4)
+    monkeypatch.setattr(token_alignment, "LEARN_CHARS", 15)
+    aligner = token_alignment.Aligner(A, B)
+    assert list(aligner.align(texts)) == whole
+    assert max(map(len, taken)) <= 4 and all(len(c) == 1 or sum(map(len, c)) <= 15 for c in taken)
+    assert list(aligner.align(texts)) == whole and sum(map(len, taken)) == len(aligner.place)

@@ -17,6 +17,7 @@ some characters otherwise), have no tokens. Repeated rows are rows. Other column
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, compress
@@ -34,6 +35,8 @@ from ticketlake.session import Scratch
 
 #: Chunks that a worker keeps, and the longest that are worth it.
 CACHE_CHUNKS, CACHE_LENGTH = 300_000, 64
+#: Chunks and characters that are learned at once: an encoding takes many times its text.
+LEARN_CHUNKS, LEARN_CHARS = 4_096, 1 << 17
 _SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary"
 
 
@@ -97,6 +100,7 @@ class Aligner:
     """Aligns texts with one pair of vocabulary files."""
 
     def __init__(self, byte_level: str, pieces: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         self.a = Tokenizer.from_file(byte_level)
         self.a.encode_special_tokens = True  # their strings in a text are text
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
@@ -129,8 +133,9 @@ class Aligner:
         self.groups, self.links = ([x[i] for i in kept.tolist()] for x in (self.groups, self.links))
         self.numbers, self.hits = self.numbers[kept], self.hits[kept] // 2
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Groups and links of new chunks, which stand one after the other as one run of bytes."""
+    def _learn(self, chunks: list[str]) -> np.ndarray:
+        """Groups and links of new chunks, which stand one after the other as one run of bytes;
+        returns their numbers."""
         spaced = [" " + c for c in chunks]
         wanted = [c.encode() for c in spaced]
         sides = []
@@ -179,9 +184,20 @@ class Aligner:
         text, before = out.tolist(), len(self.groups)
         self.groups += ["".join(text[i:k]) for i, k in zip([0, *stops], stops)]
         self.links += [codes[i:k] for i, k in zip([0, *last], last)]
-        self.numbers = np.concatenate([self.numbers, numbers])
-        self.hits = np.concatenate([self.hits, np.zeros(len(chunks), np.int64)])
         self.place.update(zip(chunks, range(before, before + len(chunks))))
+        return numbers
+
+    def learn(self, chunks: list[str]) -> None:
+        """Keeps the groups and links of new chunks, of which few are encoded at once."""
+        numbers, start = [self.numbers], 0
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        while start < len(chunks):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, min(start + LEARN_CHUNKS, int(np.searchsorted(ends, before + LEARN_CHARS, "right"))))
+            numbers.append(self._learn(chunks[start:stop]))
+            start = stop
+        self.numbers = np.concatenate(numbers)
+        self.hits = np.concatenate([self.hits, np.zeros(len(chunks), np.int64)])
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, bytes]]:
         """(n_a, n_b, n_groups, groups, links) per text; links are row numbers of ``pairs``."""
@@ -190,7 +206,7 @@ class Aligner:
         if len(self.place) + len(wanted.difference(self.place)) > CACHE_CHUNKS:
             self._forget()
         if missing := list(wanted.difference(self.place)):
-            self._learn(missing)
+            self.learn(missing)
         for chunks in cut:
             at = list(map(self.place.__getitem__, chunks))
             numbers = self.numbers[at]
