@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
@@ -17,7 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from ticketlake.llm import (
     jaccard_join, language_id, mixing, packing, quality_rules, queries, scaled_sketch, secret_scan,
-    token_files, toxicity, virtual_slots,
+    text, token_files, toxicity, virtual_slots,
 )
 from ticketlake.llm.text import held_out
 from ticketlake.session import scratch_path
@@ -135,6 +136,38 @@ def test_divide_skip_is_exact():
             assert jaccard_join.divide_skip(query, members, 75, mu) == want
 
 
+def test_parities_rule_out_long_sets_and_no_link():
+    """Of long sets too, and of sets with different numbers of cells."""
+    rng = np.random.default_rng(3)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+
+    def bound(x, y):
+        both = len(x) + len(y)
+        return both - jaccard_join.differing(jaccard_join.parities(x), jaccard_join.parities(y)), both
+
+    for n in (1, 300, 600, 3_000, 20_000):
+        x = draw(n)
+        for m in (n * 3 // 4 + 1, n, n * 4 // 3):
+            left, both = bound(x, draw(m))
+            assert n < 20 or left * 175 < 150 * both
+        for shared in (n, n * 7 // 8, n // 2):
+            y = np.union1d(x[:shared], draw(n - shared)) if shared < n else x
+            assert bound(x, y)[0] >= 2 * len(np.intersect1d(x, y))
+
+
+def test_postings_and_sets_of_a_batch_leave_in_runs(monkeypatch):
+    monkeypatch.setattr(text, "BATCH_ROWS", 2)
+    frames = [pd.DataFrame({"text": [f"a b c d e f {i}" for i in range(5)] + [None]})]
+    shingled = list(jaccard_join._shingled(5)(iter(frames)))
+    assert [len(f) for f in shingled] == [2, 2, 1]
+
+    class Sketch:
+        value = np.zeros(1 << 4, np.uint64)
+
+    postings = list(jaccard_join._postings(5, 75, Sketch, 4, 1)(iter(frames)))
+    assert len(postings) == 3 and pd.concat(postings)["set_id"].nunique() == 5
+
+
 def test_jaccard_join_of_odd_rows(spark, odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     assert len(rows) == odd.count()

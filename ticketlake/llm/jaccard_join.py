@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import materialize, shingle_hashes
+from ticketlake.llm.text import materialize, runs, shingle_hashes
 
 SHINGLE = 5
 #: Cells of the frequency sketch, and the blocks it travels in.
@@ -48,8 +48,8 @@ LIST_ROWS = 20_000
 STARS = 2
 #: Members and shingles of one block of candidates around a pivot.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 64, 1 << 20
-#: Columns of a set's parities.
-PARITY = tuple(f"p{i}" for i in range(8))
+#: Least cells of a set's parities.
+PARITY_CELLS = 512
 
 
 def required(n: int, m: int, percent: int) -> int:
@@ -62,10 +62,27 @@ def set_id(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
-def parities(hashes: np.ndarray) -> np.ndarray:
-    """Whether each of 512 cells holds an odd number of the set's members, as eight longs."""
-    odd = np.bincount((hashes & np.uint64(511)).astype(np.int64), minlength=512) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+def parities(hashes: np.ndarray) -> bytes:
+    """Whether each cell holds an odd number of the set's members, one bit per cell.
+
+    The low bits of a hash are its cell. There are as many cells as members at least, rounded
+    up to a power of two, so that long sets do not fill them all: a set's parities take a
+    32nd of its hashes' bytes at most, or 64 bytes.
+    """
+    cells = max(PARITY_CELLS, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Cells in which two sets' parities differ.
+
+    The set with more cells is folded to the other's: half the cells are the others' sums.
+    """
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 # T-occurrence search --------------------------------------------------------------------
@@ -118,20 +135,19 @@ def _sets(k: int, bits: int):
     width = (1 << bits) // CELL_BLOCKS
 
     def batch(ids, sizes, names, block, counts, cells) -> pa.RecordBatch:
-        arrays = [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(block, pa.int32()), pa.array(counts, pa.binary())]
-        columns = ["doc_id", "n_shingles", "set_id", "block", "counts", *PARITY]
-        return pa.RecordBatch.from_arrays([*arrays, *[pa.array(cells[:, i]) for i in range(len(PARITY))]], columns)
+        arrays = [ids, pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(block, pa.int32())]
+        columns = ["doc_id", "n_shingles", "set_id", "block", "counts", "parities"]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.binary()), pa.array(cells, pa.binary())], columns)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, seen = np.zeros(1 << bits, np.uint32), set()
         for f in batches:
-            names, sizes = [], []
-            cells = np.zeros((f.num_rows, len(PARITY)), np.int64)
-            for row, text in enumerate(f.column("text").to_pylist()):
-                h = shingle_hashes(text, k)
+            names, sizes, cells = [], [], []
+            for text in f.column("text"):
+                h = shingle_hashes(text.as_py(), k)
                 sizes.append(len(h))
                 names.append(set_id(h) if len(h) else None)
-                cells[row] = parities(h)
+                cells.append(parities(h) if len(h) else None)
                 if len(h) and names[-1] not in seen:
                     if len(seen) > 500_000:
                         seen.clear()
@@ -143,7 +159,7 @@ def _sets(k: int, bits: int):
         for b in range(CELL_BLOCKS):
             part = total[b * width : (b + 1) * width]
             if part.any():
-                yield batch(pa.nulls(1, pa.int64()), [None], [None], [b], [part.tobytes()], np.zeros((1, len(PARITY)), np.int64))
+                yield batch(pa.nulls(1, pa.int64()), [None], [None], [b], [part.tobytes()], [None])
 
     return sets
 
@@ -160,7 +176,7 @@ def _add_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scratch=None) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n_shingles, set_id, parities) per row, and the occurrences of all shingles of
     different sets, added up in 2**bits cells by hash: fixed size. One pass over the texts."""
-    schema = "doc_id long, n_shingles long, set_id long, block int, counts binary, " + ", ".join(f"{p} long" for p in PARITY)
+    schema = "doc_id long, n_shingles long, set_id long, block int, counts binary, parities binary"
     rows = materialize(docs.select("doc_id", "text").mapInArrow(_sets(k, bits), schema), "members", scratch)
     parts = rows.filter("block IS NOT NULL").select("block", "counts")
     summed = parts.repartition(CELL_TASKS, "block").mapInPandas(_add_cells, "block int, counts binary")
@@ -168,7 +184,15 @@ def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scr
     width = (1 << bits) // CELL_BLOCKS
     for row in summed.collect():
         out[row["block"] * width : (row["block"] + 1) * width] += np.frombuffer(row["counts"], np.uint64)
-    return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id", *PARITY), out
+    return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id", "parities"), out
+
+
+def _some(frames: Iterator[pd.DataFrame]) -> Iterator[list]:
+    """Texts of frames, in runs of bounded size."""
+    for f in frames:
+        texts = f["text"].tolist()
+        for start, stop in runs(texts):
+            yield texts[start:stop]
 
 
 def _postings(k: int, percent: int, sketch, bits: int, salts: int):
@@ -177,9 +201,10 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
     def postings(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts, seen = sketch.value, set()
         limit = np.uint64(LIST_ROWS)
-        for f in frames:
+        # Some texts at a time: a batch's postings together would be many times its texts.
+        for texts in _some(frames):
             hashes, names, sizes, core = [], [], [], []
-            for text in f["text"]:
+            for text in texts:
                 h = shingle_hashes(text, k)
                 name = set_id(h) if len(h) else None
                 if name is None or name in seen:
@@ -261,31 +286,38 @@ def _fitting(a: str, b: str, percent: int):
 def set_parities(members: DataFrame, scratch=None) -> DataFrame:
     """(set_id, m, text_of, parities) once per set: m is its size, text_of a doc_id that has it."""
     once = members.groupBy("set_id").agg(
-        F.max("n_shingles").alias("m"), F.min("doc_id").alias("text_of"), *[F.max(p).alias(p) for p in PARITY]
+        F.max("n_shingles").alias("m"), F.min("doc_id").alias("text_of"), F.max("parities").alias("parities")
     )
     return materialize(once, "parities", scratch)
 
 
+def _possible(percent: int):
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for f in batches:
+            both = [a + b for a, b in zip(f["a_m"].to_pylist(), f["b_m"].to_pylist(), strict=True)]
+            cells = zip(both, f["a_parities"], f["b_parities"], strict=True)
+            keep = [(n - differing(x.as_buffer(), y.as_buffer())) * (100 + percent) >= 2 * percent * n for n, x, y in cells]
+            yield f.select(["a", "b", "n"]).filter(pa.array(keep, pa.bool_()))
+
+    return possible
+
+
 def may_link(pairs: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, n) that parities do not rule out, before any set is moved.
 
     A cell of different parity holds a member that only one of the two sets has. So the
     overlap is at most half of what their sizes leave beside those cells, and no link is
-    lost; long texts fill all cells and pass on to the exact check.
+    lost; what passes goes on to the exact check.
     """
-    a, b = (
-        cells.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("m", *PARITY)]) for x in "ab"
-    )
-    both = F.col("a_m") + F.col("b_m")
-    differ = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITY), F.lit(0))
-    possible = (both - differ) * (100 + percent) >= 2 * percent * both
-    return pairs.join(a, "a").join(b, "b").filter(possible).select("a", "b", "n")
+    a, b = (cells.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("m", "parities")]) for x in "ab")
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", "n", "a_m", "b_m", "a_parities", "b_parities")
+    return both.mapInArrow(_possible(percent), pairs.select("a", "b", "n").schema)
 
 
 def _shingled(k: int):
     def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            sets = [h for h in (shingle_hashes(t, k) for t in f["text"]) if len(h)]
+        for texts in _some(frames):
+            sets = [h for h in (shingle_hashes(t, k) for t in texts) if len(h)]
             yield pd.DataFrame({"set_id": np.array([set_id(h) for h in sets], np.int64), "shingles": [h.tobytes() for h in sets]})
 
     return shingled

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import PurePath
 
 import numpy as np
@@ -15,7 +15,7 @@ from ticketlake.session import materialize
 
 __all__ = [
     "BoundedCache", "bucket_of", "held_out", "lower_ascii", "materialize", "per_text", "python_path",
-    "shingle_hashes", "splitmix", "words_of",
+    "runs", "shingle_hashes", "splitmix", "words_of",
 ]
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -101,6 +101,23 @@ def python_path(path: str) -> str:
     return PurePath(path).name
 
 
+#: Texts that are worked on at once, and their characters: what a task holds beside its cache.
+BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
+
+
+def runs(texts: Sequence[str | None]):
+    """(start, stop) of runs of texts that are worked on at once."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > start and (i - start >= BATCH_ROWS or size + n > BATCH_CHARS):
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def per_text(docs: DataFrame, schema: str, columns: Callable[[list], dict[str, pa.Array]], start: Callable = lambda: ()) -> DataFrame:
     """Per row of ``docs`` its doc_id, as it is, and columns made from the texts of a batch.
 

@@ -6,12 +6,13 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Sequence
 
 import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from ticketlake.llm.text import runs  # noqa: F401
+
 #: White space of Unicode, as the tokenizers' own patterns understand it.
 _WS = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_WS}]+(?![^{_WS}])| ?[^{_WS}]+|[{_WS}]")
@@ -125,20 +126,3 @@ def encoder(path: str, spaces: bool) -> Encoder:
     if (path, spaces) not in _ENCODERS:
         _ENCODERS[path, spaces] = Encoder(path, spaces)
     return _ENCODERS[path, spaces]
-
-
-#: Texts encoded at once, and their characters: what a task holds beside its cache.
-BATCH_ROWS, BATCH_CHARS = 512, 4_000_000
-
-
-def runs(texts: Sequence[str | None]):
-    """(start, stop) of runs of texts that are encoded at once."""
-    start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
-        if i > start and (i - start >= BATCH_ROWS or size + n > BATCH_CHARS):
-            yield start, i
-            start, size = i, 0
-        size += n
-    if start < len(texts):
-        yield start, len(texts)
