@@ -168,6 +168,73 @@ def test_postings_and_sets_of_a_batch_leave_in_runs(monkeypatch):
     assert len(postings) == 3 and pd.concat(postings)["set_id"].nunique() == 5
 
 
+def test_postings_without_a_partner_are_dropped(spark):
+    """Texts that share a passage but cannot link for their sizes meet in no list."""
+    passage = " ".join(f"p{i}" for i in range(10))
+    rows = [(1, passage), (2, passage + "".join(f" a{i}" for i in range(40))), (3, passage + " x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    _, sketch = jaccard_join.sets_and_cells(frame)
+    kept = jaccard_join.shared_postings(frame, sketch).toPandas()
+    long = jaccard_join.set_id(text.shingle_hashes(rows[1][1]))
+    assert len(kept) and long not in set(kept["set_id"])
+
+
+@pytest.mark.parametrize("wide", [64, 1])
+def test_linking_sets_meet_within_reach(monkeypatch, wide):
+    """Lists in frames of any cut; every linking pair has a list where both reach each other."""
+    monkeypatch.setattr(jaccard_join, "WIDE_LIST", wide)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(40)]
+    texts = []
+    for _ in range(60):
+        w = base[rng.randint(0, 6) : rng.randint(20, 40)]
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = f"n{rng.random()}"
+        texts.append(" ".join(w))
+
+    class Sketch:
+        value = np.zeros(1 << 4, np.uint64)
+
+    postings = pd.concat(jaccard_join._postings(5, 75, Sketch, 4, 1)(iter([pd.DataFrame({"text": texts})])))
+    postings = postings.sort_values(["shingle", "salt", "set_id"])
+    wanted = None
+    for size in (1, 7, 10_000):
+        frames = (postings[i : i + size] for i in range(0, len(postings), size))
+        rows = pd.concat(jaccard_join._shared(75)(frames))
+        rows = rows.sort_values(["shingle", "set_id"]).reset_index(drop=True)
+        wanted = rows if wanted is None else wanted
+        assert rows.equals(wanted)
+    both = wanted.merge(wanted, on="shingle")
+    both = both[(both["n_x"] <= both["reach_y"]) & (both["n_y"] <= both["reach_x"])]
+    met = set(zip(both["set_id_x"], both["set_id_y"], strict=True))
+    sets = {jaccard_join.set_id(h): set(h.tolist()) for h in map(text.shingle_hashes, texts)}
+    pairs = [(a, b) for a in sets for b in sets if a != b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert len(pairs) > 20 and met.issuperset(pairs)
+
+
+def test_lists_of_two_are_settled_by_their_pivot(spark, monkeypatch):
+    """Two texts that were compared and do not link are not carried to the next round."""
+    counts = defaultdict(list)
+
+    def counted(frame, name, scratch=None):
+        out = text.materialize(frame, name, scratch)
+        counts[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    shared = " ".join(f"s{i}" for i in range(12))
+    rows = [(i, shared + "".join(f" {i}x{j}" for j in range(12))) for i in (1, 2)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # All cells alike: the order of shingles is by hash, so that some shared ones are posted.
+    _, sketch = jaccard_join.sets_and_cells(frame)
+    known = jaccard_join.sets_and_cells
+    monkeypatch.setattr(jaccard_join, "sets_and_cells", lambda docs, k, scratch=None: (
+        known(docs, k, scratch=scratch)[0], np.zeros_like(sketch)))
+    found = components_of(jaccard_join.jaccard_components(frame))
+    assert found == brute_components([{"doc_id": i, "text": t} for i, t in rows])
+    assert counts["postings"][0] >= 2 and counts["pairs"][0] == 1 and counts["rest"] == [0, 0]
+
+
 def test_jaccard_join_of_odd_rows(spark, odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     assert len(rows) == odd.count()

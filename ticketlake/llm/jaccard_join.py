@@ -9,10 +9,12 @@ On the cluster this is three steps:
 
 * Shingles get one global order, rare before frequent, from a sketch of fixed size that
   counts all of them. A text posts only the first n - T + 1 (the short lists); a partner
-  must share one of those.
+  must share one of those. The k-th of them counts only for partners up to some size, and a
+  posting whose list has no partner for it is dropped.
 * Each list first compares its members with one pivot, then those that it did not reach
-  with another, so a list of N texts gives N - 1 candidates, not N * N. Candidates are
-  checked in blocks around their pivot by DivideSkip over the block's own inverted lists.
+  with another, so a list of N texts gives N - 1 candidates, not N * N. A pivot leaves its
+  list when it has been compared. Candidates are checked in blocks around their pivot by
+  DivideSkip over the block's own inverted lists.
 * Texts that are connected by then need no further comparison. Lists that still hold texts
   of different components give all their pairs across components, which are checked too.
   So no link between different components is missed, and the components are exact.
@@ -46,6 +48,8 @@ CELL_TASKS = 32
 LIST_ROWS = 20_000
 #: Rounds in which lists compare their members with one pivot only.
 STARS = 2
+#: Posting lists of more members keep them all, without looking for each one's partner.
+WIDE_LIST = 64
 #: Members and shingles of one block of candidates around a pivot.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 64, 1 << 20
 #: Least cells of a set's parities.
@@ -57,6 +61,15 @@ def required(n: int, m: int, percent: int) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def reach(n: np.ndarray, ranks: np.ndarray, percent: int) -> np.ndarray:
+    """Per rank in the rarity order of a set of n, the largest partner for which it counts.
+
+    Sets that overlap by T share one of the first n - T + 1 of each (ranks from 0). T grows
+    with the partner, so a rank counts as long as required(n, m) <= n - rank.
+    """
+    return (100 + percent) * (n - ranks) // percent - n
+
+
 def set_id(hashes: np.ndarray) -> int:
     """Signed 64-bit name of a shingle set, from a hash of all its members."""
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
@@ -203,7 +216,7 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
         limit = np.uint64(LIST_ROWS)
         # Some texts at a time: a batch's postings together would be many times its texts.
         for texts in _some(frames):
-            hashes, names, sizes, core = [], [], [], []
+            hashes, names, sizes = [], [], []
             for text in texts:
                 h = shingle_hashes(text, k)
                 name = set_id(h) if len(h) else None
@@ -217,65 +230,87 @@ def _postings(k: int, percent: int, sketch, bits: int, salts: int):
                 hashes.append(h[order[:keep]])
                 names.append(name)
                 sizes.append((keep, len(h)))
-                # With a partner of its own size or larger, fewer lists suffice.
-                core.append(np.arange(keep) <= len(h) - required(len(h), len(h), percent))
             if not hashes:
                 continue
             h = np.concatenate(hashes)
             reps = [s for s, _ in sizes]
             sets = np.repeat(np.array(names, np.int64), reps)
-            # Lists of frequent cells are dealt to several tasks by set.
+            # Lists of frequent cells are dealt to several tasks by set, with salts from 1.
             parts = np.minimum(counts[(h >> np.uint64(64 - bits)).astype(np.int64)] // limit, salts).astype(np.int64) + 1
+            # What differs from row to row stands together: so shuffled rows compress best.
             yield pd.DataFrame({
                 "shingle": h.view(np.int64),
-                "salt": (np.abs(sets >> 7) % parts).astype(np.int32),
+                "rank": np.concatenate([np.arange(s, dtype=np.int32) for s in reps]),
                 "n": np.repeat(np.array([n for _, n in sizes], np.int32), reps),
                 "set_id": sets,
-                "core": np.concatenate(core),
-                "dealt": parts > 1,
+                "salt": np.where(parts > 1, np.abs(sets >> 7) % parts + 1, 0).astype(np.int32),
             })
 
     return postings
 
 
-def _shared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merges postings sorted by (shingle, salt, set): each set once, lists of one dropped.
+def _partnered(starts: np.ndarray, n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which rows of whole lists have a partner there: each within the other's reach."""
+    first = np.flatnonzero(starts)
+    length = np.diff(np.append(first, len(starts)))
+    place = np.arange(len(starts)) - np.repeat(first, length)
+    found = np.repeat(length > WIDE_LIST, length)
+    later = np.flatnonzero(~found & (place > 0))
+    apart = 1
+    while len(later):
+        sooner = later - apart
+        both = (n[later] <= most[sooner]) & (n[sooner] <= most[later])
+        found[later[both]] = found[sooner[both]] = True
+        apart += 1
+        later = later[place[later] >= apart]
+    return found
+
 
-    A dealt list's parts stay even with one member.
+def _shared(percent: int):
+    """Merges postings sorted by (shingle, salt, set): each set once, those without partner dropped.
+
+    A dealt list's parts stay whole, as partners may be in other parts.
     """
-    names = ("shingle", "salt", "set_id", "n", "core", "dealt")
-    held = None  # the last row waits for what follows
-    started = True  # whether it begins its list
-    for f in itertools.chain(frames, [None]):
-        if f is None and held is None:
-            return
-        columns = [f[c].to_numpy() for c in names] if f is not None else [h[:0] for h in held]
-        if held is not None:
-            columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-        if not len(columns[0]):
-            continue
-        s, t, i = columns[:3]
-        fresh = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1]))
-        columns = [c[fresh] for c in columns]
-        s, t = columns[:2]
-        starts = np.append(started, (s[1:] != s[:-1]) | (t[1:] != t[:-1]))
-        ends = np.append(starts[1:], f is None)
-        keep = (~(starts & ends) | columns[5].astype(bool)) & np.append(np.ones(len(s) - 1, bool), f is None)
-        held, started = [c[-1:] for c in columns], bool(starts[-1])
-        yield pd.DataFrame({n: c[keep] for n, c in zip(names, columns, strict=True)}).drop(columns=["salt", "dealt"])
+    names = ("shingle", "salt", "set_id", "n", "rank")
+
+    def shared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last list, or the last row of a dealt one, waits for what follows
+        for f in itertools.chain(frames, [None]):
+            if f is None and held is None:
+                return
+            columns = [f[c].to_numpy() for c in names] if f is not None else [h[:0] for h in held]
+            if held is not None:
+                columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
+            if not len(columns[0]):
+                continue
+            s, t, i = columns[:3]
+            fresh = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (i[1:] != i[:-1]))
+            columns = [c[fresh] for c in columns]
+            s, t = columns[:2]
+            starts = np.append(True, (s[1:] != s[:-1]) | (t[1:] != t[:-1]))
+            cut = len(s)
+            if f is not None:
+                cut = int(np.flatnonzero(starts)[-1]) if t[-1] == 0 else len(s) - 1
+            held = [c[cut:] for c in columns]
+            s, t, i, n, ranks = (c[:cut] for c in columns)
+            most = reach(n.astype(np.int64), ranks, percent)
+            keep = (t > 0) | _partnered(starts[:cut], n, most)
+            yield pd.DataFrame({"shingle": s[keep], "set_id": i[keep], "n": n[keep], "reach": most[keep].astype(np.int32)})
+
+    return shared
 
 
 def shared_postings(
     docs: DataFrame, sketch: np.ndarray, k: int = SHINGLE, percent: int = 75, bits: int = CELL_BITS
 ) -> DataFrame:
-    """(shingle, set_id, n, core) of the short lists with two members or more."""
+    """(shingle, set_id, n, reach) of the short lists, of members that have a partner there."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(sketch)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "shingle long, salt int, n int, set_id long, core boolean, dealt boolean"
+    schema = "shingle long, rank int, n int, set_id long, salt int"
     rows = docs.select("text").mapInPandas(_postings(k, percent, shared, bits, tasks), schema)
     merged = rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "set_id")
-    return merged.mapInPandas(_shared, "shingle long, set_id long, n int, core boolean")
+    return merged.mapInPandas(_shared(percent), "shingle long, set_id long, n int, reach int")
 
 
 # Checking candidates --------------------------------------------------------------------
@@ -283,12 +318,12 @@ def _fitting(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def set_parities(members: DataFrame, scratch=None) -> DataFrame:
-    """(set_id, m, text_of, parities) once per set: m is its size, text_of a doc_id that has it."""
+def set_parities(members: DataFrame, wanted: DataFrame, scratch=None) -> DataFrame:
+    """(set_id, m, text_of, parities) once per wanted set: m is its size, text_of a doc_id that has it."""
     once = members.groupBy("set_id").agg(
         F.max("n_shingles").alias("m"), F.min("doc_id").alias("text_of"), F.max("parities").alias("parities")
     )
-    return materialize(once, "parities", scratch)
+    return materialize(once.join(wanted, "set_id", "left_semi"), "parities", scratch)
 
 
 def _possible(percent: int):
@@ -409,23 +444,30 @@ def _relabelled(rows: DataFrame, edges: DataFrame, scratch) -> DataFrame:
     """Rows of lists that still hold several components, with the components."""
     labels = materialize(components(edges, scratch), "components", scratch)
     placed = _labelled(rows.drop("component"), labels)
-    placed = materialize(placed.select("shingle", "set_id", "n", "core", "component"), "placed", scratch)
+    placed = materialize(placed.select("shingle", "set_id", "n", "reach", "component"), "placed", scratch)
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return placed.join(mixed.filter("lo <> hi").select("shingle"), "shingle", "left_semi")
 
 
-def _star(rows: DataFrame, degrees: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, n) of each list's pivot with the members outside its component.
+def _around(rows: DataFrame, degrees: DataFrame) -> DataFrame:
+    """The lists without their pivots, each row with its list's length and pivot (a, a_n, a_c).
 
     The pivot is the member that shares most of its short lists: among copies with edits of
-    their own, the text they were made from.
+    their own, the text they were made from. Lists without a set of ``degrees`` have none.
     """
-    weighed = rows.join(degrees, "set_id")
+    weighed = rows.join(degrees, "set_id", "left")
     best = F.max(F.struct("degree", "set_id", "n", "component"))
-    pivots = weighed.groupBy("shingle").agg(best.alias("p")).select(
-        "shingle", F.col("p.set_id").alias("a"), F.col("p.n").alias("a_n"), F.col("p.component").alias("a_c")
+    lists = weighed.groupBy("shingle").agg(best.alias("p"), F.count("*").alias("members"))
+    pivots = lists.select(
+        "shingle", "members", *[F.when(F.col("p.degree").isNotNull(), F.col(f"p.{c}")).alias(x)
+                                for c, x in (("set_id", "a"), ("n", "a_n"), ("component", "a_c"))]
     )
-    pairs = rows.join(pivots, "shingle").filter((F.col("component") != F.col("a_c")) & _fitting("n", "a_n", percent))
+    return rows.join(pivots, "shingle").filter("a IS NULL OR set_id <> a")
+
+
+def _star(around: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, n) of each list's pivot with the members outside its component."""
+    pairs = around.filter((F.col("component") != F.col("a_c")) & _fitting("n", "a_n", percent))
     return pairs.select("a", F.col("set_id").alias("b"), "n").distinct()
 
 
@@ -437,28 +479,28 @@ def links(
     lists = F.count("*") / (F.first("n") - F.ceil(F.first("n") * percent / 100) + 1)
     degrees = materialize(shared.groupBy("set_id").agg(lists.alias("degree")), "degrees", scratch)
     rest = shared.withColumn("component", F.col("set_id"))
-    cells = set_parities(members, scratch)
+    cells = set_parities(members, degrees, scratch)
     edges = settled = None
     for _ in range(STARS):
-        star = materialize(_star(rest, degrees, percent), "pairs", scratch)
+        around = materialize(_around(rest, degrees), "around", scratch)
+        star = materialize(_star(around, percent), "pairs", scratch)
         near = materialize(may_link(star, cells, percent), "near", scratch)
         found = materialize(linked(near, set_table(docs, cells, _ends(near), k, scratch), percent, scratch), "links", scratch)
         least, most = F.least("a", "b").alias("_x"), F.greatest("a", "b").alias("_y")
         settled = star.select(least, most) if settled is None else settled.unionByName(star.select(least, most))
         edges = found if edges is None else edges.unionByName(found)
-        rest = materialize(_relabelled(rest, edges, scratch), "rest", scratch)
+        # What a pivot was compared with is settled: of two members no pair is left.
+        left = around.filter("a IS NULL OR members > 2").select(rest.columns)
+        rest = materialize(_relabelled(left, edges, scratch), "rest", scratch)
         # Next time each list's pivot comes from what the last pivots did not reach.
         degrees = degrees.join(star.select(F.col("a").alias("set_id")).distinct(), "set_id", "left_anti")
 
     # Lists that still hold several components: all their pairs across components.
     a, b = (rest.select(*[F.col(c).alias(f"{x}_{c}") for c in rest.columns]) for x in "ab")
-    smaller = F.when(F.col("a_n") == F.col("b_n"), F.col("a_core") & F.col("b_core")).when(
-        F.col("a_n") < F.col("b_n"), F.col("a_core")
-    ).otherwise(F.col("b_core"))
     crossing = a.join(
         b,
         (a["a_shingle"] == b["b_shingle"]) & (a["a_component"] < b["b_component"])
-        & _fitting("a_n", "b_n", percent) & smaller,
+        & (F.col("a_n") <= F.col("b_reach")) & (F.col("b_n") <= F.col("a_reach")),
     )
     pairs = crossing.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b"), F.col("b_n").alias("n")).distinct()
     pairs = pairs.withColumns({"_x": F.least("a", "b"), "_y": F.greatest("a", "b")})
