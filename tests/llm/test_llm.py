@@ -4,12 +4,14 @@ import binascii
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -168,6 +170,46 @@ def test_postings_and_sets_of_a_batch_leave_in_runs(monkeypatch):
     assert len(postings) == 3 and pd.concat(postings)["set_id"].nunique() == 5
 
 
+def test_texts_of_a_batch_are_not_all_held():
+    """Beside its Arrow batch a task holds some texts, in toxicity and in jaccard_join."""
+    batch = pa.record_batch({"text": [f"{i} " + "word " * 2000 for i in range(4000)]})
+    column, empty = batch.column("text"), batch.slice(0, 0)
+
+    class Docs:
+        schema = None
+        mapInArrow = staticmethod(lambda run, schema: run)  # noqa: N815
+
+    model = toxicity.Model(np.array([4], np.int32), np.array([1.0]), -3.0, 0.1)
+    sliced = jaccard_join._sliced(jaccard_join._shingled(5), pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())]))
+    for run in (toxicity.clean(Docs, model), sliced):
+        tracemalloc.start()
+        try:
+            rows = sum(out.num_rows for out in run(iter([empty, batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert rows == len(column) and peak < column.nbytes / 2
+
+
+def test_word_caches_of_a_worker_stay_small():
+    """What a worker keeps by word, from task to task and stage to stage, is some MB in all."""
+    model = toxicity.Model(np.array([4], np.int32), np.array([1.0]), -3.0, 0.1)
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    lines = [" ".join(f"{i:06x}".translate(letters) for i in range(k, k + 1000)) for k in range(0, 250_000, 1000)]
+    for cache in (text.WORD_HASHES, toxicity.FEATURES):
+        cache.clear()
+    tracemalloc.start()
+    try:
+        toxicity._scorer(model)(lines)
+        for line in lines:
+            toxicity.text_features(line)
+            text.shingle_hashes(line)
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 40e6
+
+
 def test_postings_without_a_partner_are_dropped(spark):
     """Texts that share a passage but cannot link for their sizes meet in no list."""
     passage = " ".join(f"p{i}" for i in range(10))

@@ -27,7 +27,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import materialize, runs, shingle_hashes
+from ticketlake.llm.text import BATCH_ROWS, materialize, runs, shingle_hashes
 
 SHINGLE = 5
 #: Cells of the frequency sketch, and the blocks it travels in.
@@ -200,6 +200,20 @@ def sets_and_cells(docs: DataFrame, k: int = SHINGLE, bits: int = CELL_BITS, scr
     return rows.filter("block IS NULL").select("doc_id", "n_shingles", "set_id", "parities"), out
 
 
+def _sliced(work: Callable, schema: pa.Schema):
+    """``work`` over frames of the texts of Arrow batches, some rows at a time.
+
+    A whole batch as a data frame would hold all its texts a second time.
+    """
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = (b.column("text").slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
+        for f in work(pd.DataFrame({"text": pd.Series(c.to_pylist(), dtype=object)}) for c in columns):
+            yield pa.RecordBatch.from_pandas(f, schema, preserve_index=False)
+
+    return sliced
+
+
 def _some(frames: Iterator[pd.DataFrame]) -> Iterator[list]:
     """Texts of frames, in runs of bounded size."""
     for f in frames:
@@ -208,6 +222,9 @@ def _some(frames: Iterator[pd.DataFrame]) -> Iterator[list]:
             yield texts[start:stop]
 
 
+_POSTING = pa.schema([("shingle", pa.int64()), ("rank", pa.int32()), ("n", pa.int32()), ("set_id", pa.int64()), ("salt", pa.int32())])
+
+
 def _postings(k: int, percent: int, sketch, bits: int, salts: int):
     """The short lists of each set: its rarest n - T + 1 shingles."""
 
@@ -307,8 +324,8 @@ def shared_postings(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(sketch)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "shingle long, rank int, n int, set_id long, salt int"
-    rows = docs.select("text").mapInPandas(_postings(k, percent, shared, bits, tasks), schema)
+    work = _sliced(_postings(k, percent, shared, bits, tasks), _POSTING)
+    rows = docs.select("text").mapInArrow(work, "shingle long, rank int, n int, set_id long, salt int")
     merged = rows.repartition("shingle", "salt").sortWithinPartitions("shingle", "salt", "set_id")
     return merged.mapInPandas(_shared(percent), "shingle long, set_id long, n int, reach int")
 
@@ -368,7 +385,8 @@ def set_table(docs: DataFrame, cells: DataFrame, wanted: DataFrame, k: int = SHI
     chosen = cells.join(wanted, "set_id", "left_semi").select(F.col("text_of").alias("_d")).distinct()
     chosen = materialize(chosen, "chosen", scratch)
     texts = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col("_d")), "left_semi")
-    return texts.mapInPandas(_shingled(k), "set_id long, shingles binary")
+    work = _sliced(_shingled(k), pa.schema([("set_id", pa.int64()), ("shingles", pa.binary())]))
+    return texts.select("text").mapInArrow(work, "set_id long, shingles binary")
 
 
 def _search(percent: int):

@@ -62,7 +62,10 @@ class BoundedCache(dict):
         return value
 
 
-WORD_HASHES = BoundedCache(xxhash.xxh64_intdigest, 500_000)
+#: Entries of a cache by word. A worker keeps its caches from task to task and stage to stage, so
+#: they stay small; the usual words are soon back in a cache that starts anew.
+WORD_CACHE = 1 << 16
+WORD_HASHES = BoundedCache(xxhash.xxh64_intdigest, WORD_CACHE)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:

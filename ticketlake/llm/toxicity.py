@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import BoundedCache, per_text, take_sample
+from ticketlake.llm.text import WORD_CACHE, BoundedCache, per_text, take_sample
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Hashed features; features of a word: itself and its beginnings of these lengths.
@@ -41,7 +41,7 @@ def _word_features(word: str) -> tuple[int, ...]:
     return tuple(xxhash.xxh64_intdigest(n) & ((1 << BITS) - 1) & ~3 for n in sorted(names))
 
 
-FEATURES = BoundedCache(_word_features, 300_000)
+FEATURES = BoundedCache(_word_features, WORD_CACHE // 2)
 
 
 def text_features(text: str | None) -> np.ndarray:
@@ -198,8 +198,9 @@ def train(
 def _scorer(model: Model):
     """Scores of a batch of texts; made once per task."""
     weights, bias = model.table(), model.bias
-    # Most words have no weighted feature: one look-up settles them.
-    useful = BoundedCache(lambda w: any(f + i in weights for f in FEATURES[w] for i in range(4)), 500_000)
+    # Most words have no weighted feature: one look-up settles them, and their features are not kept.
+    bases = {f & ~3 for f in weights}
+    useful = BoundedCache(lambda w: not bases.isdisjoint(_word_features(w)), 4 * WORD_CACHE)
 
     def scores(texts) -> np.ndarray:
         margins = []
@@ -234,6 +235,8 @@ def clean(docs: DataFrame, model: Model, bound: float = 0.5) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores = _scorer(model)
         for b in batches:
-            yield b.filter(pa.array(scores(b.column("text").to_pylist()) < bound))
+            # One text after the other: a batch's texts together would be memory that stays taken.
+            found = scores(t.as_py() for t in b.column("text"))
+            yield b.filter(pa.array(found < bound))
 
     return docs.mapInArrow(kept, docs.schema)
