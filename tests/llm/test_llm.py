@@ -277,6 +277,29 @@ def test_lists_of_two_are_settled_by_their_pivot(spark, monkeypatch):
     assert counts["postings"][0] >= 2 and counts["pairs"][0] == 1 and counts["rest"] == [0, 0]
 
 
+def test_stars_of_components_have_small_plans(spark, monkeypatch):
+    """A star's plan reads its edges twice at most, however many stars came before."""
+    rng = random.Random(3)
+    pairs = [(rng.randint(-90, 90), rng.randint(-90, 90)) for _ in range(110)] + [(7, 7), (500, 501)] * 2
+    pairs += [(900, i) for i in range(901, 960)]
+    scans = []
+
+    def materialize(frame, name, scratch=None):
+        scans.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return text.materialize(frame, name, scratch)
+
+    monkeypatch.setattr(jaccard_join, "materialize", materialize)
+    for given in (pairs, []):
+        found = jaccard_join.components(spark.createDataFrame(given, "a long, b long")).collect()
+        top = {x: x for p in given for x in p}
+        for _ in top:
+            for a, b in given:
+                top[a] = top[b] = min(top[a], top[b])
+        linked = {x for a, b in given if a != b for x in (a, b)}
+        assert sorted(map(tuple, found)) == sorted((x, top[x]) for x in linked)
+    assert 0 < max(scans) <= 2
+
+
 def test_jaccard_join_of_odd_rows(spark, odd):
     rows = jaccard_join.jaccard_components(odd).collect()
     assert len(rows) == odd.count()
@@ -620,6 +643,25 @@ def test_unlabelled_texts_are_drawn_from_all_documents(spark, monkeypatch):
     assert drawn == [(1, 40, pytest.approx(0.5))]
 
 
+def test_the_driver_trains_on_the_features_it_may_choose(spark, monkeypatch):
+    """The features of all texts stay on the cluster; the model is that of all features."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=4))
+    rows = [(i, " ".join(["vile"] * (i % 4 == 0) + [word() for _ in range(60)])) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(0, 400, 2)], "doc_id long, toxic int")
+    drawn, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda *given: drawn.append(given) or fit(*given))
+    model = toxicity.train(docs, labels, lambda d: d >= 0)
+    positive, unlabelled, prior = drawn[0]
+    texts = dict(rows)
+    every = [[toxicity.text_features(texts[i]) for i in ids] for ids in (range(0, 400, 4), range(400))]
+    whole = fit(*every, prior)
+    assert sum(map(len, positive + unlabelled)) < sum(map(len, every[0] + every[1])) / 20
+    assert len(model.ids) and model.ids.tolist() == whole.ids.tolist()
+    assert (model.weights.tolist(), model.bias) == (whole.weights.tolist(), whole.bias)
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.train(odd, none, lambda d: ~held_out(d, 5, 0))

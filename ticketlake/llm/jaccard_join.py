@@ -416,30 +416,34 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch=None) -> Dat
 
 
 # Components -----------------------------------------------------------------------------
+def _pairs(*pairs: tuple[str, str]):
+    """Rows (u, v) from pairs of columns of each row, made in one pass over them."""
+    return F.inline(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in pairs]))
+
+
 def components(edges: DataFrame, scratch=None) -> DataFrame:
     """(set_id, component) of all ends of edges (a, b): the smallest id of each component.
 
-    Alternates large and small stars until the edges stop changing; every round is written,
-    so a lost executor costs a re-read. Hubs are only ever grouped for their minimum.
+    Alternates large and small stars until the edges stop changing; every star is written,
+    so a lost executor costs a re-read, and the next one's plan starts from rows, not from
+    copies of this one's. Hubs are only ever grouped for their minimum.
     """
     both = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     current = materialize(both, "edges", scratch)
 
-    def stars(e: DataFrame, large: bool) -> DataFrame:
-        ends = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
+    def star(e: DataFrame, large: bool) -> DataFrame:
+        ends = e.select(_pairs(("u", "v"), ("v", "u"))) if large else e
         least = ends.groupBy("u").agg(F.min("v").alias("_m")).withColumn("_m", F.least("_m", "u"))
         joined = ends.join(least, "u")
-        if large:
-            return joined.filter("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).filter("u <> v").distinct()
-        kept = joined.select(F.col("v").alias("u"), F.col("_m").alias("v")).filter("u <> v")
-        return kept.unionByName(least.select("u", F.col("_m").alias("v"))).filter("u <> v").distinct()
+        moved = joined.filter("v > u").select(_pairs(("v", "_m"))) if large else joined.select(_pairs(("v", "_m"), ("u", "_m")))
+        return materialize(moved.filter("u <> v").distinct(), "edges", scratch)
 
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     before = state(current)
     while True:
-        current = materialize(stars(stars(current, True), False), "edges", scratch)
+        current = star(star(current, True), False)
         after = state(current)
         if after == before:
             break

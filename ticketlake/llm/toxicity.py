@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.text import WORD_CACHE, BoundedCache, per_text, take_sample
+from ticketlake.llm.text import WORD_CACHE, BoundedCache, materialize, per_text, take_sample
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Hashed features; features of a word: itself and its beginnings of these lengths.
@@ -34,6 +34,8 @@ BITS, PREFIXES = 20, (5, 6, 7)
 LEVELS = (1, 2, 4, 8)
 #: Bounds of the training sample, in texts.
 MAX_POSITIVE, MAX_UNLABELLED = 3_000, 9_000
+#: Standard errors by which a feature is over-represented among the positives, if it trains.
+LEAST_EXCESS = 6.0
 
 
 def _word_features(word: str) -> tuple[int, ...]:
@@ -87,7 +89,7 @@ def fit(
     steps: int = 400,
     rate: float = 0.5,
     ridge: float = 1e-5,
-    least: float = 6.0,
+    least: float = LEAST_EXCESS,
     back: float = 0.1,
 ) -> Model:
     """Train on feature lists, with the features that are over-represented among the
@@ -153,10 +155,39 @@ def fit(
 
 def _feature_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        f["features"] = [text_features(t).tobytes() for t in f.pop("text")]
+        f["features"] = [text_features(t) for t in f.pop("text")]
         yield f
 
 
+def _candidates(rows: DataFrame, least: float) -> np.ndarray:
+    """Sorted ids of the features of ``rows`` (role, features) that ``fit`` may choose, and hardly another.
+
+    They are counted on the cluster, as the features of all texts would be much for the driver.
+    """
+    sizes = {r["role"]: r["count"] for r in rows.groupBy("role").count().collect()}
+    if len(sizes) < 2:
+        return np.empty(0, np.int32)
+    each = rows.select("role", F.explode("features").alias("id"))
+    counts = each.groupBy("id").agg(F.sum("role").alias("seen"), F.sum(1 - F.col("role")).alias("times"))
+    usual = (F.col("times") + 0.5) / (sizes[0] + 1)
+    error = F.sqrt(F.greatest(usual * (1 - usual), F.lit(1e-9)) / sizes[1])
+    # fit() decides; what is added here are its roundings.
+    chosen = counts.filter("seen > 0").filter((F.col("seen") / sizes[1] - usual) / error >= least - 1e-6)
+    return np.sort(np.array([r["id"] for r in chosen.select("id").collect()], np.int32))
+
+
+def _kept(ids: np.ndarray):
+    """Of each row's features those in ``ids``, in their order."""
+
+    def kept(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            features = [np.asarray(x, np.int32) for x in f["features"]]
+            f["features"] = [x[np.isin(x, ids)].tobytes() for x in features]
+            yield f
+
+    return kept
+
+
 def train(
     docs: DataFrame,
     labels: DataFrame,
@@ -186,8 +217,11 @@ def train(
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "role").agg(F.min("text").alias("text"))
-        .mapInPandas(_feature_rows, "doc_id long, role int, features binary")
+        .mapInPandas(_feature_rows, "doc_id long, role int, features array<int>")
     )
+    rows = materialize(rows, "features")
+    # Only what fit() may choose goes to the driver, from every text.
+    rows = rows.mapInPandas(_kept(_candidates(rows, LEAST_EXCESS)), "doc_id long, role int, features binary")
     sets: tuple[list, list] = ([], [])
     for row in sorted(rows.collect(), key=lambda r: (r["role"], r["doc_id"], bytes(r["features"]))):
         sets[row["role"]].append(np.frombuffer(row["features"], np.int32))
